@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,9 +86,10 @@ def latest_values(
 
     # All rows of earlier hours; rows of the same hour tie and are left out.
     before = _block_order(by).rangeBetween(Window.unboundedPreceding, -1)
+    any_value = reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names])
     carried = (
         occupied.withColumns({n: F.last(n, ignorenulls=True).over(before) for n in names})
-        .filter(F.col("_has_points") & F.coalesce(*[F.col(n).isNotNull() for n in names]))
+        .filter(F.col("_has_points") & any_value)
         .drop("_has_points")
         .withColumn(_RANK, F.lit(_CARRY))
     )
@@ -184,16 +186,12 @@ def with_neighbours(intervals: DataFrame, by: Sequence[str], start: str, end: st
     )
 
 
-def split_overlapping(
-    intervals: DataFrame, by: Sequence[str], start: str, end: str
-) -> tuple[DataFrame, DataFrame]:
-    """(intervals that touch no other one of their key, intervals that overlap another)."""
+def overlapping_intervals(intervals: DataFrame, by: Sequence[str], start: str, end: str) -> DataFrame:
+    """The non-empty intervals that overlap another one of their key."""
     marked = with_neighbours(intervals.filter(F.col(end) > F.col(start)), by, start, end)
-    overlaps = F.coalesce(F.col(start) < F.col("_prev_end"), F.lit(False)) | F.coalesce(
-        F.col("_next_start") < F.col(end), F.lit(False)
+    return marked.filter((F.col(start) < F.col("_prev_end")) | (F.col("_next_start") < F.col(end))).drop(
+        "_prev_end", "_next_start", BLOCK
     )
-    drop = ["_prev_end", "_next_start", BLOCK]
-    return marked.filter(~overlaps).drop(*drop), marked.filter(overlaps).drop(*drop)
 
 
 def hours_touched(df: DataFrame, start: str, end: str) -> Column:
@@ -203,54 +201,56 @@ def hours_touched(df: DataFrame, start: str, end: str) -> Column:
     return F.sequence(hour_start(df, start), last, F.expr("INTERVAL 1 HOUR"))
 
 
-def match_overlapping(
-    points: DataFrame, intervals: DataFrame, by: Sequence[str], ts: str, start: str, end: str, cols: Sequence[str]
+def interval_lookup(name: str, intervals: DataFrame, start: str, end: str, cols: Sequence[str]) -> Lookup:
+    """Look up the interval that started last."""
+    return Lookup(name, intervals.filter(F.col(end) > F.col(start)), start, [end, *cols])
+
+
+def finish_interval_join(
+    aligned: DataFrame,
+    name: str,
+    intervals: DataFrame,
+    by: Sequence[str],
+    ts: str,
+    start: str,
+    end: str,
+    cols: Sequence[str],
 ) -> DataFrame:
-    """Complete the matches of points that fall into overlapping intervals.
+    """Turn the interval that started last into all intervals that contain the point.
 
-    `points` come from `latest_values`, so they are already partitioned by
-    (key, hour) and the join adds no shuffle of them; without overlaps the
-    other side is empty and the join falls away at run time.
+    For intervals that overlap no other one the last start decides alone. The
+    overlapping rest is cut into hour pieces and joined on (key, hour). `aligned`
+    already has that partitioning, so no point is shuffled again; without
+    overlaps that side is empty and the join falls away at run time.
     """
-    pieces = intervals.select(
-        *by,
-        F.explode(hours_touched(intervals, start, end)).alias(BLOCK),
+    rest = overlapping_intervals(intervals.select(*by, start, end, *cols), by, start, end)
+    pieces = rest.select(
+        *[F.col(c).alias(f"_{c}") for c in by],
+        F.explode(hours_touched(rest, start, end)).alias("_hour"),
         F.col(start).alias("_start"),
         F.col(end).alias("_end"),
         *[F.col(c).alias(f"_{c}") for c in cols],
     )
-    keys = [F.col(f"p.{k}") == F.col(f"i.{k}") for k in [*by, BLOCK]]
-    inside = (F.col(f"p.{ts}") >= F.col("i._start")) & (F.col(f"p.{ts}") < F.col("i._end"))
-    condition = inside
-    for key in keys:
-        condition = condition & key
-    joined = points.alias("p").join(pieces.alias("i"), condition, "left")
-    kept = [c for c in points.columns if c not in cols]
-    return joined.select(
-        *[F.col(f"p.{c}") for c in kept],
-        *[F.coalesce(F.col(f"p.{c}"), F.col(f"i._{c}")).alias(c) for c in cols],
+    inside = (
+        (F.col(BLOCK) == F.col("_hour")) & (F.col(ts) >= F.col("_start")) & (F.col(ts) < F.col("_end"))
+    )
+    for key in by:
+        inside = inside & (F.col(key) == F.col(f"_{key}"))
+    running = F.col(ts) < F.col(f"{name}.{end}")
+    found = {c: F.when(running, F.col(f"{name}.{c}")) for c in cols}
+    kept = [c for c in aligned.columns if c != name]
+    return aligned.join(pieces, inside, "left").select(
+        *kept,
+        *[F.when(F.col("_hour").isNotNull(), F.col(f"_{c}")).otherwise(found[c]).alias(c) for c in cols],
     )
 
 
 def interval_join(
     points: DataFrame, intervals: DataFrame, by: Sequence[str], ts: str, start: str, end: str, cols: Sequence[str]
 ) -> DataFrame:
-    """Left join of points to all intervals `[start, end)` of their key that contain them.
-
-    Intervals that overlap no other one need no range comparison at all: the
-    latest start decides. Only the overlapping rest is joined by hour pieces.
-    """
-    alone, overlapping = split_overlapping(intervals, by, start, end)
-    out = latest_values(points, by, ts, [Lookup("_interval", alone, start, [end, *cols])])
-    return match_overlapping(
-        take_interval(out, "_interval", ts, end, cols), overlapping, by, ts, start, end, cols
-    )
-
-
-def take_interval(df: DataFrame, name: str, ts: str, end: str, cols: Sequence[str]) -> DataFrame:
-    """Columns of the looked-up interval where it still runs at `ts`."""
-    running = F.col(ts) < F.col(f"{name}.{end}")
-    return df.withColumns({c: F.when(running, F.col(f"{name}.{c}")) for c in cols}).drop(name)
+    """Left join of points to all intervals `[start, end)` of their key that contain them."""
+    aligned = latest_values(points, by, ts, [interval_lookup("_interval", intervals, start, end, cols)])
+    return finish_interval_join(aligned, "_interval", intervals, by, ts, start, end, cols)
 
 
 def to_intervals(

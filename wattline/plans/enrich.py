@@ -51,33 +51,27 @@ def enriched_by_hour(samples: DataFrame, states: DataFrame, cycles: DataFrame) -
     Meter lag, state and cycle come from one common sort, and hourly sums of
     the result need no further shuffle.
     """
-    alone, overlapping = temporal.split_overlapping(
-        cycles.select("cycle_id", "machine_id", "cycle_start_ts", "cycle_end_ts"),
-        BY,
-        "cycle_start_ts",
-        "cycle_end_ts",
-    )
-    out = temporal.latest_values(
+    aligned = temporal.latest_values(
         samples,
         BY,
         "ts",
         lookups=[
             Lookup("_state", states, "ts", STATE_COLUMNS),
-            Lookup("_cycle", alone, "cycle_start_ts", ["cycle_end_ts", "cycle_id"]),
+            temporal.interval_lookup("_cycle", cycles, "cycle_start_ts", "cycle_end_ts", ["cycle_id"]),
         ],
         previous=("_prev", ["energy_kwh_cumulative"]),
     )
-    out = temporal.take_interval(out, "_cycle", "ts", "cycle_end_ts", ["cycle_id"]).select(
+    out = aligned.select(
         BLOCK,
         "ts",
         "machine_id",
         "power_kw",
         _delta("_prev.energy_kwh_cumulative").alias("delta_energy_kwh"),
         *[F.col(f"_state.{c}").alias(c) for c in STATE_COLUMNS],
-        "cycle_id",
+        "_cycle",
     )
-    return temporal.match_overlapping(
-        out, overlapping, BY, "ts", "cycle_start_ts", "cycle_end_ts", ["cycle_id"]
+    return temporal.finish_interval_join(
+        out, "_cycle", cycles, BY, "ts", "cycle_start_ts", "cycle_end_ts", ["cycle_id"]
     )
 
 

@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from wattline.functions import constants as k
 from wattline.functions.timeline import seconds_later
 from wattline.operators.temporal import to_intervals
+from wattline.session import cut_lineage, pin_utc
 
-WINDOW = ("2024-01-01 00:00:00", "2024-01-31 00:00:00")
+WINDOW = ("2024-01-01 00:00:00", "2024-02-01 00:00:00")
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -145,39 +146,36 @@ def input_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def raw_feed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The same tables with defects: types too wide, bad signs, gaps, repeats, overlaps."""
+    """The same tables with defects: values too wide, bad signs, gaps, repeats, overlaps."""
     number = F.regexp_extract("cycle_id", "C([0-9]+)", 1).cast("long")
     own_end = seconds_later(F.col("cycle_start_ts"), F.col("actual_cycle_time_sec"))
     cycles = _cycle_starts(spark, sf_dir).select(
-        F.when(number % 101 == 0, F.lit("C101")).otherwise(F.col("cycle_id")).alias("cycle_id"),
+        F.when(number % 101 == 0, "C101").otherwise(F.col("cycle_id")).alias("cycle_id"),
         F.when(number % 89 != 0, F.col("machine_id")).alias("machine_id"),
         "operation_id",
         "cycle_start_ts",
         F.when(number % 53 == 0, F.col("cycle_start_ts")).otherwise(own_end).alias("cycle_end_ts"),
-        (F.col("actual_cycle_time_sec") - 1837).cast("decimal(10,3)").alias("actual_cycle_time_sec"),
+        ((F.col("actual_cycle_time_sec") - 1837) * 2000).cast("decimal(14,3)").alias("actual_cycle_time_sec"),
         F.when(number % 37 == 0, "rework").otherwise(F.col("part_result")).alias("part_result"),
         "scrap_reason",
     )
-    samples = energy_measurement(spark, sf_dir).select(
-        "ts",
-        "machine_id",
-        (F.col("power_kw") - 5).cast("decimal(14,3)").alias("power_kw"),
-        (F.col("energy_kwh_cumulative") * 100000).cast("decimal(20,5)").alias("energy_kwh_cumulative"),
-        F.when(F.col("power_kw") < 1, F.lit(0))
-        .otherwise(F.col("sample_interval_sec"))
-        .cast("decimal(12,3)")
-        .alias("sample_interval_sec"),
+    samples = energy_measurement(spark, sf_dir).withColumns(
+        {
+            "power_kw": (F.col("power_kw") - 5).cast("decimal(10,3)"),
+            "sample_interval_sec": F.when(F.col("power_kw") < 1, F.lit(0).cast("decimal(10,3)")).otherwise(
+                F.col("sample_interval_sec")
+            ),
+        }
     )
+    run_unplanned = (F.col("detailed_state_code") == "RUN") & F.col("is_planned_stop").isNull()
     states = machine_state_event(spark, sf_dir).withColumns(
         {
-            "detailed_state_code": F.when(
-                (F.col("detailed_state_code") == "RUN") & F.col("is_planned_stop").isNull(), "WARMUP"
-            ).otherwise(F.col("detailed_state_code")),
-            "state_tag": F.when(F.col("idle_reason").isNull() | F.col("is_planned_stop").isNotNull(), F.col("state_tag")),
+            "detailed_state_code": F.when(run_unplanned, "WARMUP").otherwise(F.col("detailed_state_code")),
+            "state_tag": F.when(~run_unplanned, F.col("state_tag")),
         }
     )
     operations = operation(spark, sf_dir).withColumn(
-        "ideal_cycle_time_sec", (F.col("ideal_cycle_time_sec") - 1700).cast("decimal(10,2)")
+        "ideal_cycle_time_sec", ((F.col("ideal_cycle_time_sec") - 1700) * 100000).cast("decimal(14,2)")
     )
     return {
         "machine": machine(spark, sf_dir),
@@ -187,3 +185,23 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "cycle_event": cycles,
         "energy_measurement": samples,
     }
+
+
+_STORED: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, kind: str, build) -> dict[str, DataFrame]:
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _STORED:
+        tables = build(pin_utc(spark), sf_dir)
+        _STORED[key] = {name: cut_lineage(df, name) for name, df in tables.items()}
+    return _STORED[key]
+
+
+def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """`input_tables` written once per application and read from there, as a loaded database would be."""
+    return _stored(spark, sf_dir, "clean", input_tables)
+
+
+def stored_raw_feed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return _stored(spark, sf_dir, "raw", raw_feed)

@@ -302,7 +302,7 @@ def with_parts(sql: str) -> str:
     visit(sql)
     if not needed:
         return sql
-    return "WITH " + ",\n".join(f"{name} AS ({PARTS[name].strip()})" for name in needed) + "\n" + sql
+    return "WITH " + ",\n".join(f"{name} AS MATERIALIZED ({PARTS[name].strip()})" for name in needed) + "\n" + sql
 
 
 QUERIES: dict[str, str] = {}
@@ -603,5 +603,33 @@ FROM detailed WHERE bucket_start {_RANGE} GROUP BY 1 ORDER BY 2 DESC""",
 )
 
 
+QUERIES.update(
+    scan_seed_csv="SELECT cycle_id, machine_id, operation_id, cycle_start_ts, cycle_end_ts, "
+    "CAST(actual_cycle_time_sec AS DOUBLE) AS actual_cycle_time_sec, part_result, scrap_reason FROM cycle_event",
+    project_seed_columns="SELECT ts, machine_id, CAST(power_kw AS DOUBLE) AS power_kw, "
+    "CAST(energy_kwh_cumulative AS DOUBLE) AS energy_kwh_cumulative, "
+    "CAST(sample_interval_sec AS DOUBLE) AS sample_interval_sec FROM energy_measurement",
+    parse_bool="SELECT event_id, event_type <> 'error' AND event_id % 10 < 5 AS parsed FROM events",
+    normalize_nulls="SELECT event_id, CASE WHEN event_type IN ('purchase', 'signup') "
+    "THEN CAST(CAST(value AS DECIMAL(10,3)) AS DOUBLE) END AS value FROM events",
+    scan_regression_base="SELECT * FROM base_view ORDER BY bucket_start, machine_id",
+    scan_regression_csv="SELECT * FROM input4h",
+    export_csv="SELECT bucket_start, machine_id, total_parts, energy_total_kwh, oee FROM base_view",
+    export_run_metadata="SELECT 4 AS aggregation_hours, 2 AS min_good_parts_for_regression, "
+    "'system_energy_per_good_part_kwh' AS primary_target, 'cycle_energy_per_good_part_kwh' AS secondary_target, "
+    "(SELECT count(*) FROM base_view) AS raw_rows, (SELECT count(*) FROM input4h) AS aggregated_rows_after_filtering",
+    full_refresh_load=" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
+        for t in ("machine", "operation", "state_mapping", "machine_state_event", "cycle_event", "energy_measurement")
+    )
+    + " UNION ALL SELECT 'energy_enriched', 0 UNION ALL SELECT 'cycle_energy_summary', 0",
+    rebuild_enriched=f"SELECT {_SUMMARY_DOUBLES} FROM cycle_energy_summary",
+    stream_state_energy_hourly="SELECT * FROM seh",
+    stream_detailed_state_hourly="SELECT * FROM detailed",
+)
+
+
 def oracle_sql() -> dict[str, str]:
+    from wattline import oracles_models  # noqa: F401  registers the regression SQL
+
     return {name: with_parts(sql) for name, sql in QUERIES.items()}

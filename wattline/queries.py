@@ -12,10 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattline import schemas
+from wattline.functions import constants as k
 from wattline.operators import quality
-from wattline.plans import enrich, kpi, panels
-from wattline.session import pin_utc
-from wattline.sources import derived
+from wattline.operators import regression as reg
+from wattline.plans import enrich, kpi, panels, report
+from wattline.plans.regression import RegressionRun, run_targets
+from wattline.session import cut_lineage, pin_utc, scratch_path
+from wattline.sources import derived, readers, seed_csv, sinks
+from wattline.streaming import hourly
 
 Query = Callable[[SparkSession, str], DataFrame]
 LO, HI = derived.WINDOW
@@ -25,7 +30,7 @@ def plain(df: DataFrame) -> DataFrame:
     """Decimals as DOUBLE, so that both engines compare the same types."""
     return df.select(
         *[
-            F.col(f"`{f.name}`").cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f"`{f.name}`")
+            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
             for f in df.schema.fields
         ]
     )
@@ -203,5 +208,323 @@ QUALITY: dict[str, Query] = {
 }
 
 
+# --- regression and report ------------------------------------------------------
+#
+# The stages hand stored tables to each other: the 4-hour input is written once
+# per application, and so are the fits of the pooled and of the per-machine run.
+
+_STAGES: dict[tuple, object] = {}
+
+
+def _stage(spark: SparkSession, sf_dir: str, name: str, build):
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STAGES:
+        _STAGES[key] = build()
+    return _STAGES[key]
+
+
+def _input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stage(
+        spark, sf_dir, "input", lambda: cut_lineage(Plant(spark, sf_dir).regression_input, "regression_input")
+    )
+
+
+def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stage(spark, sf_dir, "rows", lambda: reg.prepare(reg.model_rows(_input(spark, sf_dir))))
+
+
+def _pooled(spark: SparkSession, sf_dir: str) -> RegressionRun:
+    return _stage(spark, sf_dir, "pooled", lambda: run_targets(_input(spark, sf_dir)))
+
+
+def _each(spark: SparkSession, sf_dir: str) -> RegressionRun:
+    return _stage(
+        spark, sf_dir, "each", lambda: run_targets(_input(spark, sf_dir), by=["machine_id"], strict=False)
+    )
+
+
+EACH = ("target", "machine_id")
+
+
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    return df.select(
+        *[F.round(c, digits).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes]
+    )
+
+
+def _with(run: Callable[[SparkSession, str], object], view: Callable[..., DataFrame]) -> Query:
+    return lambda spark, sf_dir: rounded(view(run(pin_utc(spark), sf_dir)))
+
+
+def _documents(run: RegressionRun) -> DataFrame:
+    return report.model_documents(run.metrics, run.coefficients, run.sensitivity, run.by)
+
+
+def _dashboard(run: RegressionRun) -> DataFrame:
+    return report.dashboard_rows(_documents(run), run.by)
+
+
+def _effect_names(run: RegressionRun) -> DataFrame:
+    split = report.effects_split(_documents(run), run.by)
+    return split.withColumns(
+        {
+            c: F.transform(c, lambda r: r["feature"])
+            for c in ("significant_effects", "non_significant_effects")
+        }
+    )
+
+
+def _glm_parameters(rows: DataFrame) -> DataFrame:
+    fit = reg.fit_gamma_glm(rows)
+    scale = fit.usable.select("target", "scale")
+    return reg.parameters(fit).join(scale, "target").drop("model_type", "p_value")
+
+
+def _flagged(run: RegressionRun) -> DataFrame:
+    return report.significant_coefficients(run.coefficients)
+
+
+MODELS: dict[str, Query] = {
+    "model_dataset": lambda spark, sf_dir: _rows(pin_utc(spark), sf_dir).drop("_salt"),
+    "fit_log_ols": _with(_rows, lambda r: reg.parameters(reg.fit_log_ols(r)).drop("model_type", "p_value")),
+    "fit_gamma_glm": _with(_rows, _glm_parameters),
+    "run_targets": _with(_input, lambda i: run_targets(i).gamma_glm.frame.select("target", "n_obs", "status")),
+    "coefficients": _with(_pooled, lambda r: r.coefficients),
+    "coefficients_by_machine": _with(_each, lambda r: r.coefficients),
+    "sensitivity": _with(_pooled, lambda r: r.sensitivity),
+    "sensitivity_rank": _with(_each, lambda r: r.sensitivity),
+    "model_metrics": _with(_pooled, lambda r: r.metrics),
+    "stack_models": _with(_each, lambda r: r.metrics),
+    "vif": _with(_rows, reg.vif),
+    "breusch_pagan": _with(_pooled, lambda r: r.breusch_pagan),
+    "correlation_matrix": _with(_rows, reg.correlation_matrix),
+    "univariate_gamma_glm": _with(_rows, reg.univariate_gamma_glm),
+    "univariate_order": _with(_rows, lambda r: reg.univariate_order(reg.univariate_gamma_glm(r))),
+}
+
+REPORT: dict[str, Query] = {
+    "select_model_metrics": _with(
+        _each, lambda r: report.select_model_metrics(r.metrics, k.PRIMARY_TARGET, k.GAMMA_GLM)
+    ),
+    "significant_coefficients": _with(_each, _flagged),
+    "rank_significance": _with(_each, lambda r: report.rank_significance(_flagged(r), r.by)),
+    "sensitivity_rows": _with(_each, lambda r: report.sensitivity_rows(r.sensitivity)),
+    "univariate_rows": _with(_rows, lambda r: report.univariate_rows(reg.univariate_gamma_glm(r))),
+    "vif_rows": _with(_rows, lambda r: report.vif_rows(reg.vif(r))),
+    "top_sensitivity": _with(
+        _each, lambda r: report.top_sensitivity(report.sensitivity_rows(r.sensitivity), r.by)
+    ),
+    "effects_split": _with(_each, _effect_names),
+    "regression_summary": lambda spark, sf_dir: _summary_documents(pin_utc(spark), sf_dir),
+    "model_explanation": _with(_each, lambda r: _dashboard(r).select("machine_id", "model_scope", "explanation")),
+    "sensitivity_message": _with(
+        _each, lambda r: _dashboard(r).select("machine_id", "model_scope", "sensitivity_message")
+    ),
+    "technical_note": _with(_each, lambda r: _dashboard(r).select("machine_id", "model_scope", "technical_note")),
+    "dashboard_rows": _with(_pooled, _dashboard),
+    "dashboard_rows_by_machine": _with(_each, _dashboard),
+    "panel_explanations": _with(_pooled, lambda r: panels.explanations(_dashboard(r))),
+    "panel_sensitivities": _with(_pooled, lambda r: panels.sensitivities(_dashboard(r))),
+    "dq_check_model_scope": _with(
+        _each,
+        lambda r: quality.check_model_scope(
+            _dashboard(r).withColumn("model_scope", F.concat_ws(":", "machine_id", "model_scope"))
+        ),
+    ),
+}
+
+
+def _summary_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = _each(spark, sf_dir)
+    documents = report.regression_summary(_documents(run), run.univariate, run.vif, run.by)
+    return documents.select(*run.by, F.to_json(F.struct(*documents.columns)).alias("document"))
+
+
+# --- files -----------------------------------------------------------------------
+
+
+def _scan_seed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cycles written as CSV by Spark and read back."""
+    directory = scratch_path(spark, "seeds")
+    sinks.export_csv(Plant(spark, sf_dir).cycles, f"{directory}/cycle_event.csv")
+    return plain(seed_csv.read_seed_table(spark, directory, "cycle_event"))
+
+
+def _project_seed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples with foreign columns in another order, reduced to the declared ones."""
+    directory = scratch_path(spark, "seeds")
+    samples = Plant(spark, sf_dir).samples
+    names = list(reversed(samples.columns))
+    wide = samples.select(F.lit("x").alias("comment"), *names, F.lit(1).alias("row_version"))
+    sinks.export_csv(wide, f"{directory}/energy_measurement.csv")
+    return plain(seed_csv.read_seed_table(spark, directory, "energy_measurement"))
+
+
+def _parse_bool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planned stops in every accepted spelling."""
+    rows = derived.load(pin_utc(spark), sf_dir, "events").select("event_id", "event_type")
+    words = F.array(*[F.lit(w) for w in ["true", " True ", "1", "yes", "Y", "false", "FALSE", "0", "no", " n"]])
+    text = F.when(F.col("event_type") != "error", F.get(words, F.col("event_id") % 10))
+    return rows.select("event_id", seed_csv.parse_bool(text).alias("parsed"))
+
+
+def _normalize_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text values of which some mean missing."""
+    rows = derived.load(pin_utc(spark), sf_dir, "events")
+    text = (
+        F.when(F.col("event_type") == "view", "NaN")
+        .when(F.col("event_type") == "click", "")
+        .when(F.col("event_type") == "error", "n/a")
+        .otherwise(F.col("value").cast("string"))
+    )
+    raw = rows.select(F.col("event_id").cast("string").alias("event_id"), text.alias("value"))
+    declared = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.DecimalType(10, 3))])
+    return plain(seed_csv.normalize_nulls(raw, declared))
+
+
+def _scan_regression_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "regression_base_hourly")
+    sinks.write_by_date(Plant(spark, sf_dir).base, path, "bucket_start")
+    return readers.scan_regression_base(spark, path)
+
+
+def _exported_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "regression_input.csv")
+    sinks.export_csv(_input(pin_utc(spark), sf_dir), path)
+    return readers.scan_regression_csv(spark, path)
+
+
+def _exported_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "regression_base_hourly.csv")
+    sinks.export_csv(Plant(spark, sf_dir).base, path)
+    text = spark.read.option("header", True).csv(path)
+    return text.select(
+        F.col("bucket_start").cast("timestamp").cast("timestamp_ntz").alias("bucket_start"),
+        "machine_id",
+        F.col("total_parts").cast("bigint").alias("total_parts"),
+        F.col("energy_total_kwh").cast("double").alias("energy_total_kwh"),
+        F.col("oee").cast("double").alias("oee"),
+    )
+
+
+def _scan_summary_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = _each(pin_utc(spark), sf_dir)
+    documents = report.regression_summary(_documents(run), run.univariate, run.vif, run.by)
+    path = scratch_path(spark, "summary.json")
+    documents.write.json(path)
+    back = readers.scan_summary_json(spark, path, documents.schema)
+    return rounded(
+        back.select(
+            *run.by,
+            "model_type",
+            "metrics.n_obs",
+            "metrics.pseudo_r2",
+            F.size("significant_coefficients").alias("coefficients"),
+            F.size("sensitivity").alias("sensitivities"),
+            F.size("univariate_gamma_glm").alias("univariate_models"),
+            F.size("vif").alias("vifs"),
+        )
+    )
+
+
+def _counts(spark: SparkSession, directory: str, tables: list[str]) -> DataFrame:
+    frames = [
+        readers.read_table(spark, directory, t)
+        .agg(F.count("*").alias("row_count"))
+        .select(F.lit(t).alias("table_name"), "row_count")
+        for t in tables
+    ]
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
+def _full_refresh_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refresh over an older load: base tables are new, derived tables are emptied."""
+    out_dir = scratch_path(spark, "plant")
+    plant = Plant(spark, sf_dir)
+    sinks.full_refresh(spark, plant.tables, out_dir, quality.primary_keys)
+    return _counts(spark, out_dir, [*schemas.BASE_TABLES, *schemas.DERIVED_TABLES])
+
+
+def _rebuild_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out_dir = scratch_path(spark, "plant")
+    sinks.rebuild_enriched(spark, Plant(spark, sf_dir).tables, out_dir)
+    summary = readers.read_table(spark, out_dir, "cycle_energy_summary")
+    return plain(summary.select(*schemas.CYCLE_ENERGY_SUMMARY.names))
+
+
+def _export_run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "metadata.json")
+    frame = sinks.input_metadata(Plant(spark, sf_dir).base, _input(spark, sf_dir))
+    sinks.export_run_metadata(frame, path)
+    return spark.read.schema(frame.schema).json(path)
+
+
+def _export_model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per exported table, read back from the files."""
+    out_dir = scratch_path(spark, "models")
+    names = sinks.export_model_outputs(_pooled(pin_utc(spark), sf_dir), out_dir)
+    frames = [
+        spark.read.option("header", True)
+        .csv(f"{out_dir}/{n}")
+        .agg(F.count("*").alias("row_count"))
+        .select(F.lit(n).alias("table_name"), "row_count")
+        for n in names
+    ]
+    return reg.stack_models(frames)
+
+
+def _upsert_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First rows of an older run, then the merge that replaces one and adds the other."""
+    path = scratch_path(spark, "regression_dashboard_summary")
+    rows = _dashboard(_pooled(pin_utc(spark), sf_dir))
+    sinks.create_dashboard(spark, path)
+    older = rows.filter(F.col("model_scope") == "primary").withColumn("headline", F.lit("old"))
+    sinks.upsert_dashboard(spark, path, older)
+    return rounded(sinks.upsert_dashboard(spark, path, rows).drop("updated_at"))
+
+
+FILES: dict[str, Query] = {
+    "scan_seed_csv": _scan_seed_csv,
+    "project_seed_columns": _project_seed_columns,
+    "parse_bool": _parse_bool,
+    "normalize_nulls": _normalize_nulls,
+    "scan_regression_base": _scan_regression_base,
+    "scan_regression_csv": _exported_input,
+    "scan_summary_json": _scan_summary_json,
+    "full_refresh_load": _full_refresh_load,
+    "rebuild_enriched": _rebuild_enriched,
+    "export_csv": _exported_base,
+    "export_run_metadata": _export_run_metadata,
+    "export_model_outputs": _export_model_outputs,
+    "upsert_dashboard": _upsert_dashboard,
+}
+
+
+# --- streams ---------------------------------------------------------------------
+
+
+def _streamed(build, keys: list[str]) -> Query:
+    """The enriched table arrives as a stream of files; all updates are merged to the latest rows."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        arrivals = scratch_path(spark, "arrivals")
+        Plant(spark, sf_dir).enriched.write.parquet(arrivals)
+        log = scratch_path(spark, "updates")
+        result = build(hourly.enriched_stream(spark, arrivals), "31 days")
+        hourly.start_updates(result, log, scratch_path(spark, "stream_checkpoint")).awaitTermination()
+        return plain(hourly.latest(spark, log, keys))
+
+    return run
+
+
+STREAMS: dict[str, Query] = {
+    "stream_state_energy_hourly": _streamed(hourly.state_energy_hourly, hourly.HOURLY_KEYS),
+    "stream_detailed_state_hourly": _streamed(hourly.detailed_state_hourly, hourly.DETAILED_KEYS),
+}
+
+
 def queries() -> dict[str, Query]:
-    return {**ALIGNMENT, **HOURLY, **PANELS, **QUALITY}
+    return {**ALIGNMENT, **HOURLY, **PANELS, **QUALITY, **MODELS, **REPORT, **FILES, **STREAMS}

@@ -98,17 +98,21 @@ def _spread(results: DataFrame) -> DataFrame:
     return results.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
-def _with_results(rows: DataFrame, results: DataFrame, by: Sequence[str]) -> DataFrame:
-    return rows.join(_spread(results), [*by, _SALT])
+def _scored(rows: DataFrame, guess: DataFrame, features: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Rows with their standardised features `_u…` and linear predictor `_eta` under the group's guess."""
+    scaled = {
+        f"_u{i}": (F.col(f) - F.col("center")[i]) / F.col("spread")[i] for i, f in enumerate(features)
+    }
+    joined = rows.join(_spread(guess), [*by, _SALT]).withColumns(scaled)
+    return joined.withColumn("_eta", _dot("beta", _terms(features)))
 
 
 # --- sums and small algebra ------------------------------------------------------
 
 
 def _terms(features: Sequence[str]) -> list[Column]:
-    """Constant and standardised features; `center` and `spread` come with the group's results."""
-    scaled = [(F.col(f) - F.col("center")[i]) / F.col("spread")[i] for i, f in enumerate(features)]
-    return [F.lit(1.0), *scaled]
+    """Constant and standardised features."""
+    return [F.lit(1.0), *[F.col(f"_u{i}") for i in range(len(features))]]
 
 
 def _triangle(terms: Sequence[Column], weight: Column | None = None) -> Column:
@@ -210,6 +214,7 @@ def _inference(row: dict, beta: Sequence[float], cov: np.ndarray) -> dict:
     return {"params": params.tolist(), "std_err": error.tolist(), "p_values": tails}
 
 
+_NEWTON_RADIUS = 0.5
 _GUESS = ["inverse", "center", "spread", "beta"]
 
 
@@ -228,12 +233,11 @@ def _finish_log_ols(rows: DataFrame, start: DataFrame, features: Sequence[str],
     for i in range(size):
         for j in range(size):
             leverage = leverage + F.col("inverse")[i * size + j] * terms[i] * terms[j]
-    residual = F.log(Y) - _dot("beta", terms)
     squared = F.col("_e") * F.col("_e")
     shrunk = 1 - F.col("_h")
     sums = (
-        _with_results(rows, start.filter("status = 'ok'").select(*by, *_GUESS), by)
-        .withColumns({"_e": residual, "_h": leverage})
+        _scored(rows, start.filter("status = 'ok'").select(*by, *_GUESS), features, by)
+        .withColumns({"_e": F.log(Y) - F.col("_eta"), "_h": leverage})
         .groupBy(*by)
         .agg(
             _triangle(terms, squared / (shrunk * shrunk)).alias("meat"),
@@ -289,7 +293,7 @@ def fit_gamma_glm(
     rows: DataFrame,
     features: Sequence[str] = k.FEATURES,
     by: Sequence[str] = ("target",),
-    tol: float = 1e-12,
+    tol: float = 1e-9,
     max_iter: int = 100,
 ) -> Fit:
     """Gamma regression with log link by iteratively re-weighted least squares."""
@@ -301,41 +305,52 @@ def _finish_gamma_glm(
     start: DataFrame,
     features: Sequence[str],
     by: Sequence[str],
-    tol: float = 1e-12,
+    tol: float = 1e-9,
     max_iter: int = 100,
 ) -> Fit:
-    """With Gamma and log link all working weights are 1, so the inverse of the
-    first pass serves every step: a step is one aggregate of x * z and a product
-    with that inverse. The fit of ln y is the first guess. Each step's
-    coefficients (one row per group) are written, which cuts the lineage."""
+    """Fisher scoring far from the solution, Newton steps near it.
+
+    With Gamma and log link the working weights of Fisher scoring are 1, so its
+    step is a product with the inverse of the first pass. The observed
+    information needs the cross products weighted by y / mu; with them the last
+    steps converge quadratically, which saves passes over the rows. The fit of
+    ln y is the first guess. Each step's coefficients (one row per group) are
+    written, which cuts the lineage.
+    """
     terms, size = _terms(features), len(features) + 1
     by = list(by)
     guess = start.filter("status = 'ok'").select(*by, *_GUESS)
     eta, mu = F.col("_eta"), F.exp("_eta")
-    working = eta + F.col(Y) / mu - 1
-    solved = F.array(*[_dot("xz", [F.col("inverse")[i * size + j] for j in range(size)]) for i in range(size)])
-    moves = [F.abs(F.col("solved")[i] - F.col("beta")[i]) / (1 + F.abs(F.col("solved")[i])) for i in range(size)]
+    ratio = F.col("_ratio")
+
+    def improve(row):
+        slope = np.asarray(row["slope"])
+        fisher = np.asarray(row["inverse"]).reshape(size, size) @ slope
+        information = _matrix(row["information"], size)
+        move = np.linalg.pinv(information, rcond=_RANK_CUT, hermitian=True) @ slope
+        if not np.abs(move).max() < _NEWTON_RADIUS:
+            move = fisher
+        beta = np.asarray(row["beta"]) + move
+        kept = {c: row[c] for c in ("inverse", "center", "spread")}
+        return {**kept, "beta": beta.tolist(), "moved": float((np.abs(move) / (1.0 + np.abs(beta))).max())}
+
     for _ in range(max_iter):
-        step = (
-            _with_results(rows, guess, by)
-            .withColumn("_eta", _dot("beta", terms))
+        sums = (
+            _scored(rows, guess, features, by)
+            .withColumn("_ratio", F.col(Y) / mu)
             .groupBy(*by)
-            .agg(_sums(terms, working).alias("xz"))
-            .join(guess, by)
-            .withColumn("solved", solved)
-            .withColumn("moved", F.greatest(F.lit(0.0), *moves))
-            .select(*by, "inverse", "center", "spread", F.col("solved").alias("beta"), "moved")
+            .agg(_sums(terms, ratio - 1).alias("slope"), _triangle(terms, ratio).alias("information"))
         )
-        step = cut_lineage(step, "irls")
+        vectors = ", ".join(f"{c} array<double>" for c in _GUESS)
+        step = cut_lineage(_per_group(sums.join(guess, by), by, improve, f"{vectors}, moved double"), "irls")
         guess = step.drop("moved")
         moved = step.agg(F.max("moved")).first()[0]
         if moved is None or moved < tol:
             break
 
-    ratio = F.col(Y) / mu
     sums = (
-        _with_results(rows, guess, by)
-        .withColumn("_eta", _dot("beta", terms))
+        _scored(rows, guess, features, by)
+        .withColumn("_ratio", F.col(Y) / mu)
         .groupBy(*by)
         .agg(
             F.sum(F.log(Y) - eta).alias("sum_log_ratio"),

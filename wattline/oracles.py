@@ -501,6 +501,11 @@ QUERIES.update(
     "UNION ALL SELECT 'cycle_energy_summary', count(*) FROM cycle_energy_summary",
     state_energy_summary_hourly="SELECT * FROM seh",
     detailed_state_energy_summary_hourly="SELECT * FROM detailed",
+    energy_cube="SELECT time_bucket(INTERVAL 1 HOUR, ts) AS bucket_start, machine_id, detailed_state_code, state_tag, "
+    "cycle_id, CAST(sum(delta_energy_kwh) AS DOUBLE) AS delta_energy_kwh, count(*) AS sample_count, "
+    "count(power_kw) AS power_count, CAST(sum(power_kw) AS DOUBLE) AS power_sum, "
+    "CAST(min(power_kw) AS DOUBLE) AS power_min, CAST(max(power_kw) AS DOUBLE) AS power_max "
+    "FROM energy_enriched GROUP BY 1, 2, 3, 4, 5",
     all_machines="SELECT machine_id FROM machines",
     machine_time_bounds="SELECT * FROM bounds",
     bounds_join="SELECT s.machine_id, s.ts, s.detailed_state_code, b.max_bound_ts "

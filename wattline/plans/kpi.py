@@ -51,6 +51,30 @@ def _energy_ratios() -> dict[str, Column]:
     }
 
 
+def energy_cube(enriched: DataFrame) -> DataFrame:
+    """Samples summed per hour, machine, state and cycle: the one pass that all figures share.
+
+    On aligned samples the sums need no shuffle, since (machine, hour) already
+    partitions them. The cube has a row per state and cycle of an hour instead
+    of one per sample, and its `delta_energy_kwh` adds up like that of the
+    samples. Store it before using it more than once: every consumer reads
+    other columns, so Spark would not share the alignment between them.
+    """
+    power = F.col("power_kw")
+    return (
+        _hourly(enriched)
+        .groupBy(*SPINE, "detailed_state_code", "state_tag", "cycle_id")
+        .agg(
+            F.sum("delta_energy_kwh").alias("delta_energy_kwh"),
+            F.count("*").alias("sample_count"),
+            F.count(power).alias("power_count"),
+            F.sum(power).alias("power_sum"),
+            F.min(power).alias("power_min"),
+            F.max(power).alias("power_max"),
+        )
+    )
+
+
 def state_energy_summary_hourly(enriched: DataFrame) -> DataFrame:
     """Energy per machine and hour, in total and by state tag."""
     sums = _hourly(enriched).groupBy(*SPINE).agg(*_energy_sums())
@@ -60,16 +84,37 @@ def state_energy_summary_hourly(enriched: DataFrame) -> DataFrame:
 def detailed_state_energy_summary_hourly(enriched: DataFrame) -> DataFrame:
     """Samples, energy and power per machine, hour and state; samples without state form their own group."""
     power = F.col("power_kw")
-    return (
-        _hourly(enriched)
-        .groupBy(*SPINE, "detailed_state_code", "state_tag")
-        .agg(
-            F.count("*").alias("sample_count"),
-            total(F.col("delta_energy_kwh")).cast("double").alias("energy_kwh"),
-            safe_ratio(F.sum(power), F.count(power)).alias("avg_power_kw"),
-            F.coalesce(F.min(power).cast("double"), F.lit(0.0)).alias("min_power_kw"),
-            F.coalesce(F.max(power).cast("double"), F.lit(0.0)).alias("max_power_kw"),
-        )
+    return _detailed(
+        _hourly(enriched),
+        F.count("*"),
+        F.sum(power),
+        F.count(power),
+        F.min(power),
+        F.max(power),
+    )
+
+
+def detailed_from_cube(cube: DataFrame) -> DataFrame:
+    """The same view from the cube."""
+    return _detailed(
+        cube,
+        F.sum("sample_count"),
+        F.sum("power_sum"),
+        F.sum("power_count"),
+        F.min("power_min"),
+        F.max("power_max"),
+    )
+
+
+def _detailed(
+    rows: DataFrame, samples: Column, power_sum: Column, power_count: Column, smallest: Column, largest: Column
+) -> DataFrame:
+    return rows.groupBy(*SPINE, "detailed_state_code", "state_tag").agg(
+        samples.alias("sample_count"),
+        total(F.col("delta_energy_kwh")).cast("double").alias("energy_kwh"),
+        safe_ratio(power_sum, power_count).alias("avg_power_kw"),
+        F.coalesce(smallest.cast("double"), F.lit(0.0)).alias("min_power_kw"),
+        F.coalesce(largest.cast("double"), F.lit(0.0)).alias("max_power_kw"),
     )
 
 

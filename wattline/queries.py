@@ -7,6 +7,7 @@ test tables) and runs its whole plan from there.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,7 +49,7 @@ class Plant:
         self.cycles = tables["cycle_event"]
         self.samples = tables["energy_measurement"]
 
-    @property
+    @cached_property
     def by_hour(self) -> DataFrame:
         return enrich.enriched_by_hour(self.samples, self.states, self.cycles)
 
@@ -56,19 +57,24 @@ class Plant:
     def enriched(self) -> DataFrame:
         return enrich.energy_enriched(self.samples, self.states, self.cycles)
 
+    @cached_property
+    def cube(self) -> DataFrame:
+        """Written when first used: queries that need several views read the samples once."""
+        return cut_lineage(kpi.energy_cube(self.by_hour), "energy_cube")
+
     @property
     def summary(self) -> DataFrame:
-        return enrich.cycle_energy_summary(self.cycles, self.by_hour)
+        return enrich.cycle_energy_summary(self.cycles, self.cube)
 
     @property
     def energy_hourly(self) -> DataFrame:
-        return kpi.state_energy_summary_hourly(self.by_hour)
+        return kpi.state_energy_summary_hourly(self.cube)
 
     @property
     def detailed_hourly(self) -> DataFrame:
-        return kpi.detailed_state_energy_summary_hourly(self.by_hour)
+        return kpi.detailed_from_cube(self.cube)
 
-    @property
+    @cached_property
     def bounds(self) -> DataFrame:
         return kpi.machine_time_bounds(self.machine, self.samples, self.states, self.cycles)
 
@@ -106,7 +112,7 @@ class Plant:
 
     @property
     def totals(self) -> DataFrame:
-        totals = kpi.kpi_totals(self.by_hour, self.summary)
+        totals = kpi.kpi_totals(self.cube, self.summary)
         return totals.withColumn("cycle_energy_stddev_kwh", F.round("cycle_energy_stddev_kwh", 6))
 
 
@@ -145,15 +151,16 @@ ALIGNMENT: dict[str, Query] = {
     ),
     "energy_enriched": _on(lambda p: p.enriched),
     "cycle_energy_join": _on(lambda p: enrich.cycle_energy_join(p.cycles, p.by_hour)),
-    "cycle_energy_summary": _on(lambda p: p.summary),
+    "cycle_energy_summary": _on(lambda p: enrich.cycle_energy_summary(p.cycles, p.by_hour)),
     "preview_enriched": _on(lambda p: enrich.preview_enriched(p.enriched)),
-    "preview_cycles": _on(lambda p: enrich.preview_cycles(p.summary)),
-    "row_counts": _on(lambda p: enrich.row_counts(p.enriched, p.summary)),
+    "preview_cycles": _on(lambda p: enrich.preview_cycles(enrich.cycle_energy_summary(p.cycles, p.by_hour))),
+    "row_counts": _on(lambda p: enrich.row_counts(p.enriched, enrich.cycle_energy_summary(p.cycles, p.by_hour))),
 }
 
 HOURLY: dict[str, Query] = {
-    "state_energy_summary_hourly": _on(lambda p: p.energy_hourly),
-    "detailed_state_energy_summary_hourly": _on(lambda p: p.detailed_hourly),
+    "state_energy_summary_hourly": _on(lambda p: kpi.state_energy_summary_hourly(p.by_hour)),
+    "detailed_state_energy_summary_hourly": _on(lambda p: kpi.detailed_state_energy_summary_hourly(p.by_hour)),
+    "energy_cube": _on(lambda p: kpi.energy_cube(p.by_hour)),
     "all_machines": _on(lambda p: kpi.all_machines(p.machine, p.samples, p.states, p.cycles)),
     "machine_time_bounds": _on(lambda p: p.bounds),
     "bounds_join": _on(lambda p: kpi.bounds_join(p.states, p.bounds)),
@@ -173,7 +180,7 @@ HOURLY: dict[str, Query] = {
         lambda p: kpi.target_profile(p.regression_input).withColumn("mean_value", F.round("mean_value", 6))
     ),
     "kpi_cross_join": _on(
-        lambda p: kpi.kpi_cross_join(p.by_hour, p.summary).withColumn(
+        lambda p: kpi.kpi_cross_join(p.cube, p.summary).withColumn(
             "cycle_energy_stddev_kwh", F.round("cycle_energy_stddev_kwh", 6)
         )
     ),

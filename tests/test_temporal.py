@@ -26,12 +26,12 @@ def series(seed: int, n: int, hours: float, keys: int, hot: bool = True):
     return sorted(seen)
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_previous_row_does_not_skip_nulls(spark, seed):
+@pytest.mark.parametrize("seed,block", [(1, "hour"), (2, "minute"), (3, "second")])
+def test_previous_row_does_not_skip_nulls(spark, seed, block):
     rng = random.Random(seed)
     rows = [(k, t, None if rng.random() < 0.2 else rng.randrange(100)) for k, t in series(seed, 150, 200, 4)]
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v int")
-    got = {(r.k, r.ts): r.before for r in temporal.previous_row(df, ["k"], "ts", {"v": "before"}).collect()}
+    got = {(r.k, r.ts): r.before for r in temporal.previous_row(df, ["k"], "ts", {"v": "before"}, block).collect()}
     last = {}
     for k, t, v in rows:
         assert got[(k, t)] == last.get(k)
@@ -39,14 +39,14 @@ def test_previous_row_does_not_skip_nulls(spark, seed):
     assert len(got) == len(rows)
 
 
-@pytest.mark.parametrize("seed", [4, 5, 6])
-def test_asof_join_is_inclusive_and_carries_over_hours(spark, seed):
+@pytest.mark.parametrize("seed,block", [(4, "hour"), (5, "minute"), (6, "second")])
+def test_asof_join_is_inclusive_and_carries_over_blocks(spark, seed, block):
     points, events = series(seed, 150, 90, 4), series(seed + 100, 40, 90, 5)
     left = spark.createDataFrame(points, "k string, ts timestamp_ntz")
     right = spark.createDataFrame(
         [(k, t, None if i % 7 == 0 else f"s{i}") for i, (k, t) in enumerate(events)], "k string, at timestamp_ntz, s string"
     )
-    got = {(r.k, r.ts): r.s for r in temporal.asof_join(left, right, ["k"], "ts", "at", ["s"]).collect()}
+    got = {(r.k, r.ts): r.s for r in temporal.asof_join(left, right, ["k"], "ts", "at", ["s"], block).collect()}
     labels = {e: (None if i % 7 == 0 else f"s{i}") for i, e in enumerate(events)}
     assert len(got) == len(points)
     for k, t in points:
@@ -61,8 +61,10 @@ def test_asof_ties_and_first_point(spark):
     assert got == {at(0): None, at(5): "x"}
 
 
-@pytest.mark.parametrize("seed,longest", [(7, 20), (8, 90), (9, 400), (10, 2000)])
-def test_interval_join_finds_all_overlapping_intervals(spark, seed, longest):
+@pytest.mark.parametrize(
+    "seed,longest,block", [(7, 20, "hour"), (8, 90, "minute"), (9, 400, "hour"), (10, 2000, "hour"), (11, 900, "minute")]
+)
+def test_interval_join_finds_all_overlapping_intervals(spark, seed, longest, block):
     rng = random.Random(seed)
     points = series(seed, 200, 72, 3)
     intervals = []
@@ -70,9 +72,8 @@ def test_interval_join_finds_all_overlapping_intervals(spark, seed, longest):
         intervals.append((k, t, t + timedelta(minutes=rng.choice([0, -3, 1, 5, rng.randrange(1, longest)])), f"c{i}"))
     left = spark.createDataFrame(points, "k string, ts timestamp_ntz")
     right = spark.createDataFrame(intervals, "k string, s timestamp_ntz, e timestamp_ntz, id string")
-    got = sorted(
-        (r.k, r.ts, r.id or "") for r in temporal.interval_join(left, right, ["k"], "ts", "s", "e", ["id"]).collect()
-    )
+    joined = temporal.interval_join(left, right, ["k"], "ts", "s", "e", ["id"], block)
+    got = sorted((r.k, r.ts, r.id or "") for r in joined.collect())
     wanted = []
     for k, t in points:
         inside = [i[3] for i in intervals if i[0] == k and i[1] <= t < i[2]]
@@ -91,13 +92,14 @@ def test_interval_join_half_open_border(spark):
     assert [got[p] for p in probes] == ["100", "100", "101", "101", None]
 
 
-def test_intervals_and_hour_pieces(spark):
+@pytest.mark.parametrize("block", ["hour", "minute"])
+def test_intervals_and_hour_pieces(spark, block):
     events = spark.createDataFrame(
         [("A", at(30), "x"), ("A", at(60), "y"), ("A", at(290), "z"), ("B", at(10), "x")],
         "k string, ts timestamp_ntz, s string",
     )
     bounds = spark.createDataFrame([("A", at(300)), ("B", at(10)), ("C", at(0))], "k string, until timestamp_ntz")
-    intervals = temporal.to_intervals(events, ["k"], "ts", "end", bounds, "until")
+    intervals = temporal.to_intervals(events, ["k"], "ts", "end", bounds, "until", block)
     got = {(r.k, r.ts): r.end for r in intervals.collect()}
     # y begins on the hour, runs over several hours; B's only event ends at its own start.
     assert got == {("A", at(30)): at(60), ("A", at(60)): at(290), ("A", at(290)): at(300), ("B", at(10)): at(10)}
@@ -129,6 +131,22 @@ def test_overlaps_are_found_across_hours(spark):
     assert sorted(r.cycle_id for r in both.collect()) == ["c1", "c2", "c3"]
 
 
+def test_hot_hours_get_finer_blocks(spark):
+    rows = [("A", at(0) + timedelta(seconds=i / 2)) for i in range(200)] + [("B", at(i)) for i in range(50)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz")
+    assert temporal.block_for([(df, "ts")], ["k"], rows=200) == "hour"
+    assert temporal.block_for([(df, "ts")], ["k"], rows=199) == "minute"
+    assert temporal.block_for([(df, "ts")], ["k"], rows=20) == "second"
+
+
+def test_enrichment_does_not_depend_on_the_block(plant):
+    from wattline.plans import enrich
+
+    inputs = plant.samples, plant.states, plant.cycles
+    by_hour, by_minute = enrich.energy_enriched(*inputs), enrich.energy_enriched(*inputs, "minute")
+    assert by_hour.exceptAll(by_minute).count() == 0 and by_minute.exceptAll(by_hour).count() == 0
+
+
 def test_no_window_gathers_a_whole_key(plant):
     """Windows over rows are partitioned by key and hour; those by key alone see one row per hour."""
     plan = plant.by_hour._jdf.queryExecution().optimizedPlan().toString()

@@ -13,9 +13,13 @@ def micros(ts: Column | str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp") if isinstance(ts, str) else ts.cast("timestamp"))
 
 
+def unit_start(df: DataFrame, ts: str, unit: str) -> Column:
+    """Start of the hour, minute or second of `ts`, in the type of `ts`."""
+    return F.date_trunc(unit, F.col(ts)).cast(df.schema[ts].dataType)
+
+
 def hour_start(df: DataFrame, ts: str) -> Column:
-    """Start of the hour of `ts`, in the type of `ts`."""
-    return F.date_trunc("hour", F.col(ts)).cast(df.schema[ts].dataType)
+    return unit_start(df, ts, "hour")
 
 
 def seconds_later(ts: Column, seconds: Column) -> Column:

@@ -1,11 +1,15 @@
 """Aligning time series: previous row, as-of join, interval join, interval split.
 
 No operator here puts a whole key into one task. Rows are partitioned by
-(key, hour), so a machine that holds a third of the data is spread over its
-hours. What must cross an hour border (the last counter, the last state, the
-running end of earlier intervals) is first reduced to one row per (key, hour)
-and carried forward over that small table. Its size per key is bounded by the
-calendar, not by the number of samples.
+(key, block of time), normally the hour, so a machine that holds a third of the
+data is spread over its hours. What must cross a block border (the last
+counter, the last state, the running end of earlier intervals) is first reduced
+to one row per (key, block) and carried over that small table.
+
+Should single hours of a key be too large for a task, `block_for` finds it out
+and minutes or seconds are taken instead; the results are the same. Their
+blocks are carried in two steps, within the hour and over the hours, so no
+window ever sees more than the blocks of an hour or the hours of a key.
 """
 
 from __future__ import annotations
@@ -17,9 +21,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.functions.timeline import hour_start, micros
+from wattline.functions.timeline import micros, unit_start
 
 BLOCK = "bucket_start"
+BLOCKS = ("hour", "minute", "second")
+_HOUR = "_hour_start"
 _RANK = "_rank"
 _CARRY, _LOOKUP, _POINT = 0, 1, 2
 
@@ -34,13 +40,57 @@ class Lookup:
     cols: Sequence[str]
 
 
-def with_block(df: DataFrame, ts: str) -> DataFrame:
-    """Add the hour of `ts` as the partitioning column."""
-    return df.withColumn(BLOCK, hour_start(df, ts))
+def with_block(df: DataFrame, ts: str, block: str = "hour") -> DataFrame:
+    """Add the start of the hour (or finer block) of `ts` as the partitioning column."""
+    return df.withColumn(BLOCK, unit_start(df, ts, block))
 
 
-def _block_order(by: Sequence[str]):
-    return Window.partitionBy(*by).orderBy(micros(BLOCK))
+def block_for(series: Sequence[tuple[DataFrame, str]], by: Sequence[str], rows: int = 2_000_000) -> str:
+    """The coarsest block in which no key has more than `rows` rows of any series.
+
+    One aggregate per tried block; the driver receives a single number.
+    """
+    for block in BLOCKS[:-1]:
+        counts = [
+            with_block(df, ts, block).groupBy(*by, BLOCK).agg(F.count("*").alias("_n")).select("_n")
+            for df, ts in series
+        ]
+        largest = reduce(DataFrame.unionByName, counts).agg(F.max("_n")).first()[0]
+        if largest is None or largest <= rows:
+            return block
+    return BLOCKS[-1]
+
+
+def _over_earlier(
+    blocks: DataFrame, by: Sequence[str], names: Sequence[str], block: str, backward: bool = False, largest: bool = False
+) -> DataFrame:
+    """Replace each column by its last (or largest) filled value in earlier blocks of the key.
+
+    `backward` takes later blocks instead. Blocks of the same start tie and are left out.
+    """
+
+    def order(column: str) -> Column:
+        return -micros(column) if backward else micros(column)
+
+    def before(keys: Sequence[str], column: str):
+        return Window.partitionBy(*keys).orderBy(order(column)).rangeBetween(Window.unboundedPreceding, -1)
+
+    def pick(name: str, window) -> Column:
+        return (F.max(name) if largest else F.last(name, ignorenulls=True)).over(window)
+
+    if block == "hour":
+        return blocks.withColumns({n: pick(n, before(by, BLOCK)) for n in names})
+    keys = [*by, _HOUR]
+    timed = blocks.withColumn(_HOUR, unit_start(blocks, BLOCK, "hour"))
+    filled = {n: F.when(F.col(n).isNotNull(), order(BLOCK)) for n in names}
+    hours = timed.groupBy(*keys).agg(
+        *[(F.max(n) if largest else F.max_by(n, filled[n])).alias(n) for n in names]
+    )
+    hours = hours.select(*keys, *[pick(n, before(by, _HOUR)).alias(f"_h{n}") for n in names])
+    inside = timed.withColumns({n: pick(n, before(keys, BLOCK)) for n in names})
+    # Within the hour later rows win; a running maximum is never below the one of earlier hours' blocks.
+    merged = {n: (F.greatest(n, f"_h{n}") if largest else F.coalesce(n, f"_h{n}")) for n in names}
+    return inside.join(hours, keys, "left").withColumns(merged).drop(_HOUR, *[f"_h{n}" for n in names])
 
 
 def _tails(df: DataFrame, by: Sequence[str], ts: str, cols: Sequence[str], name: str) -> DataFrame:
@@ -59,6 +109,7 @@ def latest_values(
     ts: str,
     lookups: Sequence[Lookup] = (),
     previous: tuple[str, Sequence[str]] | None = None,
+    block: str = "hour",
 ) -> DataFrame:
     """Add to each point the latest row of every lookup and of the points before it.
 
@@ -66,15 +117,15 @@ def latest_values(
     names a struct taken from the point just before. A struct is NULL when
     there is no such row and not NULL when the row exists with NULL values.
     All series are sorted together once: one shuffle of the points on
-    (key, hour), whatever the number of lookups. The result keeps the hour as
+    (key, block), whatever the number of lookups. The result keeps the block as
     `bucket_start` and that partitioning.
     """
     by = list(by)
     names = [lookup.name for lookup in lookups] + ([previous[0]] if previous else [])
     point_columns = [c for c in points.columns if c != BLOCK]
-    points = with_block(points, ts)
+    points = with_block(points, ts, block)
 
-    series = [with_block(lookup.df, lookup.ts) for lookup in lookups]
+    series = [with_block(lookup.df, lookup.ts, block) for lookup in lookups]
     tails = [_tails(df, by, lk.ts, lk.cols, lk.name) for df, lk in zip(series, lookups)]
     if previous:
         name, cols = previous
@@ -84,11 +135,9 @@ def latest_values(
     for tail in tails:
         occupied = occupied.unionByName(tail, allowMissingColumns=True)
 
-    # All rows of earlier hours; rows of the same hour tie and are left out.
-    before = _block_order(by).rangeBetween(Window.unboundedPreceding, -1)
     any_value = reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names])
     carried = (
-        occupied.withColumns({n: F.last(n, ignorenulls=True).over(before) for n in names})
+        _over_earlier(occupied, by, names, block)
         .filter(F.col("_has_points") & any_value)
         .drop("_has_points")
         .withColumn(_RANK, F.lit(_CARRY))
@@ -124,9 +173,11 @@ def latest_values(
     )
 
 
-def previous_row(df: DataFrame, by: Sequence[str], ts: str, cols: dict[str, str]) -> DataFrame:
+def previous_row(
+    df: DataFrame, by: Sequence[str], ts: str, cols: dict[str, str], block: str = "hour"
+) -> DataFrame:
     """LAG by one row per key: `cols` maps a column to the name of its previous value."""
-    out = latest_values(df, by, ts, previous=("_prev", list(cols)))
+    out = latest_values(df, by, ts, previous=("_prev", list(cols)), block=block)
     return out.withColumns({new: F.col(f"_prev.{old}") for old, new in cols.items()}).drop("_prev")
 
 
@@ -145,28 +196,30 @@ def counter_delta(previous: Column, counter: Column, rate: Column, interval: Col
 
 
 def asof_join(
-    left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str, right_ts: str, cols: Sequence[str]
+    left: DataFrame,
+    right: DataFrame,
+    by: Sequence[str],
+    left_ts: str,
+    right_ts: str,
+    cols: Sequence[str],
+    block: str = "hour",
 ) -> DataFrame:
     """Left join to the latest right row with `right_ts <= left_ts` per key."""
-    out = latest_values(left, by, left_ts, [Lookup("_match", right, right_ts, cols)])
+    out = latest_values(left, by, left_ts, [Lookup("_match", right, right_ts, cols)], block=block)
     return out.withColumns({c: F.col(f"_match.{c}") for c in cols}).drop("_match")
 
 
-def with_neighbours(intervals: DataFrame, by: Sequence[str], start: str, end: str) -> DataFrame:
+def with_neighbours(
+    intervals: DataFrame, by: Sequence[str], start: str, end: str, block: str = "hour"
+) -> DataFrame:
     """Add `_prev_end` (largest end of all earlier intervals) and `_next_start` per key."""
     by = list(by)
-    blocked = with_block(intervals, start)
-    in_order = _block_order(by)
-    edges = (
-        blocked.groupBy(*by, BLOCK)
-        .agg(F.min(start).alias("_first"), F.max(end).alias("_last"))
-        .select(
-            *by,
-            BLOCK,
-            F.max("_last").over(in_order.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried_end"),
-            F.lead("_first").over(in_order).alias("_following_start"),
-        )
+    blocked = with_block(intervals, start, block)
+    edges = blocked.groupBy(*by, BLOCK).agg(
+        F.min(start).alias("_following_start"), F.max(end).alias("_carried_end")
     )
+    edges = _over_earlier(edges, by, ["_carried_end"], block, largest=True)
+    edges = _over_earlier(edges, by, ["_following_start"], block, backward=True)
     inside = Window.partitionBy(*by, BLOCK).orderBy(start, end)
     return (
         blocked.withColumns(
@@ -186,19 +239,21 @@ def with_neighbours(intervals: DataFrame, by: Sequence[str], start: str, end: st
     )
 
 
-def overlapping_intervals(intervals: DataFrame, by: Sequence[str], start: str, end: str) -> DataFrame:
+def overlapping_intervals(
+    intervals: DataFrame, by: Sequence[str], start: str, end: str, block: str = "hour"
+) -> DataFrame:
     """The non-empty intervals that overlap another one of their key."""
-    marked = with_neighbours(intervals.filter(F.col(end) > F.col(start)), by, start, end)
+    marked = with_neighbours(intervals.filter(F.col(end) > F.col(start)), by, start, end, block)
     return marked.filter((F.col(start) < F.col("_prev_end")) | (F.col("_next_start") < F.col(end))).drop(
         "_prev_end", "_next_start", BLOCK
     )
 
 
-def hours_touched(df: DataFrame, start: str, end: str) -> Column:
-    """Starts of all hours that `[start, end)` touches; an end on the hour opens no new one."""
+def blocks_touched(df: DataFrame, start: str, end: str, block: str = "hour") -> Column:
+    """Starts of all hours (or finer blocks) that `[start, end)` touches; an end on a border opens no new one."""
     kind = df.schema[start].dataType
-    last = F.date_trunc("hour", F.col(end) - F.expr("INTERVAL 1 MICROSECOND")).cast(kind)
-    return F.sequence(hour_start(df, start), last, F.expr("INTERVAL 1 HOUR"))
+    last = F.date_trunc(block, F.col(end) - F.expr("INTERVAL 1 MICROSECOND")).cast(kind)
+    return F.sequence(unit_start(df, start, block), last, F.expr(f"INTERVAL 1 {block}"))
 
 
 def interval_lookup(name: str, intervals: DataFrame, start: str, end: str, cols: Sequence[str]) -> Lookup:
@@ -215,24 +270,25 @@ def finish_interval_join(
     start: str,
     end: str,
     cols: Sequence[str],
+    block: str = "hour",
 ) -> DataFrame:
     """Turn the interval that started last into all intervals that contain the point.
 
     For intervals that overlap no other one the last start decides alone. The
-    overlapping rest is cut into hour pieces and joined on (key, hour). `aligned`
+    overlapping rest is cut at block borders and joined on (key, block). `aligned`
     already has that partitioning, so no point is shuffled again; without
     overlaps that side is empty and the join falls away at run time.
     """
-    rest = overlapping_intervals(intervals.select(*by, start, end, *cols), by, start, end)
+    rest = overlapping_intervals(intervals.select(*by, start, end, *cols), by, start, end, block)
     pieces = rest.select(
         *[F.col(c).alias(f"_{c}") for c in by],
-        F.explode(hours_touched(rest, start, end)).alias("_hour"),
+        F.explode(blocks_touched(rest, start, end, block)).alias("_block"),
         F.col(start).alias("_start"),
         F.col(end).alias("_end"),
         *[F.col(c).alias(f"_{c}") for c in cols],
     )
     inside = (
-        (F.col(BLOCK) == F.col("_hour")) & (F.col(ts) >= F.col("_start")) & (F.col(ts) < F.col("_end"))
+        (F.col(BLOCK) == F.col("_block")) & (F.col(ts) >= F.col("_start")) & (F.col(ts) < F.col("_end"))
     )
     for key in by:
         inside = inside & (F.col(key) == F.col(f"_{key}"))
@@ -241,20 +297,34 @@ def finish_interval_join(
     kept = [c for c in aligned.columns if c != name]
     return aligned.join(pieces, inside, "left").select(
         *kept,
-        *[F.when(F.col("_hour").isNotNull(), F.col(f"_{c}")).otherwise(found[c]).alias(c) for c in cols],
+        *[F.when(F.col("_block").isNotNull(), F.col(f"_{c}")).otherwise(found[c]).alias(c) for c in cols],
     )
 
 
 def interval_join(
-    points: DataFrame, intervals: DataFrame, by: Sequence[str], ts: str, start: str, end: str, cols: Sequence[str]
+    points: DataFrame,
+    intervals: DataFrame,
+    by: Sequence[str],
+    ts: str,
+    start: str,
+    end: str,
+    cols: Sequence[str],
+    block: str = "hour",
 ) -> DataFrame:
     """Left join of points to all intervals `[start, end)` of their key that contain them."""
-    aligned = latest_values(points, by, ts, [interval_lookup("_interval", intervals, start, end, cols)])
-    return finish_interval_join(aligned, "_interval", intervals, by, ts, start, end, cols)
+    lookup = interval_lookup("_interval", intervals, start, end, cols)
+    aligned = latest_values(points, by, ts, [lookup], block=block)
+    return finish_interval_join(aligned, "_interval", intervals, by, ts, start, end, cols, block)
 
 
 def to_intervals(
-    events: DataFrame, by: Sequence[str], ts: str, end: str, bounds: DataFrame | None = None, bound: str | None = None
+    events: DataFrame,
+    by: Sequence[str],
+    ts: str,
+    end: str,
+    bounds: DataFrame | None = None,
+    bound: str | None = None,
+    block: str = "hour",
 ) -> DataFrame:
     """Turn events into intervals that last until the next event of the key.
 
@@ -262,12 +332,9 @@ def to_intervals(
     `bound` (NULL without bounds). With bounds, keys missing there are dropped.
     """
     by = list(by)
-    blocked = with_block(events, ts)
-    heads = (
-        blocked.groupBy(*by, BLOCK)
-        .agg(F.min(ts).alias("_first"))
-        .select(*by, BLOCK, F.lead("_first").over(_block_order(by)).alias("_following"))
-    )
+    blocked = with_block(events, ts, block)
+    heads = blocked.groupBy(*by, BLOCK).agg(F.min(ts).alias("_following"))
+    heads = _over_earlier(heads, by, ["_following"], block, backward=True)
     if bounds is not None:
         heads = heads.join(bounds.select(*by, F.col(bound).alias("_bound")), by).select(
             *by, BLOCK, F.coalesce("_following", "_bound").alias("_following")
@@ -287,7 +354,7 @@ def split_by_hour(
     """Cut `[start, end)` at hour borders; one row per touched hour with the clipped piece."""
     positive = intervals.filter(F.col(end) > F.col(start))
     return (
-        positive.withColumn(BLOCK, F.explode(hours_touched(positive, start, end)))
+        positive.withColumn(BLOCK, F.explode(blocks_touched(positive, start, end)))
         .withColumns(
             {
                 piece_start: F.greatest(start, BLOCK),

@@ -13,9 +13,14 @@ BY = ["machine_id"]
 STATE_COLUMNS = ["detailed_state_code", "state_tag"]
 
 
-def lag_counter(samples: DataFrame) -> DataFrame:
+def choose_block(samples: DataFrame, states: DataFrame, cycles: DataFrame) -> str:
+    """Hours, unless a machine has too many rows in one of them."""
+    return temporal.block_for([(samples, "ts"), (states, "ts"), (cycles, "cycle_start_ts")], BY)
+
+
+def lag_counter(samples: DataFrame, block: str = "hour") -> DataFrame:
     """The previous counter reading of the machine; a NULL reading is not skipped."""
-    out = temporal.previous_row(samples, BY, "ts", {"energy_kwh_cumulative": "prev_energy_kwh"})
+    out = temporal.previous_row(samples, BY, "ts", {"energy_kwh_cumulative": "prev_energy_kwh"}, block)
     return out.select("ts", "machine_id", "energy_kwh_cumulative", "prev_energy_kwh")
 
 
@@ -25,31 +30,34 @@ def _delta(previous: str):
     )
 
 
-def delta_energy(samples: DataFrame) -> DataFrame:
+def delta_energy(samples: DataFrame, block: str = "hour") -> DataFrame:
     """Energy used since the previous sample, as stored: decimal(12,6)."""
-    out = temporal.previous_row(samples, BY, "ts", {"energy_kwh_cumulative": "prev_energy_kwh"})
+    out = temporal.previous_row(samples, BY, "ts", {"energy_kwh_cumulative": "prev_energy_kwh"}, block)
     return out.select("ts", "machine_id", "power_kw", _delta("prev_energy_kwh").alias("delta_energy_kwh"))
 
 
-def asof_state_join(samples: DataFrame, states: DataFrame) -> DataFrame:
+def asof_state_join(samples: DataFrame, states: DataFrame, block: str = "hour") -> DataFrame:
     """The state each sample falls into; NULL before the first state of the machine."""
-    out = temporal.asof_join(samples.select("ts", "machine_id"), states, BY, "ts", "ts", STATE_COLUMNS)
+    out = temporal.asof_join(samples.select("ts", "machine_id"), states, BY, "ts", "ts", STATE_COLUMNS, block)
     return out.select("ts", "machine_id", *STATE_COLUMNS)
 
 
-def interval_cycle_join(samples: DataFrame, cycles: DataFrame) -> DataFrame:
+def interval_cycle_join(samples: DataFrame, cycles: DataFrame, block: str = "hour") -> DataFrame:
     """The cycles each sample falls into, half-open; NULL outside of cycles."""
     out = temporal.interval_join(
-        samples.select("ts", "machine_id"), cycles, BY, "ts", "cycle_start_ts", "cycle_end_ts", ["cycle_id"]
+        samples.select("ts", "machine_id"), cycles, BY, "ts", "cycle_start_ts", "cycle_end_ts", ["cycle_id"], block
     )
     return out.select("ts", "machine_id", "cycle_id")
 
 
-def enriched_by_hour(samples: DataFrame, states: DataFrame, cycles: DataFrame) -> DataFrame:
+def enriched_by_hour(
+    samples: DataFrame, states: DataFrame, cycles: DataFrame, block: str = "hour"
+) -> DataFrame:
     """`energy_enriched` plus its hour `bucket_start`, partitioned by (machine, hour).
 
     Meter lag, state and cycle come from one common sort, and hourly sums of
-    the result need no further shuffle.
+    the result need no further shuffle. With finer blocks the hour is added at
+    the end and hourly sums shuffle their partial results.
     """
     aligned = temporal.latest_values(
         samples,
@@ -60,6 +68,7 @@ def enriched_by_hour(samples: DataFrame, states: DataFrame, cycles: DataFrame) -
             temporal.interval_lookup("_cycle", cycles, "cycle_start_ts", "cycle_end_ts", ["cycle_id"]),
         ],
         previous=("_prev", ["energy_kwh_cumulative"]),
+        block=block,
     )
     out = aligned.select(
         BLOCK,
@@ -70,14 +79,17 @@ def enriched_by_hour(samples: DataFrame, states: DataFrame, cycles: DataFrame) -
         *[F.col(f"_state.{c}").alias(c) for c in STATE_COLUMNS],
         "_cycle",
     )
-    return temporal.finish_interval_join(
-        out, "_cycle", cycles, BY, "ts", "cycle_start_ts", "cycle_end_ts", ["cycle_id"]
+    joined = temporal.finish_interval_join(
+        out, "_cycle", cycles, BY, "ts", "cycle_start_ts", "cycle_end_ts", ["cycle_id"], block
     )
+    return joined if block == "hour" else temporal.with_block(joined, "ts")
 
 
-def energy_enriched(samples: DataFrame, states: DataFrame, cycles: DataFrame) -> DataFrame:
+def energy_enriched(
+    samples: DataFrame, states: DataFrame, cycles: DataFrame, block: str = "hour"
+) -> DataFrame:
     """One row per sample (and containing cycle) with delta, state and cycle."""
-    return enriched_by_hour(samples, states, cycles).select(*ENERGY_ENRICHED.names)
+    return enriched_by_hour(samples, states, cycles, block).select(*ENERGY_ENRICHED.names)
 
 
 def cycle_energy_join(cycles: DataFrame, enriched: DataFrame) -> DataFrame:

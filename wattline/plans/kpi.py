@@ -148,7 +148,7 @@ def bounds_join(states: DataFrame, bounds: DataFrame) -> DataFrame:
     return states.join(bounds, "machine_id").select("machine_id", "ts", "detailed_state_code", "max_bound_ts")
 
 
-def state_intervals(states: DataFrame, bounds: DataFrame) -> DataFrame:
+def state_intervals(states: DataFrame, bounds: DataFrame, block: str = "hour") -> DataFrame:
     """How long each reported state lasted; empty ones are dropped."""
     events = states.select(
         "machine_id",
@@ -159,13 +159,13 @@ def state_intervals(states: DataFrame, bounds: DataFrame) -> DataFrame:
         "is_planned_stop",
         "idle_reason",
     )
-    intervals = temporal.to_intervals(events, ["machine_id"], "start_ts", "end_ts", bounds, "max_bound_ts")
+    intervals = temporal.to_intervals(events, ["machine_id"], "start_ts", "end_ts", bounds, "max_bound_ts", block)
     return intervals.filter(F.col("end_ts") > F.col("start_ts"))
 
 
 def lateral_hours(intervals: DataFrame) -> DataFrame:
     """One row per interval and hour it touches."""
-    return intervals.withColumn(BLOCK, F.explode(temporal.hours_touched(intervals, "start_ts", "end_ts")))
+    return intervals.withColumn(BLOCK, F.explode(temporal.blocks_touched(intervals, "start_ts", "end_ts")))
 
 
 def state_interval_bucketed(intervals: DataFrame) -> DataFrame:

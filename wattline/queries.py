@@ -37,6 +37,16 @@ def plain(df: DataFrame) -> DataFrame:
     )
 
 
+_STAGES: dict[tuple, object] = {}
+
+
+def _stage(spark: SparkSession, sf_dir: str, name: str, build):
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STAGES:
+        _STAGES[key] = build()
+    return _STAGES[key]
+
+
 class Plant:
     """The input tables of one scale and the frames built on them, all lazy."""
 
@@ -48,14 +58,17 @@ class Plant:
         self.states = tables["machine_state_event"]
         self.cycles = tables["cycle_event"]
         self.samples = tables["energy_measurement"]
+        self.block = _stage(
+            spark, sf_dir, "block", lambda: enrich.choose_block(self.samples, self.states, self.cycles)
+        )
 
     @cached_property
     def by_hour(self) -> DataFrame:
-        return enrich.enriched_by_hour(self.samples, self.states, self.cycles)
+        return enrich.enriched_by_hour(self.samples, self.states, self.cycles, self.block)
 
     @property
     def enriched(self) -> DataFrame:
-        return enrich.energy_enriched(self.samples, self.states, self.cycles)
+        return enrich.energy_enriched(self.samples, self.states, self.cycles, self.block)
 
     @cached_property
     def cube(self) -> DataFrame:
@@ -80,7 +93,7 @@ class Plant:
 
     @property
     def intervals(self) -> DataFrame:
-        return kpi.state_intervals(self.states, self.bounds)
+        return kpi.state_intervals(self.states, self.bounds, self.block)
 
     @property
     def bucketed(self) -> DataFrame:
@@ -142,10 +155,10 @@ def _raw(view: Callable[[RawPlant], DataFrame]) -> Query:
 
 
 ALIGNMENT: dict[str, Query] = {
-    "lag_counter": _on(lambda p: enrich.lag_counter(p.samples)),
-    "delta_energy": _on(lambda p: enrich.delta_energy(p.samples)),
-    "asof_state_join": _on(lambda p: enrich.asof_state_join(p.samples, p.states)),
-    "interval_cycle_join": _on(lambda p: enrich.interval_cycle_join(p.samples, p.cycles)),
+    "lag_counter": _on(lambda p: enrich.lag_counter(p.samples, p.block)),
+    "delta_energy": _on(lambda p: enrich.delta_energy(p.samples, p.block)),
+    "asof_state_join": _on(lambda p: enrich.asof_state_join(p.samples, p.states, p.block)),
+    "interval_cycle_join": _on(lambda p: enrich.interval_cycle_join(p.samples, p.cycles, p.block)),
     "interval_overlapping_cycle_join": lambda spark, sf_dir: enrich.interval_cycle_join(
         Plant(spark, sf_dir).samples, RawPlant(spark, sf_dir).cycles
     ),
@@ -220,16 +233,6 @@ QUALITY: dict[str, Query] = {
 # The stages hand stored tables to each other: the 4-hour input is written once
 # per application, and so are the fits of the pooled and of the per-machine run.
 
-_STAGES: dict[tuple, object] = {}
-
-
-def _stage(spark: SparkSession, sf_dir: str, name: str, build):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _STAGES:
-        _STAGES[key] = build()
-    return _STAGES[key]
-
-
 def _input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stage(
         spark, sf_dir, "input", lambda: cut_lineage(Plant(spark, sf_dir).regression_input, "regression_input")

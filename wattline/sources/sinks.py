@@ -87,9 +87,8 @@ def rebuild_enriched(spark: SparkSession, tables: Mapping[str, DataFrame], out_d
     staged rows, so the alignment runs a single time.
     """
     staged = scratch_path(spark, "energy_enriched")
-    enrich.energy_enriched(
-        tables["energy_measurement"], tables["machine_state_event"], tables["cycle_event"]
-    ).write.parquet(staged)
+    inputs = tables["energy_measurement"], tables["machine_state_event"], tables["cycle_event"]
+    enrich.energy_enriched(*inputs, enrich.choose_block(*inputs)).write.parquet(staged)
     enriched = spark.read.parquet(staged)
     summary = enrich.cycle_energy_summary(tables["cycle_event"], enriched)
     replace_tables(spark, {"energy_enriched": enriched, "cycle_energy_summary": summary}, out_dir)

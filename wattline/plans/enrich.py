@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wattline.operators import temporal
 from wattline.operators.temporal import BLOCK, Lookup
-from wattline.schemas import ENERGY_ENRICHED
+from wattline.schemas import CYCLE_ENERGY_SUMMARY, ENERGY_ENRICHED
 
 BY = ["machine_id"]
 STATE_COLUMNS = ["detailed_state_code", "state_tag"]
@@ -103,22 +103,20 @@ def cycle_energy_join(cycles: DataFrame, enriched: DataFrame) -> DataFrame:
     return inside.unionByName(empty, allowMissingColumns=True)
 
 
-def cycle_energy_summary(cycles: DataFrame, enriched: DataFrame) -> DataFrame:
-    """Energy per cycle, 0 when no sample falls into it."""
+def cycles_with_energy(cycles: DataFrame, enriched: DataFrame) -> DataFrame:
+    """Cycles and the energy used in each, 0 when no sample falls into it."""
     used = (
         enriched.filter(F.col("cycle_id").isNotNull())
         .groupBy("cycle_id")
         .agg(F.sum("delta_energy_kwh").alias("_energy"))
     )
-    return cycles.join(used, "cycle_id", "left").select(
-        "cycle_id",
-        "machine_id",
-        "operation_id",
-        "cycle_start_ts",
-        "cycle_end_ts",
-        F.coalesce("_energy", F.lit(0)).cast("decimal(12,6)").alias("cycle_energy_kwh"),
-        "part_result",
-    )
+    energy = F.coalesce("_energy", F.lit(0)).cast("decimal(12,6)")
+    return cycles.join(used, "cycle_id", "left").withColumn("cycle_energy_kwh", energy).drop("_energy")
+
+
+def cycle_energy_summary(cycles: DataFrame, enriched: DataFrame) -> DataFrame:
+    """Energy per cycle in the shape of the stored table."""
+    return cycles_with_energy(cycles, enriched).select(*CYCLE_ENERGY_SUMMARY.names)
 
 
 def preview_enriched(enriched: DataFrame, rows: int = 10) -> DataFrame:

@@ -245,17 +245,17 @@ _CYCLE_SUMS = [
 ]
 
 
-def _cycle_sums(cycles: DataFrame, operation: DataFrame, summary: DataFrame) -> DataFrame:
-    """Cycles are summed per hour, machine and operation first.
+def cycle_stats_of(cycles: DataFrame, operation: DataFrame) -> DataFrame:
+    """The hourly cycle figures from cycles that already carry their energy.
 
-    The join with the operations then meets one row per such group, so a very
-    common operation does not gather its cycles in one task.
+    Cycles are summed per hour, machine and operation first. The join with the
+    operations then meets one row per such group, so a very common operation
+    does not gather its cycles in one task.
     """
     good, scrap = F.col("part_result") == k.RESULT_GOOD, F.col("part_result") == k.RESULT_SCRAP
     energy = F.col("cycle_energy_kwh")
-    joined = cycle_summary_left_join(cycles, summary)
     per_operation = (
-        joined.withColumn(BLOCK, hour_start(joined, "cycle_start_ts"))
+        cycles.withColumn(BLOCK, hour_start(cycles, "cycle_start_ts"))
         .groupBy(*SPINE, "operation_id")
         .agg(
             F.count("*").alias("total_parts"),
@@ -274,14 +274,14 @@ def _cycle_sums(cycles: DataFrame, operation: DataFrame, summary: DataFrame) ->
         .groupBy(*SPINE)
         .agg(
             *[F.sum(c).alias(c) for c in ("total_parts", "good_parts", "scrap_parts")],
-            *[total(F.col(c).cast("decimal(28,6)")).alias(c) for c in _CYCLE_SUMS],
+            *[total(F.col(c).cast("decimal(28,6)")).cast("double").alias(c) for c in _CYCLE_SUMS],
         )
     )
 
 
 def cycle_stats_hourly(cycles: DataFrame, operation: DataFrame, summary: DataFrame) -> DataFrame:
     """Parts, cycle times and cycle energy by the hour in which the cycle started."""
-    return _cycle_sums(cycles, operation, summary).withColumns(as_double(*_CYCLE_SUMS))
+    return cycle_stats_of(cycle_summary_left_join(cycles, summary), operation)
 
 
 def all_buckets(energy: DataFrame, state_time: DataFrame, cycle_stats: DataFrame) -> DataFrame:

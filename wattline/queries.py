@@ -105,7 +105,7 @@ class Plant:
 
     @property
     def cycle_stats(self) -> DataFrame:
-        return kpi.cycle_stats_hourly(self.cycles, self.operation, self.summary)
+        return kpi.cycle_stats_of(enrich.cycles_with_energy(self.cycles, self.cube), self.operation)
 
     @property
     def hourly(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -183,7 +183,7 @@ HOURLY: dict[str, Query] = {
     "state_time_hourly": _on(lambda p: p.state_time),
     "cycle_operation_join": _on(lambda p: kpi.cycle_operation_join(p.cycles, p.operation)),
     "cycle_summary_left_join": _on(lambda p: kpi.cycle_summary_left_join(p.cycles, p.summary)),
-    "cycle_stats_hourly": _on(lambda p: p.cycle_stats),
+    "cycle_stats_hourly": _on(lambda p: kpi.cycle_stats_hourly(p.cycles, p.operation, p.summary)),
     "all_buckets": _on(lambda p: kpi.all_buckets(*p.hourly)),
     "spine_left_joins": _on(lambda p: kpi.spine_left_joins(*p.hourly)),
     "oee_energy_summary_hourly": _on(lambda p: p.oee),

@@ -629,6 +629,7 @@ QUERIES.update(
     )
     + " UNION ALL SELECT 'energy_enriched', 0 UNION ALL SELECT 'cycle_energy_summary', 0",
     rebuild_enriched=f"SELECT {_SUMMARY_DOUBLES} FROM cycle_energy_summary",
+    publish_hourly=f"SELECT * FROM oee_view WHERE bucket_start {_RANGE}",
     stream_state_energy_hourly="SELECT * FROM seh",
     stream_detailed_state_hourly="SELECT * FROM detailed",
 )

@@ -465,6 +465,15 @@ def _rebuild_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(summary.select(*schemas.CYCLE_ENERGY_SUMMARY.names))
 
 
+def _publish_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored OEE table, read back over the whole dashboard range."""
+    out_dir = scratch_path(spark, "plant")
+    plant = Plant(spark, sf_dir)
+    sinks.publish_hourly(spark, {**plant.tables, "energy_enriched": plant.enriched}, out_dir)
+    path = f"{out_dir}/oee_energy_summary_hourly"
+    return readers.read_range(spark, path, "bucket_start", LO, HI)
+
+
 def _export_run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "metadata.json")
     frame = sinks.input_metadata(Plant(spark, sf_dir).base, _input(spark, sf_dir))
@@ -506,6 +515,7 @@ FILES: dict[str, Query] = {
     "scan_summary_json": _scan_summary_json,
     "full_refresh_load": _full_refresh_load,
     "rebuild_enriched": _rebuild_enriched,
+    "publish_hourly": _publish_hourly,
     "export_csv": _exported_base,
     "export_run_metadata": _export_run_metadata,
     "export_model_outputs": _export_model_outputs,

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from wattline import schemas
 from wattline.functions import constants as k
-from wattline.plans import enrich
+from wattline.plans import enrich, kpi
 from wattline.plans.regression import RegressionRun
-from wattline.session import scratch_path
+from wattline.session import cut_lineage, scratch_path
 
 PARTITION_TIMES = {
     "energy_measurement": "ts",
@@ -19,6 +19,10 @@ PARTITION_TIMES = {
     "cycle_event": "cycle_start_ts",
     "energy_enriched": "ts",
     "cycle_energy_summary": "cycle_start_ts",
+    "state_energy_summary_hourly": "bucket_start",
+    "detailed_state_energy_summary_hourly": "bucket_start",
+    "oee_energy_summary_hourly": "bucket_start",
+    "regression_base_hourly": "bucket_start",
 }
 
 
@@ -94,6 +98,30 @@ def rebuild_enriched(spark: SparkSession, tables: Mapping[str, DataFrame], out_d
     replace_tables(spark, {"energy_enriched": enriched, "cycle_energy_summary": summary}, out_dir)
 
 
+def publish_hourly(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str) -> None:
+    """Compute and replace the four hourly tables that dashboards and the regression read.
+
+    `tables` are the base tables and `energy_enriched`. The samples are read
+    once, into the cube; readers then prune by day (`readers.read_range`).
+    """
+    cube = cut_lineage(kpi.energy_cube(tables["energy_enriched"]), "energy_cube")
+    states, cycles, samples = (
+        tables[t] for t in ("machine_state_event", "cycle_event", "energy_measurement")
+    )
+    bounds = kpi.machine_time_bounds(tables["machine"], samples, states, cycles)
+    bucketed = kpi.state_interval_bucketed(kpi.state_intervals(states, bounds))
+    energy = kpi.state_energy_summary_hourly(cube)
+    stats = kpi.cycle_stats_of(enrich.cycles_with_energy(cycles, cube), tables["operation"])
+    hourly = [cut_lineage(df, "hourly") for df in (energy, kpi.state_time_hourly(bucketed), stats)]
+    views = {
+        "state_energy_summary_hourly": hourly[0],
+        "detailed_state_energy_summary_hourly": kpi.detailed_from_cube(cube),
+        "oee_energy_summary_hourly": kpi.oee_energy_summary_hourly(*hourly),
+        "regression_base_hourly": kpi.regression_base_hourly(*hourly),
+    }
+    replace_tables(spark, views, out_dir)
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """CSV part files with headers; times are written with the UTC offset."""
     columns = [

@@ -141,6 +141,20 @@ class RawPlant(Plant):
         self.cycles = raw["cycle_event"]
         self.samples = raw["energy_measurement"]
 
+        self._stored = lambda name, build: _stage(spark, sf_dir, f"raw_{name}", lambda: cut_lineage(build(), name))
+
+    @cached_property
+    def enriched(self) -> DataFrame:
+        """Stored, as the table that the rules look at."""
+        inputs = self.samples, self.states, self.cycles
+        return self._stored("energy_enriched", lambda: enrich.energy_enriched(*inputs, self.block))
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return self._stored(
+            "cycle_energy_summary", lambda: enrich.cycle_energy_summary(self.cycles, self.enriched)
+        )
+
     @property
     def all_tables(self) -> dict[str, DataFrame]:
         return {**self.tables, "energy_enriched": self.enriched, "cycle_energy_summary": self.summary}

@@ -12,13 +12,15 @@ cleaning: they break the data-quality rules in places.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.functions import constants as k
 from wattline.functions.timeline import seconds_later
 from wattline.operators.temporal import to_intervals
-from wattline.session import cut_lineage, pin_utc
+from wattline.session import cut_lineage, pin_utc, shared_dir
 
 WINDOW = ("2024-01-01 00:00:00", "2024-02-01 00:00:00")
 
@@ -194,7 +196,11 @@ def _stored(spark: SparkSession, sf_dir: str, kind: str, build) -> dict[str, Dat
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _STORED:
         tables = build(pin_utc(spark), sf_dir)
-        _STORED[key] = {name: cut_lineage(df, name) for name, df in tables.items()}
+        shared_dir(spark)
+        # Independent jobs: Spark fills the cores that one small table leaves free.
+        with ThreadPoolExecutor(len(tables)) as pool:
+            written = pool.map(cut_lineage, tables.values(), tables.keys())
+            _STORED[key] = dict(zip(tables, written))
     return _STORED[key]
 
 

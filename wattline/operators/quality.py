@@ -163,10 +163,10 @@ def check_model_scope(dashboard: DataFrame) -> DataFrame:
     return check(dashboard, "model_scope", "regression_dashboard_summary", known, "model_scope")
 
 
-def overlapping_cycles(cycles: DataFrame) -> DataFrame:
+def overlapping_cycles(cycles: DataFrame, block: str = "hour") -> DataFrame:
     """Cycles that start before an earlier cycle of the machine has ended."""
     real = cycles.filter(F.col("machine_id").isNotNull() & (F.col("cycle_end_ts") > F.col("cycle_start_ts")))
-    marked = temporal.with_neighbours(real, ["machine_id"], "cycle_start_ts", "cycle_end_ts")
+    marked = temporal.with_neighbours(real, ["machine_id"], "cycle_start_ts", "cycle_end_ts", block)
     late = marked.filter(F.col("cycle_start_ts") < F.col("_prev_end"))
     detail = F.concat(F.lit("earlier cycle ends "), _text("_prev_end"))
     return _violations(late, "overlapping_cycles", "cycle_event", _key(["cycle_id"]), detail)

@@ -238,7 +238,7 @@ QUALITY: dict[str, Query] = {
     "dq_check_part_result": _raw(lambda p: quality.check_part_result(p.cycles, p.summary)),
     "dq_check_summary_order": _raw(lambda p: quality.check_summary_order(p.summary)),
     "dq_check_summary_energy": _raw(lambda p: quality.check_summary_energy(p.summary)),
-    "dq_overlapping_cycles": _raw(lambda p: quality.overlapping_cycles(p.cycles)),
+    "dq_overlapping_cycles": _raw(lambda p: quality.overlapping_cycles(p.cycles, p.block)),
 }
 
 

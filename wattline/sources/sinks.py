@@ -109,7 +109,8 @@ def publish_hourly(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir
         tables[t] for t in ("machine_state_event", "cycle_event", "energy_measurement")
     )
     bounds = kpi.machine_time_bounds(tables["machine"], samples, states, cycles)
-    bucketed = kpi.state_interval_bucketed(kpi.state_intervals(states, bounds))
+    block = enrich.choose_block(samples, states, cycles)
+    bucketed = kpi.state_interval_bucketed(kpi.state_intervals(states, bounds, block))
     energy = kpi.state_energy_summary_hourly(cube)
     stats = kpi.cycle_stats_of(enrich.cycles_with_energy(cycles, cube), tables["operation"])
     hourly = [cut_lineage(df, "hourly") for df in (energy, kpi.state_time_hourly(bucketed), stats)]

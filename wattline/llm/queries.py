@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import decontam, licences, lines, rules, urls
+from wattline.llm import (
+    decontam,
+    html_text,
+    jaccard,
+    language,
+    licences,
+    lines,
+    quality_model,
+    rules,
+    urls,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +36,23 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.contamination(docs, items))
 
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(_table(spark, sf_dir, "pages"))
 
 
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.cascade(_table(spark, sf_dir, "documents"))
     return judged.select(
@@ -37,6 +60,10 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(lines.line_dedup(_table(spark, sf_dir, "documents")))
 
@@ -45,7 +72,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": license_scan,
         "op3_decontamination": decontamination,
+        "op4_html_extraction": html_extraction,
+        "op5_language_id": language_id,
         "op6_url_filter": url_filter,
+        "op7_ngram_jaccard_join": ngram_jaccard_join,
         "op8_quality_rules": quality_rules,
+        "op9_quality_classifier": quality_classifier,
         "op10_line_dedup": line_dedup,
     }

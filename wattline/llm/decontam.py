@@ -181,6 +181,20 @@ def contamination(
     )
 
 
+def keep_clean(
+    docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text"
+) -> DataFrame:
+    """The rows of `docs`, all columns, that are not contaminated."""
+    rows = docs.select(
+        F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("row"),
+        row_key(F.coalesce(docs[f"`{text_col}`"], F.lit(""))).alias("key"),
+    )
+    keyed = rows.select("key", F.col("row")[text_col].alias("text"))
+    judged = contamination(keyed, items, "key", "text", item_col, item_text_col)
+    gone = judged.filter("contaminated").select(F.col("doc_id").alias("key")).distinct()
+    return rows.join(cut_lineage(gone, "contaminated_texts"), "key", "left_anti").select("row.*")
+
+
 def digest(found: DataFrame) -> DataFrame:
     """The result with the items as count and SHA-256."""
     return found.select(

@@ -194,12 +194,13 @@ def predict(
     docs: DataFrame, profiles: dict[str, list[str]], keep: list[str], text_col: str = "text", size: int = PROFILE
 ) -> DataFrame:
     """The columns `keep` of each row with lang_pred and score."""
-    chosen = docs.select(*[docs[f"`{name}`"] for name in keep], docs[f"`{text_col}`"].alias("text for judging"))
-    kept = len(keep)
+    needed = keep if text_col in keep else [*keep, text_col]
+    kept, place = len(keep), needed.index(text_col)
+    chosen = docs.select(*[docs[f"`{name}`"] for name in needed])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [text or "" for text in batch.column(kept).to_pylist()]
+            texts = [text or "" for text in batch.column(place).to_pylist()]
             names: list[str] = []
             scores: list[np.ndarray] = []
             for start, end in _chunks(np.array([len(text) for text in texts])):
@@ -217,8 +218,13 @@ def predict(
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Per row: doc_id, held_out, lang_pred and score (1: the profile's own order); learns outside the fold."""
-    plain = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
-    ).withColumn("held_out", held_out(F.col("doc_id")))
-    profiles = learn_profiles(plain.filter(~F.col("held_out")).withColumnRenamed("doc_id", "id"))
-    return predict(plain, profiles, ["doc_id", "held_out"])
+    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out(F.col(id_col)).alias("held_out"))
+    return predict(plain, learn_outside_fold(docs, id_col, text_col, lang_col), ["doc_id", "held_out"])
+
+
+def learn_outside_fold(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+) -> dict[str, list[str]]:
+    """Profiles from the rows that are not held out."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    return learn_profiles(rows.filter(~held_out(F.col("id"))))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.llm import (
+    bpe,
     decontam,
     html_text,
     jaccard,
@@ -31,6 +33,12 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.digest(bpe.decode(encoded, ranks))
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontam.digest(decontam.contamination(docs, items))
@@ -71,6 +79,7 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": license_scan,
+        "op2_bpe_round_trip": bpe_round_trip,
         "op3_decontamination": decontamination,
         "op4_html_extraction": html_extraction,
         "op5_language_id": language_id,

@@ -6,10 +6,12 @@ data is spread over its hours. What must cross a block border (the last
 counter, the last state, the running end of earlier intervals) is first reduced
 to one row per (key, block) and carried over that small table.
 
-Should single hours of a key be too large for a task, `block_for` finds it out
-and minutes or seconds are taken instead; the results are the same. Their
-blocks are carried in two steps, within the hour and over the hours, so no
-window ever sees more than the blocks of an hour or the hours of a key.
+The block is an argument with the hour as default. Whoever knows that single
+hours of a key are too large for a task passes "minute" or "second"; the results
+are the same. Such blocks are carried in two steps, within the hour and over the
+hours, so no window ever sees more than the blocks of an hour or the hours of a key.
+
+A key of NULL equals no other: such points keep their row and find nothing.
 """
 
 from __future__ import annotations
@@ -22,12 +24,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.functions.timeline import micros, unit_start
+from wattline.session import cut_lineage
 
 BLOCK = "bucket_start"
-BLOCKS = ("hour", "minute", "second")
 _HOUR = "_hour_start"
 _RANK = "_rank"
 _CARRY, _LOOKUP, _POINT = 0, 1, 2
+#: Overlapping intervals are covered by aligned slots of 16 ** level seconds; the last level spans millennia.
+_LEVELS, _BITS = 10, 4
 
 
 @dataclass(frozen=True)
@@ -45,22 +49,6 @@ def with_block(df: DataFrame, ts: str, block: str = "hour") -> DataFrame:
     return df.withColumn(BLOCK, unit_start(df, ts, block))
 
 
-def block_for(series: Sequence[tuple[DataFrame, str]], by: Sequence[str], rows: int = 2_000_000) -> str:
-    """The coarsest block in which no key has more than `rows` rows of any series.
-
-    One aggregate per tried block; the driver receives a single number.
-    """
-    for block in BLOCKS[:-1]:
-        counts = [
-            with_block(df, ts, block).groupBy(*by, BLOCK).agg(F.count("*").alias("_n")).select("_n")
-            for df, ts in series
-        ]
-        largest = reduce(DataFrame.unionByName, counts).agg(F.max("_n")).first()[0]
-        if largest is None or largest <= rows:
-            return block
-    return BLOCKS[-1]
-
-
 def _over_earlier(
     blocks: DataFrame, by: Sequence[str], names: Sequence[str], block: str, backward: bool = False, largest: bool = False
 ) -> DataFrame:
@@ -94,13 +82,17 @@ def _over_earlier(
 
 
 def _tails(df: DataFrame, by: Sequence[str], ts: str, cols: Sequence[str], name: str) -> DataFrame:
-    """The last row of each (key, hour) as struct `name`.
+    """The last row of each (key, block) as struct `name`; at equal times the largest struct."""
+    if len(cols) == 1:
+        # A flat buffer keeps numeric columns in hash aggregation; one column cannot mix rows.
+        last = df.groupBy(*by, BLOCK).agg(F.max_by(cols[0], F.struct(ts, cols[0])).alias(cols[0]))
+        return last.select(*by, BLOCK, F.struct(*cols).alias(name))
+    last = df.groupBy(*by, BLOCK).agg(F.max(F.struct(F.col(ts).alias("_at"), *cols)).alias("_last"))
+    return last.select(*by, BLOCK, F.struct(*[F.col(f"_last.{c}").alias(c) for c in cols]).alias(name))
 
-    One `max_by` per column keeps the buffers flat, so numeric columns stay in
-    hash aggregation with partial sums before the shuffle.
-    """
-    last = df.groupBy(*by, BLOCK).agg(*[F.max_by(c, ts).alias(c) for c in cols])
-    return last.select(*by, BLOCK, F.struct(*cols).alias(name))
+
+def _with_keys(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    return df.dropna(subset=list(by))
 
 
 def latest_values(
@@ -113,8 +105,8 @@ def latest_values(
 ) -> DataFrame:
     """Add to each point the latest row of every lookup and of the points before it.
 
-    `lookups` are inclusive (a lookup row at the same time counts); `previous`
-    names a struct taken from the point just before. A struct is NULL when
+    `lookups` are inclusive (a lookup row at the same time counts, the largest of
+    several); `previous` names a struct taken from the point just before. A struct is NULL when
     there is no such row and not NULL when the row exists with NULL values.
     All series are sorted together once: one shuffle of the points on
     (key, block), whatever the number of lookups. The result keeps the block as
@@ -125,7 +117,7 @@ def latest_values(
     point_columns = [c for c in points.columns if c != BLOCK]
     points = with_block(points, ts, block)
 
-    series = [with_block(lookup.df, lookup.ts, block) for lookup in lookups]
+    series = [with_block(_with_keys(lookup.df, by), lookup.ts, block) for lookup in lookups]
     tails = [_tails(df, by, lk.ts, lk.cols, lk.name) for df, lk in zip(series, lookups)]
     if previous:
         name, cols = previous
@@ -160,7 +152,8 @@ def latest_values(
         )
 
     # Carried rows have no time and sort first; a lookup precedes a point at the same time.
-    order = Window.partitionBy(*by, BLOCK).orderBy(F.col(ts).asc_nulls_first(), _RANK)
+    ties = [lookup.name for lookup in lookups]
+    order = Window.partitionBy(*by, BLOCK).orderBy(F.col(ts).asc_nulls_first(), _RANK, *ties)
     up_to_now = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     up_to_previous = order.rowsBetween(Window.unboundedPreceding, -1)
     values = {lk.name: F.last(lk.name, ignorenulls=True).over(up_to_now) for lk in lookups}
@@ -210,17 +203,20 @@ def asof_join(
 
 
 def with_neighbours(
-    intervals: DataFrame, by: Sequence[str], start: str, end: str, block: str = "hour"
+    intervals: DataFrame, by: Sequence[str], start: str, end: str, block: str = "hour", ties: Sequence[str] = ()
 ) -> DataFrame:
-    """Add `_prev_end` (largest end of all earlier intervals) and `_next_start` per key."""
-    by = list(by)
+    """Add `_prev_end` (largest end of all earlier intervals) and `_next_start` per key.
+
+    Intervals are in order of start, end and the columns `ties`; NULL keys are left out.
+    """
+    by, intervals = list(by), _with_keys(intervals, by)
     blocked = with_block(intervals, start, block)
     edges = blocked.groupBy(*by, BLOCK).agg(
         F.min(start).alias("_following_start"), F.max(end).alias("_carried_end")
     )
     edges = _over_earlier(edges, by, ["_carried_end"], block, largest=True)
     edges = _over_earlier(edges, by, ["_following_start"], block, backward=True)
-    inside = Window.partitionBy(*by, BLOCK).orderBy(start, end)
+    inside = Window.partitionBy(*by, BLOCK).orderBy(start, end, *ties)
     return (
         blocked.withColumns(
             {
@@ -239,14 +235,16 @@ def with_neighbours(
     )
 
 
+def _overlapping(marked: DataFrame, start: str, end: str) -> DataFrame:
+    return marked.filter((F.col(start) < F.col("_prev_end")) | (F.col("_next_start") < F.col(end)))
+
+
 def overlapping_intervals(
     intervals: DataFrame, by: Sequence[str], start: str, end: str, block: str = "hour"
 ) -> DataFrame:
     """The non-empty intervals that overlap another one of their key."""
     marked = with_neighbours(intervals.filter(F.col(end) > F.col(start)), by, start, end, block)
-    return marked.filter((F.col(start) < F.col("_prev_end")) | (F.col("_next_start") < F.col(end))).drop(
-        "_prev_end", "_next_start", BLOCK
-    )
+    return _overlapping(marked, start, end).drop("_prev_end", "_next_start", BLOCK)
 
 
 def blocks_touched(df: DataFrame, start: str, end: str, block: str = "hour") -> Column:
@@ -256,48 +254,116 @@ def blocks_touched(df: DataFrame, start: str, end: str, block: str = "hour") ->
     return F.sequence(unit_start(df, start, block), last, F.expr(f"INTERVAL 1 {block}"))
 
 
-def interval_lookup(name: str, intervals: DataFrame, start: str, end: str, cols: Sequence[str]) -> Lookup:
-    """Look up the interval that started last."""
-    return Lookup(name, intervals.filter(F.col(end) > F.col(start)), start, [end, *cols])
+def prepare_intervals(
+    intervals: DataFrame, by: Sequence[str], start: str, end: str, cols: Sequence[str], block: str = "hour"
+) -> DataFrame:
+    """The non-empty intervals with their neighbours, written once: lookup and overlaps read them from there."""
+    plain = intervals.select(*by, start, end, *cols).filter(F.col(end) > F.col(start))
+    return cut_lineage(with_neighbours(plain, by, start, end, block, cols), "intervals")
+
+
+def interval_lookup(name: str, prepared: DataFrame, start: str, end: str, cols: Sequence[str]) -> Lookup:
+    """Look up the interval that started last, with the largest end of the ones before it."""
+    return Lookup(name, prepared.drop(BLOCK), start, [end, *cols, "_prev_end"])
+
+
+def _seconds(ts: str) -> Column:
+    """Whole seconds, rounded down."""
+    return F.unix_seconds(F.col(ts).cast("timestamp"))
+
+
+def slots_covered(intervals: DataFrame, start: str, end: str) -> DataFrame:
+    """One row (`_level`, `_slot`) for each aligned slot of a cover of `[start, end)`.
+
+    Level k has slots of 16 ** k seconds. The middle of an interval is covered by the
+    largest slots that fit, its ends by smaller ones: at most 30 of each size, so that
+    some 300 rows cover any length. Slots reach over the ends by less than a second.
+    """
+    low, over = _seconds(start), F.pmod(micros(end), F.lit(1_000_000)) > 0
+    timed = intervals.withColumns(
+        {
+            "_low": low,
+            "_high": _seconds(end) + over.cast("long"),
+            "_level": F.explode(F.sequence(F.lit(0), F.lit(_LEVELS - 1))),
+        }
+    )
+
+    bounds = timed.withColumns(
+        {
+            "_from": F.expr(f"shiftright(_low + shiftleft(1L, {_BITS} * _level) - 1, {_BITS} * _level)"),
+            "_to": F.expr(f"shiftright(_high, {_BITS} * _level)"),
+            "_up_from": F.expr(f"shiftright(_low + shiftleft(1L, {_BITS} * (_level + 1)) - 1, {_BITS} * (_level + 1))"),
+            "_up_to": F.expr(f"shiftright(_high, {_BITS} * (_level + 1))"),
+        }
+    ).filter("_from < _to")
+    runs = F.when(
+        (F.col("_level") == _LEVELS - 1) | (F.col("_up_from") >= F.col("_up_to")),
+        F.sequence("_from", F.col("_to") - 1),
+    ).otherwise(
+        F.concat(
+            *[
+                F.when(a < b, F.sequence(a, b - 1)).otherwise(F.array().cast("array<long>"))
+                for a, b in (
+                    (F.col("_from"), F.shiftleft("_up_from", _BITS)),
+                    (F.shiftleft("_up_to", _BITS), F.col("_to")),
+                )
+            ]
+        )
+    )
+    return bounds.withColumn("_slot", F.explode(runs)).drop("_low", "_high", "_from", "_to", "_up_from", "_up_to")
 
 
 def finish_interval_join(
     aligned: DataFrame,
     name: str,
-    intervals: DataFrame,
+    prepared: DataFrame,
     by: Sequence[str],
     ts: str,
     start: str,
     end: str,
     cols: Sequence[str],
-    block: str = "hour",
 ) -> DataFrame:
     """Turn the interval that started last into all intervals that contain the point.
 
-    For intervals that overlap no other one the last start decides alone. The
-    overlapping rest is cut at block borders and joined on (key, block). `aligned`
-    already has that partitioning, so no point is shuffled again; without
-    overlaps that side is empty and the join falls away at run time.
+    A point beyond the end of all earlier intervals lies in the last one or in
+    none. The other points lie in intervals that overlap; these are covered by
+    slots (`slots_covered`) and met by equality on (key, level, slot), one level
+    per size. The slots are a written table: without overlaps it is empty and
+    broadcast by its size, and no point is shuffled again.
     """
-    rest = overlapping_intervals(intervals.select(*by, start, end, *cols), by, start, end, block)
-    pieces = rest.select(
+    rest = _overlapping(prepared, start, end).select(*by, start, end, *cols)
+    pieces = slots_covered(rest, start, end).select(
         *[F.col(c).alias(f"_{c}") for c in by],
-        F.explode(blocks_touched(rest, start, end, block)).alias("_block"),
+        F.col("_level").alias("_piece_level"),
+        F.col("_slot").alias("_piece_slot"),
         F.col(start).alias("_start"),
         F.col(end).alias("_end"),
         *[F.col(c).alias(f"_{c}") for c in cols],
     )
-    inside = (
-        (F.col(BLOCK) == F.col("_block")) & (F.col(ts) >= F.col("_start")) & (F.col(ts) < F.col("_end"))
+    pieces = cut_lineage(pieces, "interval_slots")
+    contested = F.coalesce(F.col(ts) < F.col(f"{name}._prev_end"), F.lit(False))
+    levels = F.array(
+        *[
+            F.struct(F.lit(at).alias("level"), F.shiftright(_seconds(ts), _BITS * at).alias("slot"))
+            for at in range(_LEVELS)
+        ]
     )
+    # Points that need no slot are spread by their block, in case the join shuffles.
+    alone = F.array(F.struct(F.lit(-1).alias("level"), micros(BLOCK).alias("slot")))
+    probes = aligned.withColumn("_probe", F.explode(F.when(contested, levels).otherwise(alone)))
+    same = (F.col("_probe.level") == F.col("_piece_level")) & (F.col("_probe.slot") == F.col("_piece_slot"))
     for key in by:
-        inside = inside & (F.col(key) == F.col(f"_{key}"))
+        same = same & (F.col(key) == F.col(f"_{key}"))
+    inside = (F.col(ts) >= F.col("_start")) & (F.col(ts) < F.col("_end"))
+    met = probes.join(pieces, same, "left").filter((F.col("_probe.level") < 0) | inside)
     running = F.col(ts) < F.col(f"{name}.{end}")
-    found = {c: F.when(running, F.col(f"{name}.{c}")) for c in cols}
     kept = [c for c in aligned.columns if c != name]
-    return aligned.join(pieces, inside, "left").select(
+    return met.select(
         *kept,
-        *[F.when(F.col("_block").isNotNull(), F.col(f"_{c}")).otherwise(found[c]).alias(c) for c in cols],
+        *[
+            F.when(F.col("_probe.level") < 0, F.when(running, F.col(f"{name}.{c}"))).otherwise(F.col(f"_{c}")).alias(c)
+            for c in cols
+        ],
     )
 
 
@@ -312,9 +378,10 @@ def interval_join(
     block: str = "hour",
 ) -> DataFrame:
     """Left join of points to all intervals `[start, end)` of their key that contain them."""
-    lookup = interval_lookup("_interval", intervals, start, end, cols)
+    prepared = prepare_intervals(intervals, by, start, end, cols, block)
+    lookup = interval_lookup("_interval", prepared, start, end, cols)
     aligned = latest_values(points, by, ts, [lookup], block=block)
-    return finish_interval_join(aligned, "_interval", intervals, by, ts, start, end, cols, block)
+    return finish_interval_join(aligned, "_interval", prepared, by, ts, start, end, cols)
 
 
 def to_intervals(

@@ -11,11 +11,7 @@ from wattline.schemas import CYCLE_ENERGY_SUMMARY, ENERGY_ENRICHED
 
 BY = ["machine_id"]
 STATE_COLUMNS = ["detailed_state_code", "state_tag"]
-
-
-def choose_block(samples: DataFrame, states: DataFrame, cycles: DataFrame) -> str:
-    """Hours, unless a machine has too many rows in one of them."""
-    return temporal.block_for([(samples, "ts"), (states, "ts"), (cycles, "cycle_start_ts")], BY)
+CYCLE_TIMES = ("cycle_start_ts", "cycle_end_ts")
 
 
 def lag_counter(samples: DataFrame, block: str = "hour") -> DataFrame:
@@ -45,7 +41,7 @@ def asof_state_join(samples: DataFrame, states: DataFrame, block: str = "hour")
 def interval_cycle_join(samples: DataFrame, cycles: DataFrame, block: str = "hour") -> DataFrame:
     """The cycles each sample falls into, half-open; NULL outside of cycles."""
     out = temporal.interval_join(
-        samples.select("ts", "machine_id"), cycles, BY, "ts", "cycle_start_ts", "cycle_end_ts", ["cycle_id"], block
+        samples.select("ts", "machine_id"), cycles, BY, "ts", *CYCLE_TIMES, ["cycle_id"], block
     )
     return out.select("ts", "machine_id", "cycle_id")
 
@@ -59,13 +55,14 @@ def enriched_by_hour(
     the result need no further shuffle. With finer blocks the hour is added at
     the end and hourly sums shuffle their partial results.
     """
+    prepared = temporal.prepare_intervals(cycles, BY, *CYCLE_TIMES, ["cycle_id"], block)
     aligned = temporal.latest_values(
         samples,
         BY,
         "ts",
         lookups=[
             Lookup("_state", states, "ts", STATE_COLUMNS),
-            temporal.interval_lookup("_cycle", cycles, "cycle_start_ts", "cycle_end_ts", ["cycle_id"]),
+            temporal.interval_lookup("_cycle", prepared, *CYCLE_TIMES, ["cycle_id"]),
         ],
         previous=("_prev", ["energy_kwh_cumulative"]),
         block=block,
@@ -79,9 +76,7 @@ def enriched_by_hour(
         *[F.col(f"_state.{c}").alias(c) for c in STATE_COLUMNS],
         "_cycle",
     )
-    joined = temporal.finish_interval_join(
-        out, "_cycle", cycles, BY, "ts", "cycle_start_ts", "cycle_end_ts", ["cycle_id"], block
-    )
+    joined = temporal.finish_interval_join(out, "_cycle", prepared, BY, "ts", *CYCLE_TIMES, ["cycle_id"])
     return joined if block == "hour" else temporal.with_block(joined, "ts")
 
 

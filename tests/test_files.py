@@ -12,7 +12,7 @@ from wattline import schemas
 from wattline.operators import quality
 from wattline.plans import kpi
 from wattline.session import scratch_path
-from wattline.sources import readers, seed_csv, sinks
+from wattline.sources import readers, seed_csv, sinks, store
 from wattline.streaming import hourly
 
 
@@ -67,28 +67,65 @@ def test_refresh_rejects_bad_tables_and_keeps_the_old_ones(spark, plant):
     out_dir = scratch_path(spark, "plant")
     sinks.full_refresh(spark, plant.tables, out_dir, quality.primary_keys)
     sinks.rebuild_enriched(spark, plant.tables, out_dir)
-    assert readers.read_table(spark, out_dir, "energy_enriched").count() == plant.samples.count()
+    assert store.read_table(spark, out_dir, "energy_enriched").count() == plant.samples.count()
 
     twice = {**plant.tables, "machine": plant.machine.unionByName(plant.machine)}
     with pytest.raises(sinks.RefreshRejected):
         sinks.full_refresh(spark, twice, out_dir, quality.primary_keys)
-    assert readers.read_table(spark, out_dir, "machine").count() == plant.machine.count()
-    assert readers.read_table(spark, out_dir, "energy_enriched").count() == plant.samples.count()
+    assert store.read_table(spark, out_dir, "machine").count() == plant.machine.count()
+    assert store.read_table(spark, out_dir, "energy_enriched").count() == plant.samples.count()
 
+    stored = {**plant.tables, "energy_enriched": store.read_table(spark, out_dir, "energy_enriched")}
+    sinks.publish_hourly(spark, stored, out_dir)
+    hourly_tables = list(schemas.HOURLY_TABLES)
+    assert all(store.read_table(spark, out_dir, t).count() > 0 for t in hourly_tables)
     sinks.full_refresh(spark, plant.tables, out_dir, quality.primary_keys)
-    assert readers.read_table(spark, out_dir, "cycle_energy_summary").count() == 0
+    cleared = ["energy_enriched", "cycle_energy_summary", *hourly_tables]
+    assert all(store.read_table(spark, out_dir, t).count() == 0 for t in cleared)
+    # One pointer, and one folder per published table: nothing old is left.
+    assert sorted(n.split("-")[0] for n in os.listdir(out_dir) if not n.startswith(".")) == ["_current", "versions"]
+    left = [t for v in os.listdir(f"{out_dir}/versions") for t in os.listdir(f"{out_dir}/versions/{v}") if not t.startswith(".")]
+    assert sorted(left) == sorted(schemas.BASE_TABLES)
 
 
 def test_range_reads_prune_days(spark, plant):
     path = scratch_path(spark, "hourly")
     sinks.write_by_date(plant.energy_hourly, path, "bucket_start")
-    part = readers.read_range(spark, path, "bucket_start", "2024-01-02 00:00:00", "2024-01-03 12:00:00")
+    part = store.read_range(spark, path, "bucket_start", "2024-01-02 00:00:00", "2024-01-03 12:00:00")
     wanted = plant.energy_hourly.filter("bucket_start between '2024-01-02 00:00:00' and '2024-01-03 12:00:00'")
     assert part.count() == wanted.count() > 0
     plan = part._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan and "GreaterThanOrEqual(bucket_start" in plan
 
 
+def test_broken_csv_rows_stop_the_load(spark, tmp_path):
+    header = "operation_id,operation_name,ideal_cycle_time_sec\n"
+    for name, row in {"surplus": "O1,x,5,9\n", "short": "O1,x\n"}.items():
+        write(tmp_path / name, "operation", header + "O0,ok,1\n" + row)
+        with pytest.raises(PySparkException):
+            seed_csv.read_seed_table(spark, str(tmp_path / name), "operation").collect()
+        with pytest.raises(PySparkException):
+            seed_csv.read_seed_table(spark, str(tmp_path / name), "operation").select("operation_id").collect()
+    write(tmp_path / "lines", "operation", header + 'O1,"first\nsecond, ""quoted""",5\n')
+    (row,) = seed_csv.read_seed_table(spark, str(tmp_path / "lines"), "operation").collect()
+    assert (row.operation_name, float(row.ideal_cycle_time_sec)) == ('first\nsecond, "quoted"', 5.0)
+
+
+def test_all_white_space_around_booleans_is_stripped(spark):
+    assert parsed(spark, "\tyes\n", "\u00a0no\u00a0") == [True, False]
+
+
+@pytest.mark.parametrize("name", ["panel_oee_gauge", "panel_state_share", "panel_state_timeseries", "panel_category_timeseries", "panel_parts_vs_energy"])
+def test_panels_read_published_days(spark, sf_dir, name):
+    from wattline import queries
+
+    plan = queries.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert scans and all("date" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
+    assert "power_kw" not in plan.split("ReadSchema")[0]
+    assert queries.LO > queries.derived.WINDOW[0] and queries.HI < queries.derived.WINDOW[1]
+
+
 def test_upsert_replaces_and_inserts(spark):
     old = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     new = spark.createDataFrame([("b", 3), ("c", 4)], "k string, v int")

@@ -6,10 +6,12 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from wattline import oracles
+from wattline import queries as registry
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
-ROWS_ONLY = {"regression_summary", "scan_summary_json", "export_model_outputs"}
+QUERIES = registry.queries()
+ORACLES = oracles.oracle_sql()
+ROWS_ONLY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -17,9 +19,10 @@ def con(sf_dir):
     return compare.duck(sf_dir)
 
 
-def test_every_query_has_sql_but_the_nested_documents():
+def test_every_query_has_sql():
     assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -55,23 +55,41 @@ def primary_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _stack(frames)
 
 
-def foreign_key(child: DataFrame, table: str, column: str, parent: DataFrame, parent_table: str) -> DataFrame:
-    """Values without a parent. Children are counted per value first, so a hot value is one row in the join."""
-    used = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
-    lost = used.join(parent.select(column).distinct(), column, "left_anti")
-    detail = F.concat(F.lit(f"{column}->{parent_table} rows="), F.col("_n"))
-    return _violations(lost, "foreign_key", table, _text(column), detail)
+def _named_values(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(name, value) of the given (name, column) pairs, stacked in one pass over the table."""
+    stacked = F.array(*[F.struct(F.lit(n).alias("name"), F.col(c).cast("string").alias("value")) for n, c in pairs])
+    return df.select(F.explode(stacked).alias("_v")).select("_v.*").filter(F.col("value").isNotNull())
 
 
 def foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All references between the given tables."""
-    return _stack(
+    """Values without a parent, for all references between the given tables.
+
+    One pass per table: a child stacks all its references and counts them per
+    value first, so a hot value is one row in the join with the parents' keys.
+    """
+    known = [r for r in schemas.FOREIGN_KEYS if r[0] in tables and r[2] in tables]
+    parents: dict[str, set[tuple[str, str]]] = {}
+    children: dict[str, list[tuple[str, str]]] = {}
+    for child, column, parent in known:
+        parents.setdefault(parent, set()).add((parent, column))
+        children.setdefault(child, []).append((parent, column))
+    keys = _stack([_named_values(tables[p], sorted(columns)).distinct() for p, columns in sorted(parents.items())])
+    used = _stack(
         [
-            foreign_key(tables[child], child, column, tables[parent], parent)
-            for child, column, parent in schemas.FOREIGN_KEYS
-            if child in tables and parent in tables
+            _named_values(tables[child], columns)
+            .groupBy("name", "value")
+            .agg(F.count("*").alias("_n"))
+            .withColumn("child", F.lit(child))
+            for child, columns in children.items()
         ]
     )
+    # A child refers to a parent by one column, which has the parent's name for it.
+    column = F.create_map(*[F.lit(x) for parent, columns in parents.items() for _, c in columns for x in (parent, c)])
+    lost = used.join(keys, ["name", "value"], "left_anti")
+    detail = F.concat(column[F.col("name")], F.lit("->"), F.col("name"), F.lit(" rows="), F.col("_n"))
+    return lost.select(
+        F.lit("foreign_key").alias("rule"), F.col("child").alias("table"), F.col("value").alias("key"), detail.alias("detail")
+    )
 
 
 def not_null(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -89,22 +107,22 @@ def not_null(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def decimal_range(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Values that do not fit the declared precision."""
+    """Values that do not fit the declared precision; one pass per table."""
     frames = []
     for table, df in tables.items():
-        for f in schemas.ALL_TABLES[table].fields:
-            if isinstance(f.dataType, T.DecimalType):
-                declared = f.dataType.simpleString()
-                wide = df.filter(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
-                frames.append(
-                    _violations(
-                        wide,
-                        "decimal_range",
-                        table,
-                        _key(schemas.PRIMARY_KEYS[table]),
-                        F.concat(F.lit(f"{f.name} {declared} "), F.col(f.name).cast("string")),
-                    )
-                )
+        wide = [
+            F.when(
+                F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
+                F.concat(F.lit(f"{f.name} {f.dataType.simpleString()} "), F.col(f.name).cast("string")),
+            )
+            for f in schemas.ALL_TABLES[table].fields
+            if isinstance(f.dataType, T.DecimalType)
+        ]
+        if wide:
+            found = df.select(
+                _key(schemas.PRIMARY_KEYS[table]).alias("_key"), F.explode(F.array_compact(F.array(*wide))).alias("_wide")
+            )
+            frames.append(_violations(found, "decimal_range", table, F.col("_key"), F.col("_wide")))
     return _stack(frames)
 
 

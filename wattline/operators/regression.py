@@ -4,8 +4,8 @@ All models of a job (one per combination of the `by` columns) are fitted
 together. Each pass over the rows is one Spark aggregate that leaves k x k sums
 per group; only those meet linear algebra, in `mapInPandas` on one row per
 group. Sums are partial on the map side, so a group with a third of the rows
-is no hot spot there; where group results are joined back to rows, the key is
-salted.
+is no hot spot there. Group results that are joined back to rows are written
+tables with one row per group, which Spark broadcasts by their measured size.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -25,8 +26,6 @@ from wattline.functions.tails import chi2_upper, f_upper, normal_two_sided
 from wattline.session import cut_lineage
 
 Y = "target_value"
-SALTS = 16
-_SALT = "_salt"
 _RANK_CUT = 1e-13
 
 
@@ -85,17 +84,8 @@ def model_dataset(df: DataFrame, target: str, features: Sequence[str] = k.FEATUR
 
 
 def prepare(rows: DataFrame) -> DataFrame:
-    """Write the model rows once, with the salt that spreads every group.
-
-    The salt is a function of the row itself, so a recomputed task makes the same rows.
-    """
-    salt = F.pmod(F.xxhash64("bucket_start", "machine_id"), F.lit(SALTS)).cast("int")
-    return cut_lineage(rows.withColumn(_SALT, salt), "model_rows")
-
-
-def _spread(results: DataFrame) -> DataFrame:
-    """Repeat the one row per group for each salt; grows with groups, not with rows."""
-    return results.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    """Write the model rows once; every pass reads them from there."""
+    return cut_lineage(rows, "model_rows")
 
 
 def _scored(rows: DataFrame, guess: DataFrame, features: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -103,7 +93,7 @@ def _scored(rows: DataFrame, guess: DataFrame, features: Sequence[str], by: Sequ
     scaled = {
         f"_u{i}": (F.col(f) - F.col("center")[i]) / F.col("spread")[i] for i, f in enumerate(features)
     }
-    joined = rows.join(_spread(guess), [*by, _SALT]).withColumns(scaled)
+    joined = rows.join(guess, list(by)).withColumns(scaled)
     return joined.withColumn("_eta", _dot("beta", _terms(features)))
 
 
@@ -315,7 +305,9 @@ def _finish_gamma_glm(
     information needs the cross products weighted by y / mu; with them the last
     steps converge quadratically, which saves passes over the rows. The fit of
     ln y is the first guess. Each step's coefficients (one row per group) are
-    written, which cuts the lineage.
+    written, which cuts the lineage. Groups that no longer move leave the guess,
+    and the join with it then skips their rows: later passes cost only what has
+    not converged.
     """
     terms, size = _terms(features), len(features) + 1
     by = list(by)
@@ -334,6 +326,7 @@ def _finish_gamma_glm(
         kept = {c: row[c] for c in ("inverse", "center", "spread")}
         return {**kept, "beta": beta.tolist(), "moved": float((np.abs(move) / (1.0 + np.abs(beta))).max())}
 
+    ended, moving = [], None
     for _ in range(max_iter):
         sums = (
             _scored(rows, guess, features, by)
@@ -343,13 +336,15 @@ def _finish_gamma_glm(
         )
         vectors = ", ".join(f"{c} array<double>" for c in _GUESS)
         step = cut_lineage(_per_group(sums.join(guess, by), by, improve, f"{vectors}, moved double"), "irls")
-        guess = step.drop("moved")
-        moved = step.agg(F.max("moved")).first()[0]
-        if moved is None or moved < tol:
+        ended.append(step.filter(F.col("moved") < tol))
+        moving = step.filter(~(F.col("moved") < tol))
+        guess = moving.drop("moved")
+        if moving.isEmpty():
             break
+    step = cut_lineage(reduce(DataFrame.unionByName, [*ended, moving]), "fitted")
 
     sums = (
-        _scored(rows, guess, features, by)
+        _scored(rows, step.drop("moved"), features, by)
         .withColumn("_ratio", F.col(Y) / mu)
         .groupBy(*by)
         .agg(
@@ -407,6 +402,11 @@ def fit_both(
     return _finish_log_ols(rows, start, features, by), _finish_gamma_glm(rows, start, features, by)
 
 
+def fit_status(fit: Fit) -> DataFrame:
+    """One row per group: model type, observations and status (ok, too_few_rows, not_converged)."""
+    return fit.frame.select(*fit.by, F.lit(fit.model_type).alias("model_type"), "n_obs", "status")
+
+
 def require_observations(*fits: Fit) -> None:
     """Raise when a group could not be fitted; names a few of them."""
     for fit in fits:

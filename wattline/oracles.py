@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 _TAGS = {"P": "termelő", "N": "nem termelő", "S": "nem termelő és áll"}
-_LO, _HI = "TIMESTAMP '2024-01-01 00:00:00'", "TIMESTAMP '2024-02-01 00:00:00'"
+_LO, _HI = "TIMESTAMP '2024-01-08 05:00:00'", "TIMESTAMP '2024-01-22 17:00:00'"
 
 PARTS: dict[str, str] = {}
 
@@ -122,10 +122,11 @@ FROM cycle_event c LEFT JOIN energy_enriched e
 GROUP BY ALL"""
 PARTS["raw_cycle_energy_summary"] = """
 SELECT c.cycle_id, c.machine_id, c.operation_id, c.cycle_start_ts, c.cycle_end_ts,
-  CAST(coalesce(e.used, 0) AS DECIMAL(12,6)) AS cycle_energy_kwh, c.part_result
-FROM raw_cycle_event c
-LEFT JOIN (SELECT cycle_id, sum(delta_energy_kwh) AS used FROM raw_energy_enriched
-           WHERE cycle_id IS NOT NULL GROUP BY 1) e ON e.cycle_id = c.cycle_id"""
+  CAST(coalesce(sum(d.delta_energy_kwh), 0) AS DECIMAL(12,6)) AS cycle_energy_kwh, c.part_result
+FROM raw_cycle_event c LEFT JOIN raw_delta d
+  ON d.machine_id = c.machine_id AND d.ts >= c.cycle_start_ts AND d.ts < c.cycle_end_ts
+WHERE c.cycle_id IN (SELECT cycle_id FROM raw_cycle_event GROUP BY cycle_id HAVING count(*) = 1)
+GROUP BY ALL"""
 
 # --- hourly views ---------------------------------------------------------------
 
@@ -162,50 +163,66 @@ PARTS["machines"] = """
 SELECT machine_id FROM machine UNION SELECT machine_id FROM energy_measurement
 UNION SELECT machine_id FROM machine_state_event UNION SELECT machine_id FROM cycle_event"""
 PARTS["bounds"] = """
-SELECT m.machine_id, greatest(
-  coalesce((SELECT max(e.ts + to_microseconds(CAST(coalesce(e.sample_interval_sec, 0) * 1000000 AS BIGINT)))
-            FROM energy_measurement e WHERE e.machine_id = m.machine_id), TIMESTAMP '1970-01-01'),
-  coalesce((SELECT max(s.ts) FROM machine_state_event s WHERE s.machine_id = m.machine_id), TIMESTAMP '1970-01-01'),
-  coalesce((SELECT max(c.cycle_end_ts) FROM cycle_event c WHERE c.machine_id = m.machine_id), TIMESTAMP '1970-01-01')
-  ) AS max_bound_ts
-FROM machines m"""
+SELECT machine_id, max(seen) AS max_bound_ts
+FROM (SELECT machine_id, TIMESTAMP '1970-01-01' AS seen FROM machines
+      UNION ALL SELECT machine_id, cycle_end_ts FROM cycle_event
+      UNION ALL SELECT machine_id, ts FROM machine_state_event
+      UNION ALL SELECT machine_id, ts FROM energy_measurement
+      UNION ALL SELECT machine_id, ts + to_microseconds(CAST(sample_interval_sec * 1000000 AS BIGINT))
+                FROM energy_measurement WHERE sample_interval_sec IS NOT NULL)
+GROUP BY machine_id"""
+PARTS["numbered"] = """
+SELECT *, row_number() OVER (PARTITION BY machine_id ORDER BY ts) AS k FROM machine_state_event"""
 PARTS["intervals"] = """
-SELECT * FROM (
-  SELECT s.machine_id, s.ts AS start_ts,
-    coalesce(lead(s.ts) OVER (PARTITION BY s.machine_id ORDER BY s.ts), b.max_bound_ts) AS end_ts,
-    detailed_state_code, state_tag, reason_code, is_planned_stop, idle_reason
-  FROM machine_state_event s JOIN bounds b ON b.machine_id = s.machine_id)
-WHERE end_ts > start_ts"""
+SELECT a.machine_id, a.ts AS start_ts, CASE WHEN b.k IS NULL THEN max_bound_ts ELSE b.ts END AS end_ts,
+  a.detailed_state_code, a.state_tag, a.reason_code, a.is_planned_stop, a.idle_reason
+FROM bounds JOIN numbered a USING (machine_id)
+LEFT JOIN numbered b ON b.machine_id = a.machine_id AND b.k = a.k + 1
+WHERE a.ts < CASE WHEN b.k IS NULL THEN max_bound_ts ELSE b.ts END"""
+PARTS["calendar"] = """
+SELECT unnest(range(CAST(date_trunc('day', lo) AS TIMESTAMP), hi, INTERVAL 1 HOUR)) AS bucket_start
+FROM (SELECT min(start_ts) AS lo, max(end_ts) AS hi FROM intervals)"""
 PARTS["hours"] = """
-SELECT *, unnest(generate_series(date_trunc('hour', start_ts),
-  date_trunc('hour', end_ts - INTERVAL 1 MICROSECOND), INTERVAL 1 HOUR)) AS bucket_start
-FROM intervals"""
+SELECT i.*, c.bucket_start
+FROM calendar c JOIN intervals i ON i.start_ts < c.bucket_start + INTERVAL 1 HOUR AND c.bucket_start < i.end_ts"""
 PARTS["bucketed"] = """
-SELECT machine_id, bucket_start, greatest(start_ts, bucket_start) AS interval_start,
-  least(end_ts, bucket_start + INTERVAL 1 HOUR) AS interval_end,
+SELECT machine_id, bucket_start, CASE WHEN start_ts > bucket_start THEN start_ts ELSE bucket_start END AS interval_start,
+  CASE WHEN date_diff('microsecond', bucket_start, end_ts) < 3600000000 THEN end_ts
+       ELSE bucket_start + to_hours(1) END AS interval_end,
   detailed_state_code, state_tag, is_planned_stop, idle_reason
 FROM hours"""
 PARTS["sth"] = """
 SELECT bucket_start, machine_id,
-  CAST(sum(CASE WHEN NOT is_planned_stop THEN us ELSE 0 END) AS DOUBLE) / 1000000.0 AS planned_time_sec,
-  CAST(sum(CASE WHEN NOT is_planned_stop AND (detailed_state_code = 'FAILURE' OR state_tag = 'nem termelő és áll'
-      OR (detailed_state_code = 'IDLE' AND coalesce(idle_reason, '') = 'simple_waiting'))
-    THEN us ELSE 0 END) AS DOUBLE) / 1000000.0 AS availability_loss_sec
-FROM (SELECT *, epoch_us(interval_end) - epoch_us(interval_start) AS us FROM bucketed
-      WHERE interval_end > interval_start)
-GROUP BY 1, 2"""
+  CAST(coalesce(sum(inside) FILTER (WHERE running), 0) AS DOUBLE) / 1000000.0 AS planned_time_sec,
+  CAST(coalesce(sum(inside) FILTER (WHERE running AND lost), 0) AS DOUBLE) / 1000000.0 AS availability_loss_sec
+FROM (SELECT bucket_start, machine_id, is_planned_stop = false AS running,
+        3600000000 - greatest(date_diff('microsecond', bucket_start, start_ts), 0)
+          - greatest(date_diff('microsecond', end_ts, bucket_start + INTERVAL 1 HOUR), 0) AS inside,
+        CASE detailed_state_code WHEN 'FAILURE' THEN true
+          WHEN 'IDLE' THEN idle_reason IS NOT DISTINCT FROM 'simple_waiting' ELSE false END
+          OR state_tag IS NOT DISTINCT FROM 'nem termelő és áll' AS lost
+      FROM hours)
+GROUP BY bucket_start, machine_id"""
+PARTS["cycle_facts"] = """
+SELECT time_bucket(INTERVAL 1 HOUR, cycle_start_ts) AS bucket_start, machine_id, part_result,
+  (SELECT any_value(ideal_cycle_time_sec) FROM operation o WHERE o.operation_id = c.operation_id) AS ideal,
+  actual_cycle_time_sec AS actual,
+  (SELECT sum(cycle_energy_kwh) FROM cycle_energy_summary s WHERE s.cycle_id = c.cycle_id) AS energy
+FROM cycle_event c WHERE operation_id IN (SELECT operation_id FROM operation)"""
+PARTS["by_result"] = """
+SELECT bucket_start, machine_id, part_result, count(*) AS n, sum(ideal) AS ideal, sum(actual) AS actual,
+  sum(energy) AS energy
+FROM cycle_facts GROUP BY ALL"""
 PARTS["csh"] = """
-SELECT time_bucket(INTERVAL 1 HOUR, c.cycle_start_ts) AS bucket_start, c.machine_id,
-  count(*) AS total_parts, count(*) FILTER (WHERE c.part_result = 'good') AS good_parts,
-  count(*) FILTER (WHERE c.part_result = 'scrap') AS scrap_parts,
-  CAST(coalesce(sum(o.ideal_cycle_time_sec), 0) AS DOUBLE) AS ideal_cycle_time_total_sec,
-  CAST(coalesce(sum(c.actual_cycle_time_sec), 0) AS DOUBLE) AS actual_cycle_time_total_sec,
-  CAST(coalesce(sum(s.cycle_energy_kwh), 0) AS DOUBLE) AS total_cycle_energy_kwh,
-  CAST(coalesce(sum(s.cycle_energy_kwh) FILTER (WHERE c.part_result = 'good'), 0) AS DOUBLE) AS good_cycle_energy_kwh,
-  CAST(coalesce(sum(s.cycle_energy_kwh) FILTER (WHERE c.part_result = 'scrap'), 0) AS DOUBLE) AS scrap_cycle_energy_kwh
-FROM cycle_event c JOIN operation o ON o.operation_id = c.operation_id
-LEFT JOIN cycle_energy_summary s ON s.cycle_id = c.cycle_id
-GROUP BY 1, 2"""
+SELECT bucket_start, machine_id, CAST(sum(n) AS BIGINT) AS total_parts,
+  CAST(coalesce(sum(n) FILTER (part_result = 'good'), 0) AS BIGINT) AS good_parts,
+  CAST(coalesce(sum(n) FILTER (part_result = 'scrap'), 0) AS BIGINT) AS scrap_parts,
+  CAST(coalesce(sum(ideal), 0) AS DOUBLE) AS ideal_cycle_time_total_sec,
+  CAST(coalesce(sum(actual), 0) AS DOUBLE) AS actual_cycle_time_total_sec,
+  CAST(coalesce(sum(energy), 0) AS DOUBLE) AS total_cycle_energy_kwh,
+  CAST(coalesce(sum(energy) FILTER (part_result = 'good'), 0) AS DOUBLE) AS good_cycle_energy_kwh,
+  CAST(coalesce(sum(energy) FILTER (part_result = 'scrap'), 0) AS DOUBLE) AS scrap_cycle_energy_kwh
+FROM by_result GROUP BY bucket_start, machine_id"""
 PARTS["buckets"] = """
 SELECT bucket_start, machine_id FROM seh UNION SELECT bucket_start, machine_id FROM sth
 UNION SELECT bucket_start, machine_id FROM csh"""
@@ -390,6 +407,10 @@ def _checks() -> None:
                 f"(SELECT {grouped}, count(*) AS n FROM {source(table)} GROUP BY {grouped}) WHERE n > 1 OR {empty}",
             )
         )
+    dashboard = "regression_dashboard_summary"
+    for rule, column in (("primary_key", "model_scope"), ("unique_order", "display_order")):
+        counted = f"(SELECT {column}, count(*) AS n FROM each_report GROUP BY 1) WHERE n > 1"
+        unique.append(_violation(rule, dashboard, f"CAST({column} AS VARCHAR)", "'rows=' || n", counted))
     QUERIES["dq_primary_keys"] = " UNION ALL ".join(unique)
 
     references = [
@@ -447,6 +468,9 @@ def _checks() -> None:
         _violation("not_null", table, f"'{c}'", "'nulls=' || n", f"(SELECT count(*) AS n FROM {source(table)} WHERE {c} IS NULL) WHERE n > 0")
         for table, columns in required.items()
         for c in columns
+    ) + " UNION ALL " + _violation(
+        "not_null", "regression_dashboard_summary", "'headline'", "'nulls=' || n",
+        "(SELECT count(*) AS n FROM each_report WHERE right(g, 1) IN ('1', '3', '5', '7', '9')) WHERE n > 0",
     )
 
     decimals = [
@@ -608,9 +632,37 @@ FROM detailed WHERE bucket_start {_RANGE} GROUP BY 1 ORDER BY 2 DESC""",
 )
 
 
-QUERIES.update(
-    scan_seed_csv="SELECT cycle_id, machine_id, operation_id, cycle_start_ts, cycle_end_ts, "
+def _stacked(selects: dict[str, str]) -> str:
+    return " UNION ALL BY NAME ".join(f"(SELECT '{t}' AS table_name, t.* FROM ({sql}) t)" for t, sql in selects.items())
+
+
+_BASE = {
+    "machine": "SELECT * FROM machine",
+    "operation": "SELECT operation_id, operation_name, CAST(ideal_cycle_time_sec AS DOUBLE) AS ideal_cycle_time_sec "
+    "FROM operation",
+    "state_mapping": "SELECT * FROM state_mapping",
+    "machine_state_event": "SELECT ts, machine_id, detailed_state_code, state_tag, reason_code, "
+    "coalesce(is_planned_stop, false) AS is_planned_stop, idle_reason FROM machine_state_event",
+    "cycle_event": "SELECT cycle_id, machine_id, operation_id, cycle_start_ts, cycle_end_ts, "
     "CAST(actual_cycle_time_sec AS DOUBLE) AS actual_cycle_time_sec, part_result, scrap_reason FROM cycle_event",
+    "energy_measurement": "SELECT ts, machine_id, CAST(power_kw AS DOUBLE) AS power_kw, "
+    "CAST(energy_kwh_cumulative AS DOUBLE) AS energy_kwh_cumulative, "
+    "CAST(sample_interval_sec AS DOUBLE) AS sample_interval_sec FROM energy_measurement",
+}
+_DERIVED = {
+    "energy_enriched": f"SELECT {_ENRICHED_DOUBLES} FROM energy_enriched",
+    "cycle_energy_summary": f"SELECT {_SUMMARY_DOUBLES} FROM cycle_energy_summary",
+}
+_HOURLY = {
+    "state_energy_summary_hourly": "SELECT * FROM seh",
+    "detailed_state_energy_summary_hourly": "SELECT * FROM detailed",
+    "oee_energy_summary_hourly": "SELECT * FROM oee_view",
+    "regression_base_hourly": "SELECT * FROM base_view",
+}
+# A refresh stores the tables as given; only CSV turns a missing planned stop into false.
+_STORED = {**_BASE, "machine_state_event": "SELECT * FROM machine_state_event"}
+QUERIES.update(
+    scan_seed_csv=_stacked(_BASE),
     project_seed_columns="SELECT ts, machine_id, CAST(power_kw AS DOUBLE) AS power_kw, "
     "CAST(energy_kwh_cumulative AS DOUBLE) AS energy_kwh_cumulative, "
     "CAST(sample_interval_sec AS DOUBLE) AS sample_interval_sec FROM energy_measurement",
@@ -619,17 +671,17 @@ QUERIES.update(
     "THEN CAST(CAST(value AS DECIMAL(10,3)) AS DOUBLE) END AS value FROM events",
     scan_regression_base="SELECT * FROM base_view ORDER BY bucket_start, machine_id",
     scan_regression_csv="SELECT * FROM input4h",
-    export_csv="SELECT bucket_start, machine_id, total_parts, energy_total_kwh, oee FROM base_view",
+    export_csv="SELECT * FROM base_view",
     export_run_metadata="SELECT 4 AS aggregation_hours, 2 AS min_good_parts_for_regression, "
     "'system_energy_per_good_part_kwh' AS primary_target, 'cycle_energy_per_good_part_kwh' AS secondary_target, "
     "(SELECT count(*) FROM base_view) AS raw_rows, (SELECT count(*) FROM input4h) AS aggregated_rows_after_filtering",
-    full_refresh_load=" UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
-        for t in ("machine", "operation", "state_mapping", "machine_state_event", "cycle_event", "energy_measurement")
-    )
-    + " UNION ALL SELECT 'energy_enriched', 0 UNION ALL SELECT 'cycle_energy_summary', 0",
-    rebuild_enriched=f"SELECT {_SUMMARY_DOUBLES} FROM cycle_energy_summary",
-    publish_hourly=f"SELECT * FROM oee_view WHERE bucket_start {_RANGE}",
+    full_refresh_load=_stacked({**_STORED, **{t: f"{sql} LIMIT 0" for t, sql in {**_DERIVED, **_HOURLY}.items()}}),
+    rebuild_enriched=_stacked(_DERIVED),
+    publish_hourly=_stacked({t: f"{sql} WHERE bucket_start {_RANGE}" for t, sql in _HOURLY.items()}),
+    run_metadata="SELECT 'availability,performance,quality' AS features, "
+    "'system_energy_per_good_part_kwh' AS primary_target, 'cycle_energy_per_good_part_kwh' AS secondary_target, "
+    "(SELECT count(*) FROM mrows WHERE target = 'system_energy_per_good_part_kwh') AS primary_rows_used, "
+    "(SELECT count(*) FROM mrows WHERE target = 'cycle_energy_per_good_part_kwh') AS secondary_rows_used",
     stream_state_energy_hourly="SELECT * FROM seh",
     stream_detailed_state_hourly="SELECT * FROM detailed",
 )

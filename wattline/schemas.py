@@ -192,5 +192,60 @@ def _hourly(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, kinds.get(c, DOUBLE)) for c in columns])
 
 
+# Columns of the published hourly tables.
+_STATE_SUMS = [
+    "bucket_start",
+    "machine_id",
+    "energy_total_kwh",
+    "energy_productive_kwh",
+    "energy_non_productive_kwh",
+    "energy_non_productive_stop_kwh",
+    "productive_energy_ratio",
+    "non_productive_energy_ratio",
+]
+_OEE = [
+    "bucket_start",
+    "machine_id",
+    "availability",
+    "performance",
+    "quality",
+    "oee",
+    "energy_per_part_kwh",
+    "energy_per_good_part_kwh",
+    "cycle_energy_per_good_part_kwh",
+    "system_energy_per_good_part_kwh",
+    "energy_per_scrap_part_kwh",
+    "energy_total_kwh",
+]
+DETAILED_HOURLY = _schema(
+    ("bucket_start", TS, OPTIONAL),
+    ("machine_id", TEXT, OPTIONAL),
+    ("detailed_state_code", TEXT, OPTIONAL),
+    ("state_tag", TEXT, OPTIONAL),
+    ("sample_count", LONG, OPTIONAL),
+    ("energy_kwh", DOUBLE, OPTIONAL),
+    ("avg_power_kw", DOUBLE, OPTIONAL),
+    ("min_power_kw", DOUBLE, OPTIONAL),
+    ("max_power_kw", DOUBLE, OPTIONAL),
+)
+
 REGRESSION_BASE = _hourly(REGRESSION_BASE_COLUMNS)
 REGRESSION_INPUT = _hourly(REGRESSION_INPUT_COLUMNS)
+
+#: The hourly tables that dashboards and the regression read.
+HOURLY_TABLES: dict[str, T.StructType] = {
+    "state_energy_summary_hourly": _hourly(_STATE_SUMS),
+    "detailed_state_energy_summary_hourly": DETAILED_HOURLY,
+    "oee_energy_summary_hourly": _hourly(_OEE),
+    "regression_base_hourly": REGRESSION_BASE,
+}
+PUBLISHED = {**ALL_TABLES, **HOURLY_TABLES}
+#: The time whose day is the folder of a published row.
+PARTITION_TIMES = {
+    "energy_measurement": "ts",
+    "machine_state_event": "ts",
+    "cycle_event": "cycle_end_ts",
+    "energy_enriched": "ts",
+    "cycle_energy_summary": "cycle_start_ts",
+    **{table: "bucket_start" for table in HOURLY_TABLES},
+}

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
+    # Overflows and wrong casts stop a job instead of turning into NULL.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -28,9 +30,10 @@ def build_session(app_name: str = "wattline", master: str | None = None, **conf:
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
-    """Hour borders are UTC borders; `date_trunc` follows the session zone."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Hour borders are UTC borders (`date_trunc` follows the session zone), and ANSI errors are errors."""
+    for key, value in (("spark.sql.session.timeZone", "UTC"), ("spark.sql.ansi.enabled", "true")):
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -54,9 +57,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[application]
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/wattline/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/wattline/{uuid.uuid4().hex}/{name}"
+    """A fresh path below the shared folder, in the part of this application."""
+    return f"{_scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete what this application has left below the shared folder; call it when all results are read."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:

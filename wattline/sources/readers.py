@@ -19,43 +19,42 @@ def _existing(read, path: str) -> DataFrame:
         raise
 
 
-def read_table(spark: SparkSession, directory: str, table: str) -> DataFrame:
-    return _existing(spark.read.parquet, f"{directory}/{table}").select(*schemas.ALL_TABLES[table].names)
-
-
 def scan_regression_base(spark: SparkSession, path: str) -> DataFrame:
     """The 22 columns of the hourly base in order of hour and machine."""
     base = _existing(spark.read.parquet, path).select(*schemas.REGRESSION_BASE_COLUMNS)
     return base.orderBy("bucket_start", "machine_id")
 
 
-def scan_regression_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The exported model input with declared types; times with offset become UTC."""
-    reader = spark.read.option("header", True)
-    text = _existing(reader.csv, path).select(*schemas.REGRESSION_INPUT_COLUMNS)
-    kinds = {f.name: f.dataType for f in schemas.REGRESSION_INPUT.fields}
-    return text.select(
+def scan_csv_text(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as text under the names of the header; a row of another length stops the job.
+
+    Quoted line breaks stay inside their value. Only the header is read here.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+    names = _existing(reader.csv, path).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    strict = reader.schema(schema).option("mode", "FAILFAST").option("enforceSchema", False)
+    # With pruned columns the parser would not see how many fields a row has.
+    return strict.option("columnPruning", False).csv(path)
+
+
+def scan_typed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The declared columns with their types; times with offset become UTC."""
+    return scan_csv_text(spark, path).select(
         *[
-            F.col(c).cast("timestamp").cast("timestamp_ntz").alias(c)
-            if isinstance(kinds[c], T.TimestampNTZType)
-            else F.col(c).cast(kinds[c]).alias(c)
-            for c in text.columns
+            F.col(f.name).cast("timestamp").cast("timestamp_ntz").alias(f.name)
+            if isinstance(f.dataType, T.TimestampNTZType)
+            else F.col(f.name).cast(f.dataType).alias(f.name)
+            for f in schema.fields
         ]
     )
 
 
+def scan_regression_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The exported model input."""
+    return scan_typed_csv(spark, path, schemas.REGRESSION_INPUT)
+
+
 def scan_summary_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Summary documents, one per line, with their nested arrays."""
     return _existing(spark.read.schema(schema).json, path)
-
-
-def read_range(spark: SparkSession, path: str, ts: str, lo: str, hi: str) -> DataFrame:
-    """Rows of a date-partitioned table with `lo <= ts <= hi`.
-
-    The date filter prunes folders, the time filter is pushed to the row groups.
-    """
-    df = _existing(spark.read.parquet, path)
-    kind = df.schema[ts].dataType
-    low, high = F.lit(lo).cast(kind), F.lit(hi).cast(kind)
-    in_days = F.col("date").between(low.cast("date"), high.cast("date"))
-    return df.filter(in_days & F.col(ts).between(low, high)).drop("date")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattline import schemas
 from wattline.functions import constants as k
+from wattline.sources import readers
 
 # Texts that mean "missing" in CSV input.
 MISSING_WORDS = [
@@ -35,14 +35,8 @@ MISSING_WORDS = [
 
 
 def scan_seed_csv(spark: SparkSession, directory: str, table: str) -> DataFrame:
-    """All columns of `<directory>/<table>.csv` as text; only the header is read here."""
-    path = f"{directory}/{table}.csv"
-    try:
-        return spark.read.option("header", True).option("escape", '"').csv(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"missing seed file: {path}") from error
-        raise
+    """All columns of `<directory>/<table>.csv` as text; malformed rows stop the job that reads them."""
+    return readers.scan_csv_text(spark, f"{directory}/{table}.csv")
 
 
 def project_seed_columns(df: DataFrame, table: str) -> DataFrame:
@@ -55,7 +49,7 @@ def parse_bool(value: Column) -> Column:
 
     Values are read as text, so 1 and 0 stay valid even where other rows are empty.
     """
-    word = F.lower(F.trim(value.cast("string")))
+    word = F.lower(F.regexp_replace(value.cast("string"), r"(?U)^\s+|\s+$", ""))
     return (
         F.when(value.isNull(), F.lit(False))
         .when(word.isin(k.TRUE_WORDS), F.lit(True))

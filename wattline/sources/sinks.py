@@ -12,64 +12,23 @@ from wattline.functions import constants as k
 from wattline.plans import enrich, kpi
 from wattline.plans.regression import RegressionRun
 from wattline.session import cut_lineage, scratch_path
-
-PARTITION_TIMES = {
-    "energy_measurement": "ts",
-    "machine_state_event": "ts",
-    "cycle_event": "cycle_start_ts",
-    "energy_enriched": "ts",
-    "cycle_energy_summary": "cycle_start_ts",
-    "state_energy_summary_hourly": "bucket_start",
-    "detailed_state_energy_summary_hourly": "bucket_start",
-    "oee_energy_summary_hourly": "bucket_start",
-    "regression_base_hourly": "bucket_start",
-}
-
-
-class RefreshRejected(RuntimeError):
-    """Staged tables broke a rule; the published tables were not touched."""
-
-
-def write_by_date(df: DataFrame, path: str, ts: str, mode: str = "overwrite") -> None:
-    """Parquet in one folder per day of `ts`.
-
-    Rows are gathered by (day, hour): each day's folder gets a bounded number
-    of files, and a day is not squeezed through one task.
-    """
-    dated = df.withColumn("date", F.to_date(ts))
-    spread = dated.repartition("date", F.hour(F.col(ts).cast("timestamp")))
-    spread.sortWithinPartitions("date", ts).write.mode(mode).partitionBy("date").parquet(path)
-
-
-def _write(df: DataFrame, path: str, table: str) -> None:
-    if table in PARTITION_TIMES:
-        write_by_date(df, path, PARTITION_TIMES[table])
-    else:
-        df.write.mode("overwrite").parquet(path)
-
-
-def replace_tables(
-    spark: SparkSession,
-    frames: Mapping[str, DataFrame],
-    out_dir: str,
-    violations: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None,
-) -> None:
-    """Stage all tables, check them, then overwrite the published ones.
-
-    Nothing is published before every staged write and the check have
-    succeeded. Each table is replaced by its own job commit.
-    """
-    staging = scratch_path(spark, "staging")
-    for table, df in frames.items():
-        df.write.parquet(f"{staging}/{table}")
-    staged = {table: spark.read.parquet(f"{staging}/{table}") for table in frames}
-    if violations is not None:
-        found = violations(staged).limit(5).collect()
-        if found:
-            raise RefreshRejected("; ".join(f"{v['rule']} {v['table']} {v['key']}" for v in found))
-    for table, df in staged.items():
-        _write(df, f"{out_dir}/{table}", table)
-
+from wattline.sources.store import RefreshRejected, publish, read_table, write_by_date
+
+__all__ = [
+    "RefreshRejected",
+    "create_dashboard",
+    "export_csv",
+    "export_model_outputs",
+    "export_run_metadata",
+    "full_refresh",
+    "input_metadata",
+    "publish_hourly",
+    "rebuild_enriched",
+    "run_metadata",
+    "upsert",
+    "upsert_dashboard",
+    "write_by_date",
+]
 
 def full_refresh(
     spark: SparkSession,
@@ -77,40 +36,37 @@ def full_refresh(
     out_dir: str,
     violations: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None,
 ) -> None:
-    """Load the base tables anew; the derived tables are emptied in the same run."""
+    """Load the base tables anew; what is derived from the old ones is cleared in the same publication."""
     base = {t: frames[t].select(*schema.names) for t, schema in schemas.BASE_TABLES.items()}
-    replace_tables(spark, base, out_dir, violations)
-    for table, schema in schemas.DERIVED_TABLES.items():
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{out_dir}/{table}")
+    publish(spark, base, out_dir, violations, clear=[*schemas.DERIVED_TABLES, *schemas.HOURLY_TABLES])
 
 
 def rebuild_enriched(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str) -> None:
-    """Compute and replace `energy_enriched` and `cycle_energy_summary`.
+    """Compute and publish `energy_enriched` and `cycle_energy_summary`; older hourly tables are cleared.
 
-    The enriched rows are staged once and the summary is computed from the
-    staged rows, so the alignment runs a single time.
+    The enriched rows are published first and the summary is computed from the
+    published rows, so the alignment runs and is written a single time.
     """
-    staged = scratch_path(spark, "energy_enriched")
     inputs = tables["energy_measurement"], tables["machine_state_event"], tables["cycle_event"]
-    enrich.energy_enriched(*inputs, enrich.choose_block(*inputs)).write.parquet(staged)
-    enriched = spark.read.parquet(staged)
+    outdated = ["cycle_energy_summary", *schemas.HOURLY_TABLES]
+    publish(spark, {"energy_enriched": enrich.energy_enriched(*inputs)}, out_dir, clear=outdated)
+    enriched = read_table(spark, out_dir, "energy_enriched")
     summary = enrich.cycle_energy_summary(tables["cycle_event"], enriched)
-    replace_tables(spark, {"energy_enriched": enriched, "cycle_energy_summary": summary}, out_dir)
+    publish(spark, {"cycle_energy_summary": summary}, out_dir)
 
 
 def publish_hourly(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str) -> None:
     """Compute and replace the four hourly tables that dashboards and the regression read.
 
     `tables` are the base tables and `energy_enriched`. The samples are read
-    once, into the cube; readers then prune by day (`readers.read_range`).
+    once, into the cube; readers then prune by day (`store.read_published_range`).
     """
     cube = cut_lineage(kpi.energy_cube(tables["energy_enriched"]), "energy_cube")
     states, cycles, samples = (
         tables[t] for t in ("machine_state_event", "cycle_event", "energy_measurement")
     )
     bounds = kpi.machine_time_bounds(tables["machine"], samples, states, cycles)
-    block = enrich.choose_block(samples, states, cycles)
-    bucketed = kpi.state_interval_bucketed(kpi.state_intervals(states, bounds, block))
+    bucketed = kpi.state_interval_bucketed(kpi.state_intervals(states, bounds))
     energy = kpi.state_energy_summary_hourly(cube)
     stats = kpi.cycle_stats_of(enrich.cycles_with_energy(cycles, cube), tables["operation"])
     hourly = [cut_lineage(df, "hourly") for df in (energy, kpi.state_time_hourly(bucketed), stats)]
@@ -120,7 +76,7 @@ def publish_hourly(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir
         "oee_energy_summary_hourly": kpi.oee_energy_summary_hourly(*hourly),
         "regression_base_hourly": kpi.regression_base_hourly(*hourly),
     }
-    replace_tables(spark, views, out_dir)
+    publish(spark, views, out_dir)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

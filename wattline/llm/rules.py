@@ -23,7 +23,7 @@ from wattline.llm.columns import SPACE, count_of, grams, word_list, zip_shifted
 SYMBOLS = "#*$%&|<>"
 #: Words in a window whose repetition counts.
 REPEAT_WINDOW = 8
-#: The cascade's estimates come from so many rows, those with the smallest hashes.
+#: The cascade's estimates come from a sample of this expected size.
 SAMPLE_ROWS = 2_000
 
 
@@ -121,12 +121,14 @@ def ordered_rules(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> list[Rule]:
-    """Rules by rejection per cost, as estimated on the rows with the smallest hashes.
+    """Rules by rejection per cost, as estimated on a sample that a hash of the row picks.
 
-    The bound `sample_rows` is part of the method; only one row of averages is collected.
+    `sample_rows` is the expected size of the sample; only one row of averages is collected.
     """
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    picked = narrow.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(sample_rows)
+    share = min(1.0, sample_rows / max(docs.count(), 1))
+    dice = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 32) - 1)) / float(1 << 32)
+    picked = narrow.filter(dice < share)
     averages = [
         column
         for at, rule in enumerate(rules)

@@ -153,6 +153,13 @@ def test_stream_updates_equal_the_batch(spark, plant, build, batch, keys):
     assert spark.read.parquet(log).select("batch").distinct().count() > 2
     got = hourly.latest(spark, log, keys)
     wanted = getattr(plant, batch)
+    long = spark.read.parquet(log).count()
+    before = sorted(map(str, got.collect()))
+    hourly.compact(spark, log, keys)
+    got = hourly.latest(spark, log, keys)
+    assert sorted(map(str, got.collect())) == before
+    assert [d for d in os.listdir(log) if d.startswith("part=b")] == []
+    assert spark.read.parquet(log).count() == len(before) <= long
     names = wanted.columns
     assert sorted(map(str, got.select(names).collect())) == sorted(map(str, wanted.select(names).collect()))
 

@@ -610,23 +610,49 @@ FILES: dict[str, Query] = {
 # --- streams ---------------------------------------------------------------------
 
 
+#: The stream's watermark, and how its input arrives: a file per five days, and of the first file every
+#: seventh second only with the last one, weeks later than the watermark allows.
+STREAM_DELAY = "2 days"
+STREAM_FILES = 7
+
+
+def _arrivals(spark: SparkSession, enriched: DataFrame) -> str:
+    path = scratch_path(spark, "arrivals")
+    stored = cut_lineage(enriched, "energy_enriched")
+    day = F.dayofmonth("ts") + F.when(F.month("ts") > 1, 31).otherwise(0)
+    late = (day <= 5) & (F.unix_seconds(F.col("ts").cast("timestamp")) % 7 == 0)
+    file = F.when(late, STREAM_FILES - 1).otherwise(F.least(F.floor((day - 1) / 5), F.lit(STREAM_FILES - 1)))
+    for number in range(STREAM_FILES):
+        # One after another: the source takes files in the order of their times.
+        stored.filter(file == number).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def _streamed(build, keys: list[str]) -> Query:
-    """The enriched table arrives as a stream of files; all updates are merged to the latest rows."""
+    """Several micro-batches with late rows; the log of updates is compacted and its newest rows are taken."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        arrivals = scratch_path(spark, "arrivals")
-        Plant(spark, sf_dir).enriched.write.parquet(arrivals)
-        log = scratch_path(spark, "updates")
-        result = build(hourly.enriched_stream(spark, arrivals), "31 days")
+        arrivals, log = _arrivals(spark, Plant(spark, sf_dir).enriched), scratch_path(spark, "updates")
+        result = build(hourly.enriched_stream(spark, arrivals, files_per_batch=1), STREAM_DELAY)
         hourly.start_updates(result, log, scratch_path(spark, "stream_checkpoint")).awaitTermination()
+        hourly.compact(spark, log, keys)
         return plain(hourly.latest(spark, log, keys))
 
     return run
 
 
+def _closed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The append form: hours that the watermark has closed, each written once."""
+    arrivals, closed = _arrivals(spark, Plant(spark, sf_dir).enriched), scratch_path(spark, "closed")
+    result = hourly.state_energy_hourly(hourly.enriched_stream(spark, arrivals, files_per_batch=1), STREAM_DELAY)
+    hourly.start_append(result, closed, scratch_path(spark, "stream_checkpoint")).awaitTermination()
+    return plain(spark.read.parquet(closed))
+
+
 STREAMS: dict[str, Query] = {
     "stream_state_energy_hourly": _streamed(hourly.state_energy_hourly, hourly.HOURLY_KEYS),
     "stream_detailed_state_hourly": _streamed(hourly.detailed_state_hourly, hourly.DETAILED_KEYS),
+    "stream_closed_hours": _closed_hours,
 }
 
 

@@ -7,11 +7,12 @@ longer than the largest delay of the feed.
 Two ways to store the results:
 - `start_append` writes each hour once, when the watermark has closed it;
 - `start_updates` writes every change at once into a log, from which
-  `latest` takes the newest row of each key.
+  `latest` takes the newest row of each key; `compact` shortens the log to those.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,21 +59,40 @@ def start_append(result: DataFrame, path: str, checkpoint: str, once: bool = Tru
 
 
 def start_updates(result: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Changed hours of every micro-batch, one folder per batch.
+    """Changed hours of every micro-batch, one folder per batch; rows carry the number of their batch.
 
     A repeated batch overwrites its own folder, so a restart writes nothing twice.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        numbered = batch.withColumn("batch", F.lit(batch_id).cast("long"))
+        numbered.write.mode("overwrite").parquet(f"{path}/part=b{batch_id}")
 
     writer = result.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def _newest(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    values = [c for c in log.columns if c not in (*keys, "batch", "part")]
+    newest = log.groupBy(*keys).agg(F.max(F.struct("batch", *values)).alias("_row"))
+    return newest.select(*keys, "_row.*")
+
+
 def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """The newest row of each key in an update log."""
-    log = spark.read.parquet(path)
-    values = [c for c in log.columns if c not in (*keys, "batch")]
-    newest = log.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_row"))
-    return newest.select(*keys, "_row.*")
+    return _newest(spark.read.parquet(path), keys).drop("batch")
+
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
+    """Replace the folders of an update log by one that holds the newest row of each key.
+
+    The new folder is complete before the old ones go. Rows keep the number of their batch, so
+    a reader that meets both, or a batch that is repeated later, finds the same newest rows.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [s.getPath() for s in system.listStatus(folder) if s.getPath().getName().startswith("part=")]
+    log = spark.read.option("basePath", path).parquet(*[p.toString() for p in old])
+    _newest(log, keys).write.parquet(f"{path}/part=c{uuid.uuid4().hex}")
+    for one in old:
+        system.delete(one, True)

@@ -3,10 +3,11 @@
 Each page becomes a small tree. Parts that name themselves as something else (menus, forms,
 adverts, comments, ...) are cut off. Every node then has a density: its characters per tag,
 adjusted by how many of them are link text against the page's share; a node's density sum
-adds up its children. The node with the largest sum is the core. Along the path from the core
-to the body the smallest density is the threshold: the text is the highest node on that path,
-below the body, that reaches it, with those neighbours along the way that reach it too;
-inside it, parts that are mostly links are left out.
+adds up its children. The node with the largest sum is the core. On the path from the core to
+the body, nodes are taken as long as they are dense enough: at least as the thinnest node of the
+path, which is the usual threshold, and half as dense as the core, so that sections are gathered
+but not a page around them. An article or main element on the path ends it. Inside the chosen
+node, parts that are mostly links are left out.
 
 Pages are independent rows; the tree of one page lives only while its row is read.
 
@@ -67,39 +68,46 @@ _P_SCOPE = frozenset("table td th button object caption".split())
 class Node:
     """An element; `parts` holds its texts and child elements in page order."""
 
-    __slots__ = ("chars", "children_sum", "density", "dropped", "link_chars", "link_tags", "parent", "parts", "tag", "tags")
+    __slots__ = ("chars", "children_sum", "density", "doubted", "dropped", "link_chars", "link_tags", "parent", "parts", "tag", "tags")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool) -> None:
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, doubted: bool = False) -> None:
+        self.tag, self.parent, self.dropped, self.doubted = tag, parent, dropped, doubted
         self.parts: list[str | Node] = []
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.children_sum = 0.0
 
     def children(self) -> Iterator[Node]:
-        return (part for part in self.parts if isinstance(part, Node) and not part.dropped)
+        return (part for part in self.parts if isinstance(part, Node) and part.kept)
 
+    @property
+    def kept(self) -> bool:
+        return not (self.dropped or self.doubted)
 
-def _names_other(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
-    if tag in DROPPED:
-        return True
-    if tag in ("body", "html", "main", "article"):
-        return False
+
+def _is_hidden(attributes: list[tuple[str, str | None]]) -> bool:
+    """Not shown, or with a role that is none of the text's."""
     for name, value in attributes:
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
         if name == "role" and (value or "").strip().lower() in DROPPED_ROLES:
             return True
-        if name in ("class", "id") and not DROPPED_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", (value or "").lower())):
-            return True
         if name == "style" and re.search(r"display\s*:\s*none", value or "", re.IGNORECASE):
             return True
     return False
 
 
+def _names_other(attributes: list[tuple[str, str | None]]) -> bool:
+    """A class or id with a word for something else than the text."""
+    return any(
+        name in ("class", "id") and not DROPPED_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", (value or "").lower()))
+        for name, value in attributes
+    )
+
+
 class _Tree(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("#root", None, False)
+        self.root = self.at = Node("#root", None)
 
     def _close(self, names: tuple[str, ...] | frozenset[str], until: tuple[str, ...] | frozenset[str]) -> None:
         """End the nearest open element of `names`, unless one of `until` is nearer."""
@@ -120,11 +128,21 @@ class _Tree(HTMLParser):
         if tag == "br":
             self.at.parts.append("\n")
             return
-        node = Node(tag, self.at, _names_other(tag, attrs))
+        whole = tag in ("html", "body", "main", "article")
+        node = Node(tag, self.at, tag in DROPPED or (not whole and _is_hidden(attrs)), not whole and _names_other(attrs))
         self.at.parts.append(node)
+        if tag in ("main", "article", "h1"):
+            self._clear_doubts(node)
         if tag not in VOID:
             self.at = node
 
+    @staticmethod
+    def _clear_doubts(node: Node) -> None:
+        """What holds the article is no side part, whatever its class says ("with-sidebar")."""
+        while node.parent is not None and not node.dropped:
+            node.doubted = False
+            node = node.parent
+
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
 
@@ -183,18 +201,22 @@ def _weigh(order: list[Node], body: Node) -> None:
 def _select(body: Node, order: list[Node]) -> list[Node]:
     """The nodes that hold the main text, in page order."""
     core = max(reversed(order), key=lambda node: node.children_sum)
-    if not core.children_sum:
+    if not core.children_sum or core is body:
         return [body]
     path = [core]
     while path[-1] is not body:
         path.append(path[-1].parent)
-    threshold = min(node.density for node in path)
-    reached = [node for node in path if node.density >= threshold and node is not body]
-    top = reached[-1] if reached else core
-    if top.parent is None or top is body:
-        return [top]
-    beside = {id(child) for child in top.parent.children() if child.density >= max(threshold, top.density)}
-    return [child for child in top.parent.children() if child is top or id(child) in beside]
+    for node in path:
+        if node.tag in ("article", "main"):
+            return [node]
+    threshold = max(min(node.density for node in path), core.density / 2)
+    top = core
+    for node in path[1:-1]:
+        if node.density < threshold:
+            break
+        top = node
+    beside = max(threshold, top.density / 2)
+    return [child for child in top.parent.children() if child is top or child.density >= beside]
 
 
 def _mostly_links(node: Node) -> bool:
@@ -215,7 +237,7 @@ def _blocks(node: Node) -> Iterator[str]:
                 buffer = []
         elif isinstance(part, str):
             buffer.append(part)
-        elif not part.dropped and not (part.tag not in INLINE and _mostly_links(part)):
+        elif part.kept and not (part.tag not in INLINE and _mostly_links(part)):
             if part.tag not in INLINE:
                 yield "".join(buffer)
                 buffer = []

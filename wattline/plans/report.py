@@ -95,6 +95,7 @@ def _collected(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], fi
     )
 
 
+# The fields of the published summary, in their order.
 _COEFFICIENT_FIELDS = ["feature", "coefficient", "p_value", "ci_lower", "ci_upper", "is_significant", "direction"]
 _SENSITIVITY_FIELDS = [
     "feature",

@@ -71,27 +71,50 @@ SENSITIVITY_PANEL_LABELS = {
     "secondary": "Ciklusenergia / jó darab",
 }
 
-# Sentences of the published report rows.
-EXPLANATION_SUBJECT = {
-    "primary": "A teljes rendszerenergia / jó darab mutató esetében a ",
-    "secondary": "A ciklusenergia / jó darab mutató esetében a ",
+EXPLANATION_RULE_FEATURES = {
+    "primary": ["quality", "availability"],
+    "secondary": ["performance"],
 }
+
+# Sentences of the published report rows, whole, with places for names and figures.
 EXPLANATION_RULE = {
     "primary": (
-        "minőség és a rendelkezésre állás a legfontosabb tényezők. "
+        "A teljes rendszerenergia / jó darab mutató esetében a minőség és a rendelkezésre állás a legfontosabb tényezők. "
         "Ha ezek javulnak, az energiaintenzitás csökkenhet."
     ),
     "secondary": (
-        "teljesítmény a legfontosabb tényező. Ha javul, az energiaintenzitás csökkenhet."
+        "A ciklusenergia / jó darab mutató esetében a teljesítmény a legfontosabb tényező. "
+        "Ha javul, az energiaintenzitás csökkenhet."
     ),
 }
-EXPLANATION_RULE_FEATURES = {
-    "primary": ["quality", "availability"],
-    "secondary": ["performance"],
+EXPLANATION_ONE = {
+    "primary": (
+        "A teljes rendszerenergia / jó darab mutató esetében a %s a legfontosabb tényező. "
+        "Ha javul, az energiaintenzitás csökkenhet."
+    ),
+    "secondary": (
+        "A ciklusenergia / jó darab mutató esetében a %s a legfontosabb tényező. "
+        "Ha javul, az energiaintenzitás csökkenhet."
+    ),
+}
+EXPLANATION_MANY = {
+    "primary": (
+        "A teljes rendszerenergia / jó darab mutató esetében a %s a legfontosabb tényezők. "
+        "Ha ezek javulnak, az energiaintenzitás csökkenhet."
+    ),
+    "secondary": (
+        "A ciklusenergia / jó darab mutató esetében a %s a legfontosabb tényezők. "
+        "Ha ezek javulnak, az energiaintenzitás csökkenhet."
+    ),
+}
+EXPLANATION_NONE = {
+    "primary": (
+        "A teljes rendszerenergia / jó darab mutató esetében a modell most nem mutatott egyértelműen kiemelhető tényezőt."
+    ),
+    "secondary": (
+        "A ciklusenergia / jó darab mutató esetében a modell most nem mutatott egyértelműen kiemelhető tényezőt."
+    ),
 }
-EXPLANATION_ONE = " a legfontosabb tényező. Ha javul, az energiaintenzitás csökkenhet."
-EXPLANATION_MANY = " a legfontosabb tényezők. Ha ezek javulnak, az energiaintenzitás csökkenhet."
-EXPLANATION_NONE = "modell most nem mutatott egyértelműen kiemelhető tényezőt."
 SENSITIVITY_NONE = (
     "A modell alapján most nem emelhető ki egyértelmű szenzitivitási megállapítás."
 )

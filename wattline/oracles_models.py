@@ -217,6 +217,7 @@ FROM {prefix}_effects WHERE model_type = 'gamma_glm' GROUP BY g"""
             f"ELSE array_to_string({items}[1:len({items}) - 1], ', ') || ' és ' || {items}[len({items})] END"
         )
 
+    # Openings and ends of the published sentences.
     primary, secondary = (
         "A teljes rendszerenergia / jó darab mutató esetében a ",
         "A ciklusenergia / jó darab mutató esetében a ",

@@ -224,16 +224,15 @@ def listed(items: Column) -> Column:
 
 def model_explanation(scope: str, significant: Column) -> Column:
     """Which features matter, in a sentence: a fixed rule first, then by number of features."""
-    subject = k.EXPLANATION_SUBJECT[scope]
     rule = F.lit(True)
     for feature in k.EXPLANATION_RULE_FEATURES[scope]:
         rule = rule & F.array_contains(significant, feature)
-    named = F.concat(F.lit(subject), listed(labelled(significant)))
+    names = listed(labelled(significant))
     return (
-        F.when(rule, subject + k.EXPLANATION_RULE[scope])
-        .when(F.size(significant) == 1, F.concat(named, F.lit(k.EXPLANATION_ONE)))
-        .when(F.size(significant) > 1, F.concat(named, F.lit(k.EXPLANATION_MANY)))
-        .otherwise(subject + k.EXPLANATION_NONE)
+        F.when(rule, k.EXPLANATION_RULE[scope])
+        .when(F.size(significant) == 1, F.format_string(k.EXPLANATION_ONE[scope], names))
+        .when(F.size(significant) > 1, F.format_string(k.EXPLANATION_MANY[scope], names))
+        .otherwise(k.EXPLANATION_NONE[scope])
     )
 
 

@@ -92,6 +92,8 @@ def _candidates(marked: DataFrame, texts: DataFrame, windows: DataFrame, items:
         .groupBy("key")
         .agg(F.collect_set("mark").alias("shared"))
     )
+    # A written table: a text that a third of all rows repeat can then be split over tasks in this join.
+    shared = cut_lineage(shared, "shared_marks")
     around = _hashed(texts.join(shared, "key").withColumn("words", words_of(F.col("text"))))
     hits = F.filter(
         F.transform("grams", lambda mark, at: F.when(F.array_contains("shared", mark), at)),
@@ -166,7 +168,7 @@ def contamination(
         .groupBy("key")
         .agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     )
-    result = covered.join(named, "key")
+    result = cut_lineage(covered.join(named, "key"), "contamination")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return (
         marked.select("doc_id", "key", "n_words")

@@ -2,16 +2,18 @@
 
 Documents with equal shingle sets form one class. Classes that link at a Jaccard similarity of
 at least 90 % share, under *any* global order of shingles, one of the first n - ceil(0.9 n) + 1.
-Three orders are used, all with shingles first that a fixed-size frequency sketch calls rare,
-each with hashes of its own between equals. Candidates share a first token under order 0;
-they go on only if they also do under orders 1 and 2, if their sizes allow it and if the bits
-that one set's bitmap has and the other lacks are few enough. What is left is verified on
-the full sets.
-
-A large group of near copies is not paired off. In some rounds every member of a token's
-group is compared with one hub only; groups that end up in one component are done. In the rest,
-members outside the group's main component meet all others in blocks, which tasks compare on
-bitmaps and which emit survivors alone. So every link between different components is tested,
+Three orders are used. Order 0 begins with a sixth of all shingles, the rarest of them first
+by the counts of a fixed-size sketch; the others are orders of two more hashes. Candidates share
+a first token under order 0 and a size range; they go on only if the bits that one set's bitmap
+has and the other lacks are few enough and if they share first tokens under orders 1 and 2 too.
+What is left is verified on the full sets, and only those sets are built.
+
+A large group of near copies is not paired off. First every member of a token's group is
+compared with one hub only; groups that end up in one component are done. The others are put
+together by their largest component, and the classes outside it meet all members in blocks,
+each pair in one place whatever tokens it shares. Tasks compare blocks on bitmaps: first each
+class emits only its closest partners in other components, which connects what still belongs
+together, then all that bitmaps allow. So every link between different components is tested,
 and components are exact.
 
 Cases: null texts, empty texts and texts without words have no shingles and link with nothing;
@@ -26,9 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattline.llm.batches import bound_batches
 from wattline.llm.columns import row_key
 from wattline.llm.shingles import chunks, mixed, shingle_lists
 from wattline.session import cut_lineage
@@ -36,14 +39,19 @@ from wattline.session import cut_lineage
 SHINGLE = 3
 #: Similarity in percent: 100 * intersection >= SIMILAR * union.
 SIMILAR = 90
-#: The frequency sketch has 2 ** SKETCH_BITS counters whatever the data's size (one byte each).
-SKETCH_BITS = 21
+#: The frequency sketch has 2 ** SKETCH_BITS counters whatever the data's size (one byte each)
+#: and counts one shingle in COUNTED, about as many as first tokens need.
+SKETCH_BITS = 24
+COUNTED = 6
 _SKETCH_PIECES = 32
 #: 64-bit words in a set's bitmap.
 BITMAP = 16
-#: Rounds with one hub per group, and members per block after them.
-HUB_ROUNDS = 3
+#: Bits of the map that says which texts are wanted again (2 MB, whatever the data's size).
+SLOT_BITS = 24
+#: Members per block.
 BLOCK = 256
+#: Partners of a class that the first pass over the blocks tries; the second tries all that are left.
+CLOSEST = 3
 _SALTS = np.array([0x0, 0xA24BAED4963EE407, 0x9FB21C651E98DF25], dtype=np.uint64)
 
 
@@ -52,46 +60,64 @@ def prefix_size(n: int, similar: int = SIMILAR) -> int:
     return n + (-similar * n) // 100 + 1
 
 
+def _counted(found: np.ndarray) -> np.ndarray:
+    """Whether the sketch counts a shingle; independent of its counter."""
+    return found % np.uint64(1 << 20) % np.uint64(COUNTED) == 0
+
+
+def _counter(found: np.ndarray) -> np.ndarray:
+    return (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
 def _sketch(shingle: int):
-    """Counts of shingles by their top bits; one compressed row per piece and task."""
+    """Counters that a task has raised: one compressed row of (steps, counts) per piece."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        total = np.zeros(1 << SKETCH_BITS, dtype=np.uint16)
         for batch in batches:
             for _, texts in chunks(batch.column(0).to_pylist()):
                 found = np.concatenate([*shingle_lists(texts, shingle)])
-                total += np.bincount((found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(total))
-        pieces = np.split(total, _SKETCH_PIECES)
-        yield pa.RecordBatch.from_pydict(
-            {"piece": list(range(_SKETCH_PIECES)), "counts": [pa.compress(p.tobytes(), "zstd", asbytes=True) for p in pieces]}
-        )
+                raised, times = np.unique(_counter(found[_counted(found)]), return_counts=True)
+                # What a task counts beyond 16 bits is frequent in any case.
+                total[raised] = np.minimum(total[raised] + times, 65_535)
+        rows: dict[str, list] = {"piece": [], "n": [], "counts": []}
+        for piece, own in enumerate(np.split(total, _SKETCH_PIECES)):
+            at = np.flatnonzero(own)
+            packed = np.concatenate([np.diff(at, prepend=0), own[at]]).astype(np.int32)
+            rows["piece"].append(piece)
+            rows["n"].append(len(at))
+            rows["counts"].append(pa.compress(packed.tobytes(), "zstd", asbytes=True) if len(at) else b"")
+        yield pa.RecordBatch.from_pydict(rows)
 
     return count
 
 
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums pieces that arrive sorted by number; holds one piece at a time."""
-    size = 8 * (1 << SKETCH_BITS) // _SKETCH_PIECES
-    current, total = None, np.zeros(size // 8, dtype=np.int64)
+    """Sums pieces that arrive sorted by number and holds one at a time; small counts stay exact."""
+    size = (1 << SKETCH_BITS) // _SKETCH_PIECES
+    current, total = None, np.zeros(size, dtype=np.int64)
 
     def levels() -> pa.RecordBatch:
-        logs = np.floor(np.log2(total + 1)).astype(np.uint8)
-        return pa.RecordBatch.from_pydict({"piece": [current], "levels": [logs.tobytes()]})
+        steep = 64 + 4 * np.log2(np.maximum(total, 64) / 64)
+        level = np.minimum(np.where(total < 64, total, steep), 254).astype(np.uint8)
+        return pa.RecordBatch.from_pydict({"piece": [current], "levels": [level.tobytes()]})
 
     for batch in batches:
-        for piece, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for piece, n, counts in zip(*[column.to_pylist() for column in batch.columns], strict=True):
             if piece != current:
                 if current is not None:
                     yield levels()
-                current, total = piece, np.zeros(size // 8, dtype=np.int64)
-            total = total + np.frombuffer(pa.decompress(counts, size, "zstd", asbytes=True), dtype=np.int64)
+                current, total = piece, np.zeros(size, dtype=np.int64)
+            if n:
+                packed = np.frombuffer(pa.decompress(counts, 8 * n, "zstd", asbytes=True), dtype=np.int32)
+                total[np.cumsum(packed[:n])] += packed[n:]
     if current is not None:
         yield levels()
 
 
 def frequency_levels(texts: DataFrame, shingle: int = SHINGLE) -> bytes:
-    """Binary logarithms of the sketch's counters over all texts: a fixed number of bytes."""
-    counted = texts.mapInArrow(_sketch(shingle), "piece long, counts binary")
+    """Levels of the sketch's counters over all texts: a fixed number of bytes."""
+    counted = texts.mapInArrow(_sketch(shingle), "piece long, n long, counts binary")
     summed = (
         counted.repartition(_SKETCH_PIECES, "piece")
         .sortWithinPartitions("piece")
@@ -128,9 +154,11 @@ def _summaries(shingle: int, similar: int, levels):
                     sizes.append(len(found))
                     classes.append(hashlib.md5(found.tobytes()).digest() if len(found) else None)
                     bitmaps.append(bitmap(found))
-                    rarity = level[(found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)
                     for order, salt in enumerate(_SALTS):
-                        keys = rarity | (mixed(found ^ salt) >> np.uint64(8))
+                        keys = mixed(found ^ salt)
+                        if order == 0:
+                            rarity = np.where(_counted(found), level[_counter(found)], 255).astype(np.uint64)
+                            keys = rarity << np.uint64(56) | keys >> np.uint64(8)
                         count = prefix_size(len(found), similar)
                         kept = _first_tokens(keys, count) if len(found) else keys
                         # Orders 1 and 2 only confirm: four bytes of a token will do.
@@ -153,10 +181,15 @@ def _summaries(shingle: int, similar: int, levels):
     return summarise
 
 
-def _full_sets(shingle: int):
+def _full_sets(shingle: int, wanted):
+    """Shingle sets of the texts whose slot is marked; rows are (slot, text)."""
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.frombuffer(wanted.value, dtype=np.uint8)
         for batch in batches:
-            for _, texts in chunks(batch.column(0).to_pylist()):
+            slots = batch.column(0).to_numpy()
+            chosen = batch.column(1).filter(pa.array((marks[slots >> 3] >> (slots & 7)) & 1 == 1))
+            for _, texts in chunks(chosen.to_pylist()):
                 found = [np.unique(repeated) for repeated in shingle_lists(texts, shingle)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -175,8 +208,8 @@ def _most_missing(n_a: np.ndarray, n_b: np.ndarray, similar: int) -> tuple[np.nd
     return n_a - needed, n_b - needed
 
 
-def _filter_pairs(similar: int):
-    """Keeps the pairs whose sizes, bitmaps and first tokens under orders 1 and 2 allow a link."""
+def _fitting_bitmaps(similar: int):
+    """Keeps the pairs (a, b, n_a, n_b, bits_a, bits_b) whose sizes and bitmaps allow a link."""
 
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,10 +222,6 @@ def _filter_pairs(similar: int):
                 most_a, most_b = _most_missing(n_a, n_b, similar)
                 keep = np.bitwise_count(bits_a & ~bits_b).sum(axis=1) <= most_a
                 keep &= np.bitwise_count(bits_b & ~bits_a).sum(axis=1) <= most_b
-                for left, right in ((6, 7), (8, 9)):
-                    ours, theirs = batch.column(left), batch.column(right)
-                    for at in np.flatnonzero(keep):
-                        keep[at] = np.isin(ours[at].values.to_numpy(), theirs[at].values.to_numpy()).any()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(at).filter(pa.array(keep)) for at in (0, 1)], names=["a", "b"]
             )
@@ -215,8 +244,11 @@ def _verified(similar: int):
     return verify
 
 
-def _block_survivors(similar: int):
-    """Pairs of one block pair that sizes and bitmaps allow; rows come sorted by block pair."""
+def _block_survivors(similar: int, closest: int | None):
+    """Pairs of one block pair that sizes and bitmaps allow; rows come sorted by block pair.
+
+    With `closest`, of each class only so many pairs, those with most in common.
+    """
 
     def compare(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
         left, right = [r for r in rows if r[3]], [r for r in rows if not r[3]]
@@ -230,12 +262,19 @@ def _block_survivors(similar: int):
             most_a, most_b = _most_missing(np.int64(row[5]), n_r, similar)
             bits = np.frombuffer(row[6], dtype=np.uint64)
             fits = (most_a >= 0) & (most_b >= 0) & (comps_r != hash(row[7]))
-            fits &= np.bitwise_count(bits & ~bits_r).sum(axis=1) <= most_a
-            fits &= np.bitwise_count(bits_r & ~bits).sum(axis=1) <= most_b
-            out += [(min(row[4], right[at][4]), max(row[4], right[at][4])) for at in np.flatnonzero(fits)]
+            if not fits.any():
+                continue
+            missing_a = np.bitwise_count(bits & ~bits_r).sum(axis=1, dtype=np.int64)
+            missing_b = np.bitwise_count(bits_r & ~bits).sum(axis=1, dtype=np.int64)
+            found = np.flatnonzero(fits & (missing_a <= most_a) & (missing_b <= most_b))
+            if closest is not None and len(found) > closest:
+                apart = (missing_a + missing_b)[found]
+                found = found[np.argsort(apart, kind="stable")[:closest]]
+            out += [(min(row[4], right[at][4]), max(row[4], right[at][4])) for at in found]
         return out
 
     def survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
         held: list[tuple] = []
         for batch in batches:
             found: set[tuple[bytes, bytes]] = set()
@@ -244,24 +283,20 @@ def _block_survivors(similar: int):
                     found.update(compare(held))
                     held = []
                 held.append(row)
-            yield pa.RecordBatch.from_pydict(
-                {"a": [p[0] for p in found], "b": [p[1] for p in found]},
-                schema=pa.schema([("a", pa.binary()), ("b", pa.binary())]),
-            )
+            yield pa.RecordBatch.from_pydict({"a": [p[0] for p in found], "b": [p[1] for p in found]}, schema=schema)
         last = compare(held) if held else []
-        yield pa.RecordBatch.from_pydict(
-            {"a": [p[0] for p in last], "b": [p[1] for p in last]},
-            schema=pa.schema([("a", pa.binary()), ("b", pa.binary())]),
-        )
+        yield pa.RecordBatch.from_pydict({"a": [p[0] for p in last], "b": [p[1] for p in last]}, schema=schema)
 
     return survivors
 
 
-def components(links: DataFrame, name: str) -> DataFrame:
+def components(links: DataFrame, name: str, whole: bool = True) -> DataFrame:
     """(class, comp) of every class that has a link; comp is the smallest class reachable.
 
     Labels fall to the least label around and then to that label's own label, until none
-    changes; the state is a written table, and one flag per step comes to the driver.
+    changes; the state is a written table, and one flag per step comes to the driver. Without
+    `whole` one step is taken: classes of one label are connected then, but not all that are
+    connected have one label, which is enough to leave out pairs.
     """
     both = cut_lineage(
         links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
@@ -279,7 +314,7 @@ def components(links: DataFrame, name: str) -> DataFrame:
         moved = lower.join(jump, "low", "left").select("a", F.coalesce("next", "low").alias("new"), "comp")
         moved = cut_lineage(moved, f"{name}_labels")
         labels = moved.select("a", F.col("new").alias("comp"))
-        if moved.filter(F.col("new") != F.col("comp")).isEmpty():
+        if not whole or moved.filter(F.col("new") != F.col("comp")).isEmpty():
             return labels.select(F.col("a").alias("class"), "comp")
 
 
@@ -292,20 +327,21 @@ def _grouped(groups: DataFrame, comps: DataFrame | None) -> DataFrame:
     )
 
 
-def _open_groups(rows: DataFrame) -> DataFrame:
-    """(token, members, main, outside): groups with several components."""
+def _open_families(rows: DataFrame) -> DataFrame:
+    """(main, class, comp): members of all groups that span several components, by the largest of these."""
     by_comp = rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n"))
-    return (
+    open_ = (
         by_comp.groupBy("token")
-        .agg(F.sum("n").alias("members"), F.max(F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"))
+        .agg(F.max(F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"))
         .filter("comps > 1")
-        .select("token", "members", F.col("main.comp").alias("main"), (F.col("members") - F.col("main.n")).alias("outside"))
+        .select("token", F.col("main.comp").alias("main"))
     )
+    return rows.join(open_, "token").select("main", "class", "comp").distinct()
 
 
-def _hub_pairs(rows: DataFrame, round_: int) -> DataFrame:
+def _hub_pairs(rows: DataFrame) -> DataFrame:
     """(a, b): each member with its group's hub, where they are in different components."""
-    dice = F.xxhash64("class", F.lit(round_))
+    dice = F.xxhash64("class")
     hubs = rows.groupBy("token").agg(
         F.min(F.struct(dice.alias("dice"), "class", "comp")).alias("hub"),
         F.min("comp").alias("low"),
@@ -322,50 +358,138 @@ def _hub_pairs(rows: DataFrame, round_: int) -> DataFrame:
     )
 
 
-def _block_pairs(rows: DataFrame, similar: int) -> DataFrame:
-    """(a, b): pairs across components that bitmaps allow, found block against block."""
-    open_ = _open_groups(rows).select(
-        "token",
-        "main",
-        F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"),
-        F.ceil(F.col("outside") / BLOCK).cast("int").alias("out_blocks"),
+def _block_pairs(rows: DataFrame, summaries: DataFrame, similar: int, closest: int | None) -> DataFrame:
+    """(a, b): pairs across components that bitmaps allow, found block against block.
+
+    A family is cut into blocks by a hash of the class, so that a pair has one place in it. The
+    classes outside the main component go to the blocks of all, and all to the blocks of those.
+    """
+    members = cut_lineage(_open_families(rows), "open_families")
+    outside = F.col("comp") != F.col("main")
+    sizes = members.groupBy("main").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"),
+        F.ceil(F.count_if(outside) / BLOCK).cast("int").alias("out_blocks"),
+    )
+    # A written table, so that a large family can be split over tasks in the join with it.
+    sizes = cut_lineage(sizes, "family_sizes")
+    placed = members.join(sizes, "main").join(summaries, "class").withColumn("dice", F.xxhash64("class"))
+    columns = ["main", "out_block", "block", "outer", "class", "n", "bits", "comp"]
+    inner = placed.withColumns(
+        {
+            "block": F.pmod("dice", "blocks").cast("int"),
+            "outer": F.lit(False),
+            "out_block": F.explode(F.sequence(F.lit(0), F.col("out_blocks") - 1)),
+        }
     )
-    placed = rows.join(open_, "token").withColumn("dice", F.xxhash64("class"))
-    own = F.pmod("dice", "blocks").cast("int")
-    other = F.pmod(F.xxhash64("dice"), "out_blocks").cast("int")
-    columns = ["token", "out_block", "block", "outer", "class", "n", "bits", "comp"]
-    inner = placed.withColumn("block", own).withColumn("outer", F.lit(False)).withColumn(
-        "out_block", F.explode(F.sequence(F.lit(0), F.col("out_blocks") - 1))
+    outer = placed.filter(outside).withColumns(
+        {
+            "out_block": F.pmod(F.xxhash64("dice"), "out_blocks").cast("int"),
+            "outer": F.lit(True),
+            "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)),
+        }
     )
-    outer = placed.filter(F.col("comp") != F.col("main")).withColumn("out_block", other).withColumn(
-        "outer", F.lit(True)
-    ).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = inner.select(*columns).unionByName(outer.select(*columns))
     return (
-        met.repartition("token", "out_block", "block")
-        .sortWithinPartitions("token", "out_block", "block")
-        .mapInArrow(_block_survivors(similar), "a binary, b binary")
+        met.repartition("main", "out_block", "block")
+        .sortWithinPartitions("main", "out_block", "block")
+        .mapInArrow(_block_survivors(similar, closest), "a binary, b binary")
         .distinct()
     )
 
 
-def _links(pairs: DataFrame, summary: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """The pairs that pass all filters and the comparison of the full sets."""
+def _candidates(pairs: DataFrame, near: DataFrame, similar: int) -> DataFrame:
+    """The pairs that sizes and bitmaps allow and that share first tokens under orders 1 and 2."""
 
-    def side(name: str) -> DataFrame:
-        return summary.select(
-            F.col("class").alias(name),
-            *[F.col(c).alias(f"{c}_{name}") for c in ("n", "bits", "first1", "first2")],
-        )
+    def with_sides(some: DataFrame, columns: list[str]) -> DataFrame:
+        for name in ("a", "b"):
+            side = near.select(F.col("class").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+            some = some.join(side, name)
+        return some.select("a", "b", *[f"{c}_{name}" for c in columns for name in ("a", "b")])
+
+    fitting = with_sides(pairs, ["n", "bits"]).mapInArrow(_fitting_bitmaps(similar), "a binary, b binary")
+    ordered = with_sides(cut_lineage(fitting, "fitting_pairs"), ["first1", "first2"])
+    shared = F.arrays_overlap("first1_a", "first1_b") & F.arrays_overlap("first2_a", "first2_b")
+    return cut_lineage(ordered.filter(shared).select("a", "b"), "candidates")
+
+
+def _slot(text_key: Column) -> Column:
+    return F.pmod(F.xxhash64(text_key), F.lit(1 << SLOT_BITS))
 
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select(
-        "a", "b", *[f"{c}_{s}" for c in ("n", "bits", "first1", "first2") for s in ("a", "b")]
+
+def _marked_slots(text_keys: DataFrame) -> bytes:
+    """A bit per slot that some key has: a fixed number of bytes, gathered by bitmap aggregates."""
+    place = _slot(F.col("text_key")) + 1
+    size = 4096
+    pieces = (
+        text_keys.groupBy(F.bitmap_bucket_number(place).alias("piece"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+        .collect()
     )
-    kept = cut_lineage(both.mapInArrow(_filter_pairs(similar), "a binary, b binary"), "candidates")
-    full = kept.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("set_a")), "a").join(
-        sets.select(F.col("class").alias("b"), F.col("shingles").alias("set_b")), "b"
+    marks = bytearray((1 << SLOT_BITS) // 8)
+    for row in pieces:
+        marks[(row["piece"] - 1) * size : row["piece"] * size] = row["bits"]
+    return bytes(marks)
+
+
+class _Sets:
+    """Full shingle sets of the classes that met a candidate, built when first needed.
+
+    Which texts to read again is told by a map of fixed size, so no text is shuffled. A few
+    others share a slot; their sets are left out by class.
+    """
+
+    def __init__(self, texts: DataFrame, near: DataFrame, shingle: int) -> None:
+        self.texts, self.near, self.shingle = texts, near, shingle
+        self.built: DataFrame | None = None
+
+    def of(self, candidates: DataFrame) -> DataFrame:
+        needed = candidates.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        if self.built is not None:
+            needed = needed.join(self.built.select("class"), "class", "left_anti")
+        keys = cut_lineage(self.near.select("class", "text_key").join(needed, "class", "left_semi"), "needed_sets")
+        if not keys.isEmpty():
+            wanted = self.texts.sparkSession.sparkContext.broadcast(_marked_slots(keys))
+            # Copies of a text have the same set; they become one row before any join.
+            new = cut_lineage(
+                self.texts.select(_slot(F.col("text_key")).alias("slot"), "text")
+                .mapInArrow(_full_sets(self.shingle, wanted), "class binary, shingles binary")
+                .groupBy("class")
+                .agg(F.max("shingles").alias("shingles"))
+                .join(keys.select("class"), "class", "left_semi"),
+                "shingle_sets",
+            )
+            self.built = new if self.built is None else self.built.unionByName(new)
+        return self.built
+
+
+def _links(candidates: DataFrame, sets: _Sets, similar: int) -> DataFrame:
+    """The candidates whose full sets are similar."""
+    built = sets.of(candidates)
+    if built is None:
+        return candidates
+    full = candidates.join(built.select(F.col("class").alias("a"), F.col("shingles").alias("set_a")), "a").join(
+        built.select(F.col("class").alias("b"), F.col("shingles").alias("set_b")), "b"
     )
-    return full.select("a", "b", "set_a", "set_b").mapInArrow(_verified(similar), "a binary, b binary")
+    verified = full.select("a", "b", "set_a", "set_b").mapInArrow(_verified(similar), "a binary, b binary")
+    return cut_lineage(verified, "links")
+
+
+def _shared_tokens(classes: DataFrame, similar: int) -> DataFrame:
+    """(token, class) of first tokens that several classes of like size have.
+
+    A token stands for a shingle and one of the two size ranges of a class; classes of
+    linkable size have a range in common.
+    """
+
+    def of_several(rows: DataFrame) -> DataFrame:
+        several = rows.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+        return rows.join(several.select("token"), "token", "left_semi")
+
+    tokens = of_several(classes.select("class", "n", F.explode("first0").alias("token")))
+    # A range is a hair wider than the ratio of linkable sizes, so these are never two ranges apart.
+    size = F.floor(F.log("n") / F.lit(float(np.log(100 / similar)) * (1 + 1e-9)))
+    ranges = tokens.select("class", "token", F.explode(F.array(size, size + 1)).alias("range"))
+    return of_several(ranges.select("class", F.xxhash64("token", "range").alias("token")))
 
 
 def _classes(
@@ -373,6 +497,7 @@ def _classes(
 ) -> tuple[DataFrame, DataFrame | None]:
     """(id, text_key, class, n) per row, and (class, comp) of the classes with links."""
     spark = docs.sparkSession
+    bound_batches(spark)
     texts = docs.select(
         F.col(id_col).alias("id"),
         row_key(F.col(text_col)).alias("text_key"),
@@ -388,38 +513,32 @@ def _classes(
         ),
         "summaries",
     )
-    tokens = (
-        summary.filter("n > 0").groupBy("class").agg(F.first("first0").alias("first0"))
-        .select("class", F.explode("first0").alias("token"))
-    )
-    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("token")
-    tokens = cut_lineage(tokens.join(shared, "token"), "shared_tokens")
-    involved = tokens.select("class").distinct()
-    near = summary.filter("n > 0").join(involved, "class", "left_semi")
+    filled = summary.filter("n > 0")
+    classes = filled.groupBy("class").agg(F.first("n").alias("n"), F.first("first0").alias("first0"))
+    groups = cut_lineage(_shared_tokens(classes, similar), "token_groups")
+    involved = groups.select("class").distinct()
+    # Copies are one row before they meet the join: a class of a third of all rows is no hot spot.
     near = cut_lineage(
-        near.groupBy("class").agg(
-            *[F.first(c).alias(c) for c in ("n", "bits", "first1", "first2")], F.min("text_key").alias("text_key")
-        ),
+        filled.groupBy("class")
+        .agg(*[F.first(c).alias(c) for c in ("n", "bits", "first1", "first2")], F.min("text_key").alias("text_key"))
+        .join(involved, "class", "left_semi"),
         "near_classes",
     )
-    if near.isEmpty():
-        return summary.select("id", "text_key", "class", "n"), None
-    chosen = texts.join(near.select("text_key"), "text_key", "left_semi").select("text")
-    sets = cut_lineage(
-        chosen.mapInArrow(_full_sets(shingle), "class binary, shingles binary")
-        .groupBy("class")
-        .agg(F.first("shingles").alias("shingles")),
-        "shingle_sets",
-    )
-    groups = tokens.join(near.select("class", "n", "bits"), "class").select("token", "class", "n", "bits")
-    groups = cut_lineage(groups, "token_groups")
+    sets, summaries = _Sets(texts, near, shingle), near.select("class", "n", "bits")
     links, comps = None, None
-    for round_ in range(HUB_ROUNDS + 1):
+    for round_ in range(3):
         rows = _grouped(groups, comps)
-        pairs = _hub_pairs(rows, round_) if round_ < HUB_ROUNDS else _block_pairs(rows, similar)
-        found = cut_lineage(_links(cut_lineage(pairs, "pairs"), near, sets, similar), "links")
+        if round_ == 0:
+            pairs = _hub_pairs(rows)
+        else:
+            pairs = _block_pairs(rows, summaries, similar, CLOSEST if round_ == 1 else None)
+        found = _links(_candidates(cut_lineage(pairs, "pairs"), near, similar), sets, similar)
         links = found if links is None else links.unionByName(found)
-        comps = components(links, f"round_{round_}")
+        comps = components(links, f"round_{round_}", whole=round_ == 2)
+        if round_ == 0:
+            # The only pair of a group of two has met now.
+            large = groups.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 2")
+            groups = cut_lineage(groups.join(large.select("token"), "token", "left_semi"), "large_groups")
     return summary.select("id", "text_key", "class", "n"), comps
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Characters hashed at once; a longer text is taken alone.
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 400_000
 
 _RANDOM = np.random.default_rng(7)
 #: A random number per byte, and an odd base whose powers tell positions in a word apart.

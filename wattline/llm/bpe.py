@@ -33,6 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattline.llm.batches import bound_batches
 from wattline.session import scratch_path
 
 #: Characters whose words share one numbering; bounds the memory of a task.
@@ -287,9 +288,19 @@ def _reassemble(documents: pa.Table, words: pa.Table) -> pa.Table:
     return pa.Table.from_batches(out, pa.schema([("id", kind), ("n_tokens", pa.int64()), ("ids", pa.binary())]))
 
 
+_TABLES = "wattline_blocks_"
+
+
+def drop_block_tables(spark: SparkSession) -> None:
+    """Forget the bucketed tables of finished encodings; their files lie in the shared folder."""
+    for table in spark.catalog.listTables():
+        if table.name.startswith(_TABLES):
+            spark.sql(f"DROP TABLE IF EXISTS {table.name}")
+
+
 def _bucketed(spark: SparkSession, rows: DataFrame, buckets: int) -> DataFrame:
-    """`rows` as a table bucketed by block in the shared folder."""
-    name = f"blocks_{uuid.uuid4().hex}"
+    """`rows` as a table bucketed by block in the shared folder; it has to stay until the result is read."""
+    name = f"{_TABLES}{uuid.uuid4().hex}"
     (
         rows.write.format("parquet")
         .option("path", scratch_path(spark, name))
@@ -310,6 +321,7 @@ def encode(
 ) -> DataFrame:
     """Per row: id, n_tokens and ids (binary). Words are dealt out over `spark.sql.shuffle.partitions`."""
     spark = docs.sparkSession
+    bound_batches(spark)
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema[id_col].dataType.simpleString()
@@ -356,6 +368,7 @@ def _decode(tokens):
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """Adds `decoded`, the bytes of the ids, to rows (id, n_tokens, ids)."""
+    bound_batches(encoded.sparkSession)
     by_rank = {rank: token for token, rank in read_ranks(ranks_path).items()}
     table = [by_rank.get(rank, b"") for rank in range(max(by_rank, default=-1) + 1)]
     tokens = encoded.sparkSession.sparkContext.broadcast(table)

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattline.llm.batches import bound_batches
+
 # Element and attribute names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -282,6 +284,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per page: page_id, url, text and n_chars (code points)."""
+    bound_batches(pages.sparkSession)
     kind = pages.schema[id_col].dataType.simpleString()
     rows = pages.select(
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")

@@ -4,7 +4,7 @@ A profile is the list of the most frequent 1- to 3-grams of letters (words padde
 blank, case folded by lower-casing), most frequent first, ties by code points. A document gets
 the language whose profile is nearest by out-of-place distance: the sum over the document's
 own most frequent n-grams of how far their ranks are apart, or the profile's length where the
-profile lacks the n-gram. Texts are counted whole, some million characters at a time.
+profile lacks the n-gram. Texts are counted whole, a few at a time.
 
 Profiles are learned from a bounded sample: `LEARN_ROWS` expected rows per language, picked
 by a hash; with fewer rows all are used. Only profiles (rank lists) reach the driver.
@@ -23,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattline.llm.batches import bound_batches
+
 #: n-grams in a profile and in a document's list.
 PROFILE = 300
 #: Expected number of learning rows per language.
 LEARN_ROWS = 3_000
 #: Characters counted at once; a longer text is counted alone.
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 400_000
 
 _COUNT_BITS, _PLACE_BITS = 24, 24
 
@@ -144,6 +146,7 @@ def _count_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 def learn_profiles(rows: DataFrame, size: int = PROFILE, learn_rows: int = LEARN_ROWS) -> dict[str, list[str]]:
     """Profile by language from rows (id, text, lang); rows without text or lang are left out."""
+    bound_batches(rows.sparkSession)
     known = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     totals = {row["lang"]: row["n"] for row in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.lit(0.0)
@@ -194,6 +197,7 @@ def predict(
     docs: DataFrame, profiles: dict[str, list[str]], keep: list[str], text_col: str = "text", size: int = PROFILE
 ) -> DataFrame:
     """The columns `keep` of each row with lang_pred and score."""
+    bound_batches(docs.sparkSession)
     needed = keep if text_col in keep else [*keep, text_col]
     kept, place = len(keep), needed.index(text_col)
     chosen = docs.select(*[docs[f"`{name}`"] for name in needed])

@@ -12,6 +12,8 @@ from wattline.session import cut_lineage
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Texts in any of the learned languages score 0.4 and more; below half of that is another script or no language.
 LEAST_SCORE = 0.2
+#: Near duplicates of the pipeline: word shingles of this length, similarity in percent.
+NEAR_SHINGLE, NEAR_SIMILAR = 5, 80
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates."""
-    return jaccard.keep_one(docs.select(*COLUMNS))
+    return jaccard.keep_one(docs.select(*COLUMNS), shingle=NEAR_SHINGLE, similar=NEAR_SIMILAR)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

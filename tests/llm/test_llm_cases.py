@@ -246,6 +246,21 @@ def test_components_equal_brute_force(spark):
     assert bag(got) == _near(rows)
 
 
+@pytest.mark.parametrize("shingle, similar", [(5, 80), (4, 97)])
+def test_components_of_other_shingles_equal_brute_force(spark, shingle, similar):
+    random.seed(8)
+    base = [f"w{at}" for at in range(120)]
+    rows = edge_rows()
+    for at in range(200):
+        words = base[:]
+        for _ in range(random.randint(0, 6)):
+            words[random.randrange(120)] = f"X{random.random()}"
+        rows.append((5000 - at, " ".join(words[random.randint(0, 12) :])))
+    got = jaccard.near_duplicates(table(spark, rows), shingle=shingle, similar=similar)
+    got = got.select("doc_id", "n_shingles", "component_id").collect()
+    assert bag(got) == bag(brute.components(rows, shingle, similar))
+
+
 def test_one_row_of_each_component_stays(spark):
     rows = [(3, "a b c d"), (2, "A b c d"), (2, "A b c d"), (5, ""), (5, ""), (6, None), (None, "a b c d"), (7, "z y x")]
     kept = jaccard.keep_one(table(spark, rows))

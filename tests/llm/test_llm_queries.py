@@ -132,6 +132,28 @@ def test_pipeline_stages_work_on_what_came_before(spark, docs, tmp_path):
     raise AssertionError("no token stage")
 
 
+def test_near_duplicate_stage_takes_five_words_and_80_percent(spark, docs):
+    frame = spark.read.parquet(f"{SF}/documents.parquet")
+    got = {row.doc_id for row in corpus_pipeline.near_duplicate_stage(spark, frame, SF).collect()}
+    rows = [(row.doc_id, row.text) for row in docs]
+    firsts = {first for _, _, first in brute.components(rows, 5, 80)}
+    assert got == firsts < {first for _, _, first in brute.components(rows)}
+
+
+def test_later_stages_work_on_what_the_near_duplicate_stage_keeps(spark, docs, tmp_path):
+    frame = spark.read.parquet(f"{SF}/documents.parquet")
+    items = [(row.item_id, row.text) for row in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    rows = {row.doc_id: row.text for row in docs}
+    firsts = {first for _, _, first in brute.components(list(rows.items()), 5, 80)}
+    bad = {row[0] for row in brute.contamination(list(rows.items()), items) if row[-1]}
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("n-gram Jaccard join", "benchmark decontamination", "byte-level BPE"):
+        stages[name](spark, frame, SF).write.parquet(str(tmp_path / name))
+        frame = spark.read.parquet(str(tmp_path / name))
+    got = {row.doc_id: row.decoded_sha256 for row in frame.collect()}
+    assert got == {d: hashlib.sha256(rows[d].encode()).hexdigest() for d in firsts - bad}
+
+
 def test_pipeline_run_is_its_stages(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]

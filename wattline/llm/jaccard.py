@@ -2,8 +2,8 @@
 
 Documents with equal shingle sets form one class. Classes that link at a Jaccard similarity of
 at least 90 % share, under *any* global order of shingles, one of the first n - ceil(0.9 n) + 1.
-Three orders are used. Order 0 begins with a sixth of all shingles, the rarest of them first
-by the counts of a fixed-size sketch; the others are orders of two more hashes. Candidates share
+Three orders are used. Order 0 begins with a sixth of all shingles (at 80 % with a third), the
+rarest of them first by the counts of a fixed-size sketch; the others are orders of two more hashes. Candidates share
 a first token under order 0 and a size range; they go on only if the bits that one set's bitmap
 has and the other lacks are few enough and if they share first tokens under orders 1 and 2 too.
 What is left is verified on the full sets, and only those sets are built.
@@ -40,9 +40,8 @@ SHINGLE = 3
 #: Similarity in percent: 100 * intersection >= SIMILAR * union.
 SIMILAR = 90
 #: The frequency sketch has 2 ** SKETCH_BITS counters whatever the data's size (one byte each)
-#: and counts one shingle in COUNTED, about as many as first tokens need.
+#: and counts some of the shingles, about as many as first tokens need.
 SKETCH_BITS = 24
-COUNTED = 6
 _SKETCH_PIECES = 32
 #: 64-bit words in a set's bitmap.
 BITMAP = 16
@@ -60,16 +59,16 @@ def prefix_size(n: int, similar: int = SIMILAR) -> int:
     return n + (-similar * n) // 100 + 1
 
 
-def _counted(found: np.ndarray) -> np.ndarray:
-    """Whether the sketch counts a shingle; independent of its counter."""
-    return found % np.uint64(1 << 20) % np.uint64(COUNTED) == 0
+def _counted(found: np.ndarray, similar: int) -> np.ndarray:
+    """Whether the sketch counts a shingle (one in six at 90 %); independent of its counter."""
+    return found % np.uint64(1 << 20) % np.uint64(max(60 // max(100 - similar, 1), 1)) == 0
 
 
 def _counter(found: np.ndarray) -> np.ndarray:
     return (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def _sketch(shingle: int):
+def _sketch(shingle: int, similar: int):
     """Counters that a task has raised: one compressed row of (steps, counts) per piece."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,7 +76,7 @@ def _sketch(shingle: int):
         for batch in batches:
             for _, texts in chunks(batch.column(0).to_pylist()):
                 found = np.concatenate([*shingle_lists(texts, shingle)])
-                raised, times = np.unique(_counter(found[_counted(found)]), return_counts=True)
+                raised, times = np.unique(_counter(found[_counted(found, similar)]), return_counts=True)
                 # What a task counts beyond 16 bits is frequent in any case.
                 total[raised] = np.minimum(total[raised] + times, 65_535)
         rows: dict[str, list] = {"piece": [], "n": [], "counts": []}
@@ -115,9 +114,9 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield levels()
 
 
-def frequency_levels(texts: DataFrame, shingle: int = SHINGLE) -> bytes:
+def frequency_levels(texts: DataFrame, shingle: int = SHINGLE, similar: int = SIMILAR) -> bytes:
     """Levels of the sketch's counters over all texts: a fixed number of bytes."""
-    counted = texts.mapInArrow(_sketch(shingle), "piece long, n long, counts binary")
+    counted = texts.mapInArrow(_sketch(shingle, similar), "piece long, n long, counts binary")
     summed = (
         counted.repartition(_SKETCH_PIECES, "piece")
         .sortWithinPartitions("piece")
@@ -157,7 +156,7 @@ def _summaries(shingle: int, similar: int, levels):
                     for order, salt in enumerate(_SALTS):
                         keys = mixed(found ^ salt)
                         if order == 0:
-                            rarity = np.where(_counted(found), level[_counter(found)], 255).astype(np.uint64)
+                            rarity = np.where(_counted(found, similar), level[_counter(found)], 255).astype(np.uint64)
                             keys = rarity << np.uint64(56) | keys >> np.uint64(8)
                         count = prefix_size(len(found), similar)
                         kept = _first_tokens(keys, count) if len(found) else keys
@@ -503,7 +502,7 @@ def _classes(
         row_key(F.col(text_col)).alias("text_key"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    levels = spark.sparkContext.broadcast(frequency_levels(texts.select("text"), shingle))
+    levels = spark.sparkContext.broadcast(frequency_levels(texts.select("text"), shingle, similar))
     kind = docs.schema[id_col].dataType.simpleString()
     summary = cut_lineage(
         texts.mapInArrow(

@@ -261,6 +261,41 @@ def test_components_of_other_shingles_equal_brute_force(spark, shingle, similar)
     assert bag(got) == bag(brute.components(rows, shingle, similar))
 
 
+def test_links_inside_components_equal_brute_force(spark):
+    random.seed(9)
+    base = [f"w{at}" for at in range(150)]
+    rows = [(at, text) for at, (_, text) in enumerate(edge_rows())]
+    for at in range(600):
+        words = base[:]
+        for _ in range(random.randint(0, 4)):
+            words[random.randrange(150)] = f"X{random.randrange(50)}"
+        rows.append((1000 + at, " ".join(words)))
+    sets = {}
+    for doc, text in rows:
+        words = brute.spaced_words((text or "").lower())
+        if words:
+            key = frozenset(tuple(words[i : i + 3]) for i in range(max(len(words) - 2, 1)))
+            sets.setdefault(key, set()).add(doc)
+    links = {
+        frozenset([min(sets[a]), min(sets[b])])
+        for a in sets for b in sets
+        if a != b and 100 * len(a & b) >= 90 * len(a | b)
+    }
+    members, pairs = jaccard.similar_classes(table(spark, rows))
+    members, pairs = members.collect(), pairs.collect()
+    assert sorted(r.doc_id for r in members) == sorted(d for d, _ in rows)
+    least = {}
+    for r in members:
+        if r.n_shingles:
+            least[bytes(r["class"])] = min(least.get(bytes(r["class"]), r.doc_id), r.doc_id)
+    assert sorted(least.values()) == sorted(map(min, sets.values()))
+    got = [frozenset([least[bytes(p.a)], least[bytes(p.b)]]) for p in pairs]
+    assert len(got) == len(set(got)) and set(got) == links
+    assert len(links) > 10 * len(sets)
+    for r in members:
+        assert r.n_links == (sum(least[bytes(r["class"])] in pair for pair in links) if r.n_shingles else 0)
+
+
 def test_one_row_of_each_component_stays(spark):
     rows = [(3, "a b c d"), (2, "A b c d"), (2, "A b c d"), (5, ""), (5, ""), (6, None), (None, "a b c d"), (7, "z y x")]
     kept = jaccard.keep_one(table(spark, rows))

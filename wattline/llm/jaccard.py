@@ -491,10 +491,10 @@ def _shared_tokens(classes: DataFrame, similar: int) -> DataFrame:
     return of_several(ranges.select("class", F.xxhash64("token", "range").alias("token")))
 
 
-def _classes(
+def _prepared(
     docs: DataFrame, id_col: str, text_col: str, shingle: int, similar: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """(id, text_key, class, n) per row, and (class, comp) of the classes with links."""
+) -> tuple[DataFrame, DataFrame, DataFrame, _Sets]:
+    """Summary per row, (token, class) of shared first tokens, the classes that have any, and their sets."""
     spark = docs.sparkSession
     bound_batches(spark)
     texts = docs.select(
@@ -523,7 +523,15 @@ def _classes(
         .join(involved, "class", "left_semi"),
         "near_classes",
     )
-    sets, summaries = _Sets(texts, near, shingle), near.select("class", "n", "bits")
+    return summary.select("id", "text_key", "class", "n"), groups, near, _Sets(texts, near, shingle)
+
+
+def _classes(
+    docs: DataFrame, id_col: str, text_col: str, shingle: int, similar: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """(id, text_key, class, n) per row, and (class, comp) of the classes with links."""
+    members, groups, near, sets = _prepared(docs, id_col, text_col, shingle, similar)
+    summaries = near.select("class", "n", "bits")
     links, comps = None, None
     for round_ in range(3):
         rows = _grouped(groups, comps)
@@ -538,7 +546,35 @@ def _classes(
             # The only pair of a group of two has met now.
             large = groups.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 2")
             groups = cut_lineage(groups.join(large.select("token"), "token", "left_semi"), "large_groups")
-    return summary.select("id", "text_key", "class", "n"), comps
+    return members, comps
+
+
+def similar_classes(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    similar: int = SIMILAR,
+) -> tuple[DataFrame, DataFrame]:
+    """(members, links): every link between different shingle sets, also inside a component.
+
+    `members` has per row doc_id, text_key, class, n_shingles and n_links (links of its class;
+    documents of one class have equal sets), `links` the class pairs (a, b) with a < b. No class
+    counts as connected yet, so the blocks test each pair of a family: members and tests grow
+    with the square of a large group of near copies, as the links themselves do.
+    """
+    rows, groups, near, sets = _prepared(docs, id_col, text_col, shingle, similar)
+    pairs = _block_pairs(_grouped(groups, None), near.select("class", "n", "bits"), similar, None)
+    links = _links(_candidates(cut_lineage(pairs, "pairs"), near, similar), sets, similar)
+    degrees = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count(F.lit(1)).alias("n_links"))
+    members = rows.join(degrees, "class", "left").select(
+        F.col("id").alias("doc_id"),
+        "text_key",
+        "class",
+        F.col("n").alias("n_shingles"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    )
+    return members, links
 
 
 def _named(rows: DataFrame, comps: DataFrame | None) -> DataFrame:

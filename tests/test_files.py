@@ -127,6 +127,21 @@ def test_panels_read_published_days(spark, sf_dir, name):
     assert queries.LO > queries.derived.WINDOW[0] and queries.HI < queries.derived.WINDOW[1]
 
 
+def test_all_published_hours_are_read_back(spark, sf_dir, plant):
+    from wattline import queries
+
+    whole = queries.queries()["publish_hourly_whole"](spark, sf_dir)
+    got = {r.table_name: r["count"] for r in whole.groupBy("table_name").count().collect()}
+    assert got == {
+        "state_energy_summary_hourly": plant.energy_hourly.count(),
+        "detailed_state_energy_summary_hourly": plant.detailed_hourly.count(),
+        "oee_energy_summary_hourly": plant.oee.count(),
+        "regression_base_hourly": plant.base.count(),
+    }
+    shown = queries.queries()["publish_hourly"](spark, sf_dir)
+    assert 0 < shown.count() < whole.count()
+
+
 def test_upsert_replaces_and_inserts(spark):
     old = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     new = spark.createDataFrame([("b", 3), ("c", 4)], "k string, v int")

@@ -545,6 +545,11 @@ def _publish_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _publish_hourly_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four hourly tables, read back whole."""
+    return _stored_rows(spark, _published(spark, sf_dir), list(schemas.HOURLY_TABLES))
+
+
 def _through_json(spark: SparkSession, frame: DataFrame) -> DataFrame:
     path = scratch_path(spark, "metadata.json")
     sinks.export_run_metadata(frame, path)
@@ -599,6 +604,7 @@ FILES: dict[str, Query] = {
     "full_refresh_load": _full_refresh_load,
     "rebuild_enriched": _rebuild_enriched,
     "publish_hourly": _publish_hourly,
+    "publish_hourly_whole": _publish_hourly_whole,
     "export_csv": _exported_base,
     "export_run_metadata": _export_run_metadata,
     "run_metadata": _run_metadata,

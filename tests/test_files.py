@@ -142,6 +142,22 @@ def test_all_published_hours_are_read_back(spark, sf_dir, plant):
     assert 0 < shown.count() < whole.count()
 
 
+def test_full_refresh_load_clears_published_hours(spark, sf_dir, monkeypatch):
+    from wattline import queries
+
+    before, refresh = [], sinks.full_refresh
+
+    def watched(spark, frames, out_dir, *rest):
+        tables = schemas.HOURLY_TABLES if store.current(spark, out_dir) else []
+        before.append({t: store.read_table(spark, out_dir, t).count() for t in tables})
+        refresh(spark, frames, out_dir, *rest)
+
+    monkeypatch.setattr(sinks, "full_refresh", watched)
+    after = queries.queries()["full_refresh_load"](spark, sf_dir)
+    assert before[0] == {} and len(before[1]) == 4 and all(before[1].values())
+    assert after.filter(F.col("table_name").isin(*schemas.HOURLY_TABLES)).isEmpty()
+
+
 def test_upsert_replaces_and_inserts(spark):
     old = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     new = spark.createDataFrame([("b", 3), ("c", 4)], "k string, v int")

@@ -217,15 +217,20 @@ HOURLY: dict[str, Query] = {
     "kpi_invariants": _on(lambda p: quality.kpi_invariants(p.totals)),
 }
 
+def _publish_all(spark: SparkSession, plant: Plant, out_dir: str) -> None:
+    """Base, derived and hourly tables of one input."""
+    sinks.full_refresh(spark, plant.tables, out_dir, quality.primary_keys)
+    sinks.rebuild_enriched(spark, plant.tables, out_dir)
+    stored = {**plant.tables, "energy_enriched": store.read_table(spark, out_dir, "energy_enriched")}
+    sinks.publish_hourly(spark, stored, out_dir)
+
+
 def _published(spark: SparkSession, sf_dir: str) -> str:
     """The folder of all published tables of one input."""
 
     def build() -> str:
-        out_dir, plant = scratch_path(spark, "plant"), Plant(spark, sf_dir)
-        sinks.full_refresh(spark, plant.tables, out_dir, quality.primary_keys)
-        sinks.rebuild_enriched(spark, plant.tables, out_dir)
-        stored = {**plant.tables, "energy_enriched": store.read_table(spark, out_dir, "energy_enriched")}
-        sinks.publish_hourly(spark, stored, out_dir)
+        out_dir = scratch_path(spark, "plant")
+        _publish_all(spark, Plant(spark, sf_dir), out_dir)
         return out_dir
 
     return _stage(pin_utc(spark), sf_dir, "published", build)
@@ -524,8 +529,7 @@ def _full_refresh_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All tables after a refresh over published figures: base tables are new, the rest is empty."""
     out_dir = scratch_path(spark, "plant")
     plant = Plant(spark, sf_dir)
-    sinks.full_refresh(spark, plant.tables, out_dir, quality.primary_keys)
-    sinks.rebuild_enriched(spark, plant.tables, out_dir)
+    _publish_all(spark, plant, out_dir)
     sinks.full_refresh(spark, plant.tables, out_dir, quality.primary_keys)
     return _stored_rows(spark, out_dir, [*schemas.BASE_TABLES, *schemas.DERIVED_TABLES, *schemas.HOURLY_TABLES])
 

@@ -340,6 +340,24 @@ def test_html_cases():
     )
 
 
+def test_text_in_links_stays_unless_it_is_a_list_of_links():
+    page = """<body><article><h1>The title</h1><p>First paragraph with enough words to count as text.</p>
+    <p><a href=a><b>A whole sentence is one link.</b></a></p>
+    <p><a href=a>Two links</a> and <a href=b>hardly more</a></p>
+    <table><tr><td><a href=a>Cell one</a> <a href=b>cell two</a></td></tr></table>
+    <blockquote><ul><li><a href=a>Quoted one</a></li><li><a href=b>quoted two</a></li></ul></blockquote>
+    <ul><li><a href=a>Item one</a>, <a href=b>two</a></li><li>and an item of words that no link holds</li></ul>
+    <div><p><a href=a>Boxed</a> <a href=b>links</a></p></div>
+    <ul><li><a href=a>Menu one</a></li><li><a href=b>Menu two</a></li></ul><div><a href=a>Menu</a> <a href=b>three</a></div>
+    <p>Last paragraph, also long enough to matter here.</p></article></body>"""
+    assert html_text.main_text(page) == (
+        "The title First paragraph with enough words to count as text. A whole sentence is one link. "
+        "Two links and hardly more Cell one cell two Quoted one quoted two "
+        "Item one, two and an item of words that no link holds Boxed links "
+        "Last paragraph, also long enough to matter here."
+    )
+
+
 def test_language_of_odd_texts(spark):
     rows = [(at, text) for at, text in enumerate([None, "", "123 !?", "the cat and the dog", "THE CAT AND THE DOG"])]
     english = spark.createDataFrame([(at, "the cat and the dog and the house", "en") for at in range(5)], "id long, text string, lang string")

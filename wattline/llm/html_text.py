@@ -7,7 +7,8 @@ adds up its children. The node with the largest sum is the core. On the path fro
 the body, nodes are taken as long as they are dense enough: at least as the thinnest node of the
 path, which is the usual threshold, and half as dense as the core, so that sections are gathered
 but not a page around them. An article or main element on the path ends it. Inside the chosen
-node, parts that are mostly links are left out.
+node, lists and boxes of two links or more that are mostly links are left out, but nothing in or
+around a paragraph, heading, quotation, table cell or description.
 
 Pages are independent rows; the tree of one page lives only while its row is read.
 
@@ -64,18 +65,22 @@ CLOSES = {
     "th": (("td", "th"), ("tr", "table")),
     "option": (("option",), ("select",)),
 }
+#: Blocks that can be a list of links, and those whose text always stays.
+LINK_LISTS = frozenset("ul ol dl dir div section".split())
+PROSE = frozenset("p td th dd blockquote pre caption figcaption h1 h2 h3 h4 h5 h6".split())
 _P_SCOPE = frozenset("table td th button object caption".split())
 
 
 class Node:
     """An element; `parts` holds its texts and child elements in page order."""
 
-    __slots__ = ("chars", "children_sum", "density", "doubted", "dropped", "link_chars", "link_tags", "parent", "parts", "tag", "tags")
+    __slots__ = ("chars", "children_sum", "density", "doubted", "dropped", "link_chars", "link_tags", "links", "parent", "parts", "prose", "tag", "tags")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool = False, doubted: bool = False) -> None:
         self.tag, self.parent, self.dropped, self.doubted = tag, parent, dropped, doubted
         self.parts: list[str | Node] = []
-        self.chars = self.link_chars = self.tags = self.link_tags = 0
+        self.chars = self.link_chars = self.tags = self.link_tags = self.links = 0
+        self.prose = False
         self.density = self.children_sum = 0.0
 
     def children(self) -> Iterator[Node]:
@@ -175,11 +180,13 @@ def _postorder(root: Node) -> list[Node]:
 
 
 def _measure(order: list[Node]) -> None:
-    """Characters and tags below each node, own texts included, and those inside links."""
+    """Characters and tags below each node, own texts included, those inside links, and the links."""
     for node in order:
         own = sum(len(part.strip()) for part in node.parts if isinstance(part, str))
         node.chars = own + sum(child.chars for child in node.children())
         node.tags = sum(child.tags + 1 for child in node.children())
+        node.links = (node.tag == "a") + sum(child.links for child in node.children())
+        node.prose = node.tag in PROSE or any(child.prose for child in node.children())
         if node.tag == "a":
             node.link_chars, node.link_tags = node.chars, node.tags + 1
         else:
@@ -221,8 +228,8 @@ def _select(body: Node, order: list[Node]) -> list[Node]:
     return [child for child in top.parent.children() if child is top or child.density >= beside]
 
 
-def _mostly_links(node: Node) -> bool:
-    return node.link_tags >= 2 and 2 * node.link_chars > node.chars
+def _link_list(node: Node) -> bool:
+    return node.tag in LINK_LISTS and not node.prose and node.links >= 2 and 2 * node.link_chars > node.chars
 
 
 def _blocks(node: Node) -> Iterator[str]:
@@ -239,7 +246,7 @@ def _blocks(node: Node) -> Iterator[str]:
                 buffer = []
         elif isinstance(part, str):
             buffer.append(part)
-        elif part.kept and not (part.tag not in INLINE and _mostly_links(part)):
+        elif part.kept and not (_link_list(part) and not any(above.tag in PROSE for above, _ in stack)):
             if part.tag not in INLINE:
                 yield "".join(buffer)
                 buffer = []

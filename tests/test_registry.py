@@ -40,3 +40,13 @@ def test_entry(spark):
     df = entry.entry(spark)
     assert {"bucket_start", "machine_id", "availability", "performance", "quality", "oee"} <= set(df.columns)
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["regression_summary_by_machine", "scan_summary_json_by_machine"])
+def test_summaries_by_machine_have_every_section_of_each_machine(spark, sf_dir, name):
+    rows = QUERIES[name](spark, sf_dir).select("target", "machine_id", "section").distinct().collect()
+    fitted = QUERIES["model_status"](spark, sf_dir).filter("model_type = 'gamma_glm' AND status = 'ok'")
+    groups = {(r.target, r.machine_id) for r in fitted.collect()}
+    sections = ["metrics", "significant_coefficients", "sensitivity", "univariate_gamma_glm", "vif"]
+    assert {tuple(r) for r in rows} == {(*group, section) for group in groups for section in sections}
+    assert len({machine for _, machine in groups}) > 1

@@ -65,10 +65,10 @@ FROM (SELECT r.*, n, m1, m2, m3,
   FROM {prefix}_rows r JOIN {prefix}_inv i ON i.g = r.g)"""
 
 
-def _one_feature(prefix: str) -> None:
-    """Row weights of the regressions on one feature each."""
+def _one_feature(prefix: str, group: str = "target") -> None:
+    """Row weights of the regressions on one feature each, grouped by `group`."""
     PARTS[f"{prefix}_rows"] = "\nUNION ALL\n".join(
-        f"SELECT target, '{name}' AS feature, target || '|{name}' AS g, y, x{i} AS x1 FROM mrows"
+        f"SELECT target, '{name}' AS feature, {group} || '|{name}' AS g, y, x{i} AS x1 FROM mrows"
         for i, name in enumerate(_FEATURES, 1)
     )
     PARTS[f"{prefix}_weights"] = f"""
@@ -154,6 +154,8 @@ _gamma_steps("each", 3)
 _ols_errors("each")
 _one_feature("uni")
 _gamma_steps("uni", 1)
+_one_feature("each_uni", "target || '|' || machine_id")
+_gamma_steps("each_uni", 1)
 
 _TARGET = "split_part(g, '|', 1) AS target"
 _MACHINE = "split_part(g, '|', 2) AS machine_id"
@@ -400,10 +402,27 @@ _BOUNDS = {"p_value": "p", "ci_lower": "lo", "ci_upper": "hi"}
 _FIGURES = ["aic", "bic", "rsquared", "rsquared_adj", "deviance", "null_deviance", "pseudo_r2"]
 _UNI_JOINED = f"(SELECT c.*, m.aic, m.pseudo_r2, m.deviance, m.null_deviance {_UNI_FROM})"
 _VIF_ROWS = f"({_VIF})"
+# The same per machine; g begins with target and machine.
+PARTS["each_uni_coefs"] = f"""
+SELECT g, split_part(g, '|', 3) AS feature, n, b1 AS b, se, {_normal_tail("(b1 / se)")} AS p,
+  b1 - 1.959963984540054 * se AS lo, b1 + 1.959963984540054 * se AS hi, (exp(b1 * 0.01) - 1.0) * 100.0 AS pct
+FROM (SELECT *, sqrt(scale * c1) AS se FROM each_uni_glm)"""
+_EACH_UNI_JOINED = "(SELECT c.*, m.aic, m.pseudo_r2 FROM each_uni_coefs c JOIN each_uni_glm_metrics m ON m.g = c.g)"
+_EACH_VIF_ROWS = "({})".format(
+    _VIF.replace("SELECT target, '", "SELECT target || '|' || machine_id AS g, '")
+    .replace("SELECT target, corr", "SELECT target, machine_id, corr")
+    .replace("GROUP BY target", "GROUP BY target, machine_id")
+)
+
 
+def _documents(by_machine: bool = False) -> str:
+    fits = "each" if by_machine else "pool"
+    uni, group = (_EACH_UNI_JOINED, "split_part(g, '|', 1), split_part(g, '|', 2)") if by_machine else (_UNI_JOINED, "target")
+    vif, vif_group = (_EACH_VIF_ROWS, "g") if by_machine else (_VIF_ROWS, "target")
 
-def _documents() -> str:
     def head(section: str) -> str:
+        if by_machine:
+            return f"{_TARGET}, {_MACHINE}, '{section}' AS section, position"
         target = "target" if section in ("univariate_gamma_glm", "vif") else "g AS target"
         return f"{target}, '{section}' AS section, position"
 
@@ -412,27 +431,27 @@ def _documents() -> str:
             "metrics",
             {"n_obs": "n", **{c: c for c in _FIGURES}},
             {"model_type": "model_type"},
-            "(SELECT *, 0 AS position FROM pool_metrics WHERE model_type = 'gamma_glm')",
+            f"(SELECT *, 0 AS position FROM {fits}_metrics WHERE model_type = 'gamma_glm')",
         ),
         (
             "significant_coefficients",
             {"coefficient": "b", **_BOUNDS},
             {"feature": "parameter", "is_significant": "p < 0.05", "direction": _TWO_WORDS},
-            f"(SELECT *, {_place('p >= 0.05, p')} FROM pool_coefs WHERE model_type = 'gamma_glm' AND parameter <> 'const')",
+            f"(SELECT *, {_place('p >= 0.05, p')} FROM {fits}_coefs WHERE model_type = 'gamma_glm' AND parameter <> 'const')",
         ),
         (
             "sensitivity",
             {"beta": "b", "estimated_pct_change_for_1pp": "pct", "p_value": "p", "absolute_effect_rank": "effect_rank"},
             {"feature": "parameter", "direction": "direction", "is_significant": "p < 0.05"},
-            f"(SELECT *, {_place('effect_rank')} FROM pool_effects WHERE model_type = 'gamma_glm')",
+            f"(SELECT *, {_place('effect_rank')} FROM {fits}_effects WHERE model_type = 'gamma_glm')",
         ),
         (
             "univariate_gamma_glm",
             {"beta": "b", **_BOUNDS, "estimated_pct_change_for_1pp": "pct", "aic": "aic", "pseudo_r2": "pseudo_r2"},
             {"feature": "feature", "direction": _THREE_WORDS, "is_significant": "p < 0.05"},
-            f"(SELECT *, {_place('p', 'target')} FROM {_UNI_JOINED})",
+            f"(SELECT *, {_place('p', group)} FROM {uni})",
         ),
-        ("vif", {"vif": "vif"}, {"feature": "feature"}, f"(SELECT *, {_place('feature', 'target')} FROM {_VIF_ROWS})"),
+        ("vif", {"vif": "vif"}, {"feature": "feature"}, f"(SELECT *, {_place('feature', vif_group)} FROM {vif})"),
     ]
     return "\nUNION ALL\n".join(
         cell for name, figures, texts, source in sections for cell in _cells(head(name), figures, texts, source)
@@ -487,3 +506,4 @@ def _exports() -> str:
 
 
 QUERIES.update(regression_summary=_documents(), scan_summary_json=_documents(), export_model_outputs=_exports())
+QUERIES.update(regression_summary_by_machine=_documents(True), scan_summary_json_by_machine=_documents(True))

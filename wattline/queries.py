@@ -383,7 +383,8 @@ REPORT: dict[str, Query] = {
         _each, lambda r: report.top_sensitivity(report.sensitivity_rows(r.sensitivity), r.by)
     ),
     "effects_split": _with(_each, _effect_names),
-    "regression_summary": lambda spark, sf_dir: _flattened(_summary_frame(spark, sf_dir)),
+    "regression_summary": lambda spark, sf_dir: _flattened(_summary_frame(spark, sf_dir, _pooled)),
+    "regression_summary_by_machine": lambda spark, sf_dir: _flattened(_summary_frame(spark, sf_dir, _each), EACH),
     "model_explanation": _with(_each, lambda r: _dashboard(r).select("machine_id", "model_scope", "explanation")),
     "sensitivity_message": _with(
         _each, lambda r: _dashboard(r).select("machine_id", "model_scope", "sensitivity_message")
@@ -409,8 +410,8 @@ REPORT: dict[str, Query] = {
 }
 
 
-def _summary_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _pooled(pin_utc(spark), sf_dir)
+def _summary_frame(spark: SparkSession, sf_dir: str, fits: Callable[[SparkSession, str], RegressionRun]) -> DataFrame:
+    run = fits(pin_utc(spark), sf_dir)
     return report.regression_summary(_documents(run), run.univariate, run.vif, run.by)
 
 
@@ -513,12 +514,16 @@ def _exported_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.scan_typed_csv(spark, path, schemas.REGRESSION_BASE)
 
 
-def _scan_summary_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _scanned_summary(fits: Callable[[SparkSession, str], RegressionRun], keys: tuple[str, ...]) -> Query:
     """The nested documents written as JSON and read back, flattened to their figures."""
-    documents = _summary_frame(spark, sf_dir)
-    path = scratch_path(spark, "summary.json")
-    documents.write.json(path)
-    return _flattened(readers.scan_summary_json(spark, path, documents.schema))
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        documents = _summary_frame(spark, sf_dir, fits)
+        path = scratch_path(spark, "summary.json")
+        documents.write.json(path)
+        return _flattened(readers.scan_summary_json(spark, path, documents.schema), keys)
+
+    return run
 
 
 def _stored_rows(spark: SparkSession, directory: str, tables: Sequence[str]) -> DataFrame:
@@ -604,7 +609,8 @@ FILES: dict[str, Query] = {
     "normalize_nulls": _normalize_nulls,
     "scan_regression_base": _scan_regression_base,
     "scan_regression_csv": _exported_input,
-    "scan_summary_json": _scan_summary_json,
+    "scan_summary_json": _scanned_summary(_pooled, ("target",)),
+    "scan_summary_json_by_machine": _scanned_summary(_each, EACH),
     "full_refresh_load": _full_refresh_load,
     "rebuild_enriched": _rebuild_enriched,
     "publish_hourly": _publish_hourly,

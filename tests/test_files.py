@@ -158,6 +158,26 @@ def test_full_refresh_load_clears_published_hours(spark, sf_dir, monkeypatch):
     assert after.filter(F.col("table_name").isin(*schemas.HOURLY_TABLES)).isEmpty()
 
 
+def test_arrivals_are_written_and_read_by_several_tasks(spark, plant, tmp_path, monkeypatch):
+    from wattline import queries
+
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    rows = plant.enriched.repartition(4)
+    monkeypatch.setattr(queries, "cut_lineage", lambda df, name: df)
+    started = []
+
+    def start(stream):
+        result = hourly.state_energy_hourly(stream, queries.STREAM_DELAY)
+        started.append(hourly.start_updates(result, f"{tmp_path}/log", f"{tmp_path}/checkpoint"))
+        return started[-1]
+
+    queries._arriving(spark, rows, start)
+    folders = [os.listdir(f"{tmp_path}/arrivals/{n}") for n in range(queries.STREAM_ARRIVALS)]
+    assert all(sum(name.endswith(".parquet") for name in names) > 1 for names in folders)
+    read = [sum(p["numInputRows"] > 0 for p in query.recentProgress) for query in started]
+    assert read == [1] * queries.STREAM_ARRIVALS
+
+
 def test_upsert_replaces_and_inserts(spark):
     old = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     new = spark.createDataFrame([("b", 3), ("c", 4)], "k string, v int")

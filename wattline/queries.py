@@ -15,6 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from wattline import schemas
 from wattline.functions import constants as k
@@ -626,31 +627,36 @@ FILES: dict[str, Query] = {
 # --- streams ---------------------------------------------------------------------
 
 
-#: The stream's watermark, and how its input arrives: a file per five days, and of the first file every
+#: The stream's watermark, and how its input arrives: a folder per five days, and of the first folder every
 #: seventh second only with the last one, weeks later than the watermark allows.
 STREAM_DELAY = "2 days"
-STREAM_FILES = 7
+STREAM_ARRIVALS = 7
 
 
-def _arrivals(spark: SparkSession, enriched: DataFrame) -> str:
+def _arriving(spark: SparkSession, enriched: DataFrame, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """One arrival after another, each a folder of as many files as the rows have tasks; after each the
+    stream runs until it has read what is there, as one micro-batch."""
     path = scratch_path(spark, "arrivals")
     stored = cut_lineage(enriched, "energy_enriched")
     day = F.dayofmonth("ts") + F.when(F.month("ts") > 1, 31).otherwise(0)
     late = (day <= 5) & (F.unix_seconds(F.col("ts").cast("timestamp")) % 7 == 0)
-    file = F.when(late, STREAM_FILES - 1).otherwise(F.least(F.floor((day - 1) / 5), F.lit(STREAM_FILES - 1)))
-    for number in range(STREAM_FILES):
-        # One after another: the source takes files in the order of their times.
-        stored.filter(file == number).coalesce(1).write.mode("append").parquet(path)
-    return path
+    last = F.lit(STREAM_ARRIVALS - 1)
+    arrival = F.when(late, last).otherwise(F.least(F.floor((day - 1) / 5), last))
+    for number in range(STREAM_ARRIVALS):
+        stored.filter(arrival == number).write.parquet(f"{path}/{number}")
+        start(hourly.enriched_stream(spark, f"{path}/*")).awaitTermination()
 
 
 def _streamed(build, keys: list[str]) -> Query:
     """Several micro-batches with late rows; the log of updates is compacted and its newest rows are taken."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        arrivals, log = _arrivals(spark, Plant(spark, sf_dir).enriched), scratch_path(spark, "updates")
-        result = build(hourly.enriched_stream(spark, arrivals, files_per_batch=1), STREAM_DELAY)
-        hourly.start_updates(result, log, scratch_path(spark, "stream_checkpoint")).awaitTermination()
+        log, checkpoint = scratch_path(spark, "updates"), scratch_path(spark, "stream_checkpoint")
+        _arriving(
+            spark,
+            Plant(spark, sf_dir).enriched,
+            lambda stream: hourly.start_updates(build(stream, STREAM_DELAY), log, checkpoint),
+        )
         hourly.compact(spark, log, keys)
         return plain(hourly.latest(spark, log, keys))
 
@@ -659,9 +665,12 @@ def _streamed(build, keys: list[str]) -> Query:
 
 def _closed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The append form: hours that the watermark has closed, each written once."""
-    arrivals, closed = _arrivals(spark, Plant(spark, sf_dir).enriched), scratch_path(spark, "closed")
-    result = hourly.state_energy_hourly(hourly.enriched_stream(spark, arrivals, files_per_batch=1), STREAM_DELAY)
-    hourly.start_append(result, closed, scratch_path(spark, "stream_checkpoint")).awaitTermination()
+    closed, checkpoint = scratch_path(spark, "closed"), scratch_path(spark, "stream_checkpoint")
+    _arriving(
+        spark,
+        Plant(spark, sf_dir).enriched,
+        lambda stream: hourly.start_append(hourly.state_energy_hourly(stream, STREAM_DELAY), closed, checkpoint),
+    )
     return plain(spark.read.parquet(closed))
 
 

@@ -16,6 +16,7 @@ from wattline.llm import (
     language,
     licences,
     lines,
+    packing,
     quality_model,
     rules,
     urls,
@@ -76,6 +77,11 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(lines.line_dedup(_table(spark, sf_dir, "documents")))
 
 
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.digest(packing.pack(packing.token_pieces(_table(spark, sf_dir, "documents"), tokenizer)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": license_scan,
@@ -88,4 +94,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": quality_rules,
         "op9_quality_classifier": quality_classifier,
         "op10_line_dedup": line_dedup,
+        "op13_best_fit_packing": best_fit_packing,
     }

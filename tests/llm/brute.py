@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -111,3 +114,81 @@ def propagate(seeds, edges, steps, damping):
             new[dst] += damping * scores.get(src, 0.0) * n / total[src]
         scores = dict(new)
     return scores
+
+
+def runs(words, least=24, times=3):
+    """(start, length, period) of each run, by start and period: every period is tried on its own."""
+    out = []
+    for period in range(1, len(words) // times + 1):
+        at = 0
+        while at + period < len(words):
+            if words[at] != words[at + period]:
+                at += 1
+                continue
+            start = at
+            while at + period < len(words) and words[at] == words[at + period]:
+                at += 1
+            length = at + period - start
+            stretch = words[start : start + length]
+            smaller = any(stretch[q:] == stretch[:-q] for q in range(1, period))
+            if length >= max(least, times * period) and not smaller:
+                out.append((start, length, period))
+    return sorted(out, key=lambda run: (run[0], run[2]))
+
+
+def looped(doc, text):
+    """Words of a text, every tenth id's ending in a loop."""
+    words = spaced_words(text)
+    h = zlib.crc32(str(doc).encode()) if doc is not None else 0
+    g, n = h // 10, len(words)
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def run_digest(doc, text):
+    words = looped(doc, text)
+    found, dropped = runs(words), set()
+    for start, length, period in found:
+        dropped |= set(range(start + period, start + length))
+    best = min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+    strongest = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    listed = "".join(f"{start},{length},{period}\n" for start, length, period in found)
+    kept = " ".join(word for at, word in enumerate(words) if at not in dropped)
+    return (doc, len(found), *strongest, *(hashlib.sha256(s.encode()).hexdigest() for s in (listed, kept)))
+
+
+def sequences(rows):
+    """{sequence: tokens} of (sequence, offset, length); every sequence has to be without gaps."""
+    held = defaultdict(list)
+    for sequence, offset, length in rows:
+        held[sequence].append((offset, length))
+    for parts in held.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+    return {sequence: sum(length for _, length in parts) for sequence, parts in held.items()}
+
+
+def fewest_sequences(lengths, capacity):
+    """The fewest sequences that hold the lengths, by trying everything."""
+    lengths = sorted(lengths, reverse=True)
+    best = len(lengths)
+
+    def place(at, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if at == len(lengths):
+            best = len(rooms)
+            return
+        for room in {r for r in rooms if r >= lengths[at]}:
+            k = rooms.index(room)
+            place(at + 1, [*rooms[:k], room - lengths[at], *rooms[k + 1 :]])
+        place(at + 1, [*rooms, capacity - lengths[at]])
+
+    place(0, [])
+    return best if lengths else 0

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import itertools
 import random
+from collections import Counter
 
 import brute
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wattline.llm import (
+    audit,
     bpe,
     decontam,
     html_text,
@@ -21,13 +25,16 @@ from wattline.llm import (
     language,
     licences,
     lines,
+    packing,
     quality_model,
     rules,
+    runs,
     shingles,
     urls,
 )
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORD_RANKS = public_tokenizers.path("word_bpe_49k.json")
 #: Names that the operators use inside themselves.
 CLASHES = ["key", "row", "words", "id", "class", "n", "token", "block", "window", "place", "hashes", "marks", "stats"]
 
@@ -67,6 +74,9 @@ def run_all(docs, spark):
         8: rules.cascade(docs),
         9: quality_model.classify(docs, labels),
         10: lines.line_dedup(docs),
+        11: audit.failed_filters(docs),
+        12: runs.detect_runs(docs),
+        13: packing.pack(packing.token_pieces(docs, WORD_RANKS)).filter("piece = 0"),
     }
 
 
@@ -440,3 +450,180 @@ def test_trust_and_distrust_walk_the_links(spark):
         excess = against.get(host, 0) - trust.get(host, 0)
         assert verdict == ("block" if excess > urls.THRESHOLD else "allow"), host
     assert got[(5, "fan.org")] == "block" and got[(3, "far.org")] == "allow"
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), max_size=40), max_size=4), st.integers(1, 9), st.sampled_from([1, 6, 24]))
+def test_runs_equal_brute_force(docs, period, least):
+    docs = [[*words, *(words[:period] * 5)] for words in docs]
+    flat = np.array([word for words in docs for word in words], dtype=np.int64)
+    owner = np.repeat(np.arange(len(docs)), [len(words) for words in docs])
+    expected, before = [], 0
+    for words in docs:
+        expected += [(start + before, length, p) for start, length, p in brute.runs(words, least)]
+        before += len(words)
+    assert [tuple(run) for run in runs.find_runs(flat, owner, least).tolist()] == expected
+
+
+def test_runs_of_edge_texts(spark):
+    loop = " ".join(f"w{at % 5000}" for at in range(100_000))
+    rows = [
+        (1, None), (2, ""), (3, "a " * 23), (4, "a " * 24), (4, "a " * 24), (5, "x " + "a b c d e f g h i " * 3 + "y"),
+        (None, "a b " * 12), (6, loop), (7, "\x1c\u00a0 " * 24), (8, "a b " * 12 + "a a b " * 9),
+    ]
+    got = {}
+    for row in runs.detect_runs(table(spark, rows)).collect():
+        found = [tuple(run) for run in row.runs]
+        words = brute.spaced_words(dict(rows)[row.id])
+        assert row.n_words == len(words)
+        got[row.id] = found
+        if row.id != 6:
+            assert found == brute.runs(words)
+    assert got[6] == [(0, 100_000, 5000)] and got[3] == [] and got[4] == [(0, 24, 1)] and got[5] == [(1, 27, 9)]
+    with pytest.raises(ValueError):
+        runs.detect_runs(table(spark, rows), times=2)
+    strongest = {row.doc_id: row for row in runs.digest(runs.detect_runs(table(spark, rows))).collect()}
+    assert strongest[2].n_runs == 0 and strongest[2].start is None and strongest[4].exponent_milli == 24_000
+
+
+def test_loops_are_put_in_by_id_alone(spark):
+    rows = [(doc, "a b c d e f g h i j " * (doc % 7)) for doc in range(200)] + [(None, "a b"), (3, None)]
+    got = runs.with_loops(table(spark, rows)).collect()
+    expected = [(doc, brute.looped(doc, text)) for doc, text in rows]
+    assert bag((row.doc_id, brute.spaced_words(row.text)) for row in got) == bag(expected)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=st.sampled_from("aZ é'sΣſİ中½²_-.!\x1c\u00a0\u0301\t\n1<|>"), max_size=60))
+def test_word_ids_equal_the_library(text):
+    library, words = _word_library()
+    got = np.frombuffer(words.of_text(text), dtype="<u4").tolist()
+    assert got == library.encode(text, add_special_tokens=False).ids
+
+
+def _word_library(kept=[]):
+    if not kept:
+        library = tokenizers.Tokenizer.from_file(WORD_RANKS)
+        kept.append((library, packing.WordIds(tokenizers.Tokenizer.from_file(WORD_RANKS))))
+    return kept[0]
+
+
+def test_word_ids_of_special_strings_and_forgotten_words():
+    library, words = _word_library()
+    kept, packing.KNOWN_WORDS = packing.KNOWN_WORDS, 3
+    try:
+        for text in ("a<|endoftext|>b <|startoftext|>", "don't I'VE we'll x'y 'tis", "one two three four five one two " * 3, "\ud800 é"[2:]):
+            assert np.frombuffer(words.of_text(text), dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    finally:
+        packing.KNOWN_WORDS = kept
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 12), min_size=1, max_size=9))
+def test_plans_hold_all_pieces_in_few_sequences(lengths):
+    counted = Counter(lengths)
+    sequences = packing.plan(list(counted), list(counted.values()), 12)
+    held = Counter()
+    for copies, content in sequences:
+        assert copies > 0 and sum(length * each for length, each in content) <= 12
+        for length, each in content:
+            held[length] += copies * each
+    assert held == counted
+    assert sum(copies for copies, _ in sequences) <= brute.fewest_sequences(lengths, 12) + 1
+
+
+def test_plan_grows_with_lengths_not_with_pieces():
+    rng = np.random.default_rng(3)
+    lengths = sorted(set(rng.integers(1, 4097, 500).tolist()))
+    counts = [int(n) for n in rng.integers(10**9, 10**11, len(lengths))]
+    sequences = packing.plan(lengths, counts)
+    tokens = sum(length * n for length, n in zip(lengths, counts, strict=True))
+    assert sum(copies for copies, _ in sequences) <= 1.02 * tokens / 4096
+    assert len(sequences) < 20_000
+
+
+def test_packing_of_edge_rows(spark):
+    long = " ".join(f"word{at}" for at in range(9000))
+    rows = [(1, None), (2, ""), (None, "one"), (None, "one"), (3, long), (3, long), (4, "end")] + [(9, "same text")] * 50
+    got = packing.pack(packing.token_pieces(table(spark, rows), WORD_RANKS, capacity=64), capacity=64).collect()
+    library, _ = _word_library()
+    expected = []
+    for doc, text in rows:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        expected += [(doc, at, 64 * at, tuple(ids[64 * at : 64 * at + 64])) for at in range(-(-len(ids) // 64))]
+    assert bag((r.id, r.piece, r.start, tuple(np.frombuffer(r.ids, dtype="<u4").tolist())) for r in got) == bag(expected)
+    sequences = brute.sequences((row.sequence_id, row.offset, row.length) for row in got)
+    assert len(sequences) <= -(-sum(row.length for row in got) // 64) + 1
+
+
+def test_tries_hold_texts_in_order_with_their_smallest_keys():
+    rng = random.Random(4)
+    texts = [bytes(rng.choices(b"ab", k=rng.randint(0, 9))) for _ in range(400)] + [b"shared" * 500 + b"x", b"shared" * 500]
+    keys = [rng.choice([None, *range(50)]) for _ in texts]
+    trie = audit.RadixTrie()
+    terminals = [trie.insert(text, key) for text, key in zip(texts, keys, strict=True)]
+    assert [trie.texts[at] for at in terminals] == texts
+    for text, at in zip(texts, terminals, strict=True):
+        held = [key for other, key in zip(texts, keys, strict=True) if other == text and key is not None]
+        assert trie.least[at] == min(held, default=None)
+    order = [(trie.texts[at], shared) for at, shared in trie.in_order()]
+    assert [text for text, _ in order] == sorted(set(texts))
+    for (one, _), (other, shared) in zip(order, order[1:], strict=False):
+        assert one[:shared] == other[:shared] and one[: shared + 1] != other[: shared + 1]
+
+
+def failures_by_hand(rows):
+    least = {}
+    for doc, text in rows:
+        if doc is not None:
+            least[text or ""] = min(doc, least.get(text or "", doc))
+    out = []
+    for doc, text in rows:
+        text = text or ""
+        words = brute.spaced_words(text)
+        fails = "A" * (len(words) < 100) + "B" * (100 * len(set(words)) < 80 * len(words))
+        fails += "C" * (100 * sum("A" <= c <= "Z" for c in text) > 10 * len(text)) + "D" * any(c in "#$%&*|" for c in text)
+        first = least.get(text)
+        out.append((doc, fails + "E" * (first is not None and (doc is None or doc > first))))
+    return out
+
+
+@pytest.mark.parametrize("block_bytes", [24_000_000, 300])
+def test_failed_filters_equal_brute_force(spark, monkeypatch, block_bytes):
+    monkeypatch.setattr(audit, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(audit, "CUT_BYTES", 100)
+    rng = random.Random(5)
+    shared = "the same beginning of many texts " * 20
+    rows = edge_rows() + [(100 + at, shared + rng.choice("ABC#d") * rng.randint(1, 3)) for at in range(150)]
+    rows += [(300 + at, " ".join(rng.choices("uvwxyz", k=120))) for at in range(30)] + [(-5, shared + "A"), (400, " ".join(map(str, range(300))))]
+    rng.shuffle(rows)
+    got = audit.failed_filters(table(spark, rows)).collect()
+    assert bag((row.id, row.fails) for row in got) == bag(failures_by_hand(rows))
+
+
+def test_audit_counts_every_order_by_hand(spark):
+    rng = random.Random(6)
+    rows = [(at, rng.choice(["x #", "A" * 30, "w " * 150, " ".join(map(str, range(200))), "", None, f"own {at} $ Q"])) for at in range(80)]
+    langs = {at: rng.choice(["en", "de", None]) for at, _ in rows}
+    labels = [(at, rng.choice([0, 1, None]), rng.choice([0, 1])) for at in range(0, 90, 2)] + [(4, 1, 1), (4, 0, 0), (None, 1, 1)]
+    docs = spark.createDataFrame([(at, text, langs[at]) for at, text in rows], "doc_id long, text string, lang string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int").withColumn("id", F.lit(1)).withColumn("fails", F.lit("A"))
+    got = {(r.part, r.filter_order, r.step): tuple(r)[3:] for r in audit.audit(audit.failed_filters(docs), marks).collect()}
+    fails = dict(failures_by_hand(rows))
+    good = {at for at, quality, _ in labels if quality == 1}
+    toxic = {at for at, _, bad in labels if bad == 1}
+    worth, expected = Counter(), {}
+    for part in {lang or "" for lang in langs.values()}:
+        for order in itertools.permutations("ABCDE"):
+            left = [at for at in fails if (langs[at] or "") == part]
+            everyone = list(left)
+            for step, letter in enumerate(order, 1):
+                gone = [at for at in left if letter in fails[at]]
+                redundant = sum(letter in fails[at] for at in everyone) - len(gone)
+                left = [at for at in left if letter not in fails[at]]
+                worth[part, letter] += len(gone)
+                alone = sum(fails[at] == letter for at in everyone)
+                lost = [len(good & set(gone)), len(toxic & set(gone))]
+                expected[part, "".join(order), step] = (len(left), len(gone), redundant, alone, *lost)
+    assert {key: value[:-1] for key, value in got.items()} == expected and len(got) == 3 * 600
+    assert all(value[-1] == worth[key[0], key[1][key[2] - 1]] for key, value in got.items())

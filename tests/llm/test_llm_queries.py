@@ -12,6 +12,7 @@ import compare
 import public_tokenizers
 import pytest
 import tiktoken
+import tokenizers
 
 import corpus_pipeline
 from wattline.llm import bpe, oracles, queries
@@ -31,7 +32,7 @@ def docs(spark):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == [*range(1, 11), 13]
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
@@ -102,6 +103,29 @@ def test_components_equal_brute_force(spark, docs):
     assert got == sorted(brute.components([(row.doc_id, row.text) for row in docs]))
 
 
+def test_runs_equal_brute_force(spark, docs):
+    got = sorted(map(tuple, QUERIES["op12_periodic_runs"](spark, SF).collect()))
+    assert got == sorted(brute.run_digest(row.doc_id, row.text) for row in docs)
+    assert sum(row[1] > 0 for row in got) > 50
+
+
+def test_pieces_equal_the_tokenizer_library_and_fill_sequences(spark, docs):
+    library = tokenizers.Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = []
+    for row in docs:
+        ids = [*library.encode(row.text, add_special_tokens=False).ids, 1]
+        for piece, start in enumerate(range(0, len(ids), 4096)):
+            part = ids[start : start + 4096]
+            packed = b"".join(i.to_bytes(4, "little") for i in part)
+            expected.append((row.doc_id, piece, start, len(part), zlib.crc32(packed)))
+    got = [tuple(row) for row in QUERIES["op13_best_fit_packing"](spark, SF).collect()]
+    assert sorted(row[:5] for row in got) == sorted(expected)
+    sequences = brute.sequences((row[5], row[6], row[3]) for row in got)
+    assert max(sequences.values()) <= 4096
+    # No packing needs fewer than the tokens fill.
+    assert len(sequences) <= -(-sum(row[3] for row in got) // 4096) + 1
+
+
 def test_pipeline_stages_work_on_what_came_before(spark, docs, tmp_path):
     frame = spark.read.parquet(f"{SF}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] == [

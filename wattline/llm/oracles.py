@@ -172,6 +172,55 @@ SELECT doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(gone), 0
   CASE WHEN text IS NOT NULL THEN sha256(left_over) END AS text_sha256 FROM kept"""
 
 
+FILTER_AUDIT = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+), counted AS (
+  SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+         min(doc_id) OVER (PARTITION BY t) AS least
+  FROM texts
+), failed AS (
+  SELECT doc_id, part,
+         CASE WHEN len(words) < 100 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN CASE WHEN doc_id IS NULL THEN least IS NOT NULL ELSE doc_id > least END THEN 'E' ELSE '' END AS fails
+  FROM counted
+), marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), groups AS (
+  SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM failed LEFT JOIN marks USING (doc_id) GROUP BY part, fails
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT part, fails, n, good, toxic, filter_order, step, filter_order[step] AS filter,
+         contains(fails, filter_order[step]) AS failing,
+         translate(fails, left(filter_order, step - 1), '') <> fails AS gone
+  FROM groups, orders, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS step)
+), stepped AS (
+  SELECT part, filter_order, step, filter,
+         sum(CASE WHEN NOT gone AND NOT failing THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN NOT gone AND failing THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN gone AND failing THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = filter THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN NOT gone AND failing THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN NOT gone AND failing THEN toxic ELSE 0 END) AS toxic_lost
+  FROM steps GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM stepped
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": license_scan(),
@@ -179,4 +228,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_url_filter": url_filter(),
         "op8_quality_rules": QUALITY_RULES,
         "op10_line_dedup": LINE_DEDUP,
+        "op11_filter_audit": FILTER_AUDIT,
     }

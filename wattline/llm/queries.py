@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.llm import (
+    audit,
     bpe,
     decontam,
     html_text,
@@ -19,6 +20,7 @@ from wattline.llm import (
     packing,
     quality_model,
     rules,
+    runs,
     urls,
 )
 
@@ -77,6 +79,15 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(lines.line_dedup(_table(spark, sf_dir, "documents")))
 
 
+def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    failed = audit.failed_filters(_table(spark, sf_dir, "documents"))
+    return audit.audit(failed, _table(spark, sf_dir, "labels"))
+
+
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.detect_runs(runs.with_loops(_table(spark, sf_dir, "documents"))))
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.digest(packing.pack(packing.token_pieces(_table(spark, sf_dir, "documents"), tokenizer)))
@@ -94,5 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": quality_rules,
         "op9_quality_classifier": quality_classifier,
         "op10_line_dedup": line_dedup,
+        "op11_filter_audit": filter_audit,
+        "op12_periodic_runs": periodic_runs,
         "op13_best_fit_packing": best_fit_packing,
     }

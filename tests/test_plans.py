@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
+import random
 from datetime import datetime, timedelta
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -178,3 +181,26 @@ def test_operation_time_is_summed_per_cycle(spark):
     assert (row.total_parts, row.good_parts, row.scrap_parts) == (3, 2, 1)
     assert (row.ideal_cycle_time_total_sec, row.actual_cycle_time_total_sec) == (450.0, 600.0)
     assert (row.total_cycle_energy_kwh, row.good_cycle_energy_kwh, row.scrap_cycle_energy_kwh) == (1.5, 1.5, 0.0)
+
+
+def test_deviation_and_means_have_the_same_bits_in_any_order(spark, plant):
+    rng = random.Random(8)
+    # Large values close together: a running mean of doubles would lose the deviation.
+    values = [rng.choice([999_999, 123_456]) + rng.randrange(10**6) / 10**6 for _ in range(3000)]
+    rows = [(f"c{at}", float(v), "good") for at, v in enumerate(values)]
+    exact = [Fraction(round(v * 10**6), 10**6) for v in values]
+    mean = sum(exact) / len(exact)
+    deviation = math.sqrt(sum((x - mean) ** 2 for x in exact) / len(exact))
+    found = set()
+    for parts in (1, 3, 7):
+        rng.shuffle(rows)
+        summary = spark.createDataFrame(rows, "cycle_id string, e double, part_result string").repartition(parts)
+        summary = summary.select("cycle_id", F.col("e").cast("decimal(12,6)").alias("cycle_energy_kwh"), "part_result")
+        found.add(kpi.kpi_totals(plant.cube, summary).first().cycle_energy_stddev_kwh)
+    assert len(found) == 1 and found.pop() == pytest.approx(deviation, rel=1e-13)
+    none = kpi.kpi_totals(plant.cube, summary.limit(0)).first()
+    assert none.cycle_energy_stddev_kwh == 0.0
+    profiles = {
+        str(sorted(kpi.target_profile(plant.regression_input.repartition(parts)).collect())) for parts in (1, 5)
+    }
+    assert len(profiles) == 1

@@ -685,8 +685,10 @@ QUERIES.update(
     "(SELECT count(*) FROM base_view) AS raw_rows, (SELECT count(*) FROM input4h) AS aggregated_rows_after_filtering",
     full_refresh_load=_stacked({**_STORED, **{t: f"{sql} LIMIT 0" for t, sql in {**_DERIVED, **_HOURLY}.items()}}),
     rebuild_enriched=_stacked(_DERIVED),
-    publish_hourly=_stacked({t: f"{sql} WHERE bucket_start {_RANGE}" for t, sql in _HOURLY.items()}),
+    publish_hourly=_stacked(_HOURLY),
     publish_hourly_whole=_stacked(_HOURLY),
+    refresh_published=_stacked({**_DERIVED, **_HOURLY}),
+    stream_into_published=_stacked({**_DERIVED, **_HOURLY}),
     run_metadata="SELECT 'availability,performance,quality' AS features, "
     "'system_energy_per_good_part_kwh' AS primary_target, 'cycle_energy_per_good_part_kwh' AS secondary_target, "
     "(SELECT count(*) FROM mrows WHERE target = 'system_energy_per_good_part_kwh') AS primary_rows_used, "

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,18 +49,20 @@ def interval_cycle_join(samples: DataFrame, cycles: DataFrame, block: str = "hou
 
 
 def enriched_by_hour(
-    samples: DataFrame, states: DataFrame, cycles: DataFrame, block: str = "hour"
+    samples: DataFrame, states: DataFrame, cycles: DataFrame, block: str = "hour", by: Sequence[str] = BY
 ) -> DataFrame:
     """`energy_enriched` plus its hour `bucket_start`, partitioned by (machine, hour).
 
     Meter lag, state and cycle come from one common sort, and hourly sums of
     the result need no further shuffle. With finer blocks the hour is added at
-    the end and hourly sums shuffle their partial results.
+    the end and hourly sums shuffle their partial results. `by` names further
+    keys that keep series apart, beside `machine_id`.
     """
-    prepared = temporal.prepare_intervals(cycles, BY, *CYCLE_TIMES, ["cycle_id"], block)
+    further = [key for key in by if key not in BY]
+    prepared = temporal.prepare_intervals(cycles, by, *CYCLE_TIMES, ["cycle_id"], block)
     aligned = temporal.latest_values(
         samples,
-        BY,
+        by,
         "ts",
         lookups=[
             Lookup("_state", states, "ts", STATE_COLUMNS),
@@ -71,12 +75,13 @@ def enriched_by_hour(
         BLOCK,
         "ts",
         "machine_id",
+        *further,
         "power_kw",
         _delta("_prev.energy_kwh_cumulative").alias("delta_energy_kwh"),
         *[F.col(f"_state.{c}").alias(c) for c in STATE_COLUMNS],
         "_cycle",
     )
-    joined = temporal.finish_interval_join(out, "_cycle", prepared, BY, "ts", *CYCLE_TIMES, ["cycle_id"])
+    joined = temporal.finish_interval_join(out, "_cycle", prepared, by, "ts", *CYCLE_TIMES, ["cycle_id"])
     return joined if block == "hour" else temporal.with_block(joined, "ts")
 
 

@@ -418,17 +418,43 @@ def aggregate_regression_input(
 
 
 def target_profile(regression_input: DataFrame, targets: list[str] = k.TARGETS) -> DataFrame:
-    """Smallest, largest and mean value of each regression target."""
+    """Smallest, largest and mean value of each regression target.
+
+    The mean is taken from a DECIMAL sum (12 digits after the point), so it does not depend on the order of rows.
+    """
     long = regression_input.select(
         F.explode(
             F.array(*[F.struct(F.lit(t).alias("target"), F.col(t).alias("value")) for t in targets])
         ).alias("_t")
     ).select("_t.target", "_t.value")
+    mean = F.sum(F.col("value").cast("decimal(28,12)")).cast("double") / F.count("value").cast("double")
     return long.groupBy("target").agg(
-        F.min("value").alias("min_value"), F.max("value").alias("max_value"), F.avg("value").alias("mean_value")
+        F.min("value").alias("min_value"), F.max("value").alias("max_value"), mean.alias("mean_value")
     )
 
 
+def _exact_stddev(value: Column) -> Column:
+    """Population deviation of DECIMAL(12,6) values from exact power sums; 0 without values.
+
+    The sums are moved in DECIMAL to a centre near the mean, so neither the order of rows nor large
+    values close together cost digits. ANSI casts stop the query where the sums leave their range
+    (10^13 rows, 10^19 kWh).
+    """
+    x = value.cast("decimal(12,6)")
+    n, total_, squares = F.count(x), F.sum(x).cast("decimal(25,6)"), F.sum((x * x).cast("decimal(24,12)"))
+    rows = n.cast("decimal(13,0)")
+    centre = F.when(n > 0, F.round(total_ / rows, 6)).otherwise(F.lit(0)).cast("decimal(12,6)")
+
+    def wide(term: Column) -> Column:
+        return term.cast("decimal(37,12)")
+
+    half = wide(total_ * centre) - wide(rows * (centre * centre).cast("decimal(24,12)"))
+    around = wide(wide(squares) - wide(total_ * centre)) - wide(half)
+    off = (total_ - (rows * centre).cast("decimal(25,6)")).cast("double") / n.cast("double")
+    variance = around.cast("double") / n.cast("double") - off * off
+    return F.when(n > 0, F.sqrt(F.greatest(variance, F.lit(0.0)))).otherwise(F.lit(0.0))
+
+
 def kpi_cross_join(enriched: DataFrame, summary: DataFrame) -> DataFrame:
     """Totals of samples and of cycles on one row; two one-row results are put side by side."""
     good, scrap = F.col("part_result") == k.RESULT_GOOD, F.col("part_result") == k.RESULT_SCRAP
@@ -441,7 +467,7 @@ def kpi_cross_join(enriched: DataFrame, summary: DataFrame) -> DataFrame:
         total(energy).alias("total_cycle_energy_kwh"),
         sum_where(good, energy).alias("good_cycle_energy_kwh"),
         sum_where(scrap, energy).alias("scrap_cycle_energy_kwh"),
-        F.coalesce(F.stddev_pop(energy.cast("double")), F.lit(0.0)).alias("cycle_energy_stddev_kwh"),
+        _exact_stddev(energy).alias("cycle_energy_stddev_kwh"),
     )
     both = samples.unionByName(cycles, allowMissingColumns=True)
     return both.agg(*[F.max(c).alias(c) for c in both.columns])

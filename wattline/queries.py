@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -21,11 +21,11 @@ from wattline import schemas
 from wattline.functions import constants as k
 from wattline.operators import quality
 from wattline.operators import regression as reg
-from wattline.plans import enrich, kpi, panels, report
+from wattline.plans import enrich, incremental, kpi, panels, report
 from wattline.plans.regression import RegressionRun, run_targets
 from wattline.session import cut_lineage, pin_utc, scratch_path
 from wattline.sources import derived, readers, seed_csv, sinks, store
-from wattline.streaming import hourly
+from wattline.streaming import hourly, published
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: Of the month of test data, the days that the panels show; both ends are hours with data and inclusive.
@@ -184,7 +184,7 @@ ALIGNMENT: dict[str, Query] = {
     "cycle_energy_summary": _on(lambda p: enrich.cycle_energy_summary(p.cycles, p.by_hour)),
     "preview_enriched": _on(lambda p: enrich.preview_enriched(p.enriched)),
     "preview_cycles": _on(lambda p: enrich.preview_cycles(enrich.cycle_energy_summary(p.cycles, p.by_hour))),
-    "row_counts": _on(lambda p: enrich.row_counts(p.enriched, enrich.cycle_energy_summary(p.cycles, p.by_hour))),
+    "row_counts": lambda spark, sf_dir: _row_counts(pin_utc(spark), sf_dir),
 }
 
 HOURLY: dict[str, Query] = {
@@ -548,18 +548,46 @@ def _rebuild_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _publish_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All four hourly tables, read back over the shown days."""
-    out_dir = _published(spark, sf_dir)
-    return _union_by_name(
-        {t: plain(store.read_published_range(spark, out_dir, t, LO, HI)) for t in schemas.HOURLY_TABLES}
-    )
-
-
-def _publish_hourly_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four hourly tables, read back whole."""
     return _stored_rows(spark, _published(spark, sf_dir), list(schemas.HOURLY_TABLES))
 
 
+def _row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of both derived tables, counted while they were rebuilt."""
+    out_dir = scratch_path(spark, "plant")
+    sinks.rebuild_enriched(spark, Plant(spark, sf_dir).tables, out_dir)
+    return sinks.published_counts(spark, out_dir, list(schemas.DERIVED_TABLES))
+
+
+#: Rows that come late to a published plant: a few hours of two days, and all of the last days.
+LATE = "to_date({ts}) IN (DATE'2024-01-10', DATE'2024-01-17') AND hour({ts}) % 6 = 1 OR {ts} >= TIMESTAMP_NTZ'2024-01-30'"
+
+
+def _came_late(table: str) -> Column:
+    return F.expr(LATE.format(ts="cycle_start_ts" if table == "cycle_event" else "ts"))
+
+
+def _published_early(spark: SparkSession, plant: Plant, arrived: Callable[[str], Column]) -> str:
+    """A published plant of the rows that had arrived, ready for incremental refreshes."""
+    out_dir = scratch_path(spark, "plant")
+    early = {t: df.filter(arrived(t)) if t in incremental.SERIES else df for t, df in plant.tables.items()}
+    sinks.full_refresh(spark, early, out_dir, quality.primary_keys)
+    stored = {t: store.read_table(spark, out_dir, t) for t in schemas.BASE_TABLES}
+    sinks.rebuild_enriched(spark, stored, out_dir)
+    sinks.publish_hourly(spark, {**stored, "energy_enriched": store.read_table(spark, out_dir, "energy_enriched")}, out_dir)
+    incremental.publish_days(spark, out_dir)
+    return out_dir
+
+
+def _refresh_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Derived and hourly tables after late rows were added to a published plant: all rows are in."""
+    plant = Plant(spark, sf_dir)
+    out_dir = _published_early(spark, plant, lambda table: ~_came_late(table))
+    late = {table: plant.tables[table].filter(_came_late(table)) for table in incremental.SERIES}
+    incremental.refresh(spark, out_dir, late, quality.primary_keys)
+    return _stored_rows(spark, out_dir, [*schemas.DERIVED_TABLES, *schemas.HOURLY_TABLES])
+
+
 def _through_json(spark: SparkSession, frame: DataFrame) -> DataFrame:
     path = scratch_path(spark, "metadata.json")
     sinks.export_run_metadata(frame, path)
@@ -567,7 +595,9 @@ def _through_json(spark: SparkSession, frame: DataFrame) -> DataFrame:
 
 
 def _export_run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _through_json(spark, sinks.input_metadata(Plant(spark, sf_dir).base, _input(spark, sf_dir)))
+    """Both frames of the regression input exported, and the metadata read back from its file."""
+    out_dir = scratch_path(spark, "regression")
+    return sinks.export_regression_input(Plant(spark, sf_dir).base, _input(spark, sf_dir), out_dir)
 
 
 def _run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -615,7 +645,8 @@ FILES: dict[str, Query] = {
     "full_refresh_load": _full_refresh_load,
     "rebuild_enriched": _rebuild_enriched,
     "publish_hourly": _publish_hourly,
-    "publish_hourly_whole": _publish_hourly_whole,
+    "publish_hourly_whole": _publish_hourly,
+    "refresh_published": _refresh_published,
     "export_csv": _exported_base,
     "export_run_metadata": _export_run_metadata,
     "run_metadata": _run_metadata,
@@ -674,10 +705,25 @@ def _closed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(spark.read.parquet(closed))
 
 
+def _stream_into_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Derived and hourly tables of a plant that began empty and was fed by a stream, late rows last."""
+    plant = Plant(spark, sf_dir)
+    out_dir, checkpoint = _published_early(spark, plant, lambda _: F.lit(False)), scratch_path(spark, "stream_checkpoint")
+    arrivals = scratch_path(spark, "arrivals")
+    for number in range(2):
+        for table in incremental.SERIES:
+            rows = plant.tables[table].filter(_came_late(table) if number else ~_came_late(table))
+            rows.write.parquet(f"{arrivals}/{table}/{number}")
+        stream = published.series_stream(spark, {table: f"{arrivals}/{table}/*" for table in incremental.SERIES})
+        published.start_published(stream, out_dir, "plant", checkpoint, quality.primary_keys).awaitTermination()
+    return _stored_rows(spark, out_dir, [*schemas.DERIVED_TABLES, *schemas.HOURLY_TABLES])
+
+
 STREAMS: dict[str, Query] = {
     "stream_state_energy_hourly": _streamed(hourly.state_energy_hourly, hourly.HOURLY_KEYS),
     "stream_detailed_state_hourly": _streamed(hourly.detailed_state_hourly, hourly.DETAILED_KEYS),
     "stream_closed_hours": _closed_hours,
+    "stream_into_published": _stream_into_published,
 }
 
 

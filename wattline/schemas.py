@@ -9,6 +9,10 @@ def _schema(*fields: tuple[str, T.DataType, bool]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, nullable) for name, kind, nullable in fields])
 
 
+def _part(schema: T.StructType, *names: str) -> T.StructType:
+    return T.StructType([T.StructField(name, schema[name].dataType) for name in names])
+
+
 TEXT = T.StringType()
 TS = T.TimestampNTZType()
 DOUBLE = T.DoubleType()
@@ -95,6 +99,25 @@ DASHBOARD_SUMMARY = _schema(
     ("sensitivity_message", TEXT, OPTIONAL),
 )
 
+#: What later days need to know of a machine's day; structs begin with their time.
+MACHINE_DAY = _schema(
+    ("machine_id", TEXT, OPTIONAL),
+    ("day", T.DateType(), OPTIONAL),
+    ("last_sample", _part(ENERGY_MEASUREMENT, "ts", "energy_kwh_cumulative"), OPTIONAL),
+    (
+        "last_state",
+        _part(MACHINE_STATE_EVENT, "ts", "detailed_state_code", "state_tag", "is_planned_stop", "idle_reason"),
+        OPTIONAL,
+    ),
+    ("max_end", TS, OPTIONAL),
+    ("running", T.ArrayType(_part(CYCLE_EVENT, *[c for c in CYCLE_EVENT.names if c != "machine_id"])), OPTIONAL),
+)
+CYCLE_DAY_ENERGY = _schema(
+    ("day", T.DateType(), OPTIONAL),
+    ("cycle_id", TEXT, OPTIONAL),
+    ("energy_kwh", T.DecimalType(22, 6), OPTIONAL),
+)
+
 BASE_TABLES: dict[str, T.StructType] = {
     "machine": MACHINE,
     "operation": OPERATION,
@@ -239,7 +262,9 @@ HOURLY_TABLES: dict[str, T.StructType] = {
     "oee_energy_summary_hourly": _hourly(_OEE),
     "regression_base_hourly": REGRESSION_BASE,
 }
-PUBLISHED = {**ALL_TABLES, **HOURLY_TABLES}
+#: What an incremental refresh needs to know of earlier days.
+DAY_TABLES: dict[str, T.StructType] = {"machine_day": MACHINE_DAY, "cycle_day_energy": CYCLE_DAY_ENERGY}
+PUBLISHED = {**ALL_TABLES, **HOURLY_TABLES, **DAY_TABLES}
 #: The time whose day is the folder of a published row.
 PARTITION_TIMES = {
     "energy_measurement": "ts",
@@ -248,4 +273,5 @@ PARTITION_TIMES = {
     "energy_enriched": "ts",
     "cycle_energy_summary": "cycle_start_ts",
     **{table: "bucket_start" for table in HOURLY_TABLES},
+    **{table: "day" for table in DAY_TABLES},
 }

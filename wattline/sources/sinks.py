@@ -11,18 +11,28 @@ from wattline import schemas
 from wattline.functions import constants as k
 from wattline.plans import enrich, kpi
 from wattline.plans.regression import RegressionRun
-from wattline.session import cut_lineage, scratch_path
-from wattline.sources.store import RefreshRejected, publish, read_table, write_by_date
+from wattline.session import cut_lineage
+from wattline.sources.store import (
+    RefreshRejected,
+    counted_write,
+    publication,
+    publish,
+    read_table,
+    snapshot,
+    write_by_date,
+)
 
 __all__ = [
     "RefreshRejected",
     "create_dashboard",
     "export_csv",
     "export_model_outputs",
+    "export_regression_input",
     "export_run_metadata",
     "full_refresh",
     "input_metadata",
     "publish_hourly",
+    "published_counts",
     "rebuild_enriched",
     "run_metadata",
     "upsert",
@@ -30,6 +40,9 @@ __all__ = [
     "write_by_date",
 ]
 
+DASHBOARD = "regression_dashboard_summary"
+
+
 def full_refresh(
     spark: SparkSession,
     frames: Mapping[str, DataFrame],
@@ -38,21 +51,20 @@ def full_refresh(
 ) -> None:
     """Load the base tables anew; what is derived from the old ones is cleared in the same publication."""
     base = {t: frames[t].select(*schema.names) for t, schema in schemas.BASE_TABLES.items()}
-    publish(spark, base, out_dir, violations, clear=[*schemas.DERIVED_TABLES, *schemas.HOURLY_TABLES])
+    outdated = [*schemas.DERIVED_TABLES, *schemas.HOURLY_TABLES, *schemas.DAY_TABLES]
+    publish(spark, base, out_dir, violations, clear=outdated)
 
 
 def rebuild_enriched(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str) -> None:
-    """Compute and publish `energy_enriched` and `cycle_energy_summary`; older hourly tables are cleared.
+    """Compute `energy_enriched` and `cycle_energy_summary` and publish both at once; older hourly tables are cleared.
 
-    The enriched rows are published first and the summary is computed from the
-    published rows, so the alignment runs and is written a single time.
+    The summary is computed from the staged enriched rows, so the alignment runs and is written a
+    single time, and no reader sees one table without the other.
     """
     inputs = tables["energy_measurement"], tables["machine_state_event"], tables["cycle_event"]
-    outdated = ["cycle_energy_summary", *schemas.HOURLY_TABLES]
-    publish(spark, {"energy_enriched": enrich.energy_enriched(*inputs)}, out_dir, clear=outdated)
-    enriched = read_table(spark, out_dir, "energy_enriched")
-    summary = enrich.cycle_energy_summary(tables["cycle_event"], enriched)
-    publish(spark, {"cycle_energy_summary": summary}, out_dir)
+    with publication(spark, out_dir, clear=[*schemas.HOURLY_TABLES, *schemas.DAY_TABLES]) as staged:
+        enriched = staged.write("energy_enriched", enrich.energy_enriched(*inputs))
+        staged.write("cycle_energy_summary", enrich.cycle_energy_summary(tables["cycle_event"], enriched))
 
 
 def publish_hourly(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str) -> None:
@@ -90,24 +102,39 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.select(*columns).write.mode("overwrite").option("header", True).csv(path)
 
 
-def input_metadata(base: DataFrame, regression_input: DataFrame) -> DataFrame:
+def export_regression_input(base: DataFrame, regression_input: DataFrame, out_dir: str) -> DataFrame:
+    """The hourly base and the regression input as CSV, and their metadata as JSON; returns the metadata.
+
+    Row counts come from the writes themselves.
+    """
+    spark = base.sparkSession
+    rows = {
+        name: counted_write(df, lambda counted, name=name: export_csv(counted, f"{out_dir}/{name}.csv"))
+        for name, df in (("regression_base_hourly", base), ("regression_input", regression_input))
+    }
+    metadata = input_metadata(spark, rows["regression_base_hourly"], rows["regression_input"])
+    export_run_metadata(metadata, f"{out_dir}/regression_metadata.json")
+    return spark.read.schema(metadata.schema).json(f"{out_dir}/regression_metadata.json")
+
+
+def input_metadata(spark: SparkSession, raw_rows: int, rows_used: int) -> DataFrame:
     """Parameters and row counts of the regression input; one row."""
-    counts = base.agg(F.count("*").alias("raw_rows")).unionByName(
-        regression_input.agg(F.count("*").alias("aggregated_rows_after_filtering")), allowMissingColumns=True
-    )
-    return counts.agg(
-        F.max("raw_rows").alias("raw_rows"),
-        F.max("aggregated_rows_after_filtering").alias("aggregated_rows_after_filtering"),
-    ).select(
+    return spark.range(1).select(
         F.lit(k.AGGREGATION_HOURS).alias("aggregation_hours"),
         F.lit(k.MIN_GOOD_PARTS).alias("min_good_parts_for_regression"),
         F.lit(k.PRIMARY_TARGET).alias("primary_target"),
         F.lit(k.SECONDARY_TARGET).alias("secondary_target"),
-        "raw_rows",
-        "aggregated_rows_after_filtering",
+        F.lit(raw_rows).cast("bigint").alias("raw_rows"),
+        F.lit(rows_used).cast("bigint").alias("aggregated_rows_after_filtering"),
     )
 
 
+def published_counts(spark: SparkSession, directory: str, tables: Sequence[str]) -> DataFrame:
+    """Rows of published tables as their publication counted them; no table is read."""
+    held = snapshot(spark, directory)
+    return spark.createDataFrame([(table, held.rows(table)) for table in tables], "table_name string, row_count bigint")
+
+
 def run_metadata(rows: DataFrame, features: Sequence[str] = k.FEATURES) -> DataFrame:
     """Features, targets and the rows each target used; one row."""
     return rows.agg(
@@ -140,18 +167,18 @@ def upsert(target: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     return kept.unionByName(new.select(*target.columns))
 
 
-def upsert_dashboard(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
-    """Merge report rows into the stored dashboard table and stamp them."""
-    schema = schemas.DASHBOARD_SUMMARY
-    stamped = rows.withColumn("updated_at", F.current_timestamp()).select(*schema.names)
-    stored = spark.read.schema(schema).parquet(path)
-    merged = upsert(stored, stamped, ["model_scope"])
-    staged = scratch_path(spark, "dashboard")
-    merged.write.parquet(staged)
-    spark.read.schema(schema).parquet(staged).write.mode("overwrite").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+def upsert_dashboard(spark: SparkSession, out_dir: str, rows: DataFrame) -> DataFrame:
+    """Merge stamped report rows into the published dashboard table, in one commit; returns the table.
+
+    Files that hold none of the scopes are kept, and readers see the old table or the new one.
+    """
+    stamped = rows.withColumn("updated_at", F.current_timestamp())
+    with publication(spark, out_dir) as staged:
+        staged.merge(DASHBOARD, stamped, ["model_scope"])
+    return read_table(spark, out_dir, DASHBOARD)
 
 
-def create_dashboard(spark: SparkSession, path: str) -> None:
-    """An empty dashboard table, if there is none yet."""
-    spark.createDataFrame([], schemas.DASHBOARD_SUMMARY).write.mode("ignore").parquet(path)
+def create_dashboard(spark: SparkSession, out_dir: str) -> None:
+    """An empty dashboard table, if none is published yet."""
+    if DASHBOARD not in snapshot(spark, out_dir).tables:
+        publish(spark, {DASHBOARD: spark.createDataFrame([], schemas.DASHBOARD_SUMMARY)}, out_dir)

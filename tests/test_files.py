@@ -228,3 +228,15 @@ def test_stream_append_writes_closed_hours_once(spark, plant):
     names = wanted.columns
     assert sorted(map(str, got.select(names).collect())) == sorted(map(str, closed.select(names).collect()))
     assert kpi.state_energy_summary_hourly(plant.enriched).count() == wanted.count()
+
+
+def test_stored_inputs_follow_rewritten_files(spark, sf_dir, tmp_path):
+    from wattline.sources import derived
+
+    for table in ("events", "supplier", "part"):
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").write.parquet(f"{tmp_path}/{table}.parquet")
+    before = derived.stored_tables(spark, str(tmp_path))
+    assert derived.stored_tables(spark, str(tmp_path)) is before
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").limit(10)
+    events.write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
+    assert derived.stored_tables(spark, str(tmp_path))["energy_measurement"].count() == 10

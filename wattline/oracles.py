@@ -689,6 +689,9 @@ QUERIES.update(
     publish_hourly_whole=_stacked(_HOURLY),
     refresh_published=_stacked({**_DERIVED, **_HOURLY}),
     stream_into_published=_stacked({**_DERIVED, **_HOURLY}),
+    stream_energy_enriched=f"{_DERIVED['energy_enriched']} WHERE ts <= (SELECT date_trunc('milliseconds', greatest("
+    "(SELECT max(ts) FROM energy_measurement), (SELECT max(ts) FROM machine_state_event), "
+    "(SELECT max(cycle_start_ts) FROM cycle_event WHERE cycle_end_ts > cycle_start_ts))) - INTERVAL 3 DAY)",
     run_metadata="SELECT 'availability,performance,quality' AS features, "
     "'system_energy_per_good_part_kwh' AS primary_target, 'cycle_energy_per_good_part_kwh' AS secondary_target, "
     "(SELECT count(*) FROM mrows WHERE target = 'system_energy_per_good_part_kwh') AS primary_rows_used, "

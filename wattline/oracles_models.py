@@ -368,7 +368,6 @@ QUERIES.update(
     panel_sensitivities="SELECT CASE model_scope WHEN 'primary' THEN 'Teljes rendszerenergia / jó darab' "
     "ELSE 'Ciklusenergia / jó darab' END AS \"Elemzés\", sensitivity_message AS \"Megállapítás\" "
     "FROM pool_report ORDER BY display_order",
-    run_targets="SELECT target, count(*) AS n_obs, 'ok' AS status FROM mrows GROUP BY target",
     upsert_dashboard=f"SELECT {_DASHBOARD} FROM pool_report",
     dq_check_model_scope="SELECT 'model_scope' AS rule, 'regression_dashboard_summary' AS \"table\", "
     "machine_id || ':' || model_scope AS key, machine_id || ':' || model_scope AS detail "
@@ -505,5 +504,23 @@ def _exports() -> str:
     )
 
 
-QUERIES.update(regression_summary=_documents(), scan_summary_json=_documents(), export_model_outputs=_exports())
+QUERIES.update(regression_summary=_documents(), scan_summary_json=_documents(), export_model_outputs=_exports(), run_targets=_exports())
 QUERIES.update(regression_summary_by_machine=_documents(True), scan_summary_json_by_machine=_documents(True))
+
+
+def _cells(section: str, query: str, named: str, columns: list[str], where: str = "") -> str:
+    return " UNION ALL ".join(
+        f"SELECT target, '{section}' AS section, {named} || '{column}' AS name, CAST({column} AS DOUBLE) AS value "
+        f"FROM ({QUERIES[query]}) {where}"
+        for column in columns
+    )
+
+
+QUERIES["fit_from_moments"] = " UNION ALL ".join(
+    [
+        _cells("coefficients", "fit_log_ols", "parameter || '.'", ["coefficient"]),
+        _cells("metrics", "model_metrics", "''", ["n_obs", "aic", "bic", "rsquared", "rsquared_adj"], "WHERE model_type = 'log_ols'"),
+        _cells("vif", "vif", "feature || '.'", ["vif"]),
+        _cells("correlation", "correlation_matrix", "variable || '.'", [*_VARIABLES]),
+    ]
+)

@@ -31,7 +31,7 @@ from wattline.functions.timeline import seconds_later
 from wattline.operators import temporal
 from wattline.plans import enrich, kpi
 from wattline.session import cut_lineage
-from wattline.sources import store
+from wattline.sources import sinks, store
 
 #: The base tables that grow, with the time whose day a row belongs to.
 SERIES = ("energy_measurement", "machine_state_event", "cycle_event")
@@ -323,3 +323,5 @@ def _write_hourly(staged: store.Publication, after: DataFrame, sampled: Sequence
     ]
     staged.write_days("oee_energy_summary_hourly", kpi.oee_energy_summary_hourly(*hourly), days)
     staged.write_days("regression_base_hourly", kpi.regression_base_hourly(*hourly), days)
+    if sinks.MOMENTS in staged.base.tables:
+        staged.write_days(sinks.MOMENTS, sinks.moments_of(staged.read("regression_base_hourly", days)), days)

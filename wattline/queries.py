@@ -19,12 +19,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wattline import schemas
 from wattline.functions import constants as k
-from wattline.operators import quality
+from wattline.operators import moments, quality
 from wattline.operators import regression as reg
 from wattline.plans import enrich, incremental, kpi, panels, report
 from wattline.plans.regression import RegressionRun, run_targets
 from wattline.session import cut_lineage, pin_utc, scratch_path
 from wattline.sources import derived, readers, seed_csv, sinks, store
+from wattline.streaming import enriched as streamed
 from wattline.streaming import hourly, published
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,7 +47,7 @@ _STAGES: dict[tuple, object] = {}
 
 
 def _stage(spark: SparkSession, sf_dir: str, name: str, build):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, derived.input_state(spark, sf_dir), name)
     if key not in _STAGES:
         _STAGES[key] = build()
     return _STAGES[key]
@@ -356,7 +357,8 @@ MODELS: dict[str, Query] = {
     "model_dataset": lambda spark, sf_dir: _rows(pin_utc(spark), sf_dir),
     "fit_log_ols": _with(_rows, lambda r: reg.parameters(reg.fit_log_ols(r)).drop("model_type", "p_value")),
     "fit_gamma_glm": _with(_rows, _glm_parameters),
-    "run_targets": _with(_input, lambda i: run_targets(i).gamma_glm.frame.select("target", "n_obs", "status")),
+    "run_targets": lambda spark, sf_dir: _run_targets(pin_utc(spark), sf_dir),
+    "fit_from_moments": lambda spark, sf_dir: _fit_from_moments(pin_utc(spark), sf_dir),
     "model_status": _with(_each, lambda r: r.status),
     "coefficients": _with(_pooled, lambda r: r.coefficients),
     "coefficients_by_machine": _with(_each, lambda r: r.coefficients),
@@ -605,24 +607,59 @@ def _run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.withColumn("features", F.array_join("features", ","))
 
 
-def _export_model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every cell of every exported table: (table, keys, column, value, text), read back from the files."""
-    out_dir = scratch_path(spark, "models")
-    run = _pooled(pin_utc(spark), sf_dir)
+def _result_cells(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every cell of the result tables of a run: (table, keys, column, value)."""
     frames = []
-    for name, df in run.tables().items():
-        sinks.export_csv(df, f"{out_dir}/{name}")
-        back = readers.scan_typed_csv(spark, f"{out_dir}/{name}", df.schema)
-        keys = [c for c, t in back.dtypes if t in ("string", "timestamp_ntz")]
+    for name, df in tables.items():
+        keys = [c for c, t in df.dtypes if t in ("string", "timestamp_ntz")]
         key = F.concat_ws("|", *[F.col(c).cast("string") for c in keys])
-        figures = [c for c in back.columns if c not in keys]
+        figures = [c for c in df.columns if c not in keys]
         cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in figures])
-        rows = back.select(F.lit(name).alias("table_name"), key.alias("key"), F.explode(cells).alias("_c"))
+        rows = df.select(F.lit(name).alias("table_name"), key.alias("key"), F.explode(cells).alias("_c"))
         # Results of an iteration agree to fewer digits than the rows it read.
         frames.append(rounded(rows.select("table_name", "key", "_c.*"), 9 if name == "model_dataset" else 6))
     return reg.stack_models(frames)
 
 
+def _run_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All result tables of both targets, from a run of its own."""
+    return _result_cells(run_targets(_input(spark, sf_dir)).tables())
+
+
+def _export_model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell of every exported table, read back from the files."""
+    out_dir = scratch_path(spark, "models")
+    tables = _pooled(pin_utc(spark), sf_dir).tables()
+    back = {}
+    for name in sinks.export_model_outputs(_pooled(spark, sf_dir), out_dir):
+        back[name] = readers.scan_typed_csv(spark, f"{out_dir}/{name}", tables[name].schema)
+    return _result_cells(back)
+
+
+def _fit_from_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of the pooled log-OLS from the published moments of all days: (target, section, name, value)."""
+    out_dir = _published(spark, sf_dir)
+    if sinks.MOMENTS not in store.current(spark, out_dir):
+        sinks.publish_moments(spark, out_dir)
+    fit = moments.fit_log_ols(store.read_table(spark, out_dir, sinks.MOMENTS))
+
+    def cells(section: str, df: DataFrame, named: str | None, columns: Sequence[str]) -> DataFrame:
+        prefix = F.concat(F.col(named), F.lit(".")) if named else F.lit("")
+        values = [F.struct(F.concat(prefix, F.lit(c)).alias("name"), F.col(c).cast("double").alias("value")) for c in columns]
+        return df.select("target", F.lit(section).alias("section"), F.inline(F.array(*values)))
+
+    return rounded(
+        reg.stack_models(
+            [
+                cells("coefficients", fit.coefficients, "parameter", ["coefficient"]),
+                cells("metrics", fit.metrics, None, ["n_obs", "aic", "bic", "rsquared", "rsquared_adj"]),
+                cells("vif", fit.vif, "feature", ["vif"]),
+                cells("correlation", fit.correlation, "variable", [*k.FEATURES, reg.Y]),
+            ]
+        )
+    )
+
+
 def _upsert_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First rows of an older run, then the merge that replaces one and adds the other."""
     path = scratch_path(spark, "regression_dashboard_summary")
@@ -719,11 +756,30 @@ def _stream_into_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_rows(spark, out_dir, [*schemas.DERIVED_TABLES, *schemas.HOURLY_TABLES])
 
 
+def _stream_energy_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples enriched as they arrive, a folder per eight days, every other second's rows a day late; those
+    that the watermark of three days has passed in the end."""
+    plant = Plant(spark, sf_dir)
+    arrivals, out = scratch_path(spark, "arrivals"), scratch_path(spark, "enriched")
+    checkpoint = scratch_path(spark, "stream_checkpoint")
+    for number in range(5):
+        for table in incremental.SERIES:
+            at = F.col("cycle_start_ts" if table == "cycle_event" else "ts")
+            late = F.unix_seconds(at.cast("timestamp")) % 2
+            days = F.datediff(at, F.lit(derived.WINDOW[0][:10]).cast("date"))
+            arrival = F.least(F.floor((days + late) / 8), F.lit(4))
+            plant.tables[table].filter(arrival == number).write.parquet(f"{arrivals}/{table}/{number}")
+        stream = published.series_stream(spark, {table: f"{arrivals}/{table}/*" for table in incremental.SERIES})
+        hourly.start_append(streamed.energy_enriched(stream, "3 days"), out, checkpoint).awaitTermination()
+    return plain(spark.read.schema(schemas.ENERGY_ENRICHED).parquet(out))
+
+
 STREAMS: dict[str, Query] = {
     "stream_state_energy_hourly": _streamed(hourly.state_energy_hourly, hourly.HOURLY_KEYS),
     "stream_detailed_state_hourly": _streamed(hourly.detailed_state_hourly, hourly.DETAILED_KEYS),
     "stream_closed_hours": _closed_hours,
     "stream_into_published": _stream_into_published,
+    "stream_energy_enriched": _stream_energy_enriched,
 }
 
 

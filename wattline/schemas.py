@@ -262,9 +262,18 @@ HOURLY_TABLES: dict[str, T.StructType] = {
     "oee_energy_summary_hourly": _hourly(_OEE),
     "regression_base_hourly": REGRESSION_BASE,
 }
+#: Sums that log-OLS can be fitted from (`operators.moments`).
+REGRESSION_MOMENTS = _schema(
+    ("target", TEXT, OPTIONAL),
+    ("machine_id", TEXT, OPTIONAL),
+    ("day", T.DateType(), OPTIONAL),
+    ("n", LONG, OPTIONAL),
+    ("center", T.ArrayType(DOUBLE), OPTIONAL),
+    ("cross", T.ArrayType(DOUBLE), OPTIONAL),
+)
 #: What an incremental refresh needs to know of earlier days.
 DAY_TABLES: dict[str, T.StructType] = {"machine_day": MACHINE_DAY, "cycle_day_energy": CYCLE_DAY_ENERGY}
-PUBLISHED = {**ALL_TABLES, **HOURLY_TABLES, **DAY_TABLES}
+PUBLISHED = {**ALL_TABLES, **HOURLY_TABLES, **DAY_TABLES, "regression_moments": REGRESSION_MOMENTS}
 #: The time whose day is the folder of a published row.
 PARTITION_TIMES = {
     "energy_measurement": "ts",
@@ -274,4 +283,5 @@ PARTITION_TIMES = {
     "cycle_energy_summary": "cycle_start_ts",
     **{table: "bucket_start" for table in HOURLY_TABLES},
     **{table: "day" for table in DAY_TABLES},
+    "regression_moments": "day",
 }

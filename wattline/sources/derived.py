@@ -189,11 +189,22 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-_STORED: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
+def input_state(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the input files: what is stored of an input holds as long as this stays the same."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, True)
+    files = []
+    while found.hasNext():
+        status = found.next()
+        files.append(f"{status.getPath()}:{status.getLen()}:{status.getModificationTime()}")
+    return "\n".join(sorted(files))
+
+
+_STORED: dict[tuple[str, ...], dict[str, DataFrame]] = {}
 
 
 def _stored(spark: SparkSession, sf_dir: str, kind: str, build) -> dict[str, DataFrame]:
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    key = (spark.sparkContext.applicationId, sf_dir, input_state(spark, sf_dir), kind)
     if key not in _STORED:
         tables = build(pin_utc(spark), sf_dir)
         shared_dir(spark)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from wattline import schemas
 from wattline.functions import constants as k
+from wattline.operators import moments
+from wattline.operators.regression import model_rows
 from wattline.plans import enrich, kpi
 from wattline.plans.regression import RegressionRun
 from wattline.session import cut_lineage
@@ -32,6 +34,7 @@ __all__ = [
     "full_refresh",
     "input_metadata",
     "publish_hourly",
+    "publish_moments",
     "published_counts",
     "rebuild_enriched",
     "run_metadata",
@@ -40,7 +43,7 @@ __all__ = [
     "write_by_date",
 ]
 
-DASHBOARD = "regression_dashboard_summary"
+DASHBOARD, MOMENTS = "regression_dashboard_summary", "regression_moments"
 
 
 def full_refresh(
@@ -51,7 +54,7 @@ def full_refresh(
 ) -> None:
     """Load the base tables anew; what is derived from the old ones is cleared in the same publication."""
     base = {t: frames[t].select(*schema.names) for t, schema in schemas.BASE_TABLES.items()}
-    outdated = [*schemas.DERIVED_TABLES, *schemas.HOURLY_TABLES, *schemas.DAY_TABLES]
+    outdated = [*schemas.DERIVED_TABLES, *schemas.HOURLY_TABLES, *schemas.DAY_TABLES, MOMENTS]
     publish(spark, base, out_dir, violations, clear=outdated)
 
 
@@ -62,7 +65,7 @@ def rebuild_enriched(spark: SparkSession, tables: Mapping[str, DataFrame], out_d
     single time, and no reader sees one table without the other.
     """
     inputs = tables["energy_measurement"], tables["machine_state_event"], tables["cycle_event"]
-    with publication(spark, out_dir, clear=[*schemas.HOURLY_TABLES, *schemas.DAY_TABLES]) as staged:
+    with publication(spark, out_dir, clear=[*schemas.HOURLY_TABLES, *schemas.DAY_TABLES, MOMENTS]) as staged:
         enriched = staged.write("energy_enriched", enrich.energy_enriched(*inputs))
         staged.write("cycle_energy_summary", enrich.cycle_energy_summary(tables["cycle_event"], enriched))
 
@@ -91,6 +94,17 @@ def publish_hourly(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir
     publish(spark, views, out_dir)
 
 
+def moments_of(base: DataFrame) -> DataFrame:
+    """The rows of `regression_moments` from rows of `regression_base_hourly` (whole days)."""
+    return moments.daily_moments(model_rows(kpi.aggregate_regression_input(base)))
+
+
+def publish_moments(spark: SparkSession, out_dir: str) -> None:
+    """Publish the sums that regressions of any range can be fitted from; refreshes keep them up to date."""
+    with publication(spark, out_dir) as staged:
+        staged.write(MOMENTS, moments_of(staged.read("regression_base_hourly")))
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """CSV part files with headers; times are written with the UTC offset."""
     columns = [

@@ -6,15 +6,23 @@ Three orders are used. Order 0 begins with a sixth of all shingles (at 80 % with
 rarest of them first by the counts of a fixed-size sketch; the others are orders of two more hashes. Candidates share
 a first token under order 0 and a size range; they go on only if the bits that one set's bitmap
 has and the other lacks are few enough and if they share first tokens under orders 1 and 2 too.
-What is left is verified on the full sets, and only those sets are built.
+What is left is verified on the full sets.
+
+First tokens travel once, as (token, number of the class), sorted by token; tokens of one class
+alone are dropped as they stream by. Only the classes that are left are read again: their bitmaps
+(eight bits a shingle and more) and further first tokens are written by class, in buckets, so that
+pairs come to them and they stay where they are. Texts of classes that meet a candidate are read
+once more to compare the sets.
 
 A large group of near copies is not paired off. First every member of a token's group is
 compared with one hub only; groups that end up in one component are done. The others are put
 together by their largest component, and the classes outside it meet all members in blocks,
-each pair in one place whatever tokens it shares. Tasks compare blocks on bitmaps: first each
-class emits only its closest partners in other components, which connects what still belongs
-together, then all that bitmaps allow. So every link between different components is tested,
-and components are exact.
+each pair in one place whatever tokens it shares. Tasks compare blocks on bitmaps: first
+each class sends on only its closest partners in other components, over all blocks, which
+connects what still belongs together; then, in the last, all that bitmaps allow. So every link
+between different components is tested, and components are exact.
+
+A class is known by 128 bits of its set, in the exchange of tokens by 64 bits of these.
 
 Cases: null texts, empty texts and texts without words have no shingles and link with nothing;
 equal ids with different texts are separate documents; null ids count as largest; repeated rows
@@ -24,6 +32,7 @@ give the same result each; empty tables give empty results; other columns are ig
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +43,7 @@ from pyspark.sql import functions as F
 from wattline.llm.batches import bound_batches
 from wattline.llm.columns import row_key
 from wattline.llm.shingles import chunks, mixed, shingle_lists
-from wattline.session import cut_lineage
+from wattline.session import cut_lineage, scratch_path
 
 SHINGLE = 3
 #: Similarity in percent: 100 * intersection >= SIMILAR * union.
@@ -43,14 +52,16 @@ SIMILAR = 90
 #: and counts some of the shingles, about as many as first tokens need.
 SKETCH_BITS = 24
 _SKETCH_PIECES = 32
-#: 64-bit words in a set's bitmap.
-BITMAP = 16
+#: Bits per shingle in a set's bitmap, at least; its size is a power of two between these (bytes).
+BITMAP_LOAD, BITMAP_BYTES = 8, (16, 8192)
 #: Bits of the map that says which texts are wanted again (2 MB, whatever the data's size).
 SLOT_BITS = 24
 #: Members per block.
 BLOCK = 256
-#: Partners of a class that the first pass over the blocks tries; the second tries all that are left.
-CLOSEST = 3
+#: Partners of a class that a round over the blocks tries, and such rounds; the last round tries all that are left.
+CLOSEST, CLOSEST_ROUNDS = 3, 1
+#: Rows of one token that a task holds back to look at them together; of a token with more, all go on.
+HELD_ROWS = 2_000_000
 _SALTS = np.array([0x0, 0xA24BAED4963EE407, 0x9FB21C651E98DF25], dtype=np.uint64)
 
 
@@ -134,71 +145,119 @@ def _first_tokens(keys: np.ndarray, count: int) -> np.ndarray:
 
 def bitmap(found: np.ndarray) -> bytes:
     """A bit per shingle, by hash."""
-    bits = np.zeros(64 * BITMAP, dtype=bool)
-    bits[(found & np.uint64(64 * BITMAP - 1)).astype(np.int64)] = True
+    size = 8 * BITMAP_BYTES[0]
+    while size < BITMAP_LOAD * len(found) and size < 8 * BITMAP_BYTES[1]:
+        size *= 2
+    bits = np.zeros(size, dtype=bool)
+    bits[(found & np.uint64(size - 1)).astype(np.int64)] = True
     return np.packbits(bits).tobytes()
 
 
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Rows of bitmaps made as narrow as `width` bytes: a shingle's place is its hash modulo the size."""
+    while bits.shape[1] > width:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] | bits[:, half:]
+    return bits
+
+
+def _missing(ours: np.ndarray, theirs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of each row of `ours` (one row, or as many) that `theirs` lacks, and the other way round."""
+    a, b = ours.view(np.uint64), theirs.view(np.uint64)
+    return np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64), np.bitwise_count(b & ~a).sum(axis=1, dtype=np.int64)
+
+
+def class_of(found: np.ndarray) -> bytes:
+    return hashlib.md5(found.tobytes()).digest()
+
+
 def _summaries(shingle: int, similar: int, levels):
-    """Per row: key of the text, class, size, bitmap and first tokens under each order."""
+    """Per row: key of the text, class, its number, size, and, once per task and class, the first tokens of order 0."""
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = np.frombuffer(levels.value, dtype=np.uint8)
+        level, seen = np.frombuffer(levels.value, dtype=np.uint8), set()
         for batch in batches:
             for first, texts in chunks(batch.column(2).to_pylist()):
-                classes, sizes, bitmaps = [], [], []
-                tokens: list[list[np.ndarray]] = [[], [], []]
+                classes, sizes, tokens = [], [], []
                 for repeated in shingle_lists(texts, shingle):
                     found = np.unique(repeated)
                     sizes.append(len(found))
-                    classes.append(hashlib.md5(found.tobytes()).digest() if len(found) else None)
-                    bitmaps.append(bitmap(found))
-                    for order, salt in enumerate(_SALTS):
-                        keys = mixed(found ^ salt)
-                        if order == 0:
-                            rarity = np.where(_counted(found, similar), level[_counter(found)], 255).astype(np.uint64)
-                            keys = rarity << np.uint64(56) | keys >> np.uint64(8)
-                        count = prefix_size(len(found), similar)
-                        kept = _first_tokens(keys, count) if len(found) else keys
-                        # Orders 1 and 2 only confirm: four bytes of a token will do.
-                        tokens[order].append(kept.astype(np.int64) if order == 0 else mixed(kept).astype(np.uint32).astype(np.int32))
+                    classes.append(class_of(found) if len(found) else None)
+                    if not len(found) or classes[-1] in seen:
+                        tokens.append(None)
+                        continue
+                    seen.add(classes[-1])
+                    rarity = np.where(_counted(found, similar), level[_counter(found)], 255).astype(np.uint64)
+                    keys = rarity << np.uint64(56) | mixed(found ^ _SALTS[0]) >> np.uint64(8)
+                    tokens.append(_first_tokens(keys, prefix_size(len(found), similar)).astype(np.int64))
                 span = slice(first, first + len(texts))
+                numbers = [None if one is None else int.from_bytes(one[:8], "little", signed=True) for one in classes]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[span],
                         batch.column(1)[span],
                         pa.array(classes, pa.binary()),
+                        pa.array(numbers, pa.int64()),
                         pa.array(sizes, pa.int64()),
-                        pa.array(bitmaps, pa.binary()),
-                        pa.array(tokens[0], pa.list_(pa.int64())),
-                        pa.array(tokens[1], pa.list_(pa.int32())),
-                        pa.array(tokens[2], pa.list_(pa.int32())),
+                        pa.array(tokens, pa.list_(pa.int64())),
                     ],
-                    names=["id", "text_key", "class", "n", "bits", "first0", "first1", "first2"],
+                    names=["id", "text_key", "class", "number", "n", "first0"],
                 )
 
     return summarise
 
 
-def _full_sets(shingle: int, wanted):
-    """Shingle sets of the texts whose slot is marked; rows are (slot, text)."""
+def _details(shingle: int, similar: int, wanted):
+    """What pairs are tested on, of the texts whose slot is marked, once per task and class; rows are (slot, text)."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.frombuffer(wanted.value, dtype=np.uint8)
+    def details(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, seen = np.frombuffer(wanted.value, dtype=np.uint8), set()
         for batch in batches:
             slots = batch.column(0).to_numpy()
             chosen = batch.column(1).filter(pa.array((marks[slots >> 3] >> (slots & 7)) & 1 == 1))
             for _, texts in chunks(chosen.to_pylist()):
-                found = [np.unique(repeated) for repeated in shingle_lists(texts, shingle)]
+                rows: dict[str, list] = {name: [] for name in ("class", "n", "bits", "first1", "first2")}
+                for repeated in shingle_lists(texts, shingle):
+                    found = np.unique(repeated)
+                    name = class_of(found)
+                    if not len(found) or name in seen:
+                        continue
+                    seen.add(name)
+                    first = [_first_tokens(mixed(found ^ salt), prefix_size(len(found), similar)) for salt in _SALTS[1:]]
+                    # These orders only confirm: four bytes of a token will do.
+                    first = [mixed(kept).astype(np.uint32).astype(np.int32) for kept in first]
+                    for column, value in zip(rows.values(), (name, len(found), bitmap(found), *first), strict=True):
+                        column.append(value)
+                kinds = [pa.binary(), pa.int64(), pa.binary(), *[pa.list_(pa.int32())] * 2]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([hashlib.md5(f.tobytes()).digest() for f in found], pa.binary()),
-                        pa.array([f.tobytes() for f in found], pa.binary()),
-                    ],
-                    names=["class", "shingles"],
+                    [pa.array(column, kind) for column, kind in zip(rows.values(), kinds, strict=True)], names=list(rows)
                 )
 
-    return sets
+    return details
+
+
+def _packed_texts(shingle: int, wanted):
+    """(class, packed, size) of the texts whose slot is marked, once per task and class; rows are (slot, text)."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, seen = np.frombuffer(wanted.value, dtype=np.uint8), set()
+        for batch in batches:
+            slots = batch.column(0).to_numpy()
+            chosen = batch.column(1).filter(pa.array((marks[slots >> 3] >> (slots & 7)) & 1 == 1))
+            for _, texts in chunks(chosen.to_pylist()):
+                out = []
+                for text, repeated in zip(texts, shingle_lists(texts, shingle), strict=True):
+                    name = class_of(np.unique(repeated))
+                    if name not in seen:
+                        seen.add(name)
+                        out.append((name, pa.compress(text, "zstd", asbytes=True), len(text)))
+                columns = list(zip(*out, strict=True)) if out else [(), (), ()]
+                kinds = (pa.binary(), pa.binary(), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=["class", "packed", "size"]
+                )
+
+    return packed
 
 
 def _most_missing(n_a: np.ndarray, n_b: np.ndarray, similar: int) -> tuple[np.ndarray, np.ndarray]:
@@ -212,15 +271,19 @@ def _fitting_bitmaps(similar: int):
 
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(len(batch), dtype=bool)
-            if len(batch):
-                n_a, n_b = (batch.column(at).to_numpy() for at in (2, 3))
-                bits_a, bits_b = (
-                    np.frombuffer(b"".join(batch.column(at).to_pylist()), dtype=np.uint64).reshape(-1, BITMAP) for at in (4, 5)
+            n_a, n_b = (batch.column(at).to_numpy() for at in (2, 3))
+            most_a, most_b = _most_missing(n_a, n_b, similar)
+            keep = (most_a >= 0) & (most_b >= 0)
+            sides = [batch.column(at).to_pylist() for at in (4, 5)]
+            widths = np.array([[len(a), len(b)] for a, b in zip(*sides, strict=True)]).reshape(-1, 2)
+            for width_a, width_b in {tuple(one) for one in widths.tolist()}:
+                rows = np.flatnonzero(keep & (widths[:, 0] == width_a) & (widths[:, 1] == width_b))
+                a, b = (
+                    _folded(np.frombuffer(b"".join([side[at] for at in rows]), dtype=np.uint8).reshape(-1, width), min(width_a, width_b))
+                    for side, width in zip(sides, (width_a, width_b), strict=True)
                 )
-                most_a, most_b = _most_missing(n_a, n_b, similar)
-                keep = np.bitwise_count(bits_a & ~bits_b).sum(axis=1) <= most_a
-                keep &= np.bitwise_count(bits_b & ~bits_a).sum(axis=1) <= most_b
+                lack_b, lack_a = _missing(a, b)
+                keep[rows] = (lack_b <= most_a[rows]) & (lack_a <= most_b[rows])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(at).filter(pa.array(keep)) for at in (0, 1)], names=["a", "b"]
             )
@@ -228,12 +291,16 @@ def _fitting_bitmaps(similar: int):
     return filtered
 
 
-def _verified(similar: int):
+def _verified(shingle: int, similar: int):
+    """Keeps the pairs (a, b, packed_a, size_a, packed_b, size_b) whose full sets are similar."""
+
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for ours, theirs in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = (np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in (ours, theirs))
+            packed_a, size_a, packed_b, size_b = (batch.column(at).to_pylist() for at in (2, 3, 4, 5))
+            for at in range(len(batch)):
+                texts = [pa.decompress(packed_a[at], size_a[at], "zstd", asbytes=True), pa.decompress(packed_b[at], size_b[at], "zstd", asbytes=True)]
+                a, b = (np.unique(repeated) for text in texts for repeated in shingle_lists([text], shingle))
                 both = np.sort(np.concatenate([a, b]))
                 common = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * common >= similar * (len(a) + len(b) - common))
@@ -246,45 +313,54 @@ def _verified(similar: int):
 def _block_survivors(similar: int, closest: int | None):
     """Pairs of one block pair that sizes and bitmaps allow; rows come sorted by block pair.
 
-    With `closest`, of each class only so many pairs, those with most in common.
+    `class` is in the outer block, `apart` says how many bits tell the two apart. With `closest`, of
+    each outer class only so many pairs, those with most in common.
     """
 
-    def compare(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
+    def compare(rows: list[tuple]) -> list[tuple[bytes, bytes, int]]:
         left, right = [r for r in rows if r[3]], [r for r in rows if not r[3]]
-        if not left or not right:
-            return []
+        by_width: dict[int, list[tuple]] = {}
+        for row in right:
+            by_width.setdefault(len(row[6]), []).append(row)
         out = []
-        n_r = np.array([r[5] for r in right])
-        bits_r = np.frombuffer(b"".join(r[6] for r in right), dtype=np.uint64).reshape(-1, BITMAP)
-        comps_r = np.array([hash(r[7]) for r in right])
+        sides = []
+        for width, members in by_width.items():
+            bits = np.frombuffer(b"".join(r[6] for r in members), dtype=np.uint8).reshape(-1, width)
+            sides.append((members, np.array([r[5] for r in members]), np.array([hash(r[7]) for r in members]), {width: bits}))
         for row in left:
-            most_a, most_b = _most_missing(np.int64(row[5]), n_r, similar)
-            bits = np.frombuffer(row[6], dtype=np.uint64)
-            fits = (most_a >= 0) & (most_b >= 0) & (comps_r != hash(row[7]))
-            if not fits.any():
-                continue
-            missing_a = np.bitwise_count(bits & ~bits_r).sum(axis=1, dtype=np.int64)
-            missing_b = np.bitwise_count(bits_r & ~bits).sum(axis=1, dtype=np.int64)
-            found = np.flatnonzero(fits & (missing_a <= most_a) & (missing_b <= most_b))
+            found: list[tuple[int, bytes]] = []
+            own = np.frombuffer(row[6], dtype=np.uint8).reshape(1, -1)
+            for members, sizes, comps, folded in sides:
+                most_a, most_b = _most_missing(np.int64(row[5]), sizes, similar)
+                fits = np.flatnonzero((most_a >= 0) & (most_b >= 0) & (comps != hash(row[7])))
+                if not len(fits):
+                    continue
+                width = min(own.shape[1], max(folded))
+                if width not in folded:
+                    folded[width] = _folded(folded[max(folded)], width)
+                lack_b, lack_a = _missing(_folded(own, width), folded[width][fits])
+                passed = np.flatnonzero((lack_b <= most_a[fits]) & (lack_a <= most_b[fits]))
+                found += [(int(lack_a[at] + lack_b[at]), members[fits[at]][4]) for at in passed]
             if closest is not None and len(found) > closest:
-                apart = (missing_a + missing_b)[found]
-                found = found[np.argsort(apart, kind="stable")[:closest]]
-            out += [(min(row[4], right[at][4]), max(row[4], right[at][4])) for at in found]
+                found = sorted(found)[:closest]
+            out += [(row[4], other, apart) for apart, other in found]
         return out
 
     def survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+        schema = pa.schema([("class", pa.binary()), ("other", pa.binary()), ("apart", pa.int64())])
+
+        def pairs(found: list[tuple[bytes, bytes, int]]) -> pa.RecordBatch:
+            columns = list(zip(*found, strict=True)) if found else [(), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
         held: list[tuple] = []
         for batch in batches:
-            found: set[tuple[bytes, bytes]] = set()
             for row in zip(*[column.to_pylist() for column in batch.columns], strict=True):
                 if held and held[-1][:3] != row[:3]:
-                    found.update(compare(held))
+                    yield pairs(compare(held))
                     held = []
                 held.append(row)
-            yield pa.RecordBatch.from_pydict({"a": [p[0] for p in found], "b": [p[1] for p in found]}, schema=schema)
-        last = compare(held) if held else []
-        yield pa.RecordBatch.from_pydict({"a": [p[0] for p in last], "b": [p[1] for p in last]}, schema=schema)
+        yield pairs(compare(held))
 
     return survivors
 
@@ -388,12 +464,16 @@ def _block_pairs(rows: DataFrame, summaries: DataFrame, similar: int, closest: i
         }
     )
     met = inner.select(*columns).unionByName(outer.select(*columns))
-    return (
+    found = (
         met.repartition("main", "out_block", "block")
         .sortWithinPartitions("main", "out_block", "block")
-        .mapInArrow(_block_survivors(similar, closest), "a binary, b binary")
-        .distinct()
+        .mapInArrow(_block_survivors(similar, closest), "class binary, other binary, apart long")
     )
+    if closest is not None:
+        # The closest of all blocks: at most `closest` of each block come here.
+        nearest = F.slice(F.array_sort(F.collect_set(F.struct("apart", "other"))), 1, closest)
+        found = found.groupBy("class").agg(nearest.alias("near")).select("class", F.inline("near"))
+    return found.select(F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b")).distinct()
 
 
 def _candidates(pairs: DataFrame, near: DataFrame, similar: int) -> DataFrame:
@@ -430,71 +510,110 @@ def _marked_slots(text_keys: DataFrame) -> bytes:
     return bytes(marks)
 
 
-class _Sets:
-    """Full shingle sets of the classes that met a candidate, built when first needed.
+class _Texts:
+    """Texts of the classes that met a candidate, packed, read again when first needed.
 
-    Which texts to read again is told by a map of fixed size, so no text is shuffled. A few
-    others share a slot; their sets are left out by class.
+    Which texts to read is told by a map of fixed size, so no text is shuffled but these. A few
+    others share a slot; they are left out by class.
     """
 
-    def __init__(self, texts: DataFrame, near: DataFrame, shingle: int) -> None:
-        self.texts, self.near, self.shingle = texts, near, shingle
-        self.built: DataFrame | None = None
+    def __init__(self, texts: DataFrame, keys: DataFrame, shingle: int) -> None:
+        self.slotted = texts.select(_slot(F.col("text_key")).alias("slot"), "text")
+        self.keys, self.shingle = keys, shingle
+        self.held: DataFrame | None = None
 
-    def of(self, candidates: DataFrame) -> DataFrame:
+    def of(self, candidates: DataFrame) -> DataFrame | None:
         needed = candidates.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        if self.built is not None:
-            needed = needed.join(self.built.select("class"), "class", "left_anti")
-        keys = cut_lineage(self.near.select("class", "text_key").join(needed, "class", "left_semi"), "needed_sets")
+        if self.held is not None:
+            needed = needed.join(self.held.select("class"), "class", "left_anti")
+        keys = cut_lineage(self.keys.select("class", "text_key").join(needed, "class", "left_semi"), "needed_texts")
         if not keys.isEmpty():
-            wanted = self.texts.sparkSession.sparkContext.broadcast(_marked_slots(keys))
-            # Copies of a text have the same set; they become one row before any join.
-            new = cut_lineage(
-                self.texts.select(_slot(F.col("text_key")).alias("slot"), "text")
-                .mapInArrow(_full_sets(self.shingle, wanted), "class binary, shingles binary")
-                .groupBy("class")
-                .agg(F.max("shingles").alias("shingles"))
-                .join(keys.select("class"), "class", "left_semi"),
-                "shingle_sets",
-            )
-            self.built = new if self.built is None else self.built.unionByName(new)
-        return self.built
+            wanted = self.slotted.sparkSession.sparkContext.broadcast(_marked_slots(keys))
+            read = self.slotted.mapInArrow(_packed_texts(self.shingle, wanted), "class binary, packed binary, size long")
+            named = read.join(keys.select("class"), "class", "left_semi")
+            new = cut_lineage(named.groupBy("class").agg(F.first("packed").alias("packed"), F.first("size").alias("size")), "packed_texts")
+            self.held = new if self.held is None else self.held.unionByName(new)
+        return self.held
 
 
-def _links(candidates: DataFrame, sets: _Sets, similar: int) -> DataFrame:
+def _links(candidates: DataFrame, texts: _Texts, similar: int) -> DataFrame:
     """The candidates whose full sets are similar."""
-    built = sets.of(candidates)
-    if built is None:
+    held = texts.of(candidates)
+    if held is None:
         return candidates
-    full = candidates.join(built.select(F.col("class").alias("a"), F.col("shingles").alias("set_a")), "a").join(
-        built.select(F.col("class").alias("b"), F.col("shingles").alias("set_b")), "b"
-    )
-    verified = full.select("a", "b", "set_a", "set_b").mapInArrow(_verified(similar), "a binary, b binary")
-    return cut_lineage(verified, "links")
+    for name in ("a", "b"):
+        side = held.select(F.col("class").alias(name), F.col("packed").alias(f"packed_{name}"), F.col("size").alias(f"size_{name}"))
+        candidates = candidates.join(side, name)
+    full = candidates.select("a", "b", "packed_a", "size_a", "packed_b", "size_b")
+    return cut_lineage(full.mapInArrow(_verified(texts.shingle, similar), "a binary, b binary"), "links")
 
 
-def _shared_tokens(classes: DataFrame, similar: int) -> DataFrame:
-    """(token, class) of first tokens that several classes of like size have.
+def _shared_by_several(similar: int):
+    """(token, number) of tokens that several classes of like size have; rows come sorted by token and number.
 
-    A token stands for a shingle and one of the two size ranges of a class; classes of
+    A token then stands for a shingle and one of the two size ranges of a class; classes of
     linkable size have a range in common.
     """
-
-    def of_several(rows: DataFrame) -> DataFrame:
-        several = rows.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-        return rows.join(several.select("token"), "token", "left_semi")
-
-    tokens = of_several(classes.select("class", "n", F.explode("first0").alias("token")))
     # A range is a hair wider than the ratio of linkable sizes, so these are never two ranges apart.
-    size = F.floor(F.log("n") / F.lit(float(np.log(100 / similar)) * (1 + 1e-9)))
-    ranges = tokens.select("class", "token", F.explode(F.array(size, size + 1)).alias("range"))
-    return of_several(ranges.select("class", F.xxhash64("token", "range").alias("token")))
+    wide = float(np.log(100 / similar)) * (1 + 1e-9)
+
+    def ranged(token: np.ndarray, number: np.ndarray, n: np.ndarray, all_of: int | None) -> pa.RecordBatch:
+        new = np.ones(len(token), dtype=bool)
+        new[1:] = (token[1:] != token[:-1]) | (number[1:] != number[:-1])
+        token, number, n = token[new], number[new], n[new]
+        place = np.floor(np.log(n) / wide).astype(np.int64)
+        certain = np.zeros(len(token), dtype=bool) if all_of is None else token == all_of
+        keys = [mixed(mixed(token.astype(np.uint64)) + (place + at).astype(np.uint64)) for at in (0, 1)]
+        keys, numbers = np.concatenate(keys), np.concatenate([number, number])
+        _, inverse, members = np.unique(keys, return_inverse=True, return_counts=True)
+        kept = (members[inverse] > 1) | np.concatenate([certain, certain])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys[kept].astype(np.int64)), pa.array(numbers[kept])], names=["token", "number"]
+        )
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, hot = None, None
+        for batch in batches:
+            if not len(batch):
+                continue
+            columns = [column.to_numpy() for column in batch.columns]
+            if held is not None:
+                columns = [np.concatenate(pair) for pair in zip(held, columns, strict=True)]
+            token = columns[0]
+            # The last token may go on in the next batch.
+            border = int(np.searchsorted(token, token[-1], side="left")) if len(token) < HELD_ROWS else len(token)
+            yield ranged(*[c[:border] for c in columns], hot if border < len(token) else int(token[-1]))
+            hot = hot if border < len(token) else int(token[-1])
+            held = [c[border:] for c in columns]
+        if held is not None and len(held[0]):
+            yield ranged(*held, hot)
+
+    return shared
+
+
+_NEAR = "class binary, n long, bits binary, first1 array<int>, first2 array<int>"
+_TABLES = "wattline_near_"
+
+
+def _by_class(near: DataFrame) -> DataFrame:
+    """`near` in buckets of the class, in the shared folder: joins on the class leave it where it is."""
+    spark, name = near.sparkSession, f"{_TABLES}{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (
+        near.repartition(buckets, "class")
+        .write.format("parquet")
+        .option("path", scratch_path(spark, name))
+        .bucketBy(buckets, "class")
+        .sortBy("class")
+        .saveAsTable(name)
+    )
+    return spark.table(name)
 
 
 def _prepared(
     docs: DataFrame, id_col: str, text_col: str, shingle: int, similar: int
-) -> tuple[DataFrame, DataFrame, DataFrame, _Sets]:
-    """Summary per row, (token, class) of shared first tokens, the classes that have any, and their sets."""
+) -> tuple[DataFrame, DataFrame, DataFrame, _Texts]:
+    """Summary per row, (token, class) of shared first tokens, what pairs of their classes are tested on, and their texts."""
     spark = docs.sparkSession
     bound_batches(spark)
     texts = docs.select(
@@ -507,46 +626,59 @@ def _prepared(
     summary = cut_lineage(
         texts.mapInArrow(
             _summaries(shingle, similar, levels),
-            f"id {kind}, text_key binary, class binary, n long, bits binary, "
-            "first0 array<long>, first1 array<int>, first2 array<int>",
+            f"id {kind}, text_key binary, class binary, number long, n long, first0 array<long>",
         ),
         "summaries",
     )
-    filled = summary.filter("n > 0")
-    classes = filled.groupBy("class").agg(F.first("n").alias("n"), F.first("first0").alias("first0"))
-    groups = cut_lineage(_shared_tokens(classes, similar), "token_groups")
-    involved = groups.select("class").distinct()
+    tokens = summary.select(F.explode("first0").alias("token"), "number", "n")
+    numbered = cut_lineage(
+        tokens.repartition("token")
+        .sortWithinPartitions("token", "number")
+        .mapInArrow(_shared_by_several(similar), "token long, number long"),
+        "token_numbers",
+    )
+    involved = numbered.select("number").distinct()
     # Copies are one row before they meet the join: a class of a third of all rows is no hot spot.
-    near = cut_lineage(
-        filled.groupBy("class")
-        .agg(*[F.first(c).alias(c) for c in ("n", "bits", "first1", "first2")], F.min("text_key").alias("text_key"))
-        .join(involved, "class", "left_semi"),
-        "near_classes",
+    keys = cut_lineage(
+        summary.filter("n > 0")
+        .groupBy("class")
+        .agg(F.min("number").alias("number"), F.min("text_key").alias("text_key"))
+        .join(involved, "number", "left_semi"),
+        "near_keys",
+    )
+    wanted = spark.sparkContext.broadcast(_marked_slots(keys))
+    # Which texts to read again is told by a map of fixed size, so no text is shuffled. A few others
+    # share a slot; they are left out by class.
+    read = texts.select(_slot(F.col("text_key")).alias("slot"), F.col("text")).mapInArrow(_details(shingle, similar, wanted), _NEAR)
+    columns = [c for c in read.columns if c != "class"]
+    near = _by_class(
+        read.join(keys.select("class"), "class", "left_semi").groupBy("class").agg(*[F.first(c).alias(c) for c in columns])
     )
-    return summary.select("id", "text_key", "class", "n"), groups, near, _Sets(texts, near, shingle)
+    groups = cut_lineage(numbered.join(keys.select("number", "class"), "number").select("token", "class"), "token_groups")
+    return summary.select("id", "text_key", "class", "n"), groups, near, _Texts(texts, keys, shingle)
 
 
 def _classes(
     docs: DataFrame, id_col: str, text_col: str, shingle: int, similar: int
 ) -> tuple[DataFrame, DataFrame | None]:
     """(id, text_key, class, n) per row, and (class, comp) of the classes with links."""
-    members, groups, near, sets = _prepared(docs, id_col, text_col, shingle, similar)
+    members, groups, near, texts = _prepared(docs, id_col, text_col, shingle, similar)
     summaries = near.select("class", "n", "bits")
-    links, comps = None, None
-    for round_ in range(3):
-        rows = _grouped(groups, comps)
-        if round_ == 0:
-            pairs = _hub_pairs(rows)
-        else:
-            pairs = _block_pairs(rows, summaries, similar, CLOSEST if round_ == 1 else None)
-        found = _links(_candidates(cut_lineage(pairs, "pairs"), near, similar), sets, similar)
-        links = found if links is None else links.unionByName(found)
-        comps = components(links, f"round_{round_}", whole=round_ == 2)
-        if round_ == 0:
-            # The only pair of a group of two has met now.
-            large = groups.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 2")
-            groups = cut_lineage(groups.join(large.select("token"), "token", "left_semi"), "large_groups")
-    return members, comps
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return _links(_candidates(cut_lineage(pairs, "pairs"), near, similar), texts, similar)
+
+    links = linked(_hub_pairs(_grouped(groups, None)))
+    # The only pair of a group of two has met now.
+    large = groups.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 2")
+    groups = cut_lineage(groups.join(large.select("token"), "token", "left_semi"), "large_groups")
+    for round_ in range(CLOSEST_ROUNDS):
+        comps = components(links, f"round_{round_}", whole=False)
+        found = linked(_block_pairs(_grouped(groups, comps), summaries, similar, CLOSEST))
+        links = links.unionByName(found)
+    comps = components(links, "closest", whole=False)
+    links = links.unionByName(linked(_block_pairs(_grouped(groups, comps), summaries, similar, None)))
+    return members, components(links, "all", whole=True)
 
 
 def similar_classes(
@@ -563,9 +695,9 @@ def similar_classes(
     counts as connected yet, so the blocks test each pair of a family: members and tests grow
     with the square of a large group of near copies, as the links themselves do.
     """
-    rows, groups, near, sets = _prepared(docs, id_col, text_col, shingle, similar)
+    rows, groups, near, texts = _prepared(docs, id_col, text_col, shingle, similar)
     pairs = _block_pairs(_grouped(groups, None), near.select("class", "n", "bits"), similar, None)
-    links = _links(_candidates(cut_lineage(pairs, "pairs"), near, similar), sets, similar)
+    links = _links(_candidates(cut_lineage(pairs, "pairs"), near, similar), texts, similar)
     degrees = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count(F.lit(1)).alias("n_links"))
     members = rows.join(degrees, "class", "left").select(
         F.col("id").alias("doc_id"),

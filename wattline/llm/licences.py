@@ -1,8 +1,10 @@
 """License scan: sentences become identifiers, identifier sequences meet ordered rules.
 
 A text is cut twice: at sentence ends and blank lines (a line break inside a sentence is a
-blank), and at every line end. Normalised sentences that are known get an identifier, others
-break the sequence. Rules are tried in order on each sequence; sentences that a rule has
+blank, and so are the marks that begin comment lines), and at every line end. Known sentences
+are cut by the same ends, so one of several parts is a sequence of its parts' identifiers.
+Normalised sentences that are known get an identifier, numbers and letters of lists are left
+out, and others break the sequence. Rules are tried in order on each sequence; sentences that a rule has
 taken are not seen by later rules, so long licences come before the notices they contain.
 The known sentences and rules are fixed lists, looked up inside the row: nothing is shuffled.
 
@@ -30,6 +32,9 @@ SENTENCES = {
     "apache-as-is": 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
     "apache-see": "See the License for the specific language governing permissions and limitations under the License.",
     "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "bsd-endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     "bsd-notice": "Released under the BSD License.",
     "cc0-notice": "This work is dedicated to the public domain under CC0 1.0.",
     "cc-by-notice": "Licensed under CC BY 4.0.",
@@ -42,6 +47,8 @@ SENTENCES = {
     "gpl3-notice": "This work is licensed under the GNU General Public License, version 3.",
     "gpl-redistribute2": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     "gpl-redistribute3": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "gpl-only2": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 2 of the License.",
+    "lgpl-redistribute21": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
     "gpl-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;",
     "gpl-implied": "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
@@ -69,6 +76,9 @@ RULES = [
     ("MIT", ["mit-title", "mit-grant", "mit-keep"]),
     ("MIT", ["mit-grant", "mit-keep"]),
     ("ISC", ["isc-grant", "isc-as-is"]),
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"]),
+    ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
+    ("LGPL-2.1-or-later", ["lgpl-redistribute21"]),
     ("GPL-2.0-or-later", ["gpl-redistribute2", "gpl-warranty", "gpl-implied"]),
     ("GPL-3.0-or-later", ["gpl-redistribute3", "gpl-warranty", "gpl-implied"]),
     ("AGPL-3.0", ["agpl-notice"]),
@@ -87,6 +97,7 @@ RULES = [
     ("CC-BY-NC-4.0", ["cc-by-nc-long"]),
     ("GPL-2.0", ["gpl2-notice"]),
     ("GPL-2.0", ["spdx-gpl2"]),
+    ("GPL-2.0", ["gpl-only2"]),
     ("GPL-2.0-or-later", ["gpl-redistribute2"]),
     ("GPL-3.0", ["gpl3-notice"]),
     ("GPL-3.0", ["spdx-gpl3"]),
@@ -104,8 +115,10 @@ RULES = [
 
 #: What normalising turns into one blank; \x1e separates sentences.
 FILLER = r"[\x00-\x1D\x1F-\x2F\x3A-\x60\x7B-\x7F]+"
-SENTENCE_END = r"[.!?;]+[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*\n"
+SENTENCE_END = r"[.!?;]+[\x20\x09-\x0D]+|\n[\x20\x09-\x0D#*/-]*\n"
 LINE_END = r"\n"
+#: What numbers the items of a list; it is no sentence.
+MARKER = r"^([0-9]{1,2}|[a-z])$"
 
 
 def normalised(sentence: str) -> str:
@@ -115,27 +128,44 @@ def normalised(sentence: str) -> str:
 
 
 def code_of(position: int) -> str:
-    """One character per known sentence; a dot stands for any other."""
+    """One character per known part of a sentence; a dot stands for any other."""
     return chr(0x4E00 + position)
 
 
+def parts_of(sentence: str) -> list[str]:
+    """A known sentence cut and normalised as texts are."""
+    parts = [normalised(part) for part in re.split(SENTENCE_END, sentence)]
+    return [part for part in parts if part and not re.search(MARKER, part)]
+
+
+def _part_codes(sentences: dict[str, str]) -> dict[str, str]:
+    parts = dict.fromkeys(part for text in sentences.values() for part in parts_of(text))
+    return {part: code_of(at) for at, part in enumerate(parts)}
+
+
 def coded_sentences(sentences: dict[str, str] = SENTENCES) -> dict[str, str]:
-    """Code by normalised sentence."""
-    return {normalised(text): code_of(at) for at, text in enumerate(sentences.values())}
+    """Codes by normalised sentence, and code by part of a sentence."""
+    codes = _part_codes(sentences)
+    whole = {normalised(text): "".join(codes[part] for part in parts_of(text)) for text in sentences.values()}
+    return {**whole, **codes}
 
 
 def coded_rules(
     rules: Sequence[tuple[str, Sequence[str]]] = tuple(RULES), sentences: dict[str, str] = SENTENCES
 ) -> list[tuple[str, str]]:
     """(licence, codes in a row), in order."""
-    codes = {name: code_of(at) for at, name in enumerate(sentences)}
-    return [(licence, "".join(codes[name] for name in sequence)) for licence, sequence in rules]
+    codes = _part_codes(sentences)
+    return [
+        (licence, "".join(codes[part] for name in sequence for part in parts_of(sentences[name])))
+        for licence, sequence in rules
+    ]
 
 
 def _sentences(text: Column, ends: str) -> Column:
     broken = F.regexp_replace(text, ends, "\x1e")
     plain = F.regexp_replace(ascii_lower(broken), FILLER, " ")
-    return F.filter(F.transform(F.split(plain, "\x1e", -1), lambda s: F.trim(s)), lambda sentence: sentence != "")
+    trimmed = F.transform(F.split(plain, "\x1e", -1), lambda s: F.trim(s))
+    return F.filter(trimmed, lambda sentence: (sentence != "") & ~F.regexp_like(sentence, F.lit(MARKER)))
 
 
 def _identified(sentences: Column, known: Column) -> Column:

@@ -39,7 +39,7 @@ one AS (
   FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS pos FROM cuts)),
 coded AS (
   SELECT rid, doc_id, cut, pos, coalesce(code, '.') AS code
-  FROM one LEFT JOIN known USING (sentence) WHERE sentence <> ''),
+  FROM one LEFT JOIN known USING (sentence) WHERE sentence <> '' AND NOT regexp_matches(sentence, '{licences.MARKER}')),
 seq AS (
   SELECT d.rid, d.doc_id, k.cut, coalesce(string_agg(code, '' ORDER BY pos), '') AS rest, []::VARCHAR[] AS found
   FROM d CROSS JOIN (VALUES ('sentence'), ('line')) AS k(cut)

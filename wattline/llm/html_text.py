@@ -1,7 +1,9 @@
 """Main text of web pages by composite text density.
 
 Each page becomes a small tree. Parts that name themselves as something else (menus, forms,
-adverts, comments, ...) are cut off. Every node then has a density: its characters per tag,
+adverts, comments, ...) are cut off: by element, by role, or by a word of their class or id. Words
+that articles use too (related, legal, search, ...) count only as a whole name, and neither cut a
+paragraph, heading, quotation or cell nor, as part of a longer name, a box of ordinary sentences. Every node then has a density: its characters per tag,
 adjusted by how many of them are link text against the page's share; a node's density sum
 adds up its children. The node with the largest sum is the core. On the path from the core to
 the body, nodes are taken as long as they are dense enough: at least as the thinnest node of the
@@ -43,14 +45,19 @@ DROPPED = frozenset(
 DROPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form".split()
 )
-#: Words of class and id values.
+#: Words of class and id values that name something else, also as a part of a longer name.
 DROPPED_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu"
-    " breadcrumb breadcrumbs pagination pager header masthead banner footer sidebar aside rail widget related"
-    " recommended share sharing social comment comments discussion disqus replies reply respond notice cookie cookies"
-    " consent gdpr popup modal overlay newsletter subscribe subscription signup login search toolbar skip copyright"
-    " legal disclaimer hidden".split()
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo nav navbar navigation menu"
+    " breadcrumb breadcrumbs pagination masthead footer sidebar aside comment comments discussion disqus replies"
+    " cookie cookies gdpr popup modal newsletter".split()
 )
+#: Words that can as well describe a part of an article.
+VAGUE_WORDS = frozenset(
+    "promotion pager header banner rail widget related recommended share sharing social reply respond notice consent"
+    " overlay subscribe subscription signup login search toolbar skip copyright legal disclaimer hidden".split()
+)
+#: Characters outside of links from which on a box under a vague name counts as ordinary text.
+ORDINARY_CHARS = 80
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header"
     " hr main menu nav ol p pre section table ul".split()
@@ -74,13 +81,16 @@ _P_SCOPE = frozenset("table td th button object caption".split())
 class Node:
     """An element; `parts` holds its texts and child elements in page order."""
 
-    __slots__ = ("chars", "children_sum", "density", "doubted", "dropped", "link_chars", "link_tags", "links", "parent", "parts", "prose", "tag", "tags")
+    __slots__ = (
+        "chars", "children_sum", "density", "doubted", "dropped", "link_chars", "link_tags", "links", "parent", "parts", "prose",
+        "tag", "tags", "vague",
+    )
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool = False, doubted: bool = False) -> None:
         self.tag, self.parent, self.dropped, self.doubted = tag, parent, dropped, doubted
         self.parts: list[str | Node] = []
         self.chars = self.link_chars = self.tags = self.link_tags = self.links = 0
-        self.prose = False
+        self.prose = self.vague = False
         self.density = self.children_sum = 0.0
 
     def children(self) -> Iterator[Node]:
@@ -103,12 +113,42 @@ def _is_hidden(attributes: list[tuple[str, str | None]]) -> bool:
     return False
 
 
-def _names_other(attributes: list[tuple[str, str | None]]) -> bool:
-    """A class or id with a word for something else than the text."""
-    return any(
-        name in ("class", "id") and not DROPPED_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", (value or "").lower()))
-        for name, value in attributes
-    )
+def _names_other(tag: str, attributes: list[tuple[str, str | None]]) -> tuple[bool, bool]:
+    """(doubted, vague): a class or id says something else than text; vague doubts wait for the text itself."""
+    names = [name for key, value in attributes if key in ("class", "id") for name in (value or "").lower().split()]
+    parts = {part for name in names for part in re.split(r"[^a-z0-9]+", name)}
+    if not DROPPED_WORDS.isdisjoint(names) or (tag not in PROSE and not DROPPED_WORDS.isdisjoint(parts)):
+        return True, False
+    if tag in PROSE:
+        return False, False
+    if not VAGUE_WORDS.isdisjoint(names):
+        return True, False
+    vague = not VAGUE_WORDS.isdisjoint(parts)
+    return vague, vague
+
+
+def _hear_doubts(root: Node) -> None:
+    """Boxes under a vague name stay if they hold ordinary text, most of it outside of links."""
+    found, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        found += [node] if node.vague and node.doubted else []
+        stack.extend(part for part in node.parts if isinstance(part, Node) and not part.dropped)
+    for node in found:
+        text = linked = 0
+        inside = [(node, False)]
+        while inside:
+            one, in_link = inside.pop()
+            in_link = in_link or one.tag == "a"
+            for part in one.parts:
+                if isinstance(part, Node):
+                    if not part.dropped:
+                        inside.append((part, in_link))
+                elif in_link:
+                    linked += len(part.strip())
+                else:
+                    text += len(part.strip())
+        node.doubted = text < ORDINARY_CHARS or linked > text
 
 
 class _Tree(HTMLParser):
@@ -136,7 +176,9 @@ class _Tree(HTMLParser):
             self.at.parts.append("\n")
             return
         whole = tag in ("html", "body", "main", "article")
-        node = Node(tag, self.at, tag in DROPPED or (not whole and _is_hidden(attrs)), not whole and _names_other(attrs))
+        node = Node(tag, self.at, tag in DROPPED or (not whole and _is_hidden(attrs)))
+        if not whole:
+            node.doubted, node.vague = _names_other(tag, attrs)
         self.at.parts.append(node)
         if tag in ("main", "article", "h1"):
             self._clear_doubts(node)
@@ -259,6 +301,7 @@ def main_text(html: str) -> str:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    _hear_doubts(tree.root)
     body = tree.root
     queue = [tree.root]
     while queue:

@@ -65,13 +65,15 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         docs[f"`{text_col}`"].alias("text"),
     )
     keyed = rows.withColumn("key", row_key(F.col("id"), F.col("text"))).withColumn("no_id", F.col("id").isNull())
-    marked = keyed.select("row", "text", "key").join(repeated_lines(keyed), "key", "left")
-    lines = marked.withColumn("lines", _lines(F.col("text")))
-    kept = F.filter("lines", lambda line, at: ~F.array_contains("covered", at))
+    # Lines are split below the join, so that no later expression splits a text once per line.
+    split = keyed.select("row", _lines(F.col("text")).alias("lines"), "key")
+    marked = split.join(repeated_lines(keyed), "key", "left")
+    places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "covered")
+    kept = F.transform(places, lambda at: F.get("lines", at))
     changed = F.col("covered").isNotNull()
-    return lines.select(
+    return marked.select(
         "row",
-        F.when(changed, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("deduped"),
+        F.when(changed, F.array_join(kept, "\n")).otherwise(F.col("row")[text_col]).alias("deduped"),
         F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
         F.when(changed, F.size("covered")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
     )

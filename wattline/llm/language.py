@@ -32,7 +32,8 @@ LEARN_ROWS = 3_000
 #: Characters counted at once; a longer text is counted alone.
 CHUNK_CHARS = 400_000
 
-_COUNT_BITS, _PLACE_BITS = 24, 24
+#: Texts, counts and places that fit into one number of 63 bits.
+_TEXT_BITS, _COUNT_BITS, _PLACE_BITS = 15, 24, 24
 
 
 def held_out(id_col: Column) -> Column:
@@ -98,10 +99,15 @@ def _tops(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     text, gram = np.divmod(keys[new], possible)
     starts = np.searchsorted(text, np.arange(len(texts) + 1))
     place = np.arange(len(text)) - starts[text]
-    most = (1 << _COUNT_BITS) - 1
-    order = (text << (_COUNT_BITS + _PLACE_BITS)) | ((most - np.minimum(counts, most)) << _PLACE_BITS) | place
-    order.sort()
-    at = starts[text] + (order & ((1 << _PLACE_BITS) - 1))
+    if max(counts.max(initial=0) >> _COUNT_BITS, place.max(initial=0) >> _PLACE_BITS, len(texts) >> _TEXT_BITS):
+        order = np.lexsort((place, -counts, text))
+        at = starts[text] + place[order]
+    else:
+        # The same order by one number, which sorts faster.
+        most = (1 << _COUNT_BITS) - 1
+        order = (text << (_COUNT_BITS + _PLACE_BITS)) | ((most - counts) << _PLACE_BITS) | place
+        order.sort()
+        at = starts[text] + (order & ((1 << _PLACE_BITS) - 1))
     rank = np.arange(len(text)) - starts[text]
     top = rank < size
     return alphabet, text[top], gram[at][top], rank[top], counts[at][top]
@@ -134,7 +140,7 @@ def _count_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             by_lang.setdefault(lang, []).append(text)
         for lang, own in by_lang.items():
             for start, end in _chunks(np.array([len(text) for text in own])):
-                alphabet, _, grams, _, counts = _tops([" ".join(own[start:end])], 1 << _PLACE_BITS)
+                alphabet, _, grams, _, counts = _tops([" ".join(own[start:end])], 1 << 62)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "lang": [lang] * len(grams),

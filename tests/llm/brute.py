@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -192,3 +193,64 @@ def fewest_sequences(lengths, capacity):
 
     place(0, [])
     return best if lengths else 0
+
+
+def letter_grams(text):
+    """Counter of the 1- to 3-grams of letters; words are padded with a blank on both sides."""
+    counts = Counter()
+    folded = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+    for word in folded.split(" "):
+        if word:
+            padded = f" {word} "
+            counts.update(word)
+            counts.update(padded[at : at + 2] for at in range(len(padded) - 1))
+            counts.update(padded[at : at + 3] for at in range(len(padded) - 2))
+    return counts
+
+
+def ranked_grams(counts, size=300):
+    return sorted(counts, key=lambda gram: (-counts[gram], len(gram), gram))[:size]
+
+
+def language(text, profiles, size=300):
+    """(language, score) by out-of-place distance to rank lists."""
+    own = ranked_grams(letter_grams(text), size)
+    if not own:
+        return "und", 0.0
+    places = {lang: {gram: at for at, gram in enumerate(profile)} for lang, profile in profiles.items()}
+    distance = {
+        lang: sum(abs(known[gram] - at) if gram in known else size for at, gram in enumerate(own))
+        for lang, known in places.items()
+    }
+    best = min(sorted(distance), key=distance.get)
+    return best, 1 - distance[best] / (len(own) * size)
+
+
+def statistics(text):
+    """The fourteen figures of a text that the quality classifier reads."""
+    text = text or ""
+    words = spaced_words(text)
+    lines = [line for line in text.split("\n") if line.strip(" \t\n\x0b\f\r")]
+    chars = sum(c not in " \t\n\x0b\f\r" for c in text)
+    n, lines_n = max(len(words), 1), max(len(lines), 1)
+
+    def share(characters):
+        return sum(c in characters for c in text) / max(chars, 1)
+
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return [
+        math.log1p(chars), math.log1p(n), chars / n, len(set(words)) / n,
+        sum(a == b for a, b in zip(words, words[1:], strict=False)) / n,
+        share("#*$%&"), share("|<>"), share("!?"), share(".,;:"), share("0123456789"), share(upper), share(upper.lower()),
+        len(lines) / n, len(set(lines)) / lines_n,
+    ]
+
+
+def isotonic(values, weights):
+    """Non-decreasing least squares by its min-max formula."""
+    n = len(values)
+
+    def mean(a, b):
+        return sum(v * w for v, w in zip(values[a:b], weights[a:b], strict=True)) / sum(weights[a:b])
+
+    return [max(min(mean(a, b) for b in range(at + 1, n + 1)) for a in range(at + 1)) for at in range(n)]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 from collections import Counter
 
 import brute
@@ -627,3 +628,118 @@ def test_audit_counts_every_order_by_hand(spark):
                 expected[part, "".join(order), step] = (len(left), len(gone), redundant, alone, *lost)
     assert {key: value[:-1] for key, value in got.items()} == expected and len(got) == 3 * 600
     assert all(value[-1] == worth[key[0], key[1][key[2] - 1]] for key, value in got.items())
+
+
+def test_line_dedup_takes_time_in_proportion_to_the_lines(spark):
+    def seconds(lines_):
+        text = "\n".join(f"line {at}" for at in range(lines_))
+        docs = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+        begin = time.perf_counter()
+        got = {row.doc_id: row for row in lines.digest(lines.line_dedup(docs)).collect()}
+        assert (got[1].n_removed, got[2].n_removed, got[2].n_lines) == (0, lines_, lines_)
+        return time.perf_counter() - begin
+
+    seconds(1_000)
+    few, many = seconds(10_000), seconds(100_000)
+    assert many <= 20 * few
+
+
+MPL2 = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/."""
+GPL2 = """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+GPL2_ONLY = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; version 2 of the License."""
+LGPL21 = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""
+BSD2 = """Copyright (c) 2020, A. Body
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+HEADERS = {
+    "MPL-2.0": MPL2, "GPL-2.0-or-later": GPL2, "GPL-2.0": GPL2_ONLY, "LGPL-2.1-or-later": LGPL21, "BSD-2-Clause": BSD2,
+    "BSD-3-Clause": BSD3, "Apache-2.0": APACHE,
+}
+
+
+@pytest.mark.parametrize("leader", ["", "# ", " * ", "// "])
+def test_published_headers_are_recognised_wrapped_and_in_comments(spark, leader):
+    rows = []
+    for at, text in enumerate(HEADERS.values()):
+        lines_ = [(leader + line).rstrip() for line in text.split("\n")]
+        rows.append((at, "\n".join(["int x = 1;", "", *lines_, "", "return x;"])))
+    got = {row.doc_id: row.licences for row in licences.license_scan(table(spark, rows)).collect()}
+    assert got == {at: [name] for at, name in enumerate(HEADERS)}
+
+
+def test_known_sentences_survive_their_own_cut():
+    for text in licences.SENTENCES.values():
+        parts = licences.parts_of(text)
+        assert parts and all(licences.parts_of(part) == [part] for part in parts)
+
+
+def test_article_parts_under_misleading_names_stay():
+    text = "These are ordinary sentences of the article, long enough to be read, and no link is in them at all. "
+    link = "".join(f'<a href="/{at}">Link number {at}</a> ' for at in range(6))
+    parts = {
+        f'<p class="legal">{text}</p>': True,
+        f'<div class="related-work"><p>{text * 2}</p></div>': True,
+        f'<p id="search">{text}</p>': True,
+        f'<blockquote class="notice">{text}</blockquote>': True,
+        f'<div class="share">{link}</div>': False,
+        f'<div class="share-buttons">{link}</div>': False,
+        f'<div class="related-posts"><ul><li>{link}</li></ul></div>': False,
+        f'<div class="comments"><p>{text}</p></div>': False,
+        f'<section id="comment-list"><p>{text}</p></section>': False,
+        f'<div class="ad-banner"><p>{text}</p></div>': False,
+        f'<p class="ad">{text}</p>': False,
+    }
+    for part, stays in parts.items():
+        for around in ("article", "main", "div"):
+            page = f"<html><body><{around}><h1>Title</h1><p>{text * 3}</p>{part}<p>{text * 3}</p></{around}></body></html>"
+            got = html_text.main_text(page)
+            assert got.startswith("Title These") and got.count("These are ordinary") == 6 + (stays * part.count("These are")), (around, part)
+            assert "Link number" not in got
+
+
+def test_ranks_are_the_same_by_one_number_and_by_three(monkeypatch):
+    texts = ["abc abd abc", "", "zz zz y", "ünï " * 9]
+    packed = language._tops(texts, 50)
+    monkeypatch.setattr(language, "_COUNT_BITS", 1)
+    for ours, theirs in zip(packed, language._tops(texts, 50), strict=True):
+        assert ours.tolist() == theirs.tolist()

@@ -30,10 +30,17 @@ class Killed(BaseException):
 # -- commits -------------------------------------------------------------------------------------
 
 
-def test_readers_never_see_one_derived_table_without_the_other(spark, plant):
+@pytest.fixture(scope="module")
+def derived_dir(spark, plant):
+    """A folder with published base and derived tables of the plant."""
     out_dir = scratch_path(spark, "plant")
     sinks.full_refresh(spark, plant.tables, out_dir, quality.primary_keys)
     sinks.rebuild_enriched(spark, plant.tables, out_dir)
+    return out_dir
+
+
+def test_readers_never_see_one_derived_table_without_the_other(spark, plant, derived_dir):
+    out_dir = derived_dir
     seen, stop = [], threading.Event()
 
     def look():
@@ -56,13 +63,12 @@ def test_readers_never_see_one_derived_table_without_the_other(spark, plant):
     assert (last.rows("energy_enriched"), last.rows("cycle_energy_summary")) == part
     # Older versions can still be read.
     assert store.snapshot(spark, out_dir, last.number - 1).read("energy_enriched").count() == whole[0]
+    sinks.rebuild_enriched(spark, plant.tables, out_dir)
 
 
 @pytest.mark.parametrize("step", ["first table", "between", "second table", "claim", "pointer"])
-def test_a_rebuild_killed_anywhere_leaves_the_old_tables(spark, plant, monkeypatch, step):
-    out_dir = scratch_path(spark, "plant")
-    sinks.full_refresh(spark, plant.tables, out_dir)
-    sinks.rebuild_enriched(spark, plant.tables, out_dir)
+def test_a_rebuild_killed_anywhere_leaves_the_old_tables(spark, plant, monkeypatch, step, derived_dir):
+    out_dir = derived_dir
     before = store.snapshot(spark, out_dir)
     monkeypatch.setattr(store.Publication, "discard", lambda self: None)
 

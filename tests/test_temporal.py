@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from wattline.operators import quality, temporal
+from wattline.session import cut_lineage
 
 T0 = datetime(2026, 3, 1, 10, 0, 0)
 
@@ -165,6 +166,39 @@ def test_slots_cover_intervals_once(spark):
         assert low - 1 < pieces[0][0] <= low and high <= pieces[-1][1] < high + 1
 
 
+def test_joined_intervals_touch_few_slots(spark, monkeypatch):
+    rng = random.Random(13)
+    rows = []
+    for i in range(400):
+        start = datetime(1969, 12, 31) + timedelta(seconds=rng.randrange(10**5), microseconds=rng.choice([0, 1, 999_999]))
+        rows.append(("A", start, start + timedelta(seconds=rng.choice([0.5, 1, 3, 16, 300, 9000, 10**7]) + rng.random() / 2), str(i)))
+    frame = spark.createDataFrame(rows, "k string, s timestamp_ntz, e timestamp_ntz, id string")
+    parts = {}
+    for r in temporal.slots_touched(frame, "s", "e").collect():
+        parts.setdefault(r.id, []).append((r._slot * 4**r._level, (r._slot + 1) * 4**r._level))
+    epoch = datetime(1970, 1, 1)
+    for _, start, end, i in rows:
+        pieces = sorted(parts[i])
+        low, high = (start - epoch).total_seconds(), (end - epoch).total_seconds()
+        assert len(pieces) <= 5 and all(a[1] == b[0] for a, b in zip(pieces, pieces[1:]))
+        assert pieces[0][0] <= low < pieces[0][1] and pieces[-1][0] < high <= pieces[-1][1]
+
+    # The join writes no more of them, and still finds every interval and only those.
+    written = {}
+
+    def kept(df, name):
+        written[name] = cut_lineage(df, name)
+        return written[name]
+
+    monkeypatch.setattr(temporal, "cut_lineage", kept)
+    points = [datetime(1969, 12, 31) + timedelta(seconds=rng.randrange(10**5), microseconds=rng.randrange(10**6)) for _ in range(300)]
+    times = spark.createDataFrame([("A", t) for t in points], "k string, ts timestamp_ntz")
+    joined = temporal.interval_join(times, frame, ["k"], "ts", "s", "e", ["id"]).collect()
+    wanted = [(t, i) for t in points for i in [r[3] for r in rows if r[1] <= t < r[2]] or [None]]
+    assert sorted(((r.ts, r.id) for r in joined), key=repr) == sorted(wanted, key=repr)
+    assert written["interval_slots"].count() <= 5 * len(rows)
+
+
 def test_null_keys_match_nothing(spark):
     points = spark.createDataFrame([(None, at(5)), ("A", at(5))], "k string, ts timestamp_ntz")
     events = spark.createDataFrame([(None, at(1), "x", 1), ("A", at(2), "y", 2)], "k string, ts timestamp_ntz, s string, n int")

@@ -32,6 +32,8 @@ _RANK = "_rank"
 _CARRY, _LOOKUP, _POINT = 0, 1, 2
 #: Overlapping intervals are covered by aligned slots of 16 ** level seconds; the last level spans millennia.
 _LEVELS, _BITS = 10, 4
+#: For a join they are covered by slots of 4 ** level seconds, all of one level that their length names.
+_JOIN_BITS = 2
 
 
 @dataclass(frozen=True)
@@ -313,6 +315,20 @@ def slots_covered(intervals: DataFrame, start: str, end: str) -> DataFrame:
     return bounds.withColumn("_slot", F.explode(runs)).drop("_low", "_high", "_from", "_to", "_up_from", "_up_to")
 
 
+def slots_touched(intervals: DataFrame, start: str, end: str) -> DataFrame:
+    """One row (`_level`, `_slot`) for each aligned slot that `[start, end)` touches, five at most.
+
+    The level is the one whose slots of 4 ** level seconds are no longer than the interval, but longer
+    than a quarter of it. Slots reach over the ends by less than the interval's length: who meets
+    points there compares the times too.
+    """
+    over = F.pmod(micros(end), F.lit(1_000_000)) > 0
+    timed = intervals.withColumns({"_low": _seconds(start), "_high": _seconds(end) + over.cast("long")})
+    leveled = timed.withColumn("_level", F.expr(f"(length(bin(_high - _low)) - 1) div {_JOIN_BITS}").cast("int"))
+    slots = F.expr(f"sequence(shiftright(_low, {_JOIN_BITS} * _level), shiftright(_high - 1, {_JOIN_BITS} * _level))")
+    return leveled.withColumn("_slot", F.explode(slots)).drop("_low", "_high")
+
+
 def finish_interval_join(
     aligned: DataFrame,
     name: str,
@@ -326,13 +342,13 @@ def finish_interval_join(
     """Turn the interval that started last into all intervals that contain the point.
 
     A point beyond the end of all earlier intervals lies in the last one or in
-    none. The other points lie in intervals that overlap; these are covered by
-    slots (`slots_covered`) and met by equality on (key, level, slot), one level
-    per size. The slots are a written table: without overlaps it is empty and
-    broadcast by its size, and no point is shuffled again.
+    none. The other points lie in intervals that overlap; these are dealt to the
+    few slots they touch (`slots_touched`) and met by equality on (key, level, slot)
+    at each level that some interval has. The slots are a written table: without
+    overlaps it is empty and broadcast by its size, and no point is shuffled again.
     """
     rest = _overlapping(prepared, start, end).select(*by, start, end, *cols)
-    pieces = slots_covered(rest, start, end).select(
+    pieces = slots_touched(rest, start, end).select(
         *[F.col(c).alias(f"_{c}") for c in by],
         F.col("_level").alias("_piece_level"),
         F.col("_slot").alias("_piece_slot"),
@@ -342,10 +358,12 @@ def finish_interval_join(
     )
     pieces = cut_lineage(pieces, "interval_slots")
     contested = F.coalesce(F.col(ts) < F.col(f"{name}._prev_end"), F.lit(False))
+    # At most nineteen numbers, however many intervals there are.
+    used = sorted(row[0] for row in pieces.select("_piece_level").distinct().collect())
     levels = F.array(
         *[
-            F.struct(F.lit(at).alias("level"), F.shiftright(_seconds(ts), _BITS * at).alias("slot"))
-            for at in range(_LEVELS)
+            F.struct(F.lit(at).alias("level"), F.shiftright(_seconds(ts), _JOIN_BITS * at).alias("slot"))
+            for at in used or [0]
         ]
     )
     # Points that need no slot are spread by their block, in case the join shuffles.

@@ -56,8 +56,11 @@ def _stage(spark: SparkSession, sf_dir: str, name: str, build):
 class Plant:
     """The input tables of one scale and the frames built on them, all lazy."""
 
+    #: What supplies the input tables.
+    _source = staticmethod(derived.stored_tables)
+
     def __init__(self, spark: SparkSession, sf_dir: str):
-        tables = derived.stored_tables(pin_utc(spark), sf_dir)
+        tables = self._source(pin_utc(spark), sf_dir)
         self.tables = tables
         self.machine = tables["machine"]
         self.operation = tables["operation"]
@@ -135,15 +138,10 @@ class Plant:
 class RawPlant(Plant):
     """The uncleaned feed; its derived tables carry the defects on."""
 
+    _source = staticmethod(derived.stored_raw_feed)
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__(spark, sf_dir)
-        raw = derived.stored_raw_feed(spark, sf_dir)
-        self.tables = raw
-        self.operation = raw["operation"]
-        self.states = raw["machine_state_event"]
-        self.cycles = raw["cycle_event"]
-        self.samples = raw["energy_measurement"]
-
         self._stored = lambda name, build: _stage(spark, sf_dir, f"raw_{name}", lambda: cut_lineage(build(), name))
 
     @cached_property

@@ -257,6 +257,28 @@ def test_components_equal_brute_force(spark):
     assert bag(got) == _near(rows)
 
 
+def test_connected_near_copies_are_not_paired_off(spark, monkeypatch):
+    rng = random.Random(5)
+    words, rows = [f"w{rng.randrange(10**6)}" for _ in range(300)], []
+    for doc in range(240):
+        # Each differs from the one before by a word: neighbours link, distant ones do not.
+        words = [*words[:doc], f"x{doc}", *words[doc + 1 :]]
+        rows.append((doc, " ".join(words)))
+    tried, real = [], jaccard.cut_lineage
+
+    def kept(df, name):
+        written = real(df, name)
+        if name == "pairs":
+            tried.append(written.count())
+        return written
+
+    monkeypatch.setattr(jaccard, "cut_lineage", kept)
+    got = jaccard.near_duplicates(table(spark, rows)).select("component_id").distinct().collect()
+    assert [row.component_id for row in got] == [0]
+    # The last round tries all pairs of different components that bitmaps allow; there is one component.
+    assert tried[-1] == 0
+
+
 @pytest.mark.parametrize("shingle, similar", [(5, 80), (4, 97)])
 def test_components_of_other_shingles_equal_brute_force(spark, shingle, similar):
     random.seed(8)

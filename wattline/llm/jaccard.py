@@ -365,13 +365,11 @@ def _block_survivors(similar: int, closest: int | None):
     return survivors
 
 
-def components(links: DataFrame, name: str, whole: bool = True) -> DataFrame:
+def components(links: DataFrame, name: str) -> DataFrame:
     """(class, comp) of every class that has a link; comp is the smallest class reachable.
 
     Labels fall to the least label around and then to that label's own label, until none
-    changes; the state is a written table, and one flag per step comes to the driver. Without
-    `whole` one step is taken: classes of one label are connected then, but not all that are
-    connected have one label, which is enough to leave out pairs.
+    changes; the state is a written table, and one flag per step comes to the driver.
     """
     both = cut_lineage(
         links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
@@ -389,7 +387,7 @@ def components(links: DataFrame, name: str, whole: bool = True) -> DataFrame:
         moved = lower.join(jump, "low", "left").select("a", F.coalesce("next", "low").alias("new"), "comp")
         moved = cut_lineage(moved, f"{name}_labels")
         labels = moved.select("a", F.col("new").alias("comp"))
-        if not whole or moved.filter(F.col("new") != F.col("comp")).isEmpty():
+        if moved.filter(F.col("new") != F.col("comp")).isEmpty():
             return labels.select(F.col("a").alias("class"), "comp")
 
 
@@ -673,12 +671,13 @@ def _classes(
     large = groups.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 2")
     groups = cut_lineage(groups.join(large.select("token"), "token", "left_semi"), "large_groups")
     for round_ in range(CLOSEST_ROUNDS):
-        comps = components(links, f"round_{round_}", whole=False)
+        comps = components(links, f"round_{round_}")
         found = linked(_block_pairs(_grouped(groups, comps), summaries, similar, CLOSEST))
         links = links.unionByName(found)
-    comps = components(links, "closest", whole=False)
+    # Whole components: pairs inside of one, as many as the square of a large group, are not looked at.
+    comps = components(links, "closest")
     links = links.unionByName(linked(_block_pairs(_grouped(groups, comps), summaries, similar, None)))
-    return members, components(links, "all", whole=True)
+    return members, components(links, "all")
 
 
 def similar_classes(

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
+import shutil
 
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from wattline import schemas
+from wattline import queries, schemas
 from wattline.operators import quality
 from wattline.plans import kpi
 from wattline.session import scratch_path
@@ -240,3 +241,32 @@ def test_stored_inputs_follow_rewritten_files(spark, sf_dir, tmp_path):
     events = spark.read.parquet(f"{sf_dir}/events.parquet").limit(10)
     events.write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
     assert derived.stored_tables(spark, str(tmp_path))["energy_measurement"].count() == 10
+
+
+def _counted(monkeypatch, name):
+    """Calls of a function of `kpi`, counted."""
+    calls, real = [], getattr(kpi, name)
+    monkeypatch.setattr(kpi, name, lambda *args: calls.append(name) or real(*args))
+    return calls
+
+
+def test_hourly_tables_share_one_join(spark, plant, monkeypatch):
+    out_dir = scratch_path(spark, "plant")
+    joins = _counted(monkeypatch, "spine_left_joins")
+    sinks.publish_hourly(spark, {**plant.tables, "energy_enriched": plant.enriched}, out_dir)
+    assert len(joins) == 1
+    for table, view in (("oee_energy_summary_hourly", plant.oee), ("regression_base_hourly", plant.base)):
+        rows = store.read_table(spark, out_dir, table)
+        assert rows.count() == view.count() and rows.exceptAll(view.select(*rows.columns)).isEmpty()
+
+
+def test_export_aligns_the_samples_once(spark, sf_dir, tmp_path, monkeypatch):
+    copy = tmp_path / "sf"
+    shutil.copytree(sf_dir, copy)
+    # Nothing is stored yet of this folder.
+    cubes = _counted(monkeypatch, "energy_cube")
+    row = queries.queries()["export_run_metadata"](spark, str(copy)).collect()[0]
+    assert len(cubes) == 1
+    base = queries.Plant(spark, str(copy)).base
+    assert row.raw_rows == base.count()
+    assert row.aggregated_rows_after_filtering == kpi.aggregate_regression_input(base).count()

@@ -338,7 +338,12 @@ def _energy_per_good_part() -> dict[str, Column]:
 
 def oee_energy_summary_hourly(energy: DataFrame, state_time: DataFrame, cycle_stats: DataFrame) -> DataFrame:
     """OEE components and energy per part for every (hour, machine)."""
-    spine = _with_oee(spine_left_joins(energy, state_time, cycle_stats))
+    return oee_of_spine(spine_left_joins(energy, state_time, cycle_stats))
+
+
+def oee_of_spine(joined: DataFrame) -> DataFrame:
+    """The same from the joined spine."""
+    spine = _with_oee(joined)
     per_good = _energy_per_good_part()
     return spine.select(
         *SPINE,
@@ -366,7 +371,11 @@ def _with_ratios(df: DataFrame) -> DataFrame:
 
 def regression_base_hourly(energy: DataFrame, state_time: DataFrame, cycle_stats: DataFrame) -> DataFrame:
     """Components and ratios for every (hour, machine), 0 where nothing is known."""
-    spine = spine_left_joins(energy, state_time, cycle_stats)
+    return regression_base_of_spine(spine_left_joins(energy, state_time, cycle_stats))
+
+
+def regression_base_of_spine(spine: DataFrame) -> DataFrame:
+    """The same from the joined spine."""
     counts = ["total_parts", "good_parts", "scrap_parts"]
     sums = [
         "planned_time_sec",

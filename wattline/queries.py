@@ -597,7 +597,8 @@ def _through_json(spark: SparkSession, frame: DataFrame) -> DataFrame:
 def _export_run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both frames of the regression input exported, and the metadata read back from its file."""
     out_dir = scratch_path(spark, "regression")
-    return sinks.export_regression_input(Plant(spark, sf_dir).base, _input(spark, sf_dir), out_dir)
+    base = cut_lineage(Plant(spark, sf_dir).base, "regression_base_hourly")
+    return sinks.export_regression_input(base, kpi.aggregate_regression_input(base), out_dir)
 
 
 def _run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:

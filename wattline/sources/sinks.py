@@ -73,8 +73,9 @@ def rebuild_enriched(spark: SparkSession, tables: Mapping[str, DataFrame], out_d
 def publish_hourly(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str) -> None:
     """Compute and replace the four hourly tables that dashboards and the regression read.
 
-    `tables` are the base tables and `energy_enriched`. The samples are read
-    once, into the cube; readers then prune by day (`store.read_published_range`).
+    `tables` are the base tables and `energy_enriched`. The samples are read once, into the cube, and
+    the hourly figures are joined once, into the spine, which two of the tables are computed from;
+    readers then prune by day (`store.read_published_range`).
     """
     cube = cut_lineage(kpi.energy_cube(tables["energy_enriched"]), "energy_cube")
     states, cycles, samples = (
@@ -82,16 +83,13 @@ def publish_hourly(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir
     )
     bounds = kpi.machine_time_bounds(tables["machine"], samples, states, cycles)
     bucketed = kpi.state_interval_bucketed(kpi.state_intervals(states, bounds))
-    energy = kpi.state_energy_summary_hourly(cube)
     stats = kpi.cycle_stats_of(enrich.cycles_with_energy(cycles, cube), tables["operation"])
-    hourly = [cut_lineage(df, "hourly") for df in (energy, kpi.state_time_hourly(bucketed), stats)]
-    views = {
-        "state_energy_summary_hourly": hourly[0],
-        "detailed_state_energy_summary_hourly": kpi.detailed_from_cube(cube),
-        "oee_energy_summary_hourly": kpi.oee_energy_summary_hourly(*hourly),
-        "regression_base_hourly": kpi.regression_base_hourly(*hourly),
-    }
-    publish(spark, views, out_dir)
+    with publication(spark, out_dir) as staged:
+        energy = staged.write("state_energy_summary_hourly", kpi.state_energy_summary_hourly(cube))
+        staged.write("detailed_state_energy_summary_hourly", kpi.detailed_from_cube(cube))
+        spine = cut_lineage(kpi.spine_left_joins(energy, kpi.state_time_hourly(bucketed), stats), "spine")
+        staged.write("oee_energy_summary_hourly", kpi.oee_of_spine(spine))
+        staged.write("regression_base_hourly", kpi.regression_base_of_spine(spine))
 
 
 def moments_of(base: DataFrame) -> DataFrame:

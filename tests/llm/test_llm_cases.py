@@ -257,6 +257,25 @@ def test_components_equal_brute_force(spark):
     assert bag(got) == _near(rows)
 
 
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12)), max_size=14), st.integers(0, 14))
+def test_components_are_merged_by_further_links(spark, edges, cut):
+    edges = [(a, b) for a, b in edges if a != b]
+
+    def links(some):
+        return spark.createDataFrame([(b"%02d" % min(e), b"%02d" % max(e)) for e in some], "a binary, b binary")
+
+    earlier = jaccard.components(links(edges[:cut]), "earlier")
+    merged = jaccard.components(links(edges[cut:]), "merged", earlier)
+    least = {node: node for edge in edges for node in edge}
+    for _ in least:
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    assert sorted((int(r["class"]), int(r["comp"])) for r in merged.collect()) == sorted(least.items())
+    # Links inside of components change nothing, and nothing is computed for them.
+    assert jaccard.components(links(edges), "again", merged) is merged
+
+
 def test_connected_near_copies_are_not_paired_off(spark, monkeypatch):
     rng = random.Random(5)
     words, rows = [f"w{rng.randrange(10**6)}" for _ in range(300)], []

@@ -365,24 +365,26 @@ def _block_survivors(similar: int, closest: int | None):
     return survivors
 
 
-def components(links: DataFrame, name: str) -> DataFrame:
+def components(links: DataFrame, name: str, comps: DataFrame | None = None) -> DataFrame:
     """(class, comp) of every class that has a link; comp is the smallest class reachable.
 
     Labels fall to the least label around and then to that label's own label, until none
-    changes; the state is a written table, and one flag per step comes to the driver.
+    changes; the state is a written table, and one flag per step comes to the driver. Each class
+    meets its own label and those around in one aggregate, so a step shuffles once when labels are
+    broadcast. With `comps`, the components of earlier links, only these are linked with each other.
     """
-    both = cut_lineage(
-        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
-        f"{name}_edges",
-    )
+    if comps is not None:
+        return _merged(links, name, comps)
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = cut_lineage(both.groupBy("a").agg(F.least("a", F.min("b")).alias("comp")), f"{name}_labels")
     while True:
-        around = (
-            both.join(labels.select(F.col("a").alias("b"), F.col("comp").alias("near")), "b")
+        around = both.join(labels.select(F.col("a").alias("b"), F.col("comp").alias("near")), "b").select("a", "near")
+        own = labels.select("a", F.col("comp").alias("near"), "comp")
+        lower = (
+            own.unionByName(around, allowMissingColumns=True)
             .groupBy("a")
-            .agg(F.min("near").alias("near"))
+            .agg(F.min("near").alias("low"), F.max("comp").alias("comp"))
         )
-        lower = labels.join(around, "a").select("a", "comp", F.least("comp", "near").alias("low"))
         jump = labels.select(F.col("a").alias("low"), F.col("comp").alias("next"))
         moved = lower.join(jump, "low", "left").select("a", F.coalesce("next", "low").alias("new"), "comp")
         moved = cut_lineage(moved, f"{name}_labels")
@@ -391,6 +393,27 @@ def components(links: DataFrame, name: str) -> DataFrame:
             return labels.select(F.col("a").alias("class"), "comp")
 
 
+def _merged(links: DataFrame, name: str, comps: DataFrame) -> DataFrame:
+    """`components` of earlier links (`comps`) and further ones together."""
+    ends = links.select("a", "b")
+    for end in ("a", "b"):
+        label = comps.select(F.col("class").alias(end), F.col("comp").alias(f"_{end}"))
+        ends = ends.join(label, end, "left").withColumn(f"_{end}", F.coalesce(f"_{end}", end))
+    between = cut_lineage(
+        ends.select(F.col("_a").alias("a"), F.col("_b").alias("b")).filter(F.col("a") != F.col("b")), f"{name}_between"
+    )
+    if between.isEmpty():
+        return comps
+    met = components(between, name)
+    known = comps.join(met.select(F.col("class").alias("comp"), F.col("comp").alias("least")), "comp", "left")
+    # Classes that had no link are ends of the new ones under their own name.
+    alone = met.join(comps.select("class"), "class", "left_anti")
+    return cut_lineage(
+        known.select("class", F.coalesce("least", "comp").alias("comp")).unionByName(alone.select("class", "comp")),
+        f"{name}_merged",
+    )
+
+
 def _grouped(groups: DataFrame, comps: DataFrame | None) -> DataFrame:
     """Token rows with the present component of their class (its own class if it has no link)."""
     if comps is None:
@@ -594,11 +617,17 @@ _TABLES = "wattline_near_"
 
 
 def _by_class(near: DataFrame) -> DataFrame:
-    """`near` in buckets of the class, in the shared folder: joins on the class leave it where it is."""
+    """One row of each class of `near` (they are alike), in buckets of the class, in the shared folder.
+
+    Joins on the class leave the table where it is, and rows travel once: a class has one row a task at most.
+    """
     spark, name = near.sparkSession, f"{_TABLES}{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    alike = [c for c in near.columns if c != "class"]
     (
         near.repartition(buckets, "class")
+        .groupBy("class")
+        .agg(*[F.first(c).alias(c) for c in alike])
         .write.format("parquet")
         .option("path", scratch_path(spark, name))
         .bucketBy(buckets, "class")
@@ -648,10 +677,7 @@ def _prepared(
     # Which texts to read again is told by a map of fixed size, so no text is shuffled. A few others
     # share a slot; they are left out by class.
     read = texts.select(_slot(F.col("text_key")).alias("slot"), F.col("text")).mapInArrow(_details(shingle, similar, wanted), _NEAR)
-    columns = [c for c in read.columns if c != "class"]
-    near = _by_class(
-        read.join(keys.select("class"), "class", "left_semi").groupBy("class").agg(*[F.first(c).alias(c) for c in columns])
-    )
+    near = _by_class(read.join(keys.select("class"), "class", "left_semi"))
     groups = cut_lineage(numbered.join(keys.select("number", "class"), "number").select("token", "class"), "token_groups")
     return summary.select("id", "text_key", "class", "n"), groups, near, _Texts(texts, keys, shingle)
 
@@ -670,14 +696,13 @@ def _classes(
     # The only pair of a group of two has met now.
     large = groups.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 2")
     groups = cut_lineage(groups.join(large.select("token"), "token", "left_semi"), "large_groups")
+    # Whole components: pairs inside of one, as many as the square of a large group, are not looked at.
+    comps = components(links, "hubs")
     for round_ in range(CLOSEST_ROUNDS):
-        comps = components(links, f"round_{round_}")
         found = linked(_block_pairs(_grouped(groups, comps), summaries, similar, CLOSEST))
-        links = links.unionByName(found)
-    # Whole components: pairs inside of one, as many as the square of a large group, are not looked at.
-    comps = components(links, "closest")
-    links = links.unionByName(linked(_block_pairs(_grouped(groups, comps), summaries, similar, None)))
-    return members, components(links, "all")
+        comps = components(found, f"closest_{round_}", comps)
+    found = linked(_block_pairs(_grouped(groups, comps), summaries, similar, None))
+    return members, components(found, "all", comps)
 
 
 def similar_classes(

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import os
 import shutil
+from datetime import datetime
 
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattline import queries, schemas
 from wattline.operators import quality
@@ -270,3 +272,34 @@ def test_export_aligns_the_samples_once(spark, sf_dir, tmp_path, monkeypatch):
     base = queries.Plant(spark, str(copy)).base
     assert row.raw_rows == base.count()
     assert row.aggregated_rows_after_filtering == kpi.aggregate_regression_input(base).count()
+
+
+def test_arrivals_are_dealt_in_one_pass(spark, monkeypatch):
+    """Days 1, 7 and 31, a late row of day 1, a row without time; arrivals that have no row exist too."""
+    times = ["2024-01-01 00:00:01", "2024-01-01 00:00:04", "2024-01-07 05:00:00", "2024-01-31 05:00:00", None]
+    number, seen = spark.sparkContext.accumulator(0), []
+    loose = T.StructType([T.StructField(f.name, f.dataType) for f in schemas.ENERGY_ENRICHED])
+    rows = [tuple(t and datetime.fromisoformat(t) if c == "ts" else None for c in loose.names) for t in times]
+
+    def counted(batches):
+        for batch in batches:
+            number.add(batch.num_rows)
+            yield batch
+
+    enriched = spark.createDataFrame(rows, loose).mapInArrow(counted, loose)
+
+    class Ended:
+        def awaitTermination(self):
+            pass
+
+    def start(path):
+        held = spark.read.schema(schemas.ENERGY_ENRICHED).parquet(path).select(F.col("ts").cast("string")).collect()
+        seen.append({row.ts for row in held})
+        return Ended()
+
+    monkeypatch.setattr(queries, "cut_lineage", None)
+    monkeypatch.setattr(queries.hourly, "enriched_stream", lambda spark, path: path)
+    queries._arriving(spark, enriched, start)
+    # The second row is the late one: its second is a multiple of seven.
+    assert seen == [{times[0]}, *[{times[0], times[2]}] * 5, {*times}]
+    assert number.value == len(times)

@@ -702,15 +702,19 @@ STREAM_ARRIVALS = 7
 
 def _arriving(spark: SparkSession, enriched: DataFrame, start: Callable[[DataFrame], StreamingQuery]) -> None:
     """One arrival after another, each a folder of as many files as the rows have tasks; after each the
-    stream runs until it has read what is there, as one micro-batch."""
-    path = scratch_path(spark, "arrivals")
-    stored = cut_lineage(enriched, "energy_enriched")
+    stream runs until it has read what is there, as one micro-batch.
+
+    The rows are dealt to all arrivals in one pass; an arrival's folder then moves to where the stream looks.
+    """
+    path, dealt = scratch_path(spark, "arrivals"), scratch_path(spark, "dealt")
     day = F.dayofmonth("ts") + F.when(F.month("ts") > 1, 31).otherwise(0)
     late = (day <= 5) & (F.unix_seconds(F.col("ts").cast("timestamp")) % 7 == 0)
     last = F.lit(STREAM_ARRIVALS - 1)
     arrival = F.when(late, last).otherwise(F.least(F.floor((day - 1) / 5), last))
+    enriched.withColumn("arrival", arrival).write.partitionBy("arrival").parquet(dealt)
     for number in range(STREAM_ARRIVALS):
-        stored.filter(arrival == number).write.parquet(f"{path}/{number}")
+        if not store.move(spark, f"{dealt}/arrival={number}", f"{path}/{number}"):
+            spark.createDataFrame([], enriched.schema).write.parquet(f"{path}/{number}")
         start(hourly.enriched_stream(spark, f"{path}/*")).awaitTermination()
 
 

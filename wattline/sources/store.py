@@ -60,6 +60,18 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(found, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> bool:
+    """Give a file or folder another name, in folders that are made; False if there is none."""
+    found, system = _path(spark, path)
+    if not system.exists(found):
+        return False
+    target = _path(spark, to)[0]
+    system.mkdirs(target.getParent())
+    if not system.rename(found, target):
+        raise RuntimeError(f"{path} could not be moved to {to}")
+    return True
+
+
 def _listed(spark: SparkSession, path: str) -> list:
     folder, system = _path(spark, path)
     return list(system.listStatus(folder)) if system.exists(folder) else []

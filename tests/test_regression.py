@@ -200,3 +200,33 @@ def test_direction_words(spark):
     coefs = coefficient_rows(spark, [(TARGET, "gamma_glm", "performance", 0.0, 0.5, 0.0, 0.0)])
     assert reg.sensitivity(coefs).first().direction == "nem változtatja"
     assert report.significant_coefficients(coefs).first().direction == "növeli"
+
+
+def test_passes_read_only_groups_that_still_move(spark, monkeypatch):
+    """Twenty groups lie on their curve and end at once; the rows of the noisy one are all that later passes read."""
+    easy = {}
+    for i in range(20):
+        x, _, _ = data(100 + i, 30)
+        curve = np.exp(1 - 0.5 * x[:, 0] + 0.3 * x[:, 1] - 0.7 * x[:, 2])
+        easy[f"E{i:02d}"] = (x, curve, curve)
+    noisy = {"N": data(9, 30)}
+    written, cut = [], reg.cut_lineage
+
+    def noted(df, name):
+        out = cut(df, name)
+        written.append((name, out))
+        return out
+
+    def fitted(groups):
+        rows = reg.prepare(reg.model_rows(frame(spark, groups), [TARGET]))
+        return {r.machine_id: r for r in reg.fit_gamma_glm(rows, by=["target", "machine_id"]).frame.collect()}
+
+    alone = fitted(noisy)["N"]
+    monkeypatch.setattr(reg, "cut_lineage", noted)
+    found = fitted({**easy, **noisy})
+    apart = [df for name, df in written if name == "moving_rows"]
+    assert len(apart) == 1 and {r.machine_id for r in apart[0].select("machine_id").distinct().collect()} == {"N"}
+    assert apart[0].count() == 30
+    assert {r.status for r in found.values()} == {"ok"} and len(found) == 21
+    assert found["N"].params == pytest.approx(alone.params, rel=1e-9)
+    assert found["N"].std_err == pytest.approx(alone.std_err, rel=1e-9)

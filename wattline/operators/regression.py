@@ -205,6 +205,8 @@ def _inference(row: dict, beta: Sequence[float], cov: np.ndarray) -> dict:
 
 
 _NEWTON_RADIUS = 0.5
+#: Rows of groups that still move are written apart when they are this part of what is read: one in sixteen.
+_FEW = 16
 _GUESS = ["inverse", "center", "spread", "beta"]
 
 
@@ -306,8 +308,9 @@ def _finish_gamma_glm(
     steps converge quadratically, which saves passes over the rows. The fit of
     ln y is the first guess. Each step's coefficients (one row per group) are
     written, which cuts the lineage. Groups that no longer move leave the guess,
-    and the join with it then skips their rows: later passes cost only what has
-    not converged.
+    and the join with it then skips their rows. Once the others hold few of the rows,
+    these are written apart: a group that needs many more steps does not have all rows
+    read for each of them.
     """
     terms, size = _terms(features), len(features) + 1
     by = list(by)
@@ -326,10 +329,11 @@ def _finish_gamma_glm(
         kept = {c: row[c] for c in ("inverse", "center", "spread")}
         return {**kept, "beta": beta.tolist(), "moved": float((np.abs(move) / (1.0 + np.abs(beta))).max())}
 
-    ended, moving = [], None
+    ended, moving, sizes = [], None, start.select(*by, "n_obs")
+    left, held = rows, sizes.agg(F.sum("n_obs")).first()[0]
     for _ in range(max_iter):
         sums = (
-            _scored(rows, guess, features, by)
+            _scored(left, guess, features, by)
             .withColumn("_ratio", F.col(Y) / mu)
             .groupBy(*by)
             .agg(_sums(terms, ratio - 1).alias("slope"), _triangle(terms, ratio).alias("information"))
@@ -339,8 +343,11 @@ def _finish_gamma_glm(
         ended.append(step.filter(F.col("moved") < tol))
         moving = step.filter(~(F.col("moved") < tol))
         guess = moving.drop("moved")
-        if moving.isEmpty():
+        count = moving.join(sizes, by).agg(F.sum("n_obs")).first()[0]
+        if not count:
             break
+        if count * _FEW <= held:
+            left, held = cut_lineage(left.join(moving.select(*by), by, "left_semi"), "moving_rows"), count
     step = cut_lineage(reduce(DataFrame.unionByName, [*ended, moving]), "fitted")
 
     sums = (

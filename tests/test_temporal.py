@@ -253,3 +253,22 @@ def test_hourly_sums_add_no_shuffle(plant):
 
     assert shuffles(kpi.state_energy_summary_hourly(plant.by_hour)) <= shuffles(plant.by_hour)
     assert shuffles(kpi.energy_cube(plant.by_hour)) <= shuffles(plant.by_hour)
+
+
+def test_sparse_series_are_carried_by_the_day(spark):
+    """With a row or less an hour, hours would carry as many rows over the blocks as the series have."""
+    from wattline.plans import enrich
+
+    rng = random.Random(14)
+    moments = sorted(rng.sample(range(10 * 24 * 60), 200))
+    rows = [("M", T0 + timedelta(minutes=m), f"s{i}") for i, m in enumerate(moments) if i % 2]
+    points = [("M", T0 + timedelta(minutes=m)) for i, m in enumerate(moments) if not i % 2]
+    left = spark.createDataFrame(points, "k string, ts timestamp_ntz")
+    right = spark.createDataFrame(rows, "k string, at timestamp_ntz, s string")
+    want = {p[1]: max((r for r in rows if r[1] <= p[1]), default=(None, None, None), key=lambda r: r[1] or T0)[2] for p in points}
+    for block in ("day", "hour"):
+        got = temporal.asof_join(left, right, ["k"], "ts", "at", ["s"], block)
+        assert {r.ts: r.s for r in got.collect()} == want
+    samples = left.selectExpr("ts", "k AS machine_id", "0.5BD AS power_kw", "1BD AS energy_kwh_cumulative", "60BD AS sample_interval_sec")
+    plan = enrich.delta_energy(samples)._jdf.queryExecution().optimizedPlan().toString()
+    assert "date_trunc(day" in plan and "date_trunc(hour" not in plan

@@ -181,7 +181,7 @@ def check_model_scope(dashboard: DataFrame) -> DataFrame:
     return check(dashboard, "model_scope", "regression_dashboard_summary", known, "model_scope")
 
 
-def overlapping_cycles(cycles: DataFrame, block: str = "hour") -> DataFrame:
+def overlapping_cycles(cycles: DataFrame, block: str = "day") -> DataFrame:
     """Cycles that start before an earlier cycle of the machine has ended."""
     real = cycles.filter(F.col("machine_id").isNotNull() & (F.col("cycle_end_ts") > F.col("cycle_start_ts")))
     marked = temporal.with_neighbours(real, ["machine_id"], "cycle_start_ts", "cycle_end_ts", block)

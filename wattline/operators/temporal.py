@@ -1,15 +1,16 @@
 """Aligning time series: previous row, as-of join, interval join, interval split.
 
 No operator here puts a whole key into one task. Rows are partitioned by
-(key, block of time), normally the hour, so a machine that holds a third of the
-data is spread over its hours. What must cross a block border (the last
+(key, block of time), normally the day, so a machine that holds a third of the
+data is spread over its days. What must cross a block border (the last
 counter, the last state, the running end of earlier intervals) is first reduced
-to one row per (key, block) and carried over that small table.
+to one row per (key, block) and carried over that table, which is small as long as
+a block holds many rows: series of a row an hour are not reduced by hours at all.
 
-The block is an argument with the hour as default. Whoever knows that single
-hours of a key are too large for a task passes "minute" or "second"; the results
-are the same. Such blocks are carried in two steps, within the hour and over the
-hours, so no window ever sees more than the blocks of an hour or the hours of a key.
+The block is an argument with the day as default. Whoever knows that single
+days of a key are too large for a task passes "hour", "minute" or "second"; the
+results are the same. Minutes and seconds are carried in two steps, within the hour and over
+the hours, so no window ever sees more than the blocks of an hour, or the hours or days of a key.
 
 A key of NULL equals no other: such points keep their row and find nothing.
 """
@@ -27,6 +28,8 @@ from wattline.functions.timeline import micros, unit_start
 from wattline.session import cut_lineage
 
 BLOCK = "bucket_start"
+#: The day that aligned rows are partitioned by, beside their hour in `bucket_start`.
+DAY_BLOCK = "_block_start"
 _HOUR = "_hour_start"
 _RANK = "_rank"
 _CARRY, _LOOKUP, _POINT = 0, 1, 2
@@ -68,7 +71,7 @@ def _over_earlier(
     def pick(name: str, window) -> Column:
         return (F.max(name) if largest else F.last(name, ignorenulls=True)).over(window)
 
-    if block == "hour":
+    if block in ("day", "hour"):
         return blocks.withColumns({n: pick(n, before(by, BLOCK)) for n in names})
     keys = [*by, _HOUR]
     timed = blocks.withColumn(_HOUR, unit_start(blocks, BLOCK, "hour"))
@@ -103,7 +106,7 @@ def latest_values(
     ts: str,
     lookups: Sequence[Lookup] = (),
     previous: tuple[str, Sequence[str]] | None = None,
-    block: str = "hour",
+    block: str = "day",
 ) -> DataFrame:
     """Add to each point the latest row of every lookup and of the points before it.
 
@@ -169,7 +172,7 @@ def latest_values(
 
 
 def previous_row(
-    df: DataFrame, by: Sequence[str], ts: str, cols: dict[str, str], block: str = "hour"
+    df: DataFrame, by: Sequence[str], ts: str, cols: dict[str, str], block: str = "day"
 ) -> DataFrame:
     """LAG by one row per key: `cols` maps a column to the name of its previous value."""
     out = latest_values(df, by, ts, previous=("_prev", list(cols)), block=block)
@@ -197,7 +200,7 @@ def asof_join(
     left_ts: str,
     right_ts: str,
     cols: Sequence[str],
-    block: str = "hour",
+    block: str = "day",
 ) -> DataFrame:
     """Left join to the latest right row with `right_ts <= left_ts` per key."""
     out = latest_values(left, by, left_ts, [Lookup("_match", right, right_ts, cols)], block=block)
@@ -205,7 +208,7 @@ def asof_join(
 
 
 def with_neighbours(
-    intervals: DataFrame, by: Sequence[str], start: str, end: str, block: str = "hour", ties: Sequence[str] = ()
+    intervals: DataFrame, by: Sequence[str], start: str, end: str, block: str = "day", ties: Sequence[str] = ()
 ) -> DataFrame:
     """Add `_prev_end` (largest end of all earlier intervals) and `_next_start` per key.
 
@@ -242,7 +245,7 @@ def _overlapping(marked: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def overlapping_intervals(
-    intervals: DataFrame, by: Sequence[str], start: str, end: str, block: str = "hour"
+    intervals: DataFrame, by: Sequence[str], start: str, end: str, block: str = "day"
 ) -> DataFrame:
     """The non-empty intervals that overlap another one of their key."""
     marked = with_neighbours(intervals.filter(F.col(end) > F.col(start)), by, start, end, block)
@@ -257,7 +260,7 @@ def blocks_touched(df: DataFrame, start: str, end: str, block: str = "hour") ->
 
 
 def prepare_intervals(
-    intervals: DataFrame, by: Sequence[str], start: str, end: str, cols: Sequence[str], block: str = "hour"
+    intervals: DataFrame, by: Sequence[str], start: str, end: str, cols: Sequence[str], block: str = "day"
 ) -> DataFrame:
     """The non-empty intervals with their neighbours, written once: lookup and overlaps read them from there."""
     plain = intervals.select(*by, start, end, *cols).filter(F.col(end) > F.col(start))
@@ -393,7 +396,7 @@ def interval_join(
     start: str,
     end: str,
     cols: Sequence[str],
-    block: str = "hour",
+    block: str = "day",
 ) -> DataFrame:
     """Left join of points to all intervals `[start, end)` of their key that contain them."""
     prepared = prepare_intervals(intervals, by, start, end, cols, block)
@@ -409,7 +412,7 @@ def to_intervals(
     end: str,
     bounds: DataFrame | None = None,
     bound: str | None = None,
-    block: str = "hour",
+    block: str = "day",
 ) -> DataFrame:
     """Turn events into intervals that last until the next event of the key.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.operators import temporal
-from wattline.operators.temporal import BLOCK, Lookup
+from wattline.operators.temporal import BLOCK, DAY_BLOCK, Lookup
 from wattline.schemas import CYCLE_ENERGY_SUMMARY, ENERGY_ENRICHED
 
 BY = ["machine_id"]
@@ -16,7 +16,7 @@ STATE_COLUMNS = ["detailed_state_code", "state_tag"]
 CYCLE_TIMES = ("cycle_start_ts", "cycle_end_ts")
 
 
-def lag_counter(samples: DataFrame, block: str = "hour") -> DataFrame:
+def lag_counter(samples: DataFrame, block: str = "day") -> DataFrame:
     """The previous counter reading of the machine; a NULL reading is not skipped."""
     out = temporal.previous_row(samples, BY, "ts", {"energy_kwh_cumulative": "prev_energy_kwh"}, block)
     return out.select("ts", "machine_id", "energy_kwh_cumulative", "prev_energy_kwh")
@@ -28,19 +28,19 @@ def _delta(previous: str):
     )
 
 
-def delta_energy(samples: DataFrame, block: str = "hour") -> DataFrame:
+def delta_energy(samples: DataFrame, block: str = "day") -> DataFrame:
     """Energy used since the previous sample, as stored: decimal(12,6)."""
     out = temporal.previous_row(samples, BY, "ts", {"energy_kwh_cumulative": "prev_energy_kwh"}, block)
     return out.select("ts", "machine_id", "power_kw", _delta("prev_energy_kwh").alias("delta_energy_kwh"))
 
 
-def asof_state_join(samples: DataFrame, states: DataFrame, block: str = "hour") -> DataFrame:
+def asof_state_join(samples: DataFrame, states: DataFrame, block: str = "day") -> DataFrame:
     """The state each sample falls into; NULL before the first state of the machine."""
     out = temporal.asof_join(samples.select("ts", "machine_id"), states, BY, "ts", "ts", STATE_COLUMNS, block)
     return out.select("ts", "machine_id", *STATE_COLUMNS)
 
 
-def interval_cycle_join(samples: DataFrame, cycles: DataFrame, block: str = "hour") -> DataFrame:
+def interval_cycle_join(samples: DataFrame, cycles: DataFrame, block: str = "day") -> DataFrame:
     """The cycles each sample falls into, half-open; NULL outside of cycles."""
     out = temporal.interval_join(
         samples.select("ts", "machine_id"), cycles, BY, "ts", *CYCLE_TIMES, ["cycle_id"], block
@@ -49,13 +49,13 @@ def interval_cycle_join(samples: DataFrame, cycles: DataFrame, block: str = "hou
 
 
 def enriched_by_hour(
-    samples: DataFrame, states: DataFrame, cycles: DataFrame, block: str = "hour", by: Sequence[str] = BY
+    samples: DataFrame, states: DataFrame, cycles: DataFrame, block: str = "day", by: Sequence[str] = BY
 ) -> DataFrame:
-    """`energy_enriched` plus its hour `bucket_start`, partitioned by (machine, hour).
+    """`energy_enriched` plus its hour `bucket_start`, partitioned by (machine, day).
 
     Meter lag, state and cycle come from one common sort, and hourly sums of
-    the result need no further shuffle. With finer blocks the hour is added at
-    the end and hourly sums shuffle their partial results. `by` names further
+    the result need no further shuffle: the day stays as a column of its own. With blocks
+    below the hour, hourly sums shuffle their partial results. `by` names further
     keys that keep series apart, beside `machine_id`.
     """
     further = [key for key in by if key not in BY]
@@ -82,11 +82,13 @@ def enriched_by_hour(
         "_cycle",
     )
     joined = temporal.finish_interval_join(out, "_cycle", prepared, by, "ts", *CYCLE_TIMES, ["cycle_id"])
-    return joined if block == "hour" else temporal.with_block(joined, "ts")
+    if block == "hour":
+        return joined
+    return temporal.with_block(joined.withColumnRenamed(BLOCK, DAY_BLOCK) if block == "day" else joined, "ts")
 
 
 def energy_enriched(
-    samples: DataFrame, states: DataFrame, cycles: DataFrame, block: str = "hour"
+    samples: DataFrame, states: DataFrame, cycles: DataFrame, block: str = "day"
 ) -> DataFrame:
     """One row per sample (and containing cycle) with delta, state and cycle."""
     return enriched_by_hour(samples, states, cycles, block).select(*ENERGY_ENRICHED.names)

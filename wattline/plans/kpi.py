@@ -15,7 +15,7 @@ from wattline.functions import constants as k
 from wattline.functions.measures import as_double, safe_ratio, sum_where, total
 from wattline.functions.timeline import hour_start, micros, micros_to_seconds, seconds_later
 from wattline.operators import temporal
-from wattline.operators.temporal import BLOCK
+from wattline.operators.temporal import BLOCK, DAY_BLOCK
 from wattline.schemas import REGRESSION_BASE_COLUMNS, REGRESSION_INPUT_COLUMNS
 
 SPINE = ["bucket_start", "machine_id"]
@@ -28,9 +28,14 @@ ENERGY = [
 _EPOCH = "1970-01-01 00:00:00"
 
 
-def _hourly(enriched: DataFrame) -> DataFrame:
-    """Use the hour that the alignment already partitioned by, if it is there."""
-    return enriched if BLOCK in enriched.columns else temporal.with_block(enriched, "ts")
+def _sum_hourly(enriched: DataFrame, keys: list[str], *sums: Column) -> DataFrame:
+    """Sums per machine, hour and `keys`; without a shuffle where the alignment's partitioning is there.
+
+    An hour lies in one day, so the day that partitions the rows may be named among the keys.
+    """
+    hourly = enriched if BLOCK in enriched.columns else temporal.with_block(enriched, "ts")
+    partitioned = [c for c in (DAY_BLOCK,) if c in hourly.columns]
+    return hourly.groupBy(*SPINE, *keys, *partitioned).agg(*sums).drop(*partitioned)
 
 
 def _energy_sums() -> list[Column]:
@@ -54,30 +59,28 @@ def _energy_ratios() -> dict[str, Column]:
 def energy_cube(enriched: DataFrame) -> DataFrame:
     """Samples summed per hour, machine, state and cycle: the one pass that all figures share.
 
-    On aligned samples the sums need no shuffle, since (machine, hour) already
+    On aligned samples the sums need no shuffle, since (machine, day) already
     partitions them. The cube has a row per state and cycle of an hour instead
     of one per sample, and its `delta_energy_kwh` adds up like that of the
     samples. Store it before using it more than once: every consumer reads
     other columns, so Spark would not share the alignment between them.
     """
     power = F.col("power_kw")
-    return (
-        _hourly(enriched)
-        .groupBy(*SPINE, "detailed_state_code", "state_tag", "cycle_id")
-        .agg(
-            F.sum("delta_energy_kwh").alias("delta_energy_kwh"),
-            F.count("*").alias("sample_count"),
-            F.count(power).alias("power_count"),
-            F.sum(power).alias("power_sum"),
-            F.min(power).alias("power_min"),
-            F.max(power).alias("power_max"),
-        )
+    return _sum_hourly(
+        enriched,
+        ["detailed_state_code", "state_tag", "cycle_id"],
+        F.sum("delta_energy_kwh").alias("delta_energy_kwh"),
+        F.count("*").alias("sample_count"),
+        F.count(power).alias("power_count"),
+        F.sum(power).alias("power_sum"),
+        F.min(power).alias("power_min"),
+        F.max(power).alias("power_max"),
     )
 
 
 def state_energy_summary_hourly(enriched: DataFrame) -> DataFrame:
     """Energy per machine and hour, in total and by state tag."""
-    sums = _hourly(enriched).groupBy(*SPINE).agg(*_energy_sums())
+    sums = _sum_hourly(enriched, [], *_energy_sums())
     return sums.withColumns(_energy_ratios()).withColumns(as_double(*ENERGY))
 
 
@@ -85,7 +88,7 @@ def detailed_state_energy_summary_hourly(enriched: DataFrame) -> DataFrame:
     """Samples, energy and power per machine, hour and state; samples without state form their own group."""
     power = F.col("power_kw")
     return _detailed(
-        _hourly(enriched),
+        enriched,
         F.count("*"),
         F.sum(power),
         F.count(power),
@@ -109,7 +112,9 @@ def detailed_from_cube(cube: DataFrame) -> DataFrame:
 def _detailed(
     rows: DataFrame, samples: Column, power_sum: Column, power_count: Column, smallest: Column, largest: Column
 ) -> DataFrame:
-    return rows.groupBy(*SPINE, "detailed_state_code", "state_tag").agg(
+    return _sum_hourly(
+        rows,
+        ["detailed_state_code", "state_tag"],
         samples.alias("sample_count"),
         total(F.col("delta_energy_kwh")).cast("double").alias("energy_kwh"),
         safe_ratio(power_sum, power_count).alias("avg_power_kw"),
@@ -148,7 +153,7 @@ def bounds_join(states: DataFrame, bounds: DataFrame) -> DataFrame:
     return states.join(bounds, "machine_id").select("machine_id", "ts", "detailed_state_code", "max_bound_ts")
 
 
-def state_intervals(states: DataFrame, bounds: DataFrame, block: str = "hour") -> DataFrame:
+def state_intervals(states: DataFrame, bounds: DataFrame, block: str = "day") -> DataFrame:
     """How long each reported state lasted; empty ones are dropped."""
     events = states.select(
         "machine_id",
